@@ -63,8 +63,8 @@ def whole_years_between(birthday, on_datetime_text) -> Column:
     """Age: whole days from birthday to the order *date*, divided by 365 and
     truncated toward zero (P14).  The time part of the order time is dropped,
     so negative gaps under a year give 0 and leap days make ages early."""
-    on_day = F.try_to_date(F.substring(_c(on_datetime_text), 1, 10), F.lit("yyyy-MM-dd"))
-    born = F.try_to_date(_c(birthday).cast("string"), F.lit("yyyy-MM-dd"))
+    on_day = F.try_to_date(F.substring(_c(on_datetime_text), 1, 10), "yyyy-MM-dd")
+    born = F.try_to_date(_c(birthday).cast("string"), "yyyy-MM-dd")
     return (F.datediff(on_day, born) / F.lit(365)).cast("int")
 
 

@@ -84,3 +84,122 @@ def q_dau_hour_compare(spark, sf_dir):
 @query("new_devices")
 def q_new_devices(spark, sf_dir):
     return D.new_devices(_dau(spark, sf_dir))
+
+
+# ------------------------------------------------------ change data, snapshots
+from shopstream.operators import cdc as C  # noqa: E402
+from shopstream.operators import orders as O  # noqa: E402
+
+
+def _envelopes(spark, sf_dir) -> DataFrame:
+    return C.parse_envelopes(_views(spark, sf_dir).cdc_log)
+
+
+@query("dim_snapshot")
+def q_dim_snapshot(spark, sf_dir):
+    return _views(spark, sf_dir).user_info.select("id", "birthday", "gender")
+
+
+@query("snapshot_to_envelope")
+def q_snapshot_to_envelope(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    sku = v.t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                          F.col("p_retailprice").alias("price"))
+    out = None
+    for name, df in (("user_info", v.user_info), ("base_province", v.base_province),
+                     ("sku_info", sku)):
+        e = C.snapshot_to_envelopes(df, name, "id", 500)
+        out = e if out is None else out.unionByName(e)
+    return out.select("table", "type", "chunk", F.col("n_rows").cast("bigint").alias("n_rows"))
+
+
+@query("cdc_explode")
+def q_cdc_explode(spark, sf_dir):
+    return C.envelope_counts(_envelopes(spark, sf_dir))
+
+
+@query("cdc_route_facts")
+def q_cdc_route_facts(spark, sf_dir):
+    return C.route_facts(_envelopes(spark, sf_dir)).groupBy("topic") \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("dim_latest")
+def q_dim_latest(spark, sf_dir):
+    d = C.dim_latest(_envelopes(spark, sf_dir))
+    return d.select("key", F.col("pk").cast("bigint").alias("id"),
+                    F.col("row").getItem("name").alias("name"))
+
+
+# ------------------------------------------------------------------- orders
+def _orders(spark, sf_dir) -> DataFrame:
+    return O.parse_order_info(_views(spark, sf_dir).order_info_topic)
+
+
+def _details(spark, sf_dir) -> DataFrame:
+    return O.parse_order_detail(_views(spark, sf_dir).order_detail_topic)
+
+
+def _enriched(spark, sf_dir) -> DataFrame:
+    v = _views(spark, sf_dir)
+    return O.enrich_orders(_orders(spark, sf_dir), v.user_info, v.base_province)
+
+
+def order_wide(spark, sf_dir) -> DataFrame:
+    """Wide table: every line with its enriched order (batch form)."""
+    return O.merge_wide(O.inner_join(_enriched(spark, sf_dir), _details(spark, sf_dir)))
+
+
+@query("order_info_parse")
+def q_order_info_parse(spark, sf_dir):
+    return _orders(spark, sf_dir).select(*O.ORDER_INFO_COLUMNS)
+
+
+@query("order_detail_parse")
+def q_order_detail_parse(spark, sf_dir):
+    return _details(spark, sf_dir).select(*O.ORDER_DETAIL_COLUMNS)
+
+
+@query("order_dim_join")
+def q_order_dim_join(spark, sf_dir):
+    return _enriched(spark, sf_dir).select(
+        "id", "user_age", "user_gender", "province_name", "province_area_code",
+        "province_iso_code", "province_3166_2_code")
+
+
+@query("order_inner")
+def q_order_inner(spark, sf_dir):
+    j = O.inner_join(_orders(spark, sf_dir), _details(spark, sf_dir))
+    return j.select(F.col("o_id").alias("order_id"), F.col("id").alias("detail_id"),
+                    F.lit("both").alias("side"))
+
+
+@query("order_full_outer")
+def q_order_full_outer(spark, sf_dir):
+    return O.full_outer_join(_orders(spark, sf_dir), _details(spark, sf_dir))
+
+
+@query("order_wide")
+def q_order_wide(spark, sf_dir):
+    return order_wide(spark, sf_dir)
+
+
+@query("order_wide_interval")
+def q_order_wide_interval(spark, sf_dir):
+    j = O.interval_join(_orders(spark, sf_dir), _details(spark, sf_dir), 600)
+    return j.select(F.col("id").alias("detail_id"), "order_id")
+
+
+@query("order_wide_ttl")
+def q_order_wide_ttl(spark, sf_dir):
+    return O.ttl_refresh_join(_orders(spark, sf_dir), _details(spark, sf_dir), 600)
+
+
+@query("orphan_details")
+def q_orphan_details(spark, sf_dir):
+    return O.orphan_details(_orders(spark, sf_dir), _details(spark, sf_dir))
+
+
+@query("orphan_orders")
+def q_orphan_orders(spark, sf_dir):
+    return O.orphan_orders(_orders(spark, sf_dir), _details(spark, sf_dir))

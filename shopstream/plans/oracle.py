@@ -69,10 +69,12 @@ left join user_info u on u.id = o.user_id
 left join base_province p on p.id = o.province_id""",
     "order_wide": """
 select d.id as detail_id, d.order_id, d.sku_id, d.order_price, d.sku_num, d.sku_name,
-       d.split_total_amount, 0.0 as split_activity_amount, 0.0 as split_coupon_amount,
-       o.province_id, o.order_status, o.user_id, o.total_amount,
-       0.0 as activity_reduce_amount, 0.0 as coupon_reduce_amount, 0.0 as original_total_amount,
-       0.0 as feight_fee, 0.0 as feight_fee_reduce,
+       d.split_total_amount, cast(0 as double) as split_activity_amount,
+       cast(0 as double) as split_coupon_amount,
+       cast(o.province_id as bigint) as province_id, o.order_status, o.user_id, o.total_amount,
+       cast(0 as double) as activity_reduce_amount, cast(0 as double) as coupon_reduce_amount,
+       cast(0 as double) as original_total_amount, cast(0 as double) as feight_fee,
+       cast(0 as double) as feight_fee_reduce,
        cast(null as varchar) as expire_time, cast(null as varchar) as refundable_time,
        d.create_time, cast(null as varchar) as operate_time, o.create_date, o.create_hour,
        o.province_name, o.province_area_code, o.province_3166_2_code, o.province_iso_code,
@@ -135,5 +137,101 @@ select dt, count(*) as new_mid from (select mid, min(dt) as dt from dau group by
 group by dt""")
 
 
+# --- change data and snapshots
+q("dim_snapshot", "select id, birthday, gender from user_info")
+
+q("snapshot_to_envelope", """
+select 'user_info' as "table", 'INSERT' as type, cast(floor(id / 500) as bigint) as chunk,
+       count(*) as n_rows from user_info group by 3
+union all
+select 'base_province', 'INSERT', cast(floor(id / 500) as bigint), count(*) from base_province group by 3
+union all
+select 'sku_info', 'INSERT', cast(floor(p_partkey / 500) as bigint), count(*) from part group by 3""")
+
+q("cdc_explode", """
+select * from (
+  select 'order_info' as tbl, 'INSERT' as typ, count(*) as n from order_info
+  union all select 'order_info', 'UPDATE', count(*) from order_info where id % 10 = 0
+  union all select 'order_info', 'DELETE', count(*) from order_info where id % 100 = 0
+  union all select 'order_info', 'CREATE', count(*) from order_info where id % 70 = 0
+  union all select 'order_detail', 'INSERT', count(*) from order_detail
+  union all select 'user_info', 'INSERT', count(*) from user_info
+  union all select 'user_info', 'UPDATE', count(*) from user_info where id % 5 = 0
+  union all select 'user_info', 'DELETE', count(*) from user_info where id % 25 = 0
+  union all select 'base_province', 'INSERT', count(*) from base_province
+  union all select 'sku_info', 'INSERT', count(*) from part) c
+where n > 0""")
+
+q("cdc_route_facts", """
+select * from (
+  select 'DWD_ORDER_INFO_I' as topic, count(*) as n from order_info
+  union all select 'DWD_ORDER_INFO_U', count(*) from order_info where id % 10 = 0
+  union all select 'DWD_ORDER_INFO_D', count(*) from order_info where id % 100 = 0
+  union all select 'DWD_ORDER_DETAIL_I', count(*) from order_detail) c
+where n > 0""")
+
+q("dim_latest", """
+select 'DIM:USER_INFO:' || id as key, id,
+       case when id % 5 = 0 then name || '*' else name end as name from user_info
+union all select 'DIM:BASE_PROVINCE:' || id, id, name from base_province
+union all select 'DIM:SKU_INFO:' || p_partkey, p_partkey, p_name from part""")
+
+# --- orders
+q("order_info_parse", """
+select id, cast(province_id as bigint) as province_id, order_status, user_id, total_amount,
+       cast(0 as double) as activity_reduce_amount, cast(0 as double) as coupon_reduce_amount,
+       cast(0 as double) as original_total_amount, cast(0 as double) as feight_fee,
+       cast(0 as double) as feight_fee_reduce, cast(null as varchar) as expire_time,
+       cast(null as varchar) as refundable_time, create_time, cast(null as varchar) as operate_time,
+       create_date, create_hour
+from order_info""")
+
+q("order_detail_parse", """
+select id, order_id, sku_id, order_price, sku_num, sku_name, create_time, split_total_amount,
+       cast(0 as double) as split_activity_amount, cast(0 as double) as split_coupon_amount
+from order_detail""")
+
+q("order_dim_join", """
+select id, user_age, user_gender, province_name, province_area_code, province_iso_code,
+       province_3166_2_code
+from order_dim""")
+
+q("order_inner", """
+select o.id as order_id, d.id as detail_id, 'both' as side
+from order_info o join order_detail d on o.id = d.order_id""")
+
+q("order_full_outer", """
+select coalesce(o.id, d.order_id) as order_id, d.id as detail_id,
+       case when o.id is null then 'detail_only' when d.id is null then 'order_only'
+            else 'both' end as side
+from order_info o full outer join order_detail d on o.id = d.order_id""")
+
+q("order_wide", "select * from order_wide")
+
+q("order_wide_interval", """
+select d.id as detail_id, d.order_id
+from order_detail d join order_info o on o.id = d.order_id
+where d.arr > o.arr - interval 600 second and d.arr < o.arr + interval 600 second""")
+
+_TTL_EXTRA = {
+    "j": "select d.id, d.order_id, d.arr, o.arr as to_ "
+         "from order_detail d join order_info o on o.id = d.order_id",
+    "bef": "select *, coalesce(lead(arr) over (partition by order_id order by arr, id), to_) - arr "
+           "as gap from j where arr < to_",
+    "bef2": "select *, max(gap) over (partition by order_id order by arr desc, id desc "
+            "rows between unbounded preceding and current row) as mg from bef",
+}
+q("order_wide_ttl", """
+select id as detail_id, order_id from j where arr >= to_ and arr - to_ < interval 600 second
+union all
+select id as detail_id, order_id from bef2 where mg < interval 600 second""", _TTL_EXTRA)
+
+q("orphan_details", """
+select d.id from order_detail d where not exists (select 1 from order_info o where o.id = d.order_id)""")
+
+q("orphan_orders", """
+select o.id from order_info o where not exists (select 1 from order_detail d where d.order_id = o.id)""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_Q)
