@@ -203,3 +203,106 @@ def q_orphan_details(spark, sf_dir):
 @query("orphan_orders")
 def q_orphan_orders(spark, sf_dir):
     return O.orphan_orders(_orders(spark, sf_dir), _details(spark, sf_dir))
+
+
+# ------------------------------------------------------------ search, sales
+from shopstream.operators import beans as B  # noqa: E402
+from shopstream.operators import sales as SL  # noqa: E402
+from shopstream.operators import search as S  # noqa: E402
+
+# Query parameters of the registered searches.
+SEARCH_KEYWORD = "red widget"
+CATALOG_KEYWORD = "red"
+CATALOG_TERM = ("credits", "name", "Brand#17")
+HIGHLIGHT_KEYWORD = "red widget"
+RANK_QUERY = "the of and"
+SALE_KEYWORD = "red"
+SALE_PAGE_NO, SALE_PAGE_SIZE = 2, 20
+PROVINCE_BIN_WIDTH = 20_000
+
+
+@query("search_match_all")
+def q_search_match_all(spark, sf_dir):
+    return S.match_all(order_wide(spark, sf_dir), "sku_name", SEARCH_KEYWORD) \
+        .select("detail_id", "sku_name")
+
+
+@query("search_match_any")
+def q_search_match_any(spark, sf_dir):
+    return S.match_any(order_wide(spark, sf_dir), "sku_name", SEARCH_KEYWORD) \
+        .select("detail_id", "sku_name")
+
+
+@query("search_bool_filter")
+def q_search_bool_filter(spark, sf_dir):
+    arr, field, value = CATALOG_TERM
+    c = _views(spark, sf_dir).catalog
+    return S.bool_filter(c, "name", CATALOG_KEYWORD, arr, field, value).select("id", "name")
+
+
+@query("search_sorted_top")
+def q_search_sorted_top(spark, sf_dir):
+    c = S.match_any(_views(spark, sf_dir).catalog, "name", CATALOG_KEYWORD)
+    return S.sorted_top(c, "score", 20, "id").select("id", "name", "score")
+
+
+@query("search_highlight")
+def q_search_highlight(spark, sf_dir):
+    c = S.match_any(_views(spark, sf_dir).catalog, "name", HIGHLIGHT_KEYWORD)
+    return S.highlight(c, "name", HIGHLIGHT_KEYWORD).select("id", "highlight")
+
+
+@query("search_ranked")
+def q_search_ranked(spark, sf_dir):
+    docs = tables(spark, sf_dir).documents.select("doc_id", "text")
+    r = S.ranked(docs, "doc_id", "text", RANK_QUERY, 20)
+    return r.select("doc_id", F.round("score", 4).alias("bm25"))
+
+
+@query("select_scalar_columns")
+def q_select_scalar_columns(spark, sf_dir):
+    return B.select_scalar_columns(_views(spark, sf_dir).catalog)
+
+
+def _sale_match(spark, sf_dir) -> DataFrame:
+    return SL.match_set(order_wide(spark, sf_dir), SALE_KEYWORD)
+
+
+@query("sale_total")
+def q_sale_total(spark, sf_dir):
+    return SL.total(_sale_match(spark, sf_dir))
+
+
+@query("sale_page")
+def q_sale_page(spark, sf_dir):
+    return SL.sale_page(_sale_match(spark, sf_dir), SALE_PAGE_NO, SALE_PAGE_SIZE)
+
+
+@query("sale_age_terms")
+def q_sale_age_terms(spark, sf_dir):
+    return SL.age_terms(_sale_match(spark, sf_dir))
+
+
+@query("sale_gender_terms")
+def q_sale_gender_terms(spark, sf_dir):
+    return SL.gender_terms(_sale_match(spark, sf_dir))
+
+
+@query("sale_age_share")
+def q_sale_age_share(spark, sf_dir):
+    return SL.age_share(_sale_match(spark, sf_dir))
+
+
+@query("sale_gender_share")
+def q_sale_gender_share(spark, sf_dir):
+    return SL.gender_share(_sale_match(spark, sf_dir))
+
+
+@query("sale_stat_json")
+def q_sale_stat_json(spark, sf_dir):
+    return SL.stat_json(_sale_match(spark, sf_dir), SALE_PAGE_NO, SALE_PAGE_SIZE)
+
+
+@query("province_sales")
+def q_province_sales(spark, sf_dir):
+    return SL.province_sales(order_wide(spark, sf_dir), PROVINCE_BIN_WIDTH)

@@ -232,6 +232,99 @@ select d.id from order_detail d where not exists (select 1 from order_info o whe
 q("orphan_orders", """
 select o.id from order_info o where not exists (select 1 from order_detail d where d.order_id = o.id)""")
 
+# --- search and sales
+_TOK = "list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
+
+
+def tok(x: str) -> str:
+    return _TOK.format(x=x)
+
+
+_CATALOG = {"catalog": f"""
+select p_partkey as id, p_name as name, p_retailprice as score, p_brand, p_type,
+       date '1992-01-01' + cast(p_partkey % 2500 as int) as released, {tok('p_name')} as tok
+from part"""}
+
+q("search_match_all", f"""
+select detail_id, sku_name from (select *, {tok('sku_name')} as tok from order_wide) w
+where list_contains(tok, 'red') and list_contains(tok, 'widget')""")
+
+q("search_match_any", f"""
+select detail_id, sku_name from (select *, {tok('sku_name')} as tok from order_wide) w
+where list_contains(tok, 'red') or list_contains(tok, 'widget')""")
+
+q("search_bool_filter", """
+select id, name from catalog
+where list_contains(tok, 'red') and list_contains([p_brand, p_type], 'Brand#17')""", _CATALOG)
+
+q("search_sorted_top", """
+select id, name, score from catalog where list_contains(tok, 'red')
+order by score desc, id limit 20""", _CATALOG)
+
+q("search_highlight", r"""
+select id, regexp_replace(name, '(?i)\b(red|widget)\b', '<em>\1</em>', 'g') as highlight
+from catalog where list_contains(tok, 'red') or list_contains(tok, 'widget')""", _CATALOG)
+
+q("search_ranked", """
+select doc_id, round(score, 4) as bm25 from (
+  select doc_id,
+         ln(1 + (n - df0 + 0.5) / (df0 + 0.5)) * tf0 / (tf0 + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))
+       + ln(1 + (n - df1 + 0.5) / (df1 + 0.5)) * tf1 / (tf1 + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))
+       + ln(1 + (n - df2 + 0.5) / (df2 + 0.5)) * tf2 / (tf2 + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))
+         as score
+  from p, s where tf0 + tf1 + tf2 > 0) x
+order by score desc, doc_id limit 20""",
+  {"d": f"select doc_id, {tok('text')} as tok from documents",
+   "p": "select doc_id, len(tok) as dl, len(list_filter(tok, lambda t: t = 'the')) as tf0, "
+        "len(list_filter(tok, lambda t: t = 'of')) as tf1, len(list_filter(tok, lambda t: t = 'and')) as tf2 "
+        "from d",
+   "s": "select count(*) as n, avg(dl) as avgdl, count(*) filter (where tf0 > 0) as df0, "
+        "count(*) filter (where tf1 > 0) as df1, count(*) filter (where tf2 > 0) as df2 from p"})
+
+q("select_scalar_columns", """
+select id, name, score, date_diff('day', date '1970-01-01', released) * 86400000 as released
+from catalog""", _CATALOG)
+
+_SALE = {"m": f"select * from order_wide where list_contains({tok('sku_name')}, 'red')",
+         "ages": "select user_age, count(*) as ct from m group by user_age "
+                 "order by ct desc, user_age limit 100",
+         "genders": "select user_gender, count(*) as ct from m where user_gender is not null "
+                    "group by user_gender order by ct desc, user_gender limit 2",
+         "tot": "select count(*) as n from m"}
+
+
+def _pct(expr: str) -> str:
+    return (f"floor(cast(coalesce({expr}, 0) as double) * 1000 / (select n from tot) + 0.5) / 10")
+
+
+q("sale_total", "select count(*) as total from m", _SALE)
+
+q("sale_page", """
+select detail_id, order_id, sku_name, sku_num, order_price, user_age, user_gender, province_name,
+       create_date, create_time
+from m order by detail_id limit 20 offset 20""", _SALE)
+
+q("sale_age_terms", "select * from ages", _SALE)
+
+q("sale_gender_terms", "select * from genders", _SALE)
+
+q("sale_age_share", f"""
+select 'under 20' as name, {_pct('(select sum(ct) from ages where user_age < 20)')} as value
+union all
+select '20 to 29', {_pct('(select sum(ct) from ages where user_age >= 20 and user_age < 30)')}
+union all
+select '30 and over', {_pct('(select sum(ct) from ages where user_age >= 30)')}""", _SALE)
+
+q("sale_gender_share", f"""
+select 'male' as name, {_pct("(select sum(ct) from genders where user_gender = 'M')")} as value
+union all
+select 'female', {_pct("(select sum(ct) from genders where user_gender = 'F')")}""", _SALE)
+
+q("province_sales", """
+select province_name, cast(sum(sku_num) as bigint) as sku_num,
+       cast(least(floor(sum(sku_num) / 20000), 5) as int) as bin
+from order_wide where province_name is not null group by province_name""")
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_Q)
