@@ -14,7 +14,7 @@ from shopstream.functions.jsonfn import is_malformed, parse_permissive
 from shopstream.functions.timefn import day_and_hour, epoch_ms_to_instant, epoch_ms_to_local
 from shopstream.schemas import APP_LOG
 
-PARSED_COLUMNS = ["event_id", "mid", "uid", "ar", "ch", "vc", "has_page",
+PARSED_COLUMNS = ["event_id", "mid", "uid", "ar", "ch", "vc", "has_page", "page_id",
                   "last_page_id", "ts", "event_time", "dt", "hr"]
 
 
@@ -31,6 +31,7 @@ def parse_app_log(topic: DataFrame, tz: str = "UTC", value_col: str = "value") -
         F.col("m.common.ar").alias("ar"), F.col("m.common.ch").alias("ch"),
         F.col("m.common.vc").alias("vc"),
         F.col("m.page").isNotNull().alias("has_page"),
+        F.col("m.page.page_id").alias("page_id"),
         F.col("m.page.last_page_id").alias("last_page_id"),
         F.col("m.ts").alias("ts"),
         epoch_ms_to_instant(F.col("m.ts")).alias("event_time"),

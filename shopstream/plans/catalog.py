@@ -306,3 +306,85 @@ def q_sale_stat_json(spark, sf_dir):
 @query("province_sales")
 def q_province_sales(spark, sf_dir):
     return SL.province_sales(order_wide(spark, sf_dir), PROVINCE_BIN_WIDTH)
+
+
+# --------------------------------------------------------- sinks, streaming
+from shopstream.session import scratch_path  # noqa: E402
+from shopstream.sources import sinks as K  # noqa: E402
+from shopstream.sources.topics import read_topic, write_replay  # noqa: E402
+from shopstream.streaming import jobs as J  # noqa: E402
+
+REPLAY_SLICES = 4
+
+
+def _replay(spark, records: DataFrame, name: str) -> str:
+    path = scratch_path(spark, f"replay-{name}")
+    write_replay(records, path, REPLAY_SLICES)
+    return path
+
+
+@query("src_topic_replay")
+def q_src_topic_replay(spark, sf_dir):
+    src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
+    out = scratch_path(spark, "topic-counts")
+    J.run_topic_counts(spark, read_topic(spark, replay_path=src), "page_id", out,
+                       scratch_path(spark, "ckpt-topic-counts"))
+    return spark.read.parquet(out).select("page_id", "n")
+
+
+@query("dau_dedup_stream")
+def q_dau_dedup_stream(spark, sf_dir):
+    src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
+    out = scratch_path(spark, "dau-stream")
+    J.run_dau(spark, read_topic(spark, replay_path=src), out, scratch_path(spark, "ckpt-dau"))
+    return spark.read.parquet(out).select("dt", "mid")
+
+
+@query("order_wide_stream")
+def q_order_wide_stream(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    o_src = _replay(spark, v.order_info_topic, "order_info")
+    d_src = _replay(spark, v.order_detail_topic, "order_detail")
+    out = scratch_path(spark, "order-wide-stream")
+    J.run_order_wide(spark, read_topic(spark, replay_path=o_src),
+                     read_topic(spark, replay_path=d_src), v.user_info, v.base_province,
+                     out, scratch_path(spark, "ckpt-order-wide"))
+    return spark.read.parquet(out).select("detail_id", "order_id")
+
+
+@query("batch_progress")
+def q_batch_progress(spark, sf_dir):
+    src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
+    table = scratch_path(spark, "batch-progress")
+    J.run_batch_progress(spark, read_topic(spark, replay_path=src), table,
+                         scratch_path(spark, "ckpt-batch-progress"))
+    return spark.read.parquet(table).select("batch_id", "n_rows")
+
+
+@query("dau_daily_partition")
+def q_dau_daily_partition(spark, sf_dir):
+    path = scratch_path(spark, "dau-daily")
+    K.write_daily(D.dau_info(_dau(spark, sf_dir)), path, "dt")
+    return spark.read.parquet(path).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf_dir):
+    """Three overlapping batches of order lines, then batch 1 replayed: the
+    replay replaces only its own output and the latest batch still wins."""
+    d = _details(spark, sf_dir).select("id", "split_total_amount")
+    table = scratch_path(spark, "upsert")
+    for b in (0, 1, 2, 1):
+        batch = d.where((F.col("id") % 3 == b) | (F.col("id") % 7 == 0)) \
+            .select("id", F.lit(f"b{b}").alias("value"))
+        K.upsert_batch(batch, table, b, "id")
+    return K.read_latest(spark, table, "id").select("id", "value")
+
+
+@query("append_docs")
+def q_append_docs(spark, sf_dir):
+    d = _details(spark, sf_dir).select("id", "order_id", "sku_name")
+    path = scratch_path(spark, "append")
+    K.append_docs(d, path)
+    K.append_docs(d, path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))

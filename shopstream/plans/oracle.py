@@ -326,5 +326,25 @@ select province_name, cast(sum(sku_num) as bigint) as sku_num,
 from order_wide where province_name is not null group by province_name""")
 
 
+# --- sinks and streaming
+q("src_topic_replay", """
+select case when has_page then event_type end as page_id, count(*) as n
+from app_log group by 1""")
+
+q("dau_dedup_stream", "select dt, mid from dau")
+
+q("order_wide_stream", """
+select d.id as detail_id, d.order_id
+from order_detail d join order_info o on o.id = d.order_id
+where d.arr > o.arr - interval 600 second and d.arr < o.arr + interval 600 second""")
+
+q("dau_daily_partition", "select dt, count(*) as n from dau group by dt")
+
+q("upsert_latest", """
+select id, case when id % 7 = 0 then 'b2' else 'b' || (id % 3) end as value from order_detail""")
+
+q("append_docs", "select 2 * count(*) as n from order_detail")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_Q)
