@@ -12,7 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.functions.timefn import ntz_to_epoch_ms, ntz_to_instant
+from shopstream.functions.timefn import ntz_to_epoch_ms, ntz_to_instant, split_datetime_text
+from shopstream.schemas import ORDER_DETAIL_FIELDS, ORDER_INFO_FIELDS
 
 
 def _str_struct(df_cols: list[str]) -> Column:
@@ -152,6 +153,31 @@ class Views:
         return _as_topic(od, F.to_json(_str_struct(self.ORDER_DETAIL_MSG)),
                          ntz_to_instant("arr"))
 
+    # ------------------------------------------------- typed topic contents
+    @staticmethod
+    def _typed(df: DataFrame, fields) -> list[Column]:
+        cols = []
+        for name, sql_type, default in fields:
+            if name in df.columns:
+                cols.append(F.col(name).cast(sql_type).alias(name))
+            else:
+                cols.append(F.lit(default).cast(sql_type).alias(name))
+        return cols
+
+    @cached_property
+    def orders_dwd(self) -> DataFrame:
+        """What ``parse_order_info`` yields for ``order_info_topic``, built
+        directly from the typed view (a landed, parsed copy of the topic)."""
+        oi = self.order_info
+        d, h = split_datetime_text("create_time")
+        return oi.select(*self._typed(oi, ORDER_INFO_FIELDS), d.alias("create_date"),
+                         h.alias("create_hour"), ntz_to_instant("arr").alias("arr"))
+
+    @cached_property
+    def details_dwd(self) -> DataFrame:
+        od = self.order_detail
+        return od.select(*self._typed(od, ORDER_DETAIL_FIELDS), ntz_to_instant("arr").alias("arr"))
+
     # ----------------------------------------------------------------- CDC
     @cached_property
     def cdc_log(self) -> DataFrame:

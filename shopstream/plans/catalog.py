@@ -133,11 +133,13 @@ def q_dim_latest(spark, sf_dir):
 
 # ------------------------------------------------------------------- orders
 def _orders(spark, sf_dir) -> DataFrame:
-    return O.parse_order_info(_views(spark, sf_dir).order_info_topic)
+    """Typed orders as landed from ``DWD_ORDER_INFO_I`` (parsing has its own
+    query, ``order_info_parse``)."""
+    return _views(spark, sf_dir).orders_dwd
 
 
 def _details(spark, sf_dir) -> DataFrame:
-    return O.parse_order_detail(_views(spark, sf_dir).order_detail_topic)
+    return _views(spark, sf_dir).details_dwd
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
@@ -152,12 +154,14 @@ def order_wide(spark, sf_dir) -> DataFrame:
 
 @query("order_info_parse")
 def q_order_info_parse(spark, sf_dir):
-    return _orders(spark, sf_dir).select(*O.ORDER_INFO_COLUMNS)
+    topic = _views(spark, sf_dir).order_info_topic
+    return O.parse_order_info(topic).select(*O.ORDER_INFO_COLUMNS)
 
 
 @query("order_detail_parse")
 def q_order_detail_parse(spark, sf_dir):
-    return _details(spark, sf_dir).select(*O.ORDER_DETAIL_COLUMNS)
+    topic = _views(spark, sf_dir).order_detail_topic
+    return O.parse_order_detail(topic).select(*O.ORDER_DETAIL_COLUMNS)
 
 
 @query("order_dim_join")
@@ -317,9 +321,19 @@ from shopstream.streaming import jobs as J  # noqa: E402
 REPLAY_SLICES = 4
 
 
+def _materialize(spark, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and read it back: later
+    steps reuse it without recomputing, and lineage is cut (a lost executor
+    re-reads files instead of recomputing the whole plan)."""
+    path = scratch_path(spark, f"stage-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _replay(spark, records: DataFrame, name: str) -> str:
     path = scratch_path(spark, f"replay-{name}")
-    write_replay(records, path, REPLAY_SLICES)
+    write_replay(_materialize(spark, records.select("value", "timestamp"), name),
+                 path, REPLAY_SLICES)
     return path
 
 
@@ -372,7 +386,7 @@ def q_dau_daily_partition(spark, sf_dir):
 def q_upsert_latest(spark, sf_dir):
     """Three overlapping batches of order lines, then batch 1 replayed: the
     replay replaces only its own output and the latest batch still wins."""
-    d = _details(spark, sf_dir).select("id", "split_total_amount")
+    d = _materialize(spark, _details(spark, sf_dir).select("id"), "upsert-src")
     table = scratch_path(spark, "upsert")
     for b in (0, 1, 2, 1):
         batch = d.where((F.col("id") % 3 == b) | (F.col("id") % 7 == 0)) \
@@ -383,7 +397,8 @@ def q_upsert_latest(spark, sf_dir):
 
 @query("append_docs")
 def q_append_docs(spark, sf_dir):
-    d = _details(spark, sf_dir).select("id", "order_id", "sku_name")
+    d = _materialize(spark, _details(spark, sf_dir).select("id", "order_id", "sku_name"),
+                     "append-src")
     path = scratch_path(spark, "append")
     K.append_docs(d, path)
     K.append_docs(d, path)
