@@ -147,37 +147,45 @@ def ttl_refresh_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 6
       each new line, so a line survives when no silence of ``ttl`` or more
       separates it from the next line of the same order, up to ``to``.
 
-    Silences are found without ordering a whole order in one task: arrival
-    points (lines before ``to`` plus ``to`` itself) are reduced to
-    ``min``/``max`` per ``(order, floor(t / ttl))`` bucket.  A silence
-    follows the last point of bucket ``b`` exactly when bucket ``b+1`` is
-    empty or starts ``ttl`` or more after it; lines after the last silence
-    are kept."""
+    Silences are found without ordering a whole order in one task.  Every
+    arrival (all lines and the order itself) is bucketed by
+    ``floor(t / ttl)`` and aggregated once, both as a member of its bucket
+    (``hi`` = last arrival) and as the earliest arrival of the bucket before
+    (``next_lo``); the aggregate is combined map-side.  A silence follows
+    bucket ``b`` exactly when ``b+1`` is empty or starts ``ttl`` or more
+    after ``hi``.  Only silences before the order matter (``hi < to``:
+    later buckets, and the order's own bucket, end at or after ``to``).
+    Lines are kept after the last such silence.  The lines table is
+    shuffled once in full, for the final join with the orders (unique per
+    id, so a hot order id is split by AQE)."""
     W = int(ttl_seconds) * 1_000_000
     o = orders.select(F.col("id").alias("o_id"), F.unix_micros("arr").alias("o_us"))
     d = details.select("id", "order_id", F.unix_micros("arr").alias("d_us"))
-    j = d.join(o, d.order_id == o.o_id, "inner")
-
-    after = j.where((F.col("d_us") >= F.col("o_us")) & (F.col("d_us") - F.col("o_us") < W)) \
-        .select(F.col("id").alias("detail_id"), "order_id")
-
-    before = j.where(F.col("d_us") < F.col("o_us")).select("id", "order_id", "d_us")
-    points = before.select("order_id", F.col("d_us").alias("t"), F.lit(False).alias("is_order")) \
-        .unionByName(o.select(F.col("o_id").alias("order_id"), F.col("o_us").alias("t"),
-                              F.lit(True).alias("is_order")))
-    buckets = points.groupBy("order_id", F.floor(F.col("t") / W).alias("b")).agg(
-        F.min("t").alias("lo"), F.max("t").alias("hi"),
-        F.max(F.col("is_order").cast("int")).alias("has_order"))
-    nxt = buckets.select(F.col("order_id").alias("n_oid"), (F.col("b") - 1).alias("n_b"),
-                         F.col("lo").alias("next_lo"))
-    silences = (buckets.join(nxt, (buckets.order_id == nxt.n_oid) & (buckets.b == nxt.n_b), "left")
-                .where((F.col("has_order") == 0) &
-                       (F.col("next_lo").isNull() | (F.col("next_lo") - F.col("hi") >= W))))
-    last_silence = silences.groupBy(F.col("order_id").alias("s_oid")).agg(F.max("hi").alias("brk"))
-    kept = (before.join(last_silence, before.order_id == last_silence.s_oid, "left")
-            .where(F.col("brk").isNull() | (F.col("d_us") > F.col("brk")))
-            .select(F.col("id").alias("detail_id"), "order_id"))
-    return after.unionByName(kept)
+
+    points = d.select("order_id", F.col("d_us").alias("t")).unionByName(
+        o.select(F.col("o_id").alias("order_id"), F.col("o_us").alias("t")))
+    b = F.floor(F.col("t") / W)
+    roles = F.array(
+        F.struct(b.alias("b"), F.col("t").alias("cur"), F.lit(None).cast("bigint").alias("nxt")),
+        F.struct((b - 1).alias("b"), F.lit(None).cast("bigint").alias("cur"), F.col("t").alias("nxt")))
+    buckets = (points.select("order_id", F.explode(roles).alias("r"))
+               .groupBy("order_id", F.col("r.b").alias("b"))
+               .agg(F.max("r.cur").alias("hi"), F.min("r.nxt").alias("next_lo")))
+    silences = buckets.where(F.col("hi").isNotNull() &
+                             (F.col("next_lo").isNull() | (F.col("next_lo") - F.col("hi") >= W)))
+    brk = (silences.join(o, silences.order_id == o.o_id, "inner")
+           .where(F.col("hi") < F.col("o_us"))
+           .groupBy(F.col("order_id").alias("s_oid")).agg(F.max("hi").alias("brk")))
+    ob = o.join(brk, o.o_id == brk.s_oid, "left").select("o_id", "o_us", "brk")
+    j = d.join(ob, d.order_id == ob.o_id, "inner")
+    after = (F.col("d_us") >= F.col("o_us")) & (F.col("d_us") - F.col("o_us") < W)
+    before = (F.col("d_us") < F.col("o_us")) & \
+        (F.col("brk").isNull() | (F.col("d_us") > F.col("brk")))
+    out = j.where(after | before).select(F.col("id").alias("detail_id"), "order_id")
+    # A line delivered twice is one member of the cached set (D3) and one
+    # document after the id upsert (D4).  The join output is already
+    # clustered by order id, so this de-duplication adds no shuffle.
+    return out.dropDuplicates(["order_id", "detail_id"])
 
 
 def orphan_details(orders: DataFrame, details: DataFrame) -> DataFrame:
