@@ -403,3 +403,17 @@ def q_append_docs(spark, sf_dir):
     K.append_docs(d, path)
     K.append_docs(d, path)
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("cdc_split_stream")
+def q_cdc_split_stream(spark, sf_dir):
+    """The change-data topic replayed through the streaming split; the
+    dimension table it maintains equals the batch ``dim_latest``."""
+    cdc = _views(spark, sf_dir).cdc_log
+    src = _replay(spark, cdc.select("value", F.timestamp_micros("seq").alias("timestamp")), "cdc")
+    dims, facts = scratch_path(spark, "dims"), scratch_path(spark, "facts")
+    J.run_cdc_split(spark, read_topic(spark, replay_path=src), dims, facts,
+                    scratch_path(spark, "ckpt-cdc"))
+    latest = K.read_latest(spark, dims, "key")
+    return latest.select("key", F.col("pk").cast("bigint").alias("id"),
+                         F.get_json_object("value", "$.name").alias("name"))
