@@ -330,13 +330,24 @@ def _materialize(spark, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _replay(spark, records: DataFrame, name: str) -> str:
+def _replay(spark, records: DataFrame, name: str, bounds=None) -> str:
     path = scratch_path(spark, f"replay-{name}")
     write_replay(_materialize(spark, records.select("value", "timestamp"), name),
-                 path, REPLAY_SLICES)
+                 path, REPLAY_SLICES, bounds=bounds)
     return path
 
 
+def _replay_orders(spark, v) -> tuple[str, str]:
+    """Both order topics sliced at the same arrival times, as a broker
+    would deliver them to one query."""
+    o = _materialize(spark, v.order_info_topic.select("value", "timestamp"), "order_info")
+    d = _materialize(spark, v.order_detail_topic.select("value", "timestamp"), "order_detail")
+    o_src, d_src = scratch_path(spark, "replay-order_info"), scratch_path(spark, "replay-detail")
+    bounds = write_replay(o, o_src, REPLAY_SLICES)
+    write_replay(d, d_src, REPLAY_SLICES, bounds=bounds)
+    return o_src, d_src
+
+
 @query("src_topic_replay")
 def q_src_topic_replay(spark, sf_dir):
     src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
@@ -357,8 +368,7 @@ def q_dau_dedup_stream(spark, sf_dir):
 @query("order_wide_stream")
 def q_order_wide_stream(spark, sf_dir):
     v = _views(spark, sf_dir)
-    o_src = _replay(spark, v.order_info_topic, "order_info")
-    d_src = _replay(spark, v.order_detail_topic, "order_detail")
+    o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-stream")
     J.run_order_wide(spark, read_topic(spark, replay_path=o_src),
                      read_topic(spark, replay_path=d_src), v.user_info, v.base_province,
@@ -417,3 +427,18 @@ def q_cdc_split_stream(spark, sf_dir):
     latest = K.read_latest(spark, dims, "key")
     return latest.select("key", F.col("pk").cast("bigint").alias("id"),
                          F.get_json_object("value", "$.name").alias("name"))
+
+
+@query("order_wide_ttl_stream")
+def q_order_wide_ttl_stream(spark, sf_dir):
+    """Both order topics replayed through the stateful TTL-refresh join."""
+    from shopstream.streaming.ttl_state import ttl_join_stream
+    v = _views(spark, sf_dir)
+    o_src, d_src = _replay_orders(spark, v)
+    orders = O.parse_order_info(read_topic(spark, replay_path=o_src))
+    details = O.parse_order_detail(read_topic(spark, replay_path=d_src))
+    out = scratch_path(spark, "order-wide-ttl-stream")
+    q = J.start(ttl_join_stream(orders, details, 600), out,
+                scratch_path(spark, "ckpt-ttl-stream"), name="order_wide_ttl")
+    J._finish(q, 900)
+    return spark.read.parquet(out).select("detail_id", "order_id")

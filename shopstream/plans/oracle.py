@@ -226,6 +226,11 @@ select id as detail_id, order_id from j where arr >= to_ and arr - to_ < interva
 union all
 select id as detail_id, order_id from bef2 where mg < interval 600 second""", _TTL_EXTRA)
 
+q("order_wide_ttl_stream", """
+select id as detail_id, order_id from j where arr >= to_ and arr - to_ < interval 600 second
+union all
+select id as detail_id, order_id from bef2 where mg < interval 600 second""", _TTL_EXTRA)
+
 q("orphan_details", """
 select d.id from order_detail d where not exists (select 1 from order_info o where o.id = d.order_id)""")
 

@@ -1,0 +1,110 @@
+"""Exact TTL-refresh join in streaming (J6, T3) with ``transformWithState``.
+
+Per order id the state holds what the reference kept in its two caches:
+
+* ``times``   — arrival time of the order (kept ``ttl`` after arrival) and
+  time of the last line added (the waiting set expires ``ttl`` after it, so
+  every new line refreshes the whole set), in one value;
+* ``pending`` — ids of lines waiting for the order, in a list state kept in
+  the state store (RocksDB), not in task memory.
+
+Events of one key are handled in arrival order inside a micro-batch (the
+rows of one key in one micro-batch are bounded by the source's
+``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).  Expiry decisions compare
+event times exactly; an event-time timer at the later expiry clears the key
+once the watermark passes it, so state does not outlive its use.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import (
+    ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
+
+OUTPUT_SCHEMA = "detail_id long, order_id long"
+
+
+class TtlRefreshJoin(StatefulProcessor):
+    def __init__(self, ttl_seconds: int = 600):
+        self.w = int(ttl_seconds) * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.times = handle.getValueState("times", "order_t long, last long")
+        self.pending = handle.getListState("pending", "id long")
+
+
+    def handleInputRows(self, key, rows: Iterator[Row],
+                        timerValues: TimerValues) -> Iterator[Row]:
+        order_id = int(key[0])
+        ev = sorted((r.t, r.kind, r.id) for r in rows)
+        w = self.w
+        times = self.times.get()
+        order_t, last = (None, None) if times is None else (times[0], times[1])
+        old_order, old_last = order_t, last
+        reset = False          # the stored waiting set expired in this batch
+        added: list[int] = []  # lines added to the waiting set in this batch
+        out: list[int] = []
+        for t, kind, lid in ev:
+            if kind == 0:                                  # the order arrives
+                order_t = t
+                if last is not None and last + w > t:      # waiting set alive
+                    if not reset:
+                        for chunk in self.pending.get():
+                            out.append(int(chunk[0]))
+                    out.extend(added)
+            else:                                          # a line arrives
+                if last is None or last + w <= t:          # set expired: new set
+                    reset, added = True, []
+                added.append(lid)
+                last = t
+                if order_t is not None and order_t + w > t:
+                    out.append(lid)
+        if reset:
+            self.pending.clear()
+        if added:
+            self.pending.appendList([(int(x),) for x in added])
+        if (order_t, last) != (old_order, old_last):
+            self.times.update((None if order_t is None else int(order_t),
+                               None if last is None else int(last)))
+        # One timer per key, at the later of the two expiries; it only moves
+        # when the order arrives or a line refreshes the waiting set.
+        expiry_ms = self._expiry_ms(order_t, last)
+        old_ms = self._expiry_ms(old_order, old_last)
+        if expiry_ms != old_ms:
+            if old_ms is not None:
+                self.handle.deleteTimer(old_ms)
+            self.handle.registerTimer(expiry_ms)
+        for lid in out:
+            yield Row(detail_id=int(lid), order_id=order_id)
+
+    def _expiry_ms(self, order_t, last):
+        ts = [x + self.w for x in (order_t, last) if x is not None]
+        return max(ts) // 1000 if ts else None
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.times.clear()
+        self.pending.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def ttl_join_stream(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600,
+                    delay: str = "10 minutes") -> DataFrame:
+    """Typed order and line streams (with ``arr``) -> joined ``(detail_id,
+    order_id)`` rows with the exact cache semantics.  Each source carries its
+    own watermark; the query uses the minimum, so a source that runs behind
+    the other is not treated as late."""
+    o = orders.withWatermark("arr", delay).select(
+        F.col("id").alias("order_id"), F.lit(0).alias("kind"), F.col("id"),
+        F.unix_micros("arr").alias("t"), "arr")
+    d = details.withWatermark("arr", delay).select(
+        "order_id", F.lit(1).alias("kind"), "id", F.unix_micros("arr").alias("t"), "arr")
+    return o.unionByName(d).groupBy("order_id").transformWithState(
+        TtlRefreshJoin(ttl_seconds), OUTPUT_SCHEMA, "Append", "EventTime")
