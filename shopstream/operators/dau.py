@@ -96,21 +96,34 @@ def dau_hour(dau: DataFrame, date: str | None = None) -> DataFrame:
 
 def dau_hour_compare(dau: DataFrame, date: str | None = None) -> DataFrame:
     """Per day: hours 00..23 with today's and yesterday's counts, zero-filled
-    (A3, A4, P16).  All inputs are already reduced to ``days x 24`` rows."""
+    (A3, A4, P16).
+
+    One pass over the active devices: the hourly counts (``days x 24`` rows)
+    are emitted once for their own day and once, shifted, for the next day;
+    per day the at most 48 entries are gathered and expanded to 24 hours.
+    Days without activity of their own are not reported unless asked for."""
     counts = dau_hour(dau)
+    next_day = F.date_format(F.date_add(F.to_date("dt", "yyyy-MM-dd"), 1), "yyyy-MM-dd")
+    zero = F.lit(0).cast("bigint")
+    roles = F.array(
+        F.struct(F.col("dt").alias("d"), F.col("ct").alias("today"), zero.alias("yesterday")),
+        F.struct(next_day.alias("d"), zero.alias("today"), F.col("ct").alias("yesterday")))
+    e = counts.select("hr", F.explode(roles).alias("r"))
+    if date is not None:
+        e = e.where(F.col("r.d") == date)
+    per_day = e.groupBy(F.col("r.d").alias("dt")).agg(
+        F.map_from_entries(F.collect_list(F.struct(
+            F.concat(F.col("hr"), F.lit("/"), F.when(F.col("r.today") > 0, "t").otherwise("y")),
+            F.greatest(F.col("r.today"), F.col("r.yesterday"))))).alias("m"),
+        F.max(F.col("r.today")).alias("active"))
     if date is None:
-        days = counts.select("dt").distinct()
-    else:
-        days = counts.sparkSession.range(1).select(F.lit(date).alias("dt"))
-    grid = days.select("dt", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h")) \
-        .select("dt", F.lpad(F.col("h").cast("string"), 2, "0").alias("hr"))
-    today = counts.select("dt", "hr", F.col("ct").alias("today"))
-    yest = counts.select(
-        F.date_format(F.date_add(F.to_date("dt", "yyyy-MM-dd"), 1), "yyyy-MM-dd").alias("dt"),
-        "hr", F.col("ct").alias("yesterday"))
-    out = (grid.join(today, ["dt", "hr"], "left").join(yest, ["dt", "hr"], "left"))
-    return out.select("dt", "hr", F.coalesce("today", F.lit(0)).alias("today"),
-                      F.coalesce("yesterday", F.lit(0)).alias("yesterday"))
+        per_day = per_day.where(F.col("active") > 0)
+    hours = per_day.select("dt", "m", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h")) \
+        .select("dt", "m", F.lpad(F.col("h").cast("string"), 2, "0").alias("hr"))
+    return hours.select(
+        "dt", "hr",
+        F.coalesce(F.element_at("m", F.concat(F.col("hr"), F.lit("/t"))), zero).alias("today"),
+        F.coalesce(F.element_at("m", F.concat(F.col("hr"), F.lit("/y"))), zero).alias("yesterday"))
 
 
 def new_devices(dau: DataFrame) -> DataFrame:
