@@ -16,7 +16,16 @@ from pyspark.sql import SparkSession
 # Settings every job of this package relies on.  AQE re-plans joins at
 # runtime (broadcast when the measured side is small, skew splitting when a
 # key holds a large share of the rows) and coalesces small shuffle outputs.
+# Automatic broadcasts stay under Spark's size thresholds: the planner's
+# (10 MB, on size estimates that are upper bounds for scans, joins and
+# filters) and AQE's, which re-checks the measured shuffle output at runtime
+# and otherwise keeps the sort-merge join.  Explicit broadcast hints are only
+# placed after a row-count check (operators.joins).
+# ``shuffle_partitions`` should give ~128 MB per partition at the target
+# scale (100 TB of shuffle input -> ~800k); AQE coalesces them for small runs.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
