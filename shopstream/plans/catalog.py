@@ -11,8 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.operators import beans as B
+from shopstream.operators import cdc as C
 from shopstream.operators import dau as D
+from shopstream.operators import orders as O
+from shopstream.operators import sales as SL
+from shopstream.operators import search as S
+from shopstream.session import scratch_path
+from shopstream.sources import sinks as K
 from shopstream.sources.tables import tables
+from shopstream.sources.topics import read_topic, write_replay
+from shopstream.streaming import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -87,8 +96,6 @@ def q_new_devices(spark, sf_dir):
 
 
 # ------------------------------------------------------ change data, snapshots
-from shopstream.operators import cdc as C  # noqa: E402
-from shopstream.operators import orders as O  # noqa: E402
 
 
 def _envelopes(spark, sf_dir) -> DataFrame:
@@ -210,9 +217,6 @@ def q_orphan_orders(spark, sf_dir):
 
 
 # ------------------------------------------------------------ search, sales
-from shopstream.operators import beans as B  # noqa: E402
-from shopstream.operators import sales as SL  # noqa: E402
-from shopstream.operators import search as S  # noqa: E402
 
 # Query parameters of the registered searches.
 SEARCH_KEYWORD = "red widget"
@@ -313,10 +317,6 @@ def q_province_sales(spark, sf_dir):
 
 
 # --------------------------------------------------------- sinks, streaming
-from shopstream.session import scratch_path  # noqa: E402
-from shopstream.sources import sinks as K  # noqa: E402
-from shopstream.sources.topics import read_topic, write_replay  # noqa: E402
-from shopstream.streaming import jobs as J  # noqa: E402
 
 REPLAY_SLICES = 4
 
@@ -432,13 +432,10 @@ def q_cdc_split_stream(spark, sf_dir):
 @query("order_wide_ttl_stream")
 def q_order_wide_ttl_stream(spark, sf_dir):
     """Both order topics replayed through the stateful TTL-refresh join."""
-    from shopstream.streaming.ttl_state import ttl_join_stream
     v = _views(spark, sf_dir)
     o_src, d_src = _replay_orders(spark, v)
-    orders = O.parse_order_info(read_topic(spark, replay_path=o_src))
-    details = O.parse_order_detail(read_topic(spark, replay_path=d_src))
     out = scratch_path(spark, "order-wide-ttl-stream")
-    q = J.start(ttl_join_stream(orders, details, 600), out,
-                scratch_path(spark, "ckpt-ttl-stream"), name="order_wide_ttl")
-    J._finish(q, 900)
+    J.run_ttl_join(spark, read_topic(spark, replay_path=o_src),
+                   read_topic(spark, replay_path=d_src), out,
+                   scratch_path(spark, "ckpt-ttl-stream"), 600)
     return spark.read.parquet(out).select("detail_id", "order_id")

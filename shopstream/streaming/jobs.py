@@ -19,12 +19,13 @@ from shopstream.operators import dau as D
 from shopstream.operators import orders as O
 from shopstream.schemas import DIM_TABLES
 from shopstream.sources.sinks import upsert_batch
+from shopstream.streaming.ttl_state import ttl_join_stream
 
 REPLAY = {"availableNow": True}
 SERVICE = {"processingTime": "5 seconds"}
 
 
-def _finish(q: StreamingQuery, timeout_s: int) -> StreamingQuery:
+def finish(q: StreamingQuery, timeout_s: int) -> StreamingQuery:
     """Wait for an availableNow query; stop it and fail if it overruns."""
     done = q.awaitTermination(timeout_s)
     if not done:
@@ -58,7 +59,7 @@ def dau_stream(topic: DataFrame, tz: str = "UTC", delay: str = "24 hours") -> Da
 def run_dau(spark: SparkSession, topic: DataFrame, sink_path: str, checkpoint: str,
             trigger: dict | None = None, timeout_s: int = 600) -> StreamingQuery:
     q = start(dau_stream(topic), sink_path, checkpoint, name="dau_dedup", trigger=trigger)
-    return _finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 # ------------------------------------------------------------- order-wide join
@@ -81,7 +82,17 @@ def run_order_wide(spark: SparkSession, order_topic: DataFrame, detail_topic: Da
                    trigger: dict | None = None, timeout_s: int = 900) -> StreamingQuery:
     wide = order_wide_stream(order_topic, detail_topic, users, provinces)
     q = start(wide, sink_path, checkpoint, name="order_wide", trigger=trigger)
-    return _finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+
+
+def run_ttl_join(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame,
+                 sink_path: str, checkpoint: str, ttl_seconds: int = 600,
+                 trigger: dict | None = None, timeout_s: int = 1800) -> StreamingQuery:
+    """The exact cache-semantics join (J6) over both order topics."""
+    joined = ttl_join_stream(O.parse_order_info(order_topic), O.parse_order_detail(detail_topic),
+                             ttl_seconds)
+    q = start(joined, sink_path, checkpoint, name="order_wide_ttl", trigger=trigger)
+    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 # ------------------------------------------------------- topic bookkeeping
@@ -98,7 +109,7 @@ def run_topic_counts(spark: SparkSession, topic: DataFrame, key: str, sink_path:
     q = (counts.writeStream.outputMode("complete").queryName("topic_counts")
          .option("checkpointLocation", checkpoint).foreachBatch(write)
          .trigger(**(trigger or REPLAY)).start())
-    return _finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 def run_batch_progress(spark: SparkSession, topic: DataFrame, table_path: str,
@@ -116,7 +127,7 @@ def run_batch_progress(spark: SparkSession, topic: DataFrame, table_path: str,
     q = (topic.writeStream.queryName("batch_progress")
          .option("checkpointLocation", checkpoint).foreachBatch(write)
          .trigger(**(trigger or REPLAY)).start())
-    return _finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 # ----------------------------------------------------------- change-data split
@@ -147,4 +158,4 @@ def run_cdc_split(spark: SparkSession, cdc_topic: DataFrame, dim_table: str, fac
     q = (cdc_topic.writeStream.queryName("cdc_split")
          .option("checkpointLocation", checkpoint).foreachBatch(write)
          .trigger(**(trigger or REPLAY)).start())
-    return _finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
