@@ -19,8 +19,7 @@ def _c(c) -> Column:
 
 def ntz_to_epoch_ms(c) -> Column:
     """Wall-clock TIMESTAMP_NTZ read as UTC -> epoch milliseconds (floored)."""
-    us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(c))
-    return F.floor(us / F.lit(1000)).cast("bigint")
+    return F.floor(F.unix_micros(ntz_to_instant(c)) / F.lit(1000)).cast("bigint")
 
 
 def epoch_ms_to_local(c, tz: str = "UTC") -> Column:
@@ -39,10 +38,14 @@ def epoch_ms_to_instant(c) -> Column:
 def ntz_to_instant(c) -> Column:
     """Wall-clock TIMESTAMP_NTZ taken as UTC -> TIMESTAMP instant.
 
-    ``withWatermark`` rejects TIMESTAMP_NTZ, and a plain cast would use the
-    session zone; this one does not.
+    ``withWatermark`` rejects TIMESTAMP_NTZ, and a plain cast (like
+    ``timestampdiff`` on NTZ values) goes through the session zone, which
+    moves wall-clock times that fall in a daylight-saving gap.  Rebuilding
+    the instant from the fields with an explicit zone does not.
     """
-    return F.timestamp_millis(ntz_to_epoch_ms(c))
+    c = _c(c)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
 
 
 def day_and_hour(local_ntz) -> tuple[Column, Column]:

@@ -85,13 +85,29 @@ def run_order_wide(spark: SparkSession, order_topic: DataFrame, detail_topic: Da
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_ttl_join(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame,
                  sink_path: str, checkpoint: str, ttl_seconds: int = 600,
                  trigger: dict | None = None, timeout_s: int = 1800) -> StreamingQuery:
-    """The exact cache-semantics join (J6) over both order topics."""
+    """The exact cache-semantics join (J6) over both order topics.
+
+    Keyed state of ``transformWithState`` needs the RocksDB state store; the
+    provider is set for this query only (a query copies the session conf when
+    it starts) and the session's own setting is restored afterwards."""
     joined = ttl_join_stream(O.parse_order_info(order_topic), O.parse_order_detail(detail_topic),
                              ttl_seconds)
-    q = start(joined, sink_path, checkpoint, name="order_wide_ttl", trigger=trigger)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        q = start(joined, sink_path, checkpoint, name="order_wide_ttl", trigger=trigger)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 

@@ -223,3 +223,18 @@ def test_scalar_columns_only(spark):
     r = select_scalar_columns(df)
     assert r.columns == ["id", "name", "d"]
     assert r.collect()[0].d == 86_400_000
+
+
+def test_wall_clock_conversions_ignore_the_session_zone(spark):
+    # 1995-04-02 02:46:40 does not exist in Los Angeles (clocks jump 2 -> 3);
+    # read as UTC it must keep its own epoch whatever the session zone.
+    from shopstream.functions.timefn import ntz_to_epoch_ms
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = spark.sql("select timestamp_ntz'1995-04-02 02:46:40' as a, "
+                      "timestamp_ntz'1995-04-02 03:46:40' as b") \
+            .select(ntz_to_epoch_ms("a").alias("a"), ntz_to_epoch_ms("b").alias("b")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (r.a, r.b) == (796794400000, 796798000000)
