@@ -36,6 +36,13 @@ def finish(q: StreamingQuery, timeout_s: int) -> StreamingQuery:
     return q
 
 
+def dropped_by_watermark(q: StreamingQuery) -> int:
+    """Rows the stateful operators dropped as later than the watermark, over
+    the batches still in the query's progress history (T7)."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0))
+               for p in q.recentProgress for op in p.get("stateOperators", []))
+
+
 def start(df: DataFrame, sink_path: str, checkpoint: str, *, name: str,
           output_mode: str = "append", trigger: dict | None = None,
           fmt: str = "parquet") -> StreamingQuery:

@@ -69,3 +69,12 @@ def test_upsert_replay_is_idempotent(spark):
     K.upsert_batch(src.where(F.col("id") % 3 == 1).withColumn("v", F.col("v") + 1), table, 1, "id")
     twice = sorted(K.read_latest(spark, table, "id").collect())
     assert once == twice and len(once) == 50
+
+
+def test_compact_keeps_latest_per_id(spark):
+    table, out = scratch_path(spark, "test-compact"), scratch_path(spark, "test-compacted")
+    K.upsert_batch(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), table, 0, "id")
+    K.upsert_batch(spark.createDataFrame([(2, "c")], "id long, v string"), table, 1, "id")
+    K.compact(spark, table, out, "id")
+    assert sorted((r.id, r.v) for r in K.read_latest(spark, out, "id").collect()) == \
+        [(1, "a"), (2, "c")]

@@ -63,6 +63,7 @@ def test_late_record_is_dropped_by_the_watermark(spark):
     late = [_msg(3, "c", "2024-01-01 00:00:00"), _msg(4, "d", "2024-01-10 02:00:00")]
     spark.createDataFrame(late, "value string, timestamp timestamp").coalesce(1) \
         .write.mode("append").json(src)
-    J.run_dau(spark, read_topic(spark, replay_path=src), out, ck, timeout_s=300)
+    q = J.run_dau(spark, read_topic(spark, replay_path=src), out, ck, timeout_s=300)
     mids = {r.mid for r in spark.read.parquet(out).collect()}
     assert mids == {"a", "b", "d"}
+    assert J.dropped_by_watermark(q) == 1
