@@ -330,29 +330,32 @@ def _materialize(spark, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _replay(spark, records: DataFrame, name: str, bounds=None) -> str:
+def _replay(spark, records: DataFrame, name: str) -> DataFrame:
+    """Replay ``records`` as a topic: a streaming frame reading one time
+    slice per micro-batch."""
     path = scratch_path(spark, f"replay-{name}")
-    write_replay(_materialize(spark, records.select("value", "timestamp"), name),
-                 path, REPLAY_SLICES, bounds=bounds)
-    return path
+    layout = write_replay(_materialize(spark, records.select("value", "timestamp"), name),
+                          path, REPLAY_SLICES)
+    return read_topic(spark, replay_path=path, max_files_per_trigger=layout.files_per_slice)
 
 
-def _replay_orders(spark, v) -> tuple[str, str]:
+def _replay_orders(spark, v) -> tuple[DataFrame, DataFrame]:
     """Both order topics sliced at the same arrival times, as a broker
     would deliver them to one query."""
     o = _materialize(spark, v.order_info_topic.select("value", "timestamp"), "order_info")
     d = _materialize(spark, v.order_detail_topic.select("value", "timestamp"), "order_detail")
     o_src, d_src = scratch_path(spark, "replay-order_info"), scratch_path(spark, "replay-detail")
-    bounds = write_replay(o, o_src, REPLAY_SLICES)
-    write_replay(d, d_src, REPLAY_SLICES, bounds=bounds)
-    return o_src, d_src
+    lo = write_replay(o, o_src, REPLAY_SLICES)
+    ld = write_replay(d, d_src, REPLAY_SLICES, bounds=lo.bounds)
+    return (read_topic(spark, replay_path=o_src, max_files_per_trigger=lo.files_per_slice),
+            read_topic(spark, replay_path=d_src, max_files_per_trigger=ld.files_per_slice))
 
 
 @query("src_topic_replay")
 def q_src_topic_replay(spark, sf_dir):
     src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
     out = scratch_path(spark, "topic-counts")
-    J.run_topic_counts(spark, read_topic(spark, replay_path=src), "page_id", out,
+    J.run_topic_counts(spark, src, "page_id", out,
                        scratch_path(spark, "ckpt-topic-counts"))
     return spark.read.parquet(out).select("page_id", "n")
 
@@ -361,7 +364,7 @@ def q_src_topic_replay(spark, sf_dir):
 def q_dau_dedup_stream(spark, sf_dir):
     src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
     out = scratch_path(spark, "dau-stream")
-    J.run_dau(spark, read_topic(spark, replay_path=src), out, scratch_path(spark, "ckpt-dau"))
+    J.run_dau(spark, src, out, scratch_path(spark, "ckpt-dau"))
     return spark.read.parquet(out).select("dt", "mid")
 
 
@@ -370,8 +373,7 @@ def q_order_wide_stream(spark, sf_dir):
     v = _views(spark, sf_dir)
     o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-stream")
-    J.run_order_wide(spark, read_topic(spark, replay_path=o_src),
-                     read_topic(spark, replay_path=d_src), v.user_info, v.base_province,
+    J.run_order_wide(spark, o_src, d_src, v.user_info, v.base_province,
                      out, scratch_path(spark, "ckpt-order-wide"))
     return spark.read.parquet(out).select("detail_id", "order_id")
 
@@ -380,7 +382,7 @@ def q_order_wide_stream(spark, sf_dir):
 def q_batch_progress(spark, sf_dir):
     src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
     table = scratch_path(spark, "batch-progress")
-    J.run_batch_progress(spark, read_topic(spark, replay_path=src), table,
+    J.run_batch_progress(spark, src, table,
                          scratch_path(spark, "ckpt-batch-progress"))
     return spark.read.parquet(table).select("batch_id", "n_rows")
 
@@ -422,7 +424,7 @@ def q_cdc_split_stream(spark, sf_dir):
     cdc = _views(spark, sf_dir).cdc_log
     src = _replay(spark, cdc.select("value", F.timestamp_micros("seq").alias("timestamp")), "cdc")
     dims, facts = scratch_path(spark, "dims"), scratch_path(spark, "facts")
-    J.run_cdc_split(spark, read_topic(spark, replay_path=src), dims, facts,
+    J.run_cdc_split(spark, src, dims, facts,
                     scratch_path(spark, "ckpt-cdc"))
     latest = K.read_latest(spark, dims, "key")
     return latest.select("key", F.col("pk").cast("bigint").alias("id"),
@@ -435,7 +437,6 @@ def q_order_wide_ttl_stream(spark, sf_dir):
     v = _views(spark, sf_dir)
     o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-ttl-stream")
-    J.run_ttl_join(spark, read_topic(spark, replay_path=o_src),
-                   read_topic(spark, replay_path=d_src), out,
+    J.run_ttl_join(spark, o_src, d_src, out,
                    scratch_path(spark, "ckpt-ttl-stream"), 600)
     return spark.read.parquet(out).select("detail_id", "order_id")

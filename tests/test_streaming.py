@@ -67,3 +67,16 @@ def test_late_record_is_dropped_by_the_watermark(spark):
     mids = {r.mid for r in spark.read.parquet(out).collect()}
     assert mids == {"a", "b", "d"}
     assert J.dropped_by_watermark(q) == 1
+
+
+def test_dau_stream_with_several_files_per_slice(spark, sf_small):
+    v = tables(spark, sf_small).views
+    src = scratch_path(spark, "t-replay-multi")
+    layout = write_replay(v.app_log_topic, src, 3, rows_per_file=100)
+    assert layout.files_per_slice > 1
+    out, ck = scratch_path(spark, "t-dau-m"), scratch_path(spark, "t-ck-m")
+    J.run_dau(spark, read_topic(spark, replay_path=src,
+                                max_files_per_trigger=layout.files_per_slice),
+              out, ck, timeout_s=300)
+    got = {(r.dt, r.mid) for r in spark.read.parquet(out).collect()}
+    assert got == _batch_dau(spark, sf_small)
