@@ -32,9 +32,16 @@ def match_set(wide: DataFrame, keyword: str, date: str | None = None) -> DataFra
     return S.match_all(w, "sku_name", keyword)
 
 
+def _cells(m: DataFrame) -> DataFrame:
+    """Hits per ``(user_age, user_gender)``: the one aggregate every count of
+    the request derives from (combined map-side, at most ages x 3 rows).
+    Derived frames share its exchange, so the match set is read once."""
+    return m.groupBy("user_age", "user_gender").agg(F.count(F.lit(1)).alias("ct"))
+
+
 def total(m: DataFrame) -> DataFrame:
     """Hit count, independent of paging (A10)."""
-    return m.agg(F.count(F.lit(1)).alias("total"))
+    return _cells(m).agg(F.coalesce(F.sum("ct"), F.lit(0)).cast("bigint").alias("total"))
 
 
 def sale_page(m: DataFrame, page_no: int, size: int) -> DataFrame:
@@ -45,19 +52,19 @@ def sale_page(m: DataFrame, page_no: int, size: int) -> DataFrame:
 
 def age_terms(m: DataFrame, size: int = AGE_TERMS) -> DataFrame:
     """Count per age, top ``size`` by count then age (A5)."""
-    return (m.groupBy("user_age").agg(F.count(F.lit(1)).alias("ct"))
+    return (_cells(m).groupBy("user_age").agg(F.sum("ct").cast("bigint").alias("ct"))
             .orderBy(F.col("ct").desc(), F.col("user_age").asc()).limit(size))
 
 
 def gender_terms(m: DataFrame, size: int = GENDER_TERMS) -> DataFrame:
     """Count per gender, top ``size``; rows without gender are in no group."""
-    return (m.where(F.col("user_gender").isNotNull())
-            .groupBy("user_gender").agg(F.count(F.lit(1)).alias("ct"))
+    return (_cells(m).where(F.col("user_gender").isNotNull())
+            .groupBy("user_gender").agg(F.sum("ct").cast("bigint").alias("ct"))
             .orderBy(F.col("ct").desc(), F.col("user_gender").asc()).limit(size))
 
 
 def _total_scalar(m: DataFrame):
-    return m.agg(F.count(F.lit(1))).scalar()
+    return total(m).scalar()
 
 
 def age_share(m: DataFrame) -> DataFrame:
