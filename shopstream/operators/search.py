@@ -104,3 +104,14 @@ def ranked(docs: DataFrame, id_col: str, text_col: str, keyword: str, k: int = 2
     """Top ``k`` documents by BM25, ties by id."""
     s = bm25_scores(docs, id_col, text_col, keyword)
     return s.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)
+
+
+def bool_search(df: DataFrame, text_col: str, keyword: str, array_col: str, field: str,
+                value: str, sort_col: str, k: int = 20, tie_col: str = "id",
+                offset: int = 0) -> DataFrame:
+    """One search request: ``must`` match on the text, non-scoring term
+    ``filter`` inside an array of structs, highlight of the text, sorted by
+    a numeric column descending, page ``offset``/``k`` (F7 + L4 + L2)."""
+    hits = highlight(bool_filter(df, text_col, keyword, array_col, field, value),
+                     text_col, keyword)
+    return sorted_top(hits, sort_col, k, tie_col, offset)

@@ -260,6 +260,14 @@ def q_search_highlight(spark, sf_dir):
     return S.highlight(c, "name", HIGHLIGHT_KEYWORD).select("id", "highlight")
 
 
+@query("search_combined")
+def q_search_combined(spark, sf_dir):
+    arr, field, value = CATALOG_TERM
+    c = _views(spark, sf_dir).catalog
+    return S.bool_search(c, "name", CATALOG_KEYWORD, arr, field, value, "score", 20, "id") \
+        .select("id", "name", "score", "highlight")
+
+
 @query("search_ranked")
 def q_search_ranked(spark, sf_dir):
     docs = tables(spark, sf_dir).documents.select("doc_id", "text")

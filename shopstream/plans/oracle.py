@@ -270,6 +270,12 @@ q("search_highlight", r"""
 select id, regexp_replace(name, '(?i)\b(red|widget)\b', '<em>\1</em>', 'g') as highlight
 from catalog where list_contains(tok, 'red') or list_contains(tok, 'widget')""", _CATALOG)
 
+q("search_combined", r"""
+select id, name, score, regexp_replace(name, '(?i)\b(red)\b', '<em>\1</em>', 'g') as highlight
+from catalog
+where list_contains(tok, 'red') and list_contains([p_brand, p_type], 'Brand#17')
+order by score desc, id limit 20""", _CATALOG)
+
 q("search_ranked", """
 select doc_id, round(score, 4) as bm25 from (
   select doc_id,

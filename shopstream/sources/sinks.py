@@ -13,17 +13,22 @@ from pyspark.sql import functions as F
 
 
 def write_fact_topics(facts: DataFrame, path: str | None = None,
-                      kafka_servers: str | None = None) -> None:
+                      kafka_servers: str | None = None, key_col: str | None = None) -> None:
     """Send routed fact rows ``(topic, value)`` to their topics.
 
     With ``kafka_servers`` this is one Kafka write with a per-row ``topic``
     column (connector jar required); otherwise rows are appended to
-    ``path/topic=<name>/`` as JSON lines."""
+    ``path/topic=<name>/`` as JSON lines.  ``key_col`` gives the keyed form
+    of the send (the message key decides the topic partition)."""
+    cols = ["topic", "value"]
+    if key_col:
+        facts = facts.withColumn("key", F.col(key_col).cast("string"))
+        cols = ["topic", "key", "value"]
     if kafka_servers:
-        (facts.select("topic", "value").write.format("kafka")
+        (facts.select(*cols).write.format("kafka")
          .option("kafka.bootstrap.servers", kafka_servers).save())
         return
-    facts.select("topic", "value").write.mode("append").partitionBy("topic").json(path)
+    facts.select(*cols).write.mode("append").partitionBy("topic").json(path)
 
 
 def upsert_batch(df: DataFrame, table_path: str, batch_id: int, id_col: str,

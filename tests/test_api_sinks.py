@@ -50,6 +50,10 @@ def test_fact_topics_and_day_tables(spark):
     got = {(r.topic, r.n) for r in spark.read.json(path).groupBy("topic")
            .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {("DWD_A_I", 2), ("DWD_A_U", 1)}
+    keyed = scratch_path(spark, "t-facts-keyed")
+    K.write_fact_topics(facts.withColumn("id", F.get_json_object("value", "$.id")), keyed,
+                        key_col="id")
+    assert sorted(r.key for r in spark.read.json(keyed).collect()) == ["1", "1", "2"]
 
     day_path = scratch_path(spark, "t-days")
     K.write_daily(_dau(spark), day_path, "dt", load_date="2024-01-03")
