@@ -36,7 +36,6 @@ class TtlRefreshJoin(StatefulProcessor):
         self.times = handle.getValueState("times", "order_t long, last long")
         self.pending = handle.getListState("pending", "id long")
 
-
     def handleInputRows(self, key, rows: Iterator[Row],
                         timerValues: TimerValues) -> Iterator[Row]:
         order_id = int(key[0])
