@@ -4,12 +4,16 @@ top-k, highlighting, paging and BM25 ranking (F5-F7, L1-L4).
 Matching runs as built-in array expressions on a token column computed once
 per row from the whole text.  Ranking needs corpus statistics (document
 count, mean length, document frequencies); they come from one global
-aggregate used as a scalar subquery, so no side is broadcast or cross-joined.
+aggregate used as a scalar subquery, or are observed as metrics of the one
+pass that stages the candidate documents.  No side is broadcast or
+cross-joined.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shopstream.functions import text as X
@@ -70,39 +74,57 @@ def highlight(df: DataFrame, text_col: str, keyword: str, out: str = "highlight"
 
 
 def bm25_scores(docs: DataFrame, id_col: str, text_col: str, keyword: str,
-                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+                k1: float = BM25_K1, b: float = BM25_B,
+                stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """BM25 score of every document holding at least one query token (L3).
 
     ``idf = ln(1 + (N - df + 0.5) / (df + 0.5))`` and per token
     ``idf * tf / (tf + k1 * (1 - b + b * dl / avgdl))``; ``dl`` counts all
-    tokens of the whole text."""
+    tokens of the whole text.
+
+    Without ``stage`` the corpus statistics are one scalar subquery, so the
+    texts are tokenised twice (statistics, then scores).  With ``stage`` (a
+    function that writes a frame to shared storage and reads it back) the
+    texts are tokenised once: the statistics are observed as metrics of the
+    pass that stages ``(id, dl, tf...)`` of the matching documents, and only
+    those few numbers reach the driver.  The metrics are gathered in the
+    writing action's own stage, so a retried task is counted once."""
     kw = X.keyword_tokens(keyword)
     t = X.tokens(F.coalesce(F.col(text_col), F.lit("")))
     per = docs.select(F.col(id_col), t.alias("tok")).select(
         id_col, F.size("tok").alias("dl"),
         *[X.count_token(F.col("tok"), w).alias(f"tf{i}") for i, w in enumerate(kw)])
-    # One pass for all corpus statistics, inlined as a single scalar subquery.
-    stats = per.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
-        *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(kw))])).scalar()
-    n = stats.getField("n")
-    avgdl = stats.getField("avgdl")
+    metrics = [F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
+               *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(kw))]]
+    any_tf = F.lit(False)
+    for i in range(len(kw)):
+        any_tf = any_tf | (F.col(f"tf{i}") > 0)
+    if stage is None:
+        stats = per.agg(F.struct(*metrics)).scalar()
+        field = stats.getField
+        cand = per.where(any_tf)
+    else:
+        obs = Observation("bm25_corpus")
+        cand = stage(per.observe(obs, *metrics).where(any_tf))
+        values = obs.get
+
+        def field(name):
+            return F.lit(values[name])
+    n, avgdl = field("n"), field("avgdl")
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl)
     score = F.lit(0.0)
     for i in range(len(kw)):
-        df_i = stats.getField(f"df{i}")
+        df_i = field(f"df{i}")
         idf = F.log(F.lit(1.0) + (n - df_i + F.lit(0.5)) / (df_i + F.lit(0.5)))
         tf = F.col(f"tf{i}")
         score = score + idf * tf / (tf + norm)
-    any_tf = F.lit(False)
-    for i in range(len(kw)):
-        any_tf = any_tf | (F.col(f"tf{i}") > 0)
-    return per.where(any_tf).select(id_col, score.alias("score"))
+    return cand.select(id_col, score.alias("score"))
 
 
-def ranked(docs: DataFrame, id_col: str, text_col: str, keyword: str, k: int = 20) -> DataFrame:
+def ranked(docs: DataFrame, id_col: str, text_col: str, keyword: str, k: int = 20,
+           stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Top ``k`` documents by BM25, ties by id."""
-    s = bm25_scores(docs, id_col, text_col, keyword)
+    s = bm25_scores(docs, id_col, text_col, keyword, stage=stage)
     return s.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)
 
 

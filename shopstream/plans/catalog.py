@@ -271,7 +271,8 @@ def q_search_combined(spark, sf_dir):
 @query("search_ranked")
 def q_search_ranked(spark, sf_dir):
     docs = tables(spark, sf_dir).documents.select("doc_id", "text")
-    r = S.ranked(docs, "doc_id", "text", RANK_QUERY, 20)
+    r = S.ranked(docs, "doc_id", "text", RANK_QUERY, 20,
+                 stage=lambda df: _materialize(spark, df, "bm25-terms"))
     return r.select("doc_id", F.round("score", 4).alias("bm25"))
 
 

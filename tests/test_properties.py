@@ -78,3 +78,19 @@ def test_compact_keeps_latest_per_id(spark):
     K.compact(spark, table, out, "id")
     assert sorted((r.id, r.v) for r in K.read_latest(spark, out, "id").collect()) == \
         [(1, "a"), (2, "c")]
+
+
+def test_bm25_one_pass_equals_subquery_form(spark, sf_small):
+    from shopstream.operators import search as S
+    from shopstream.sources.tables import tables
+    docs = tables(spark, sf_small).documents.select("doc_id", "text")
+
+    def stage(df):
+        path = scratch_path(spark, "test-bm25")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    a = {r.doc_id: round(r.score, 9) for r in S.bm25_scores(docs, "doc_id", "text", "the of and").collect()}
+    b = {r.doc_id: round(r.score, 9) for r in
+         S.bm25_scores(docs, "doc_id", "text", "the of and", stage=stage).collect()}
+    assert a == b and len(a) > 0
