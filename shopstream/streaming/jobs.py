@@ -10,6 +10,8 @@ for replays and tests.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,10 +45,16 @@ def dropped_by_watermark(q: StreamingQuery) -> int:
                for p in q.recentProgress for op in p.get("stateOperators", []))
 
 
+def unique_name(name: str) -> str:
+    """Query names must be unique among active queries; runs of the same job
+    may overlap, so every run gets its own suffix."""
+    return f"{name}_{uuid.uuid4().hex[:8]}"
+
+
 def start(df: DataFrame, sink_path: str, checkpoint: str, *, name: str,
           output_mode: str = "append", trigger: dict | None = None,
           fmt: str = "parquet") -> StreamingQuery:
-    w = (df.writeStream.format(fmt).outputMode(output_mode).queryName(name)
+    w = (df.writeStream.format(fmt).outputMode(output_mode).queryName(unique_name(name))
          .option("path", sink_path).option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or REPLAY)).start()
 
@@ -129,7 +137,7 @@ def run_topic_counts(spark: SparkSession, topic: DataFrame, key: str, sink_path:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(sink_path)
 
-    q = (counts.writeStream.outputMode("complete").queryName("topic_counts")
+    q = (counts.writeStream.outputMode("complete").queryName(unique_name("topic_counts"))
          .option("checkpointLocation", checkpoint).foreachBatch(write)
          .trigger(**(trigger or REPLAY)).start())
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
@@ -147,7 +155,7 @@ def run_batch_progress(spark: SparkSession, topic: DataFrame, table_path: str,
         upsert_batch(batch.agg(F.count(F.lit(1)).alias("n_rows"))
                      .withColumn("k", F.lit(0)), table_path, batch_id, "k")
 
-    q = (topic.writeStream.queryName("batch_progress")
+    q = (topic.writeStream.queryName(unique_name("batch_progress"))
          .option("checkpointLocation", checkpoint).foreachBatch(write)
          .trigger(**(trigger or REPLAY)).start())
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
@@ -178,7 +186,7 @@ def run_cdc_split(spark: SparkSession, cdc_topic: DataFrame, dim_table: str, fac
         finally:
             env.unpersist()
 
-    q = (cdc_topic.writeStream.queryName("cdc_split")
+    q = (cdc_topic.writeStream.queryName(unique_name("cdc_split"))
          .option("checkpointLocation", checkpoint).foreachBatch(write)
          .trigger(**(trigger or REPLAY)).start())
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
