@@ -85,5 +85,6 @@ ORDER_WIDE_COLUMNS = [
     "province_iso_code", "user_age", "user_gender",
 ]
 
-# Tables whose change records are dimension upserts; all others are facts.
+# Tables whose change records are dimension upserts; all
+# others are facts.
 DIM_TABLES = ("user_info", "sku_info", "base_province")
