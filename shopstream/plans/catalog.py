@@ -330,6 +330,12 @@ def q_province_sales(spark, sf_dir):
 REPLAY_SLICES = 4
 
 
+def _state_partitions(spark) -> int:
+    """State partitions of a new stream: one per core of the cluster (the
+    batch default is sized for shuffles, and a stream keeps its count)."""
+    return max(spark.sparkContext.defaultParallelism, 1)
+
+
 def _materialize(spark, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: later
     steps reuse it without recomputing, and lineage is cut (a lost executor
@@ -364,8 +370,8 @@ def _replay_orders(spark, v) -> tuple[DataFrame, DataFrame]:
 def q_src_topic_replay(spark, sf_dir):
     src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
     out = scratch_path(spark, "topic-counts")
-    J.run_topic_counts(spark, src, "page_id", out,
-                       scratch_path(spark, "ckpt-topic-counts"))
+    J.run_topic_counts(spark, src, "page_id", out, scratch_path(spark, "ckpt-topic-counts"),
+                       state_partitions=_state_partitions(spark))
     return spark.read.parquet(out).select("page_id", "n")
 
 
@@ -373,7 +379,8 @@ def q_src_topic_replay(spark, sf_dir):
 def q_dau_dedup_stream(spark, sf_dir):
     src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
     out = scratch_path(spark, "dau-stream")
-    J.run_dau(spark, src, out, scratch_path(spark, "ckpt-dau"))
+    J.run_dau(spark, src, out, scratch_path(spark, "ckpt-dau"),
+              state_partitions=_state_partitions(spark))
     return spark.read.parquet(out).select("dt", "mid")
 
 
@@ -383,7 +390,8 @@ def q_order_wide_stream(spark, sf_dir):
     o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-stream")
     J.run_order_wide(spark, o_src, d_src, v.user_info, v.base_province,
-                     out, scratch_path(spark, "ckpt-order-wide"))
+                     out, scratch_path(spark, "ckpt-order-wide"),
+                     state_partitions=_state_partitions(spark))
     return spark.read.parquet(out).select("detail_id", "order_id")
 
 
@@ -391,8 +399,8 @@ def q_order_wide_stream(spark, sf_dir):
 def q_batch_progress(spark, sf_dir):
     src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
     table = scratch_path(spark, "batch-progress")
-    J.run_batch_progress(spark, src, table,
-                         scratch_path(spark, "ckpt-batch-progress"))
+    J.run_batch_progress(spark, src, table, scratch_path(spark, "ckpt-batch-progress"),
+                         state_partitions=_state_partitions(spark))
     return spark.read.parquet(table).select("batch_id", "n_rows")
 
 
@@ -433,8 +441,8 @@ def q_cdc_split_stream(spark, sf_dir):
     cdc = _views(spark, sf_dir).cdc_log
     src = _replay(spark, cdc.select("value", F.timestamp_micros("seq").alias("timestamp")), "cdc")
     dims, facts = scratch_path(spark, "dims"), scratch_path(spark, "facts")
-    J.run_cdc_split(spark, src, dims, facts,
-                    scratch_path(spark, "ckpt-cdc"))
+    J.run_cdc_split(spark, src, dims, facts, scratch_path(spark, "ckpt-cdc"),
+                    state_partitions=_state_partitions(spark))
     latest = K.read_latest(spark, dims, "key")
     return latest.select("key", F.col("pk").cast("bigint").alias("id"),
                          F.get_json_object("value", "$.name").alias("name"))
@@ -446,6 +454,6 @@ def q_order_wide_ttl_stream(spark, sf_dir):
     v = _views(spark, sf_dir)
     o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-ttl-stream")
-    J.run_ttl_join(spark, o_src, d_src, out,
-                   scratch_path(spark, "ckpt-ttl-stream"), 600)
+    J.run_ttl_join(spark, o_src, d_src, out, scratch_path(spark, "ckpt-ttl-stream"), 600,
+                   state_partitions=_state_partitions(spark))
     return spark.read.parquet(out).select("detail_id", "order_id")

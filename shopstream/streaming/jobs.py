@@ -10,6 +10,7 @@ for replays and tests.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,32 @@ def dropped_by_watermark(q: StreamingQuery) -> int:
                for p in q.recentProgress for op in p.get("stateOperators", []))
 
 
+@contextlib.contextmanager
+def query_conf(spark: SparkSession, conf: dict):
+    """Session settings for the queries started inside the block only.  A
+    streaming query copies the session conf when it starts, and its
+    checkpoint keeps the state partition count for every restart, so the
+    session's own values are restored right after ``start()``."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _start_conf(state_partitions: int | None, extra: dict | None = None) -> dict:
+    conf = dict(extra or {})
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = int(state_partitions)
+    return conf
+
+
 def unique_name(name: str) -> str:
     """Query names must be unique among active queries; runs of the same job
     may overlap, so every run gets its own suffix."""
@@ -53,10 +80,14 @@ def unique_name(name: str) -> str:
 
 def start(df: DataFrame, sink_path: str, checkpoint: str, *, name: str,
           output_mode: str = "append", trigger: dict | None = None,
-          fmt: str = "parquet") -> StreamingQuery:
+          fmt: str = "parquet", state_partitions: int | None = None,
+          conf: dict | None = None) -> StreamingQuery:
+    """Start a checkpointed sink.  ``state_partitions`` sizes the stateful
+    operators of a new query (fixed by its checkpoint afterwards)."""
     w = (df.writeStream.format(fmt).outputMode(output_mode).queryName(unique_name(name))
          .option("path", sink_path).option("checkpointLocation", checkpoint))
-    return w.trigger(**(trigger or REPLAY)).start()
+    with query_conf(df.sparkSession, _start_conf(state_partitions, conf)):
+        return w.trigger(**(trigger or REPLAY)).start()
 
 
 # -------------------------------------------------------------- daily actives
@@ -72,8 +103,10 @@ def dau_stream(topic: DataFrame, tz: str = "UTC", delay: str = "24 hours") -> Da
 
 
 def run_dau(spark: SparkSession, topic: DataFrame, sink_path: str, checkpoint: str,
-            trigger: dict | None = None, timeout_s: int = 600) -> StreamingQuery:
-    q = start(dau_stream(topic), sink_path, checkpoint, name="dau_dedup", trigger=trigger)
+            trigger: dict | None = None, timeout_s: int = 600,
+            state_partitions: int | None = None) -> StreamingQuery:
+    q = start(dau_stream(topic), sink_path, checkpoint, name="dau_dedup", trigger=trigger,
+              state_partitions=state_partitions)
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
@@ -94,9 +127,11 @@ def order_wide_stream(order_topic: DataFrame, detail_topic: DataFrame,
 
 def run_order_wide(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame,
                    users: DataFrame, provinces: DataFrame, sink_path: str, checkpoint: str,
-                   trigger: dict | None = None, timeout_s: int = 900) -> StreamingQuery:
+                   trigger: dict | None = None, timeout_s: int = 900,
+                   state_partitions: int | None = None) -> StreamingQuery:
     wide = order_wide_stream(order_topic, detail_topic, users, provinces)
-    q = start(wide, sink_path, checkpoint, name="order_wide", trigger=trigger)
+    q = start(wide, sink_path, checkpoint, name="order_wide", trigger=trigger,
+              state_partitions=state_partitions)
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
@@ -105,7 +140,8 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def run_ttl_join(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame,
                  sink_path: str, checkpoint: str, ttl_seconds: int = 600,
-                 trigger: dict | None = None, timeout_s: int = 1800) -> StreamingQuery:
+                 trigger: dict | None = None, timeout_s: int = 1800,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """The exact cache-semantics join (J6) over both order topics.
 
     Keyed state of ``transformWithState`` needs the RocksDB state store; the
@@ -113,23 +149,16 @@ def run_ttl_join(spark: SparkSession, order_topic: DataFrame, detail_topic: Data
     it starts) and the session's own setting is restored afterwards."""
     joined = ttl_join_stream(O.parse_order_info(order_topic), O.parse_order_detail(detail_topic),
                              ttl_seconds)
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB_PROVIDER)
-    try:
-        q = start(joined, sink_path, checkpoint, name="order_wide_ttl", trigger=trigger)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    q = start(joined, sink_path, checkpoint, name="order_wide_ttl", trigger=trigger,
+              state_partitions=state_partitions,
+              conf={"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER})
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 # ------------------------------------------------------- topic bookkeeping
 def run_topic_counts(spark: SparkSession, topic: DataFrame, key: str, sink_path: str,
                      checkpoint: str, trigger: dict | None = None,
-                     timeout_s: int = 600) -> StreamingQuery:
+                     timeout_s: int = 600, state_partitions: int | None = None) -> StreamingQuery:
     """Running count of parsed log records per ``key`` (S1).  Complete-mode
     aggregate; every micro-batch rewrites the result table in place."""
     counts = D.parse_app_log(topic).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -137,15 +166,17 @@ def run_topic_counts(spark: SparkSession, topic: DataFrame, key: str, sink_path:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(sink_path)
 
-    q = (counts.writeStream.outputMode("complete").queryName(unique_name("topic_counts"))
+    w = (counts.writeStream.outputMode("complete").queryName(unique_name("topic_counts"))
          .option("checkpointLocation", checkpoint).foreachBatch(write)
-         .trigger(**(trigger or REPLAY)).start())
+         .trigger(**(trigger or REPLAY)))
+    with query_conf(spark, _start_conf(state_partitions)):
+        q = w.start()
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 def run_batch_progress(spark: SparkSession, topic: DataFrame, table_path: str,
                        checkpoint: str, trigger: dict | None = None,
-                       timeout_s: int = 600) -> StreamingQuery:
+                       timeout_s: int = 600, state_partitions: int | None = None) -> StreamingQuery:
     """Record ``(batch_id, n_rows)`` of every micro-batch.
 
     ``foreachBatch`` hands the batch id to the sink; the count is written as
@@ -155,16 +186,18 @@ def run_batch_progress(spark: SparkSession, topic: DataFrame, table_path: str,
         upsert_batch(batch.agg(F.count(F.lit(1)).alias("n_rows"))
                      .withColumn("k", F.lit(0)), table_path, batch_id, "k")
 
-    q = (topic.writeStream.queryName(unique_name("batch_progress"))
+    w = (topic.writeStream.queryName(unique_name("batch_progress"))
          .option("checkpointLocation", checkpoint).foreachBatch(write)
-         .trigger(**(trigger or REPLAY)).start())
+         .trigger(**(trigger or REPLAY)))
+    with query_conf(spark, _start_conf(state_partitions)):
+        q = w.start()
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 # ----------------------------------------------------------- change-data split
 def run_cdc_split(spark: SparkSession, cdc_topic: DataFrame, dim_table: str, fact_path: str,
                   checkpoint: str, dims=DIM_TABLES, trigger: dict | None = None,
-                  timeout_s: int = 900) -> StreamingQuery:
+                  timeout_s: int = 900, state_partitions: int | None = None) -> StreamingQuery:
     """Split a change-data topic per micro-batch.
 
     Dimension rows are reduced to the latest image per key within the batch
@@ -186,7 +219,9 @@ def run_cdc_split(spark: SparkSession, cdc_topic: DataFrame, dim_table: str, fac
         finally:
             env.unpersist()
 
-    q = (cdc_topic.writeStream.queryName(unique_name("cdc_split"))
+    w = (cdc_topic.writeStream.queryName(unique_name("cdc_split"))
          .option("checkpointLocation", checkpoint).foreachBatch(write)
-         .trigger(**(trigger or REPLAY)).start())
+         .trigger(**(trigger or REPLAY)))
+    with query_conf(spark, _start_conf(state_partitions)):
+        q = w.start()
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
