@@ -331,9 +331,10 @@ REPLAY_SLICES = 4
 
 
 def _state_partitions(spark) -> int:
-    """State partitions of a new stream: one per core of the cluster (the
-    batch default is sized for shuffles, and a stream keeps its count)."""
-    return max(spark.sparkContext.defaultParallelism, 1)
+    """State partitions of a new stream: two per core of the cluster, slack
+    for stragglers (the batch default is sized for shuffles, and a stream
+    keeps its count)."""
+    return max(2 * spark.sparkContext.defaultParallelism, 2)
 
 
 def _materialize(spark, df: DataFrame, name: str) -> DataFrame:
