@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstream.llm import packing, token_counts, wavelet
+from shopstream.llm import decontaminate, packing, token_counts, wavelet
 from shopstream.llm.common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_harmonic_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(packing.pack(table(spark, sf_dir, "documents"), capacity=1024, end_id=0))
+
+
+@query("op6_prefix_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination_digests(found)
