@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstream.llm import decontaminate, packing, token_counts, wavelet
+from shopstream.llm import decontaminate, licenses, packing, quality, token_counts, wavelet
 from shopstream.llm.common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.contamination_digests(found)
+
+
+@query("op9_quality_attention")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality_digests(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op10_license_index")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_digests(licenses.scan(table(spark, sf_dir, "documents")))

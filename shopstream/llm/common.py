@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopstream.session import scratch_root
 
@@ -40,6 +41,18 @@ def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
+def as_struct(docs: DataFrame) -> DataFrame:
+    """All columns as the struct ``doc``, so that none can clash with a
+    result's, and the text, null as empty."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def with_doc(docs: DataFrame, ddl: str) -> StructType:
+    """A schema of the struct ``doc`` and what ``ddl`` names."""
+    return StructType([docs.schema["doc"], *StructType.fromDDL(ddl).fields])
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text at most, but

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import Words, as_lists, sliced
+from shopstream.llm.common import Words, as_lists, as_struct, sliced, with_doc
 
 FILTER_BITS = 20
 RESULT = "n_words long, spans array<long>, items array<string>"
@@ -167,9 +167,8 @@ def _joined(rows: DataFrame, w: Windows) -> DataFrame:
                 [b.column("doc"), b.column("text"), pa.array(words.count.astype(np.int64)), spans, b.column("items"), found],
                 names=["doc", "text", "n_words", "spans", "items", "found"])
 
-    kept = next(f.dataType.simpleString() for f in rows.schema.fields if f.name == "doc")
     out = rows.select("doc", "text", "spans", "items").mapInArrow(
-        run, f"doc {kept}, text string, {RESULT}, found array<string>")
+        run, with_doc(rows, f"text string, {RESULT}, found array<string>"))
     return out.select("doc", "text", "n_words", "spans", F.array_union("items", "found").alias("items"))
 
 
@@ -185,10 +184,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, one_in:
     item id is named ''; items of the same id count once; an empty table on
     either side gives no hits.  Repeated rows are answered each.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                       F.expr("CAST(array() AS array<bigint>)").alias("spans"),
-                       F.expr("CAST(array() AS array<string>)").alias("items"))
+    rows = as_struct(docs).selectExpr("doc", "text", "CAST(array() AS array<bigint>) AS spans",
+                                      "CAST(array() AS array<string>) AS items")
     empty = True
     for w in _slices(benchmark, size, max_windows):
         w.by_rarity(_occurrences(docs, w.vocabulary))
