@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstream.llm import decontaminate, licenses, packing, quality, token_counts, wavelet
+from shopstream.llm import decontaminate, licenses, near_dup, packing, quality, token_counts, wavelet
 from shopstream.llm.common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_index")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_digests(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op8_prob_minhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
