@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, licenses, near_dup, packing, quality, token_counts, wavelet
+from shopstream.llm import decontaminate, licenses, line_dedup, near_dup, packing, quality, token_counts, wavelet
 from shopstream.llm.common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_fuzzy_lines")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc.doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
+
+
 @query("op4_wavelet_tokens")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "wavelet")
