@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, licenses, line_dedup, near_dup, packing, quality, token_counts, wavelet
+from shopstream.llm import decontaminate, exact_topk, licenses, line_dedup, near_dup, packing, quality, token_counts, wavelet
 from shopstream.llm.common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
 
 
+@query("op3_exact_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS "rank", vec_id, score FROM r WHERE n <= 20
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 @query("op4_wavelet_tokens")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "wavelet")
