@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, exact_topk, licenses, line_dedup, near_dup, packing, quality, token_counts, wavelet
+from shopstream.llm import decontaminate, exact_topk, licenses, line_dedup, near_dup, packing, quality, repeats, token_counts, wavelet
 from shopstream.llm.common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
 
 
+@query("op2_repeated_spans")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400, keep_first=False))
+
+
 @query("op3_exact_topk", """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
