@@ -36,7 +36,7 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     duplicates (operator 8); rows without a doc_id have no class and stay."""
     first = near_dup.near_duplicates(docs).where("doc_id = class_id").select("doc_id")
     kept = docs.where("doc_id is not null").join(first.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,10 +79,10 @@ def best(score: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[n
         # one key for score and position: the selection has no ties
         key = np.where(score == lowest, lowest, score * (1 << 20) + (n - np.arange(n)))
         part = np.argpartition(key, n - take, axis=1)[:, n - take:] if take < n else np.tile(np.arange(n), (len(own), 1))
-        order = np.argsort(-np.take_along_axis(key, part, 1), axis=1, kind="stable")
+        order = np.argsort(~np.take_along_axis(key, part, 1), axis=1, kind="stable")      # ~ turns the order round
         part = np.take_along_axis(part, order, 1)
     else:
-        part = np.argsort(~score, axis=1, kind="stable")[:, :take]      # ~ turns the order round
+        part = np.argsort(~score, axis=1, kind="stable")[:, :take]
     return ids[part], np.take_along_axis(score, part, 1)
 
 

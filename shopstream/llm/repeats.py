@@ -88,12 +88,14 @@ def suffix_classes(text: np.ndarray, depth: int) -> np.ndarray:
     """Rank of each suffix by its first ``depth`` bytes (equal ones share it),
     by prefix doubling; a suffix that ends is smaller than one that goes on."""
     n = len(text)
-    pad = np.zeros(n + 8, np.uint64)
+    # up to six bytes, and where the text ends, fit in one key
+    h = min(6, depth)
+    pad = np.zeros(n + h, np.uint64)
     pad[:n] = text.astype(np.uint64) + np.uint64(1)
-    # three bytes, ends included, fit in one key many times over
-    key = (pad[:n] * np.uint64(1 << 18)) + (pad[1:n + 1] * np.uint64(1 << 9)) + pad[2:n + 2]
-    key = key * np.uint64(1 << 27) + (pad[3:n + 3] * np.uint64(1 << 18)) + (pad[4:n + 4] * np.uint64(1 << 9)) + pad[5:n + 5]
-    rank, h = _dense(key), 6
+    key = np.zeros(n, np.uint64)
+    for k in range(h):
+        key = (key << np.uint64(9)) | pad[k:n + k]
+    rank = _dense(key)
     while h < depth:
         step = min(h, depth - h)
         ahead = np.zeros(n, np.uint64)

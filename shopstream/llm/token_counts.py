@@ -71,7 +71,7 @@ def token_counts(docs: DataFrame, limit: int = 512, vocabulary: str | None = Non
     misses = (keyed.alias("d").join(wanted.alias("w").hint("shuffle_hash"),
                                     F.col("d.doc_id").eqNullSafe(F.col("w.first"))
                                     & (F.col("d.digest") == F.col("w.digest")), "left_semi"))
-    (_encoded(misses, path).withColumn("version", F.lit(version))
+    (_encoded(misses, path).dropDuplicates(["digest"]).withColumn("version", F.lit(version))
      .write.mode("append").parquet(cache_path))
     return (keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
             .join(_stored(spark, cache_path, version), "digest")

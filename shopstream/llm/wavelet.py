@@ -69,7 +69,7 @@ class WaveletMatrix:
         got = self.planes[k][np.minimum(at, self.planes.shape[1] - 1)]
         bits = np.clip(rest[..., None] - np.arange(width) * 8, 0, 8).astype(np.uint8)
         mask = ((1 << bits.astype(np.uint16)) - 1).astype(np.uint8)
-        return out + np.bitwise_count(got & mask).sum(axis=-1)
+        return out + np.bitwise_count(got & mask).sum(axis=-1, dtype=np.int64)
 
     def _bit(self, k: int, i: np.ndarray) -> np.ndarray:
         return (self.planes[k][i >> 3] >> (i & 7).astype(np.uint8)) & 1
@@ -246,7 +246,7 @@ def read_documents(shards: DataFrame, with_ids: bool = True) -> DataFrame:
 
 def count_ids(shards: DataFrame, ids: list[int]) -> DataFrame:
     """How often each of ``ids`` stands in the shards, by rank alone."""
-    wanted = [int(i) for i in ids]
+    wanted = sorted({int(i) for i in ids})
 
     def run(batches):
         for b in batches:
