@@ -8,11 +8,13 @@ document stops drawing points when none can come earlier than what all of its
 registers hold.
 
 Registers are banded; documents of equal words are one text first, so copies
-are never compared.  Texts that share a band are compared exactly: buckets of
-up to ``SMALL`` texts pair by pair, larger ones against a pivot, the text that
-meets most others, in rounds until each text of the bucket is linked to a
-pivot or has been one.  Links of a similarity of 0.8 or more over the sets of
-shingles make the classes.
+are never compared.  Texts that share a band are candidates: in buckets of up to
+``SMALL`` texts all pairs; in larger ones each text with the pivot (the text
+that meets most others), with those whose signatures agree best with its own,
+and with some whose agreement allows a link, the same ones in every band.  So
+pairs grow with the texts of a bucket, not with their square, and a class is
+joined over any of them.  Candidates are verified exactly: links of a
+similarity of 0.8 or more over the sets of shingles make the classes.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ from shopstream.llm.components import components
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 SMALL = 24
+TILE = 4096         # signatures of a large bucket that are compared in one task
+BEST, ANY = 4, 8    # partners of a text in a large bucket
+LEAST = 0.65        # agreement that may still be a similarity of 0.8 (4 deviations)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,6 +84,9 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return out
 
 
+SIGNED = "doc_id long, key binary, bands array<long>, signature binary"
+
+
 def _signed(docs: DataFrame) -> DataFrame:
     """doc_id, key (of the words in order) and the band keys of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,13 +94,16 @@ def _signed(docs: DataFrame) -> DataFrame:
             words = Words(b.column("text"))
             s, m = shingle_hashes(words)
             h, r, n = weighted(s, m)
-            keys = band_keys(prob_minhash(h, r, n, b.num_rows)).view(np.int64)
+            signatures = prob_minhash(h, r, n, b.num_rows)
+            keys = band_keys(signatures).view(np.int64)
             there = m > 0
+            small = signatures.astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(_text_keys(words), pa.binary()),
-                 as_lists(keys[there].ravel(), np.where(there, BANDS, 0))], names=["doc_id", "key", "bands"])
+                 as_lists(keys[there].ravel(), np.where(there, BANDS, 0)),
+                 pa.array([x.tobytes() for x in small], pa.binary())], names=["doc_id", "key", "bands", "signature"])
 
-    return docs.mapInArrow(run, "doc_id long, key binary, bands array<long>")
+    return docs.mapInArrow(run, SIGNED)
 
 
 def _text_keys(words: Words) -> list[bytes]:
@@ -144,16 +155,56 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             .mapInArrow(run, "a long, b long, similarity double").where(F.col("similarity") >= threshold))
 
 
-def _pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare of buckets (key, node, degree), and the rows of large
-    buckets with their pivot."""
+def partners(signatures: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places to compare in a large bucket: each text with the BEST
+    that agree most, and with the first ANY, by a hash of their ids, that agree
+    in a share LEAST of the registers."""
+    order = np.argsort(mix(nodes.astype(np.uint64)))
+    sig = np.ascontiguousarray(signatures[order].T)
+    n, left, right = len(order), [], []
+    for a in range(0, n, 256):
+        e = min(n, a + 256)
+        same = np.zeros((e - a, n), np.uint8)
+        for column in sig:
+            same += column[a:e, None] == column[None, :]
+        same[np.arange(e - a), np.arange(a, e)] = 0
+        close = same >= LEAST * len(sig)
+        chosen = close & (np.cumsum(close, axis=1) <= ANY)
+        if n > BEST:
+            best = np.argpartition(same, n - BEST, axis=1)[:, n - BEST:]
+            rows = np.arange(e - a)[:, None]
+            chosen[rows, best] |= close[rows, best]
+        x, y = np.nonzero(chosen)
+        left.append(order[x + a])
+        right.append(order[y])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _close(large: DataFrame, signatures: DataFrame) -> DataFrame:
+    def run(t: pa.Table) -> pa.Table:
+        nodes = np.asarray(t.column("node").combine_chunks(), np.int64)
+        raw = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16)
+        x, y = partners(raw.reshape(len(nodes), -1), nodes)
+        a, b = np.minimum(nodes[x], nodes[y]), np.maximum(nodes[x], nodes[y])
+        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    # tiles differ from band to band, so texts apart in one may meet in another
+    tiles = F.ceil(F.col("n") / TILE)
+    dealt = large.withColumn("tile", F.pmod(F.xxhash64("key", "node"), tiles))
+    return dealt.join(signatures, "node").select("key", "tile", "node", "signature").groupBy("key", "tile").applyInArrow(
+        run, "a long, b long")
+
+
+def _pairs(rows: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs to compare of buckets (key, node, degree)."""
     n = rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("degree", F.col("node"))).alias("pivot"))
     sized = rows.join(n.select("key", "n", F.col("pivot.node").alias("pivot")), "key")
     small = (sized.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_list("node").alias("nodes"))  # SMALL at most
              .select(F.explode("nodes").alias("a"), "nodes").select("a", F.explode("nodes").alias("b")).where("a < b"))
     large = sized.where(F.col("n") > SMALL)
     star = large.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-    return small.unionByName(star).distinct(), large.select("key", "node", "degree", "pivot")
+    return small.unionByName(star).unionByName(_close(large, signatures)).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -168,31 +219,23 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     rows = id_and_text(docs)
     path = new_path(docs.sparkSession, "signatures")
     _signed(rows).write.parquet(path)
-    signed = docs.sparkSession.read.schema("doc_id long, key binary, bands array<long>").parquet(path)
+    signed = docs.sparkSession.read.schema(SIGNED).parquet(path)
     texts = signed.where("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"))
     members = materialized(signed.select("doc_id", "key").join(texts, "key", "left")
                            .groupBy("doc_id").agg(F.min("node").alias("node")), "texts")
     # buckets of two texts or more, and how many others each text meets
-    bands = (signed.join(texts, [signed.key == texts.key, signed.doc_id == texts.node]).drop(texts.key)
-             .select("node", F.explode("bands").alias("key")).distinct())
-    shared = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    own = signed.join(texts, [signed.key == texts.key, signed.doc_id == texts.node]).drop(texts.key)
+    bands = own.select("node", F.explode("bands").alias("key")).distinct()
+    # bitwise-not twice hides that the counts are dealt by key already: with a
+    # shuffle stage on either side a bucket that holds many texts is split
+    hidden = F.bitwise_not(F.bitwise_not("key")).alias("key")
+    shared = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(hidden, "n")
     shared = materialized(bands.join(shared, "key"), "buckets")
-    degree = shared.groupBy("node").agg(F.sum("n").alias("degree"))
-    rest = shared.select("key", "node").join(degree, "node")
-    sets = materialized(_sets(rows, degree), "shingles")
-    links, classes = [], None
-    while True:
-        pairs, large = _pairs(rest)
-        links.append(materialized(_verified(pairs, sets, threshold).select("a", "b"), "similar"))
-        found = links[0]
-        for x in links[1:]:
-            found = found.unionByName(x)
-        classes = materialized(components(found), "classes")
-        of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"{name}_class"))
-        rest = materialized(
-            large.where("node <> pivot").join(of("node"), "node", "left").join(of("pivot"), "pivot", "left")
-            .where(F.coalesce("node_class", "node") != F.coalesce("pivot_class", "pivot")).select("key", "node", "degree"), "rest")
-        if rest.isEmpty():
-            break
+    degree = materialized(shared.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
+    signatures = own.join(degree, "node").select("node", "signature").dropDuplicates(["node"])
+    pairs = materialized(_pairs(shared.select("key", "node").join(degree, "node"), signatures), "candidates")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = materialized(_sets(rows, nodes), "shingles")
+    classes = components(_verified(pairs, sets, threshold).select("a", "b"))
     named = members.join(classes.withColumnRenamed("component", "class_id"), "node", "left")
     return named.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "node")).alias("class_id"))
