@@ -30,7 +30,7 @@ from shopstream.llm.pieces import span_hashes
 LENGTH = 400
 GRAM = 32
 PIECE = 1 << 22             # longer texts are anchored piece by piece
-BUNDLE_BYTES = 2 << 20      # text sorted at a time
+BUNDLE_BYTES = 1 << 20      # text sorted at a time
 TASK_BYTES = 64 << 20       # of one anchor's distinct segments
 _SHUFFLED = np.array([(b * 167 + 13) % 256 for b in range(256)], np.uint8)
 
@@ -314,8 +314,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
         F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max(F.octet_length("text")).alias("n_bytes")), "texts")
     anchors = materialized(_anchors(docs, length, gram), "anchors")
     place = F.xxhash64("k1", "k2", "start")
+    # bitwise-not twice gives the join a shuffle stage on either side, so that a
+    # hot anchor is split
     often = (anchors.groupBy("anchor").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-             .where("low <> high").select("anchor"))
+             .where("low <> high").select(F.bitwise_not(F.bitwise_not("anchor")).alias("anchor")))
     starts = (anchors.join(often, "anchor").groupBy("k1", "k2").agg(F.collect_set("start").alias("starts")))  # of one text
     wanted = starts.join(texts.select("k1", "k2", "first"), ["k1", "k2"])
     cut = docs.alias("d").join(wanted.alias("w").hint("shuffle_hash"), (F.col("d.k1") == F.col("w.k1")) & (F.col("d.k2") == F.col("w.k2"))
