@@ -175,13 +175,15 @@ def _key_filter(keys: DataFrame) -> np.ndarray:
     """A Bloom filter of fixed size over ``key``; a full one only lets more
     lines through."""
     def run(batches):
-        bits = np.zeros(FILTER_BITS, bool)
         for b in batches:
-            bits[_filter_bits(np.frombuffer(b"".join(b.column("key").to_pylist()), np.uint8)).ravel()] = True
-        at = np.unique(np.flatnonzero(bits) >> 3)
-        packed = np.packbits(bits)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(packed[at].astype(np.int32))],
-                                         names=["at", "bits"])
+            if not b.num_rows:
+                continue
+            bit = np.unique(_filter_bits(np.frombuffer(b"".join(b.column("key").to_pylist()), np.uint8)).ravel())
+            at = bit >> 3
+            first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            packed = np.bitwise_or.reduceat(128 >> (bit & 7), first)
+            yield pa.RecordBatch.from_arrays([pa.array(at[first], pa.int32()), pa.array(packed.astype(np.int32))],
+                                             names=["at", "bits"])
 
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     rows = keys.mapInArrow(run, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits"))
