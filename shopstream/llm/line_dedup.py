@@ -23,6 +23,9 @@ from shopstream.llm.components import components
 MAX_BITS = 3
 SIMILARITY = 0.8
 ALL_PAIRS = 64          # runs of up to so many nodes are compared pair by pair
+#: Words of up to SHORT bytes count 1, longer ones WEIGHT: else the few short
+#: words of a language make all of its long lines alike.
+SHORT, WEIGHT = 3, 8
 LINES = "doc_id long, line int, key binary, simhash long"
 
 
@@ -53,22 +56,25 @@ class Lines:
         raw = memoryview(h.view(np.uint8)) if len(h) else memoryview(b"")
         a, e = self.first[:-1][at], self.first[1:][at]
         keys = [xxhash.xxh3_128_digest(raw[x * 8:y * 8]) for x, y in zip(a.tolist(), e.tolist(), strict=True)]
-        return at, keys, simhash(h, a, e - a)
+        long = np.where(self.words.end - self.words.start > SHORT, WEIGHT, 1).astype(np.uint8)
+        return at, keys, simhash(h, long, a, e - a)
 
     def normal(self, i: int) -> str:
         return b" ".join(self.words.text(k) for k in range(self.first[i], self.first[i + 1])).decode("utf-8", "replace")
 
 
-def simhash(h: np.ndarray, begin: np.ndarray, count: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
-    """64-bit SimHash of runs of hashes that follow one another."""
+def simhash(h: np.ndarray, weight: np.ndarray, begin: np.ndarray, count: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
+    """64-bit SimHash of runs of weighted hashes that follow one another."""
     out = np.zeros(len(begin), np.int64)
     cut = 0
     while cut < len(begin):
         end = max(cut + 1, int(np.searchsorted(begin, begin[cut] + chunk)))
         a, n = begin[cut], begin[end - 1] + count[end - 1] - begin[cut]
-        bits = np.unpackbits(mix(h[a:a + n]).view(np.uint8)).reshape(n, 64)
+        w = weight[a:a + n]
+        bits = np.unpackbits(mix(h[a:a + n]).view(np.uint8)).reshape(n, 64) * w[:, None]
         ones = np.add.reduceat(bits, begin[cut:end] - a, axis=0, dtype=np.int32)
-        major = 2 * ones > count[cut:end, None]
+        total = np.add.reduceat(w, begin[cut:end] - a, dtype=np.int32)
+        major = 2 * ones > total[:, None]
         out[cut:end] = np.packbits(major, axis=1).view(np.int64).ravel()
         cut = end
     return out
@@ -239,8 +245,11 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     y = texts.select(F.col("id").alias("b"), F.col("normal").alias("y"))
     room = (1 - similarity) * F.greatest(F.length("x"), F.length("y"))
     both = pairs.join(x, "a").join(y, "b").where(F.abs(F.length("x") - F.length("y")) <= room)
-    return (_stripped(both.select("a", "b", "x", "y"))
-            .where(F.levenshtein("x", "y") <= (1 - similarity) * F.col("size") + 1e-9).select("a", "b"))
+    most = (1 - similarity) * F.col("size") + 1e-9
+    # what is left bounds the distance, which is only computed where that is
+    # not enough
+    near = (F.greatest(F.length("x"), F.length("y")) <= most) | (F.levenshtein("x", "y") <= most)
+    return _stripped(both.select("a", "b", "x", "y")).where(near).select("a", "b")
 
 
 # ------------------------------------------------------------------ result
