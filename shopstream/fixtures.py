@@ -70,7 +70,7 @@ class Views:
     @cached_property
     def user_info(self) -> DataFrame:
         k = F.col("c_custkey")
-        return (self.t.customer.select("c_custkey", "c_name").where(k % 13 != 0).select(
+        return (self.t.customer.select("c_custkey", "c_name").select(
             k.alias("id"), F.col("c_name").alias("name"),
             F.date_format(F.date_add(F.lit("1940-01-01").cast("date"),
                                      ((k * 7919) % 18000).cast("int")), "yyyy-MM-dd").alias("birthday"),
@@ -80,12 +80,21 @@ class Views:
     @cached_property
     def base_province(self) -> DataFrame:
         k = F.col("n_nationkey")
-        return (self.t.nation.where(k != 24).select(
+        return (self.t.nation.select(
             k.alias("id"), F.col("n_name").alias("name"),
             F.concat(F.lit("1"), k.cast("string")).alias("area_code"),
             F.concat(F.lit("ISO-"), k.cast("string")).alias("iso_code"),
             F.concat(F.lit("CN-"), k.cast("string")).alias("iso_3166_2")))
 
+    # Lookups with gaps, for the queries that are about unmatched rows.
+    @cached_property
+    def known_users(self) -> DataFrame:
+        return self.user_info.where(F.col("id") % 13 != 0)
+
+    @cached_property
+    def known_provinces(self) -> DataFrame:
+        return self.base_province.where(F.col("id") != 24)
+
     # ---------------------------------------------------------------- orders
     @cached_property
     def all_orders(self) -> DataFrame:
@@ -105,11 +114,10 @@ class Views:
 
     @cached_property
     def order_info(self) -> DataFrame:
-        a = self.all_orders.where(F.col("id") % 50 != 0)
-        return a.select("*",
-                        F.date_format("created", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
-                        F.date_format("created", "yyyy-MM-dd").alias("create_date"),
-                        F.date_format("created", "HH").alias("create_hour"))
+        return self.all_orders.select("*",
+                                      F.date_format("created", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
+                                      F.date_format("created", "yyyy-MM-dd").alias("create_date"),
+                                      F.date_format("created", "HH").alias("create_hour"))
 
     @cached_property
     def order_detail(self) -> DataFrame:
@@ -173,6 +181,11 @@ class Views:
         return oi.select(*self._typed(oi, ORDER_INFO_FIELDS), d.alias("create_date"),
                          h.alias("create_hour"), ntz_to_instant("arr").alias("arr"))
 
+    @cached_property
+    def arrived_orders(self) -> DataFrame:
+        """Orders with gaps: every 50th never arrives."""
+        return self.orders_dwd.where(F.col("id") % 50 != 0)
+
     @cached_property
     def details_dwd(self) -> DataFrame:
         od = self.order_detail
@@ -181,40 +194,44 @@ class Views:
     # ----------------------------------------------------------------- CDC
     @cached_property
     def cdc_log(self) -> DataFrame:
-        """Change envelopes ``(seq, value)`` for the four source tables."""
-        def env(df, table, typ, seq, data: Column) -> DataFrame:
-            return df.select(seq.cast("bigint").alias("seq"), F.to_json(F.struct(
-                F.lit(table).alias("table"), F.lit(typ).alias("type"),
+        """Change envelopes ``(seq, value, timestamp)`` for the source tables.
+        Orders and lines come with their arrival, lookups before them."""
+        early = lambda seq: F.timestamp_micros(seq.cast("bigint"))
+
+        def env(df, table, typ, seq, data: Column, at: Column | None = None) -> DataFrame:
+            return df.select(seq.cast("bigint").alias("seq"), (early(seq) if at is None else at).alias("timestamp"),
+                             F.to_json(F.struct(
+                F.lit(table).alias("table"), (typ if isinstance(typ, Column) else F.lit(typ)).alias("type"),
                 data.alias("data"), F.array(F.lit("id")).alias("pkNames"))).alias("value"))
 
         oi = self.order_info
         k = F.col("id")
         oi_row = F.array(_str_struct(self.ORDER_INFO_MSG))
-        parts = [
-            env(oi, "order_info", "INSERT", k * 10 + 1, oi_row),
-            env(oi.where(k % 10 == 0), "order_info", "UPDATE", k * 10 + 2, oi_row),
-            env(oi.where(k % 100 == 0), "order_info", "DELETE", k * 10 + 3, oi_row),
-            env(oi.where(k % 70 == 0), "order_info", "CREATE", k * 10 + 4, oi_row),
-        ]
+
+        def changes(*kinds) -> Column:
+            """The changes of a row: (type, place in the row's history)."""
+            every = [F.when(cond, F.struct(F.lit(typ).alias("type"), F.lit(n).alias("n"))) for typ, n, cond in kinds]
+            return F.explode(F.filter(F.array(*every), lambda c: c.isNotNull()))
+
+        # one pass over the orders for all four kinds of change
+        oi = oi.select("*", changes(("INSERT", 1, F.lit(True)), ("UPDATE", 2, k % 10 == 0),
+                                    ("DELETE", 3, k % 100 == 0), ("CREATE", 4, k % 70 == 0)).alias("c"))
+        parts = [env(oi, "order_info", F.col("c.type"), k * 10 + F.col("c.n"), oi_row, ntz_to_instant("arr"))]
         # One INSERT per order holding its lines.  Line ids are
         # ``order_id * 1000 + n``, so grouping by ``id div 100`` is one
         # envelope per order for up to 99 lines (TPC-H has at most 7) and
         # never more than 100 rows in one envelope, however large an order.
         od = (self.order_detail.groupBy((F.col("id") / 100).cast("bigint").alias("chunk"))
-              .agg(F.first("order_id").alias("order_id"),
+              .agg(F.min("arr").alias("arr"),
                    F.collect_list(_str_struct(self.ORDER_DETAIL_MSG)).alias("rows")))
-        parts.append(env(od, "order_detail", "INSERT", F.col("chunk") * 10 + 5, F.col("rows")))
+        parts.append(env(od, "order_detail", "INSERT", F.col("chunk") * 10 + 5, F.col("rows"), ntz_to_instant("arr")))
 
         ui = self.user_info
-        upd = ui.withColumn("name", F.concat("name", F.lit("*")))
         ui_cols = ["id", "name", "birthday", "gender"]
-        parts += [
-            env(ui, "user_info", "INSERT", k * 10 + 1, F.array(_str_struct(ui_cols))),
-            env(upd.where(k % 5 == 0), "user_info", "UPDATE", k * 10 + 2,
-                F.array(_str_struct(ui_cols))),
-            env(upd.where(k % 25 == 0), "user_info", "DELETE", k * 10 + 3,
-                F.array(_str_struct(ui_cols))),
-        ]
+        ui = (ui.select("*", changes(("INSERT", 1, F.lit(True)), ("UPDATE", 2, k % 5 == 0),
+                                     ("DELETE", 3, k % 25 == 0)).alias("c"))
+              .withColumn("name", F.when(F.col("c.n") > 1, F.concat("name", F.lit("*"))).otherwise(F.col("name"))))
+        parts.append(env(ui, "user_info", F.col("c.type"), k * 10 + F.col("c.n"), F.array(_str_struct(ui_cols))))
         # All provinces in one INSERT (nation is a fixed 25-row table).
         bp_cols = ["id", "name", "area_code", "iso_code", "iso_3166_2"]
         bp = self.base_province.agg(F.collect_list(_str_struct(bp_cols)).alias("rows"))

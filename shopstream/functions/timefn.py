@@ -67,7 +67,10 @@ def whole_years_between(birthday, on_datetime_text) -> Column:
     truncated toward zero (P14).  The time part of the order time is dropped,
     so negative gaps under a year give 0 and leap days make ages early."""
     on_day = F.try_to_date(F.substring(_c(on_datetime_text), 1, 10), "yyyy-MM-dd")
-    born = F.try_to_date(_c(birthday).cast("string"), "yyyy-MM-dd")
+    text = _c(birthday).cast("string")
+    # snapshots may carry the birthday as epoch milliseconds
+    days = F.floor(text.try_cast("bigint") / F.lit(86_400_000)).cast("int")
+    born = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.date_add(F.lit("1970-01-01").cast("date"), days))
     return (F.datediff(on_day, born) / F.lit(365)).cast("int")
 
 

@@ -7,7 +7,9 @@ see :func:`dedup_first_visits_stream`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions.jsonfn import is_malformed, parse_permissive
@@ -22,8 +24,8 @@ def parse_app_log(topic: DataFrame, tz: str = "UTC", value_col: str = "value") -
     """JSON log messages -> flat rows with ``dt``/``hr`` in zone ``tz``
     (P1, P3, P4).  Malformed messages are left out; see :func:`split_malformed`."""
     p = topic.select(parse_permissive(value_col, APP_LOG).alias("m"))
-    p = p.where(~is_malformed("m"))
-    local = epoch_ms_to_local(F.col("m.ts"), tz)
+    p = p.where(~is_malformed_log("m")).withColumn("ts", F.col("m.ts").try_cast("bigint"))
+    local = epoch_ms_to_local(F.col("ts"), tz)
     dt, hr = day_and_hour(local)
     return p.select(
         F.col("m.event_id").alias("event_id"),
@@ -33,14 +35,20 @@ def parse_app_log(topic: DataFrame, tz: str = "UTC", value_col: str = "value") -
         F.col("m.page").isNotNull().alias("has_page"),
         F.col("m.page.page_id").alias("page_id"),
         F.col("m.page.last_page_id").alias("last_page_id"),
-        F.col("m.ts").alias("ts"),
-        epoch_ms_to_instant(F.col("m.ts")).alias("event_time"),
+        "ts", epoch_ms_to_instant(F.col("ts")).alias("event_time"),
         dt.alias("dt"), hr.alias("hr"))
 
 
+def is_malformed_log(parsed) -> Column:
+    """Broken JSON, or a ``ts`` that is there but no number (quoted ones are)."""
+    m = F.col(parsed) if isinstance(parsed, str) else parsed
+    ts = m.getField("ts")
+    return is_malformed(m) | (ts.isNotNull() & ts.try_cast("bigint").isNull())
+
+
 def split_malformed(topic: DataFrame, value_col: str = "value") -> DataFrame:
     """Every message with a flag ``bad``; bad ones go to a quarantine output."""
-    return topic.select("*", is_malformed(parse_permissive(value_col, APP_LOG)).alias("bad"))
+    return topic.select("*", is_malformed_log(parse_permissive(value_col, APP_LOG)).alias("bad"))
 
 
 def quarantine_counts(topic: DataFrame) -> DataFrame:
@@ -101,7 +109,11 @@ def dau_hour_compare(dau: DataFrame, date: str | None = None) -> DataFrame:
     One pass over the active devices: the hourly counts (``days x 24`` rows)
     are emitted once for their own day and once, shifted, for the next day;
     per day the at most 48 entries are gathered and expanded to 24 hours.
-    Days without activity of their own are not reported unless asked for."""
+    Days without activity of their own are not reported.  With ``date`` only
+    that day's and the day before's rows are read, and 24 hours are returned
+    in any case."""
+    if date is not None:
+        return _hour_compare_of(dau, date)
     counts = dau_hour(dau)
     next_day = F.date_format(F.date_add(F.to_date("dt", "yyyy-MM-dd"), 1), "yyyy-MM-dd")
     zero = F.lit(0).cast("bigint")
@@ -109,15 +121,12 @@ def dau_hour_compare(dau: DataFrame, date: str | None = None) -> DataFrame:
         F.struct(F.col("dt").alias("d"), F.col("ct").alias("today"), zero.alias("yesterday")),
         F.struct(next_day.alias("d"), zero.alias("today"), F.col("ct").alias("yesterday")))
     e = counts.select("hr", F.explode(roles).alias("r"))
-    if date is not None:
-        e = e.where(F.col("r.d") == date)
     per_day = e.groupBy(F.col("r.d").alias("dt")).agg(
         F.map_from_entries(F.collect_list(F.struct(
             F.concat(F.col("hr"), F.lit("/"), F.when(F.col("r.today") > 0, "t").otherwise("y")),
             F.greatest(F.col("r.today"), F.col("r.yesterday"))))).alias("m"),
         F.max(F.col("r.today")).alias("active"))
-    if date is None:
-        per_day = per_day.where(F.col("active") > 0)
+    per_day = per_day.where(F.col("active") > 0)
     hours = per_day.select("dt", "m", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h")) \
         .select("dt", "m", F.lpad(F.col("h").cast("string"), 2, "0").alias("hr"))
     return hours.select(
@@ -126,6 +135,18 @@ def dau_hour_compare(dau: DataFrame, date: str | None = None) -> DataFrame:
         F.coalesce(F.element_at("m", F.concat(F.col("hr"), F.lit("/y"))), zero).alias("yesterday"))
 
 
+def _hour_compare_of(dau: DataFrame, date: str) -> DataFrame:
+    """The 24 hours of one day; the day filter reaches the scan."""
+    before = (datetime.strptime(date, "%Y-%m-%d") - timedelta(days=1)).strftime("%Y-%m-%d")
+    hours = [f"{h:02d}" for h in range(24)]
+    n = lambda day, hr: F.count_if((F.col("dt") == day) & (F.col("hr") == hr))
+    counts = dau.where(F.col("dt").isin(date, before)).agg(
+        *[n(date, h).alias(f"t{h}") for h in hours], *[n(before, h).alias(f"y{h}") for h in hours])
+    rows = F.array(*[F.struct(F.lit(date).alias("dt"), F.lit(h).alias("hr"), F.col(f"t{h}").alias("today"),
+                              F.col(f"y{h}").alias("yesterday")) for h in hours])
+    return counts.select(F.inline(rows))
+
+
 def new_devices(dau: DataFrame) -> DataFrame:
     """Devices whose first-ever active day is ``dt`` (A12; the reference
     returns a constant, this is the operator it stands for)."""

@@ -17,7 +17,7 @@ map-side aggregates, never gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions.jsonfn import parse_string_map, typed_from_map
@@ -32,10 +32,30 @@ DIM_COLUMNS = ["province_name", "province_area_code", "province_3166_2_code",
 
 
 # ------------------------------------------------------------------ parsing
+def _lacks(m, *ids: str) -> Column:
+    """Broken text, or one of the ids missing or no number."""
+    m = F.col(m) if isinstance(m, str) else m
+    bad = m.isNull()
+    for name in ids:
+        bad = bad | m.getItem(name).try_cast("bigint").isNull()
+    return bad
+
+
+def is_bad_order(value="value") -> Column:
+    """Order messages for the quarantine output."""
+    return _lacks(parse_string_map(value), "id")
+
+
+def is_bad_detail(value="value") -> Column:
+    """Line messages for the quarantine output."""
+    return _lacks(parse_string_map(value), "id", "order_id")
+
+
 def parse_order_info(topic: DataFrame, arrival_col: str = "timestamp") -> DataFrame:
     """``DWD_ORDER_INFO_I`` messages -> typed rows (P2) with ``create_date``
-    and ``create_hour`` split from ``create_time`` (P5) and arrival ``arr``."""
-    m = topic.select(parse_string_map("value").alias("m"), F.col(arrival_col).alias("arr"))
+    and ``create_hour`` split from ``create_time`` (P5) and arrival ``arr``.
+    Messages without a readable id are left out; see :func:`is_bad_order`."""
+    m = topic.select(parse_string_map("value").alias("m"), F.col(arrival_col).alias("arr")).where(~_lacks("m", "id"))
     t = m.select(*typed_from_map("m", ORDER_INFO_FIELDS), "arr")
     d, h = split_datetime_text("create_time")
     return t.select(*[f[0] for f in ORDER_INFO_FIELDS], d.alias("create_date"),
@@ -43,7 +63,10 @@ def parse_order_info(topic: DataFrame, arrival_col: str = "timestamp") -> DataFr
 
 
 def parse_order_detail(topic: DataFrame, arrival_col: str = "timestamp") -> DataFrame:
-    m = topic.select(parse_string_map("value").alias("m"), F.col(arrival_col).alias("arr"))
+    """``DWD_ORDER_DETAIL_I`` messages -> typed rows; messages without a
+    readable id and order id are left out; see :func:`is_bad_detail`."""
+    m = (topic.select(parse_string_map("value").alias("m"), F.col(arrival_col).alias("arr"))
+         .where(~_lacks("m", "id", "order_id")))
     return m.select(*typed_from_map("m", ORDER_DETAIL_FIELDS), "arr")
 
 
@@ -64,8 +87,8 @@ def enrich_orders(orders: DataFrame, users: DataFrame, provinces: DataFrame,
         F.col("area_code").alias("province_area_code"),
         F.col("iso_3166_2").alias("province_3166_2_code"),
         F.col("iso_code").alias("province_iso_code")), 100_000)
-    j = (orders.join(u, orders.user_id == u.u_id, "left")
-               .join(p, orders.province_id == p.p_id, "left"))
+    j = (orders.join(u, F.col("user_id") == u.u_id, "left")
+              .join(p, F.col("province_id") == p.p_id, "left"))
     age = whole_years_between(F.col("u_birthday"), F.col("create_time"))
     if unknown_age_as_zero:
         age = F.coalesce(age, F.lit(0))
@@ -104,7 +127,7 @@ def full_outer_join(orders: DataFrame, details: DataFrame) -> DataFrame:
     return left.unionByName(only)
 
 
-def merge_wide(joined: DataFrame) -> DataFrame:
+def merge_wide(joined: DataFrame, *more: str) -> DataFrame:
     """Wide row from a line and its (prefixed ``o_``) order (P7): order
     columns first, then line columns override equal names, plus
     ``order_id := order.id`` and ``detail_id := line.id``.  So ``create_time``
@@ -121,7 +144,7 @@ def merge_wide(joined: DataFrame) -> DataFrame:
     cols = []
     for c in ORDER_WIDE_COLUMNS:
         cols.append((src[c] if c in src else F.col(f"o_{c}")).alias(c))
-    return joined.select(*cols)
+    return joined.select(*cols, *more)
 
 
 def interval_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600) -> DataFrame:
@@ -137,55 +160,62 @@ def interval_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600)
     return details.join(o, cond, "inner")
 
 
-def ttl_refresh_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600) -> DataFrame:
-    """Exact cache semantics of the streaming join (J6), batch form.
+def ttl_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600) -> DataFrame:
+    """Lines with the columns of their order (prefixed ``o_``) under the exact
+    cache semantics of the streaming join (J6), one row per line and arrival
+    of its order that it meets.
 
-    With ``to`` the order arrival:
+    With ``to`` an arrival of the order:
 
     * a line arriving at or after ``to`` joins when ``arr - to < ttl``;
     * lines arriving before ``to`` sit in a set whose expiry is refreshed by
       each new line, so a line survives when no silence of ``ttl`` or more
       separates it from the next line of the same order, up to ``to``.
 
-    Silences are found without ordering a whole order in one task.  Every
-    arrival (all lines and the order itself) is bucketed by
-    ``floor(t / ttl)`` and aggregated once, both as a member of its bucket
-    (``hi`` = last arrival) and as the earliest arrival of the bucket before
-    (``next_lo``); the aggregate is combined map-side.  A silence follows
-    bucket ``b`` exactly when ``b+1`` is empty or starts ``ttl`` or more
-    after ``hi``.  Only silences before the order matter (``hi < to``:
-    later buckets, and the order's own bucket, end at or after ``to``).
-    Lines are kept after the last such silence.  The lines table is
-    shuffled once in full, for the final join with the orders (unique per
-    id, so a hot order id is split by AQE)."""
-    W = int(ttl_seconds) * 1_000_000
-    o = orders.select(F.col("id").alias("o_id"), F.unix_micros("arr").alias("o_us"))
-    d = details.select("id", "order_id", F.unix_micros("arr").alias("d_us"))
+    Silences are found without ordering a whole order in one task.  Lines are
+    bucketed by ``floor(t / ttl)`` and aggregated once, both as members of
+    their bucket (``hi`` = last arrival) and as the earliest arrival of the
+    bucket before (``next_lo``); the aggregate is combined map-side.  A
+    silence follows bucket ``b`` exactly when ``b+1`` is empty or starts
+    ``ttl`` or more after ``hi``; it breaks the set before ``to`` when ``hi``
+    is ``ttl`` or more before ``to``.  Lines after the last such silence stay.
 
-    points = d.select("order_id", F.col("d_us").alias("t")).unionByName(
-        o.select(F.col("o_id").alias("order_id"), F.col("o_us").alias("t")))
-    b = F.floor(F.col("t") / W)
+    More rows only ever add matches: a match found from a part of the rows
+    holds for all of them, which is what the streaming form relies on."""
+    W = int(ttl_seconds) * 1_000_000
+    o = _o(orders).withColumn("o_us", F.unix_micros("o_arr"))
+    d = details.withColumn("d_us", F.unix_micros("arr"))
+    t = F.col("d_us")
+    b = F.floor(t / W)
     roles = F.array(
-        F.struct(b.alias("b"), F.col("t").alias("cur"), F.lit(None).cast("bigint").alias("nxt")),
-        F.struct((b - 1).alias("b"), F.lit(None).cast("bigint").alias("cur"), F.col("t").alias("nxt")))
-    buckets = (points.select("order_id", F.explode(roles).alias("r"))
+        F.struct(b.alias("b"), t.alias("cur"), F.lit(None).cast("bigint").alias("nxt")),
+        F.struct((b - 1).alias("b"), F.lit(None).cast("bigint").alias("cur"), t.alias("nxt")))
+    buckets = (d.select("order_id", F.explode(roles).alias("r"))
                .groupBy("order_id", F.col("r.b").alias("b"))
                .agg(F.max("r.cur").alias("hi"), F.min("r.nxt").alias("next_lo")))
     silences = buckets.where(F.col("hi").isNotNull() &
-                             (F.col("next_lo").isNull() | (F.col("next_lo") - F.col("hi") >= W)))
-    brk = (silences.join(o, silences.order_id == o.o_id, "inner")
-           .where(F.col("hi") < F.col("o_us"))
-           .groupBy(F.col("order_id").alias("s_oid")).agg(F.max("hi").alias("brk")))
-    ob = o.join(brk, o.o_id == brk.s_oid, "left").select("o_id", "o_us", "brk")
-    j = d.join(ob, d.order_id == ob.o_id, "inner")
+                             (F.col("next_lo").isNull() | (F.col("next_lo") - F.col("hi") >= W))).select("order_id", "hi")
+    brk = (silences.join(o.select("o_id", "o_us"), F.col("order_id") == F.col("o_id"), "inner")
+           .where(F.col("hi") <= F.col("o_us") - W)
+           .groupBy(F.col("o_id").alias("s_oid"), F.col("o_us").alias("s_us")).agg(F.max("hi").alias("brk")))
+    # Bitwise-not twice hides that the orders are dealt by id already, so they
+    # get a shuffle stage of their own: AQE splits a hot order only where both
+    # sides of the join are such stages.
+    ob = (o.join(brk, (o.o_id == brk.s_oid) & (o.o_us == brk.s_us), "left").drop("s_oid", "s_us")
+          .withColumn("o_key", F.bitwise_not(F.bitwise_not("o_id"))))
+    j = d.join(ob, d.order_id == ob.o_key, "inner").drop("o_key")
     after = (F.col("d_us") >= F.col("o_us")) & (F.col("d_us") - F.col("o_us") < W)
     before = (F.col("d_us") < F.col("o_us")) & \
         (F.col("brk").isNull() | (F.col("d_us") > F.col("brk")))
-    out = j.where(after | before).select(F.col("id").alias("detail_id"), "order_id")
-    # A line delivered twice is one member of the cached set (D3) and one
-    # document after the id upsert (D4).  The join output is already
-    # clustered by order id, so this de-duplication adds no shuffle.
-    return out.dropDuplicates(["order_id", "detail_id"])
+    return j.where(after | before).drop("d_us", "o_us", "brk")
+
+
+def ttl_refresh_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600) -> DataFrame:
+    """``(detail_id, order_id)`` of :func:`ttl_join`.  A line delivered twice
+    is one member of the cached set (D3) and one document after the id upsert
+    (D4); dropping repeats is keyed by the line, so a hot order stays split."""
+    j = ttl_join(orders.select("id", "arr"), details.select("id", "order_id", "arr"), ttl_seconds)
+    return j.select(F.col("id").alias("detail_id"), "order_id").dropDuplicates(["detail_id"])
 
 
 def orphan_details(orders: DataFrame, details: DataFrame) -> DataFrame:

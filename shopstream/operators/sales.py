@@ -68,11 +68,11 @@ def _total_scalar(m: DataFrame):
 
 
 def age_share(m: DataFrame) -> DataFrame:
-    """Age bands of the top age buckets as percent of all hits.
+    """Age bands as percent of all hits (A7, A8, P17), from the full counts.
 
     Unknown users carry age 0 and land in the first band (parity)."""
     tot = _total_scalar(m)
-    terms = age_terms(m)
+    terms = _cells(m)
     sums = []
     for name, lo, hi in AGE_BANDS:
         cond = F.lit(True)
@@ -91,7 +91,7 @@ def gender_share(m: DataFrame) -> DataFrame:
     """Male and female shares of all hits; an absent gender gives 0.0.
     Shares need not sum to 100: hits without gender count in the total."""
     tot = _total_scalar(m)
-    terms = gender_terms(m)
+    terms = _cells(m)
     sums = [F.coalesce(F.sum(F.when(F.col("user_gender") == code, F.col("ct"))), F.lit(0))
             .alias(name) for name, code in GENDERS]
     row = terms.agg(*sums)

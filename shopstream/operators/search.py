@@ -23,10 +23,6 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 
-def with_tokens(df: DataFrame, text_col: str, out: str = "tokens") -> DataFrame:
-    return df.withColumn(out, X.tokens(F.coalesce(F.col(text_col), F.lit(""))))
-
-
 def match_all(df: DataFrame, text_col: str, keyword: str) -> DataFrame:
     """Rows whose text holds every keyword token (F5); empty keyword -> none."""
     t = X.tokens(F.coalesce(F.col(text_col), F.lit("")))
@@ -89,7 +85,7 @@ def bm25_scores(docs: DataFrame, id_col: str, text_col: str, keyword: str,
     pass that stages ``(id, dl, tf...)`` of the matching documents, and only
     those few numbers reach the driver.  The metrics are gathered in the
     writing action's own stage, so a retried task is counted once."""
-    kw = X.keyword_tokens(keyword)
+    kw = docs.sparkSession.range(1).select(X.keyword_tokens(keyword).alias("kw")).first().kw
     t = X.tokens(F.coalesce(F.col(text_col), F.lit("")))
     per = docs.select(F.col(id_col), t.alias("tok")).select(
         id_col, F.size("tok").alias("dl"),

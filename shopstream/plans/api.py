@@ -29,21 +29,20 @@ def today(tz: str = "UTC") -> str:
 
 def realtime_total(dau: DataFrame, date: str | None = None, tz: str = "UTC") -> DataFrame:
     """``[{id, name, value}]``: active devices and new devices of the day
-    (A1, A12).  Both counts come from one scan of the day's rows."""
-    d = date or today(tz)
-    day = D.dau_total(dau, d).select(F.lit(METRIC_DAU).alias("id"),
-                                     F.lit("daily active devices").alias("name"),
-                                     F.col("dau").alias("value"))
-    new = D.new_devices(dau).where(F.col("dt") == d).select(
-        F.lit(METRIC_NEW_MID).alias("id"), F.lit("new devices").alias("name"),
-        F.col("new_mid").alias("value"))
-    return day.unionByName(new)
+    (A1, A12), always both, 0 without any.  One scan: a device is new when its
+    first active day is the day."""
+    d = F.lit(date or today(tz))
+    devices = dau.where(F.col("dt") <= d).groupBy("mid").agg(F.min("dt").alias("first"), F.max("dt").alias("last"))
+    n = devices.agg(F.count_if(F.col("last") == d).alias("day"), F.count_if(F.col("first") == d).alias("new"))
+    both = F.array(F.struct(F.lit(METRIC_DAU).alias("id"), F.lit("daily active devices").alias("name"), F.col("day").alias("value")),
+                   F.struct(F.lit(METRIC_NEW_MID).alias("id"), F.lit("new devices").alias("name"), F.col("new").alias("value")))
+    return n.select(F.inline(both))
 
 
 def realtime_hour(metric_id: str, dau: DataFrame, date: str | None = None,
                   tz: str = "UTC") -> DataFrame | None:
     """Today's and yesterday's counts per hour for a known metric, else None
-    (F9, A3, A4)."""
+    (F9, A3, A4): always 24 rows."""
     if metric_id not in HOURLY_METRICS:
         return None
     return D.dau_hour_compare(dau, date or today(tz))

@@ -17,8 +17,11 @@ from shopstream.operators import dau as D
 from shopstream.operators import orders as O
 from shopstream.operators import sales as SL
 from shopstream.operators import search as S
+from shopstream.plans import api as API
+from shopstream.schemas import CDC_ENVELOPE
 from shopstream.session import scratch_path
 from shopstream.sources import sinks as K
+from shopstream.sources.snapshot import read_snapshot
 from shopstream.sources.tables import tables
 from shopstream.sources.topics import read_topic, write_replay
 from shopstream.streaming import jobs as J
@@ -104,7 +107,10 @@ def _envelopes(spark, sf_dir) -> DataFrame:
 
 @query("dim_snapshot")
 def q_dim_snapshot(spark, sf_dir):
-    return _views(spark, sf_dir).user_info.select("id", "birthday", "gender")
+    """A dimension table as the snapshot source reads it."""
+    path = scratch_path(spark, "snapshot-user_info")
+    _views(spark, sf_dir).user_info.write.parquet(path)
+    return read_snapshot(spark, "user_info", path=path).select("id", "birthday", "gender")
 
 
 @query("snapshot_to_envelope")
@@ -117,7 +123,12 @@ def q_snapshot_to_envelope(spark, sf_dir):
                      ("sku_info", sku)):
         e = C.snapshot_to_envelopes(df, name, "id", 500)
         out = e if out is None else out.unionByName(e)
-    return out.select("table", "type", "chunk", F.col("n_rows").cast("bigint").alias("n_rows"))
+    # what the payload holds, read back from the message
+    rows = F.from_json("value", CDC_ENVELOPE).getField("data")
+    return out.select(
+        "table", "type", "chunk", F.col("n_rows").cast("bigint").alias("n_rows"),
+        F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + r.getItem("id").cast("bigint")).alias("id_sum"),
+        F.array_min(F.transform(rows, lambda r: r.getItem("name"))).alias("first_name"))
 
 
 @query("cdc_explode")
@@ -127,8 +138,19 @@ def q_cdc_explode(spark, sf_dir):
 
 @query("cdc_route_facts")
 def q_cdc_route_facts(spark, sf_dir):
-    return C.route_facts(_envelopes(spark, sf_dir)).groupBy("topic") \
-        .agg(F.count(F.lit(1)).alias("n"))
+    m = F.from_json("value", "map<string,string>")
+    facts = C.route_facts(_envelopes(spark, sf_dir)).select("topic", m.alias("m"))
+    return facts.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("m").getItem("id").cast("bigint")).alias("id_sum"),
+        F.min(F.col("m").getItem("create_time")).alias("first_time"), F.max(F.col("m").getItem("create_time")).alias("last_time"))
+
+
+@query("cdc_quarantine")
+def q_cdc_quarantine(spark, sf_dir):
+    cdc = _views(spark, sf_dir).cdc_log
+    cut = F.when(F.col("seq") % 97 == 0, F.substring("value", 1, F.length("value") / 2)).otherwise(F.col("value"))
+    bad = C.is_bad_envelope("value")
+    return cdc.select(cut.alias("value")).agg(F.count_if(~bad).alias("n_ok"), F.count_if(bad).alias("n_bad"))
 
 
 @query("dim_latest")
@@ -171,9 +193,27 @@ def q_order_detail_parse(spark, sf_dir):
     return O.parse_order_detail(topic).select(*O.ORDER_DETAIL_COLUMNS)
 
 
+@query("order_quarantine")
+def q_order_quarantine(spark, sf_dir):
+    """Cut, empty and id-less messages of both order topics."""
+    v = _views(spark, sf_dir)
+    out = None
+    for name, rows, fields, bad in (("order", v.order_info, v.ORDER_INFO_MSG, O.is_bad_order("value")),
+                                    ("line", v.order_detail, v.ORDER_DETAIL_MSG, O.is_bad_detail("value"))):
+        text = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in fields]))
+        n = F.pmod("id", F.lit(97))
+        broken = (F.when(n == 0, F.substring(text, 1, F.length(text) / 2)).when(n == 1, F.lit(""))
+                  .when(n == 2, F.regexp_replace(text, '"id":"[0-9]+"', '"id":"x"')).otherwise(text))
+        part = rows.select(broken.alias("value")).agg(
+            F.lit(name).alias("topic"), F.count_if(~bad).alias("n_ok"), F.count_if(bad).alias("n_bad"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("order_dim_join")
 def q_order_dim_join(spark, sf_dir):
-    return _enriched(spark, sf_dir).select(
+    v = _views(spark, sf_dir)
+    return O.enrich_orders(v.orders_dwd, v.known_users, v.known_provinces).select(
         "id", "user_age", "user_gender", "province_name", "province_area_code",
         "province_iso_code", "province_3166_2_code")
 
@@ -187,7 +227,7 @@ def q_order_inner(spark, sf_dir):
 
 @query("order_full_outer")
 def q_order_full_outer(spark, sf_dir):
-    return O.full_outer_join(_orders(spark, sf_dir), _details(spark, sf_dir))
+    return O.full_outer_join(_views(spark, sf_dir).arrived_orders, _details(spark, sf_dir))
 
 
 @query("order_wide")
@@ -208,7 +248,7 @@ def q_order_wide_ttl(spark, sf_dir):
 
 @query("orphan_details")
 def q_orphan_details(spark, sf_dir):
-    return O.orphan_details(_orders(spark, sf_dir), _details(spark, sf_dir))
+    return O.orphan_details(_views(spark, sf_dir).arrived_orders, _details(spark, sf_dir))
 
 
 @query("orphan_orders")
@@ -224,6 +264,7 @@ CATALOG_KEYWORD = "red"
 CATALOG_TERM = ("credits", "name", "Brand#17")
 HIGHLIGHT_KEYWORD = "red widget"
 RANK_QUERY = "the of and"
+DOCUMENT_KEYWORD = "NICHT_Été red_идти"
 SALE_KEYWORD = "red"
 SALE_PAGE_NO, SALE_PAGE_SIZE = 2, 20
 PROVINCE_BIN_WIDTH = 20_000
@@ -268,6 +309,16 @@ def q_search_combined(spark, sf_dir):
         .select("id", "name", "score", "highlight")
 
 
+@query("search_documents")
+def q_search_documents(spark, sf_dir):
+    """Match and highlight over whole texts in four languages; the keyword has
+    an underscore and letters beyond ASCII."""
+    docs = tables(spark, sf_dir).documents.select("doc_id", "text")
+    hits = S.match_any(docs, "text", DOCUMENT_KEYWORD)
+    marked = S.highlight(hits, "text", DOCUMENT_KEYWORD)
+    return marked.select("doc_id", ((F.length("highlight") - F.length("text")) / 9).cast("bigint").alias("n_hits"))
+
+
 @query("search_ranked")
 def q_search_ranked(spark, sf_dir):
     docs = tables(spark, sf_dir).documents.select("doc_id", "text")
@@ -317,7 +368,39 @@ def q_sale_gender_share(spark, sf_dir):
 
 @query("sale_stat_json")
 def q_sale_stat_json(spark, sf_dir):
-    return SL.stat_json(_sale_match(spark, sf_dir), SALE_PAGE_NO, SALE_PAGE_SIZE)
+    """The JSON answer, read back into rows ``(part, name, value)``."""
+    schema = ("total bigint, stat array<struct<options: array<struct<name: string, value: double>>, title: string>>, "
+              "detail array<struct<detail_id: bigint, sku_num: bigint>>")
+    j = SL.stat_json(_sale_match(spark, sf_dir), SALE_PAGE_NO, SALE_PAGE_SIZE).select(F.from_json("json", schema).alias("j"))
+    total = F.array(F.struct(F.lit("total").alias("part"), F.lit("").alias("name"), F.col("j.total").cast("double").alias("value")))
+    stat = F.flatten(F.transform("j.stat", lambda s: F.transform(s.options, lambda o: F.struct(
+        s.title.alias("part"), o["name"].alias("name"), o.value.alias("value")))))
+    detail = F.transform("j.detail", lambda d: F.struct(
+        F.lit("detail").alias("part"), d.detail_id.cast("string").alias("name"), d.sku_num.cast("double").alias("value")))
+    return j.select(F.inline(F.concat(total, stat, detail)))
+
+
+# The requests for one day (A1, A3, A4, A12): the last day of the log, and the
+# day after it, on which nothing happened.
+def _log_days(spark, sf_dir) -> tuple[str, str]:
+    last = _views(spark, sf_dir).app_log.agg(F.max("dt").alias("d"), F.date_format(
+        F.date_add(F.max("dt").cast("date"), 1), "yyyy-MM-dd").alias("e")).first()
+    return last.d, last.e
+
+
+@query("realtime_total")
+def q_realtime_total(spark, sf_dir):
+    day, after = _log_days(spark, sf_dir)
+    dau = _dau(spark, sf_dir)
+    return API.realtime_total(dau, day).withColumn("day", F.lit("last")).unionByName(
+        API.realtime_total(dau, after).withColumn("day", F.lit("after"))).select("day", "id", "value")
+
+
+@query("realtime_hour")
+def q_realtime_hour(spark, sf_dir):
+    day, after = _log_days(spark, sf_dir)
+    dau = _dau(spark, sf_dir)
+    return API.realtime_hour("dau", dau, day).unionByName(API.realtime_hour("dau", dau, after))
 
 
 @query("province_sales")
@@ -327,9 +410,6 @@ def q_province_sales(spark, sf_dir):
 
 # --------------------------------------------------------- sinks, streaming
 
-REPLAY_SLICES = 4
-
-
 def _state_partitions(spark) -> int:
     """State partitions of a new stream: two per core of the cluster, slack
     for stragglers (the batch default is sized for shuffles, and a stream
@@ -348,10 +428,10 @@ def _materialize(spark, df: DataFrame, name: str) -> DataFrame:
 
 def _replay(spark, records: DataFrame, name: str) -> DataFrame:
     """Replay ``records`` as a topic: a streaming frame reading one time
-    slice per micro-batch."""
+    slice of a bounded number of rows per micro-batch."""
     path = scratch_path(spark, f"replay-{name}")
-    layout = write_replay(_materialize(spark, records.select("value", "timestamp"), name),
-                          path, REPLAY_SLICES)
+    keep = [c for c in ("value", "timestamp", "offset") if c in records.columns]
+    layout = write_replay(_materialize(spark, records.select(*keep), name), path)
     return read_topic(spark, replay_path=path, max_files_per_trigger=layout.files_per_slice)
 
 
@@ -361,8 +441,8 @@ def _replay_orders(spark, v) -> tuple[DataFrame, DataFrame]:
     o = _materialize(spark, v.order_info_topic.select("value", "timestamp"), "order_info")
     d = _materialize(spark, v.order_detail_topic.select("value", "timestamp"), "order_detail")
     o_src, d_src = scratch_path(spark, "replay-order_info"), scratch_path(spark, "replay-detail")
-    lo = write_replay(o, o_src, REPLAY_SLICES)
-    ld = write_replay(d, d_src, REPLAY_SLICES, bounds=lo.bounds)
+    ld = write_replay(d, d_src)
+    lo = write_replay(o, o_src, bounds=ld.bounds)
     return (read_topic(spark, replay_path=o_src, max_files_per_trigger=lo.files_per_slice),
             read_topic(spark, replay_path=d_src, max_files_per_trigger=ld.files_per_slice))
 
@@ -373,7 +453,7 @@ def q_src_topic_replay(spark, sf_dir):
     out = scratch_path(spark, "topic-counts")
     J.run_topic_counts(spark, src, "page_id", out, scratch_path(spark, "ckpt-topic-counts"),
                        state_partitions=_state_partitions(spark))
-    return spark.read.parquet(out).select("page_id", "n")
+    return K.read_latest(spark, out, "page_id").select("page_id", "n")
 
 
 @query("dau_dedup_stream")
@@ -382,46 +462,61 @@ def q_dau_dedup_stream(spark, sf_dir):
     out = scratch_path(spark, "dau-stream")
     J.run_dau(spark, src, out, scratch_path(spark, "ckpt-dau"),
               state_partitions=_state_partitions(spark))
-    return spark.read.parquet(out).select("dt", "mid")
+    return K.read_latest(spark, out, ["dt", "mid"]).select("dt", "mid", "hr", "event_id")
 
 
 @query("order_wide_stream")
 def q_order_wide_stream(spark, sf_dir):
+    """The wide rows of the interval form."""
     v = _views(spark, sf_dir)
     o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-stream")
-    J.run_order_wide(spark, o_src, d_src, v.user_info, v.base_province,
+    J.run_order_wide(spark, o_src, d_src, lambda: (v.user_info, v.base_province),
                      out, scratch_path(spark, "ckpt-order-wide"),
                      state_partitions=_state_partitions(spark))
-    return spark.read.parquet(out).select("detail_id", "order_id")
+    return J.read_wide(spark, out)
 
 
 @query("batch_progress")
 def q_batch_progress(spark, sf_dir):
-    src = _replay(spark, _views(spark, sf_dir).app_log_topic, "app_log")
+    """Offset ranges of four batches of the log, cut at fixed offsets."""
+    log = _materialize(spark, _views(spark, sf_dir).app_log_topic.withColumn("offset", F.col("event_id")), "app_log")
+    width = F.lit(log.agg(F.max("offset")).first()[0] // 4 + 1)
+    path = scratch_path(spark, "replay-progress")
+    layout = write_replay(log, path, slices=F.floor(F.col("offset") / width))
+    src = read_topic(spark, replay_path=path, max_files_per_trigger=layout.files_per_slice)
     table = scratch_path(spark, "batch-progress")
     J.run_batch_progress(spark, src, table, scratch_path(spark, "ckpt-batch-progress"),
                          state_partitions=_state_partitions(spark))
-    return spark.read.parquet(table).select("batch_id", "n_rows")
+    return spark.read.parquet(table).select("batch_id", "n_rows", "from_offset", "until_offset")
 
 
 @query("dau_daily_partition")
 def q_dau_daily_partition(spark, sf_dir):
+    """Two loads that share days, the first repeated: no load erases another."""
     path = scratch_path(spark, "dau-daily")
-    K.write_daily(D.dau_info(_dau(spark, sf_dir)), path, "dt")
+    rows = _materialize(spark, D.dau_info(_dau(spark, sf_dir)), "dau")
+    for load in (0, 1, 0):
+        K.write_daily(rows.where(F.pmod(F.xxhash64("mid"), F.lit(2)) == load), path, load)
     return spark.read.parquet(path).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("upsert_latest")
 def q_upsert_latest(spark, sf_dir):
     """Three overlapping batches of order lines, then batch 1 replayed: the
-    replay replaces only its own output and the latest batch still wins."""
+    replay replaces only its own output and the latest batch still wins.  In a
+    batch every id comes twice; the later one wins though its value is less.
+    The table is compacted on the way."""
     d = _materialize(spark, _details(spark, sf_dir).select("id"), "upsert-src")
     table = scratch_path(spark, "upsert")
-    for b in (0, 1, 2, 1):
+    for step, b in enumerate((0, 1, 2, 1)):
         batch = d.where((F.col("id") % 3 == b) | (F.col("id") % 7 == 0)) \
-            .select("id", F.lit(f"b{b}").alias("value"))
-        K.upsert_batch(batch, table, b, "id")
+            .select("id", F.explode(F.array(F.struct(F.lit(1).alias("at"), F.lit(f"z{b}").alias("value")),
+                                            F.struct(F.lit(2).alias("at"), F.lit(f"b{b}").alias("value")))).alias("v")) \
+            .select("id", "v.*")
+        K.upsert_batch(batch, table, b, "id", "at")
+        if step == 1:
+            K.compact(spark, table, "id")
     return K.read_latest(spark, table, "id").select("id", "value")
 
 
@@ -440,10 +535,10 @@ def q_cdc_split_stream(spark, sf_dir):
     """The change-data topic replayed through the streaming split; the
     dimension table it maintains equals the batch ``dim_latest``."""
     cdc = _views(spark, sf_dir).cdc_log
-    src = _replay(spark, cdc.select("value", F.timestamp_micros("seq").alias("timestamp")), "cdc")
+    src = _replay(spark, cdc.select("value", F.timestamp_micros("seq").alias("timestamp"), F.col("seq").alias("offset")), "cdc")
     dims, facts = scratch_path(spark, "dims"), scratch_path(spark, "facts")
     J.run_cdc_split(spark, src, dims, facts, scratch_path(spark, "ckpt-cdc"),
-                    state_partitions=_state_partitions(spark))
+                    state_partitions=_state_partitions(spark), compact_every=2)
     latest = K.read_latest(spark, dims, "key")
     return latest.select("key", F.col("pk").cast("bigint").alias("id"),
                          F.get_json_object("value", "$.name").alias("name"))
@@ -451,10 +546,30 @@ def q_cdc_split_stream(spark, sf_dir):
 
 @query("order_wide_ttl_stream")
 def q_order_wide_ttl_stream(spark, sf_dir):
-    """Both order topics replayed through the stateful TTL-refresh join."""
+    """The wide rows of both order topics under the exact cache semantics."""
     v = _views(spark, sf_dir)
     o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-ttl-stream")
-    J.run_ttl_join(spark, o_src, d_src, out, scratch_path(spark, "ckpt-ttl-stream"), 600,
-                   state_partitions=_state_partitions(spark))
-    return spark.read.parquet(out).select("detail_id", "order_id")
+    J.run_order_wide_ttl(spark, o_src, d_src, lambda: (v.user_info, v.base_province), out,
+                         scratch_path(spark, "ckpt-ttl-stream"), 600, state_partitions=_state_partitions(spark))
+    return J.read_wide(spark, out)
+
+
+@query("cdc_to_wide")
+def q_cdc_to_wide(spark, sf_dir):
+    """The whole chain: snapshot envelopes of the lookups come first on the
+    change-data topic, then all changes; the split keeps the lookups and the
+    fact topics; the wide stream reads both (S6, S7, S8, T8, J1, J2, J6)."""
+    v = _views(spark, sf_dir)
+    snapshot = C.snapshot_to_envelopes(v.user_info, "user_info").unionByName(
+        C.snapshot_to_envelopes(v.base_province, "base_province"))
+    first = snapshot.select("value", F.timestamp_micros(F.lit(0)).alias("timestamp"), F.lit(0).cast("bigint").alias("offset"))
+    topic = first.unionByName(v.cdc_log.select("value", "timestamp", F.col("seq").alias("offset")))
+    dims, facts = scratch_path(spark, "chain-dims"), scratch_path(spark, "chain-facts")
+    J.run_cdc_split(spark, _replay(spark, topic, "chain"), dims, facts, scratch_path(spark, "ckpt-chain-split"),
+                    state_partitions=_state_partitions(spark))
+    out = scratch_path(spark, "chain-wide")
+    J.run_order_wide_ttl(spark, J.stream_facts(spark, facts, "DWD_ORDER_INFO_I"), J.stream_facts(spark, facts, "DWD_ORDER_DETAIL_I"),
+                         lambda: J.read_dims(spark, dims), out, scratch_path(spark, "ckpt-chain-wide"), 600,
+                         state_partitions=_state_partitions(spark))
+    return J.read_wide(spark, out)

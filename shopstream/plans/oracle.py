@@ -23,11 +23,15 @@ from events""",
 select c_custkey as id, c_name as name,
        strftime(date '1940-01-01' + cast(c_custkey * 7919 % 18000 as int), '%Y-%m-%d') as birthday,
        case when c_custkey % 11 = 0 then null when c_custkey % 2 = 0 then 'F' else 'M' end as gender
-from customer where c_custkey % 13 <> 0""",
+from customer""",
     "base_province": """
 select n_nationkey as id, n_name as name, concat('1', n_nationkey) as area_code,
        concat('ISO-', n_nationkey) as iso_code, concat('CN-', n_nationkey) as iso_3166_2
-from nation where n_nationkey <> 24""",
+from nation""",
+    # views with gaps, for the queries about unmatched rows
+    "known_users": "select * from user_info where id % 13 <> 0",
+    "known_provinces": "select * from base_province where id <> 24",
+    "arrived_orders": "select * from order_info where id % 50 <> 0",
     "all_orders": """
 select o_orderkey as id, c_nationkey as province_id, o_orderstatus as order_status,
        o_custkey as user_id, o_totalprice as total_amount,
@@ -37,7 +41,7 @@ from orders join customer on c_custkey = o_custkey""",
     "order_info": """
 select *, strftime(created, '%Y-%m-%d %H:%M:%S') as create_time,
        strftime(created, '%Y-%m-%d') as create_date, strftime(created, '%H') as create_hour
-from all_orders where id % 50 <> 0""",
+from all_orders""",
     "order_detail": """
 select d.id, d.order_id, d.sku_id, p_name as sku_name, p_retailprice as order_price,
        d.sku_num, d.split_total_amount,
@@ -83,7 +87,7 @@ from order_detail d join order_dim o on o.id = d.order_id""",
 }
 
 _ORDER = ["app_log", "user_info", "base_province", "all_orders", "order_info",
-          "order_detail", "first_visit", "dau", "order_dim", "order_wide"]
+          "known_users", "known_provinces", "arrived_orders", "order_detail", "first_visit", "dau", "order_dim", "order_wide"]
 
 
 def with_views(body: str, extra: dict | None = None) -> str:
@@ -142,33 +146,57 @@ q("dim_snapshot", "select id, birthday, gender from user_info")
 
 q("snapshot_to_envelope", """
 select 'user_info' as "table", 'INSERT' as type, cast(floor(id / 500) as bigint) as chunk,
-       count(*) as n_rows from user_info group by 3
+       count(*) as n_rows, cast(sum(id) as bigint) as id_sum, min(name) as first_name from user_info group by 3
 union all
-select 'base_province', 'INSERT', cast(floor(id / 500) as bigint), count(*) from base_province group by 3
+select 'base_province', 'INSERT', cast(floor(id / 500) as bigint), count(*), cast(sum(id) as bigint), min(name)
+from base_province group by 3
 union all
-select 'sku_info', 'INSERT', cast(floor(p_partkey / 500) as bigint), count(*) from part group by 3""")
-
-q("cdc_explode", """
-select * from (
-  select 'order_info' as tbl, 'INSERT' as typ, count(*) as n from order_info
-  union all select 'order_info', 'UPDATE', count(*) from order_info where id % 10 = 0
-  union all select 'order_info', 'DELETE', count(*) from order_info where id % 100 = 0
-  union all select 'order_info', 'CREATE', count(*) from order_info where id % 70 = 0
-  union all select 'order_detail', 'INSERT', count(*) from order_detail
-  union all select 'user_info', 'INSERT', count(*) from user_info
-  union all select 'user_info', 'UPDATE', count(*) from user_info where id % 5 = 0
-  union all select 'user_info', 'DELETE', count(*) from user_info where id % 25 = 0
-  union all select 'base_province', 'INSERT', count(*) from base_province
-  union all select 'sku_info', 'INSERT', count(*) from part) c
-where n > 0""")
-
-q("cdc_route_facts", """
-select * from (
-  select 'DWD_ORDER_INFO_I' as topic, count(*) as n from order_info
-  union all select 'DWD_ORDER_INFO_U', count(*) from order_info where id % 10 = 0
-  union all select 'DWD_ORDER_INFO_D', count(*) from order_info where id % 100 = 0
-  union all select 'DWD_ORDER_DETAIL_I', count(*) from order_detail) c
-where n > 0""")
+select 'sku_info', 'INSERT', cast(floor(p_partkey / 500) as bigint), count(*), cast(sum(p_partkey) as bigint), min(p_name)
+from part group by 3""")
+
+def _agg(table: str, typ: str, source: str, where: str = "true", name: str = "cast(null as varchar)", id_: str = "id") -> str:
+    return (f"select '{table}' as tbl, '{typ}' as typ, count(*) as n, cast(sum({id_}) as bigint) as id_sum, "
+            f"min({name}) as first_name from {source} where {where}")
+
+
+q("cdc_explode", "select * from (" + " union all ".join([
+    _agg("order_info", "INSERT", "order_info"), _agg("order_info", "UPDATE", "order_info", "id % 10 = 0"),
+    _agg("order_info", "DELETE", "order_info", "id % 100 = 0"), _agg("order_info", "CREATE", "order_info", "id % 70 = 0"),
+    _agg("order_detail", "INSERT", "order_detail"), _agg("user_info", "INSERT", "user_info", name="name"),
+    _agg("user_info", "UPDATE", "user_info", "id % 5 = 0", "name || '*'"),
+    _agg("user_info", "DELETE", "user_info", "id % 25 = 0", "name || '*'"),
+    _agg("base_province", "INSERT", "base_province", name="name"),
+    _agg("sku_info", "INSERT", "part", name="p_name", id_="p_partkey")]) + ") c where n > 0")
+
+
+def _routed(topic: str, source: str, where: str = "true") -> str:
+    return (f"select '{topic}' as topic, count(*) as n, cast(sum(id) as bigint) as id_sum, min(create_time) as first_time, "
+            f"max(create_time) as last_time from {source} where {where}")
+
+
+q("cdc_route_facts", "select * from (" + " union all ".join([
+    _routed("DWD_ORDER_INFO_I", "order_info"), _routed("DWD_ORDER_INFO_U", "order_info", "id % 10 = 0"),
+    _routed("DWD_ORDER_INFO_D", "order_info", "id % 100 = 0"), _routed("DWD_ORDER_DETAIL_I", "order_detail")])
+  + ") c where n > 0")
+
+q("cdc_quarantine", """
+select count(*) filter (where seq % 97 <> 0) as n_ok, count(*) filter (where seq % 97 = 0) as n_bad
+from (select id * 10 + 1 as seq from order_info
+      union all select id * 10 + 2 from order_info where id % 10 = 0
+      union all select id * 10 + 3 from order_info where id % 100 = 0
+      union all select id * 10 + 4 from order_info where id % 70 = 0
+      union all select distinct id // 100 * 10 + 5 from order_detail
+      union all select id * 10 + 1 from user_info
+      union all select id * 10 + 2 from user_info where id % 5 = 0
+      union all select id * 10 + 3 from user_info where id % 25 = 0
+      union all select 6
+      union all select distinct p_partkey // 100 * 10 + 7 from part) s""")
+
+q("order_quarantine", """
+select 'order' as topic, count(*) filter (where id % 97 > 2) as n_ok, count(*) filter (where id % 97 <= 2) as n_bad
+from order_info
+union all
+select 'line', count(*) filter (where id % 97 > 2), count(*) filter (where id % 97 <= 2) from order_detail""")
 
 q("dim_latest", """
 select 'DIM:USER_INFO:' || id as key, id,
@@ -194,7 +222,8 @@ from order_detail""")
 q("order_dim_join", """
 select id, user_age, user_gender, province_name, province_area_code, province_iso_code,
        province_3166_2_code
-from order_dim""")
+from order_gap""", {"order_gap": VIEWS["order_dim"].replace("join user_info", "join known_users")
+                    .replace("join base_province", "join known_provinces")})
 
 q("order_inner", """
 select o.id as order_id, d.id as detail_id, 'both' as side
@@ -204,7 +233,7 @@ q("order_full_outer", """
 select coalesce(o.id, d.order_id) as order_id, d.id as detail_id,
        case when o.id is null then 'detail_only' when d.id is null then 'order_only'
             else 'both' end as side
-from order_info o full outer join order_detail d on o.id = d.order_id""")
+from arrived_orders o full outer join order_detail d on o.id = d.order_id""")
 
 q("order_wide", "select * from order_wide")
 
@@ -226,19 +255,26 @@ select id as detail_id, order_id from j where arr >= to_ and arr - to_ < interva
 union all
 select id as detail_id, order_id from bef2 where mg < interval 600 second""", _TTL_EXTRA)
 
-q("order_wide_ttl_stream", """
-select id as detail_id, order_id from j where arr >= to_ and arr - to_ < interval 600 second
+_TTL_IDS = """select id as detail_id from j where arr >= to_ and arr - to_ < interval 600 second
 union all
-select id as detail_id, order_id from bef2 where mg < interval 600 second""", _TTL_EXTRA)
+select id from bef2 where mg < interval 600 second"""
+
+q("order_wide_ttl_stream", f"select * from order_wide where detail_id in ({_TTL_IDS})", _TTL_EXTRA)
+
+# lines reach the topic with the first line of their envelope
+q("cdc_to_wide", f"select * from order_wide where detail_id in ({_TTL_IDS})",
+  _TTL_EXTRA | {"j": "select d.id, d.order_id, min(d.arr) over (partition by d.id // 100) as arr, o.arr as to_ "
+                     "from order_detail d join order_info o on o.id = d.order_id"})
 
 q("orphan_details", """
-select d.id from order_detail d where not exists (select 1 from order_info o where o.id = d.order_id)""")
+select d.id from order_detail d where not exists (select 1 from arrived_orders o where o.id = d.order_id)""")
 
 q("orphan_orders", """
 select o.id from order_info o where not exists (select 1 from order_detail d where d.order_id = o.id)""")
 
 # --- search and sales
-_TOK = "list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
+_TOK = ("list_filter(regexp_split_to_array(regexp_replace(lower(coalesce({x}, '')), '(\\p{{Han}})', ' \\1 ', 'g'), "
+        "'[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')")
 
 
 def tok(x: str) -> str:
@@ -276,6 +312,11 @@ from catalog
 where list_contains(tok, 'red') and list_contains([p_brand, p_type], 'Brand#17')
 order by score desc, id limit 20""", _CATALOG)
 
+q("search_documents", f"""
+select doc_id, cast(len(hits) as bigint) as n_hits
+from (select doc_id, list_filter({tok('text')}, lambda t: t in ('nicht', 'été', 'red', 'идти')) as hits from documents) d
+where len(hits) > 0""")
+
 q("search_ranked", """
 select doc_id, round(score, 4) as bm25 from (
   select doc_id,
@@ -320,16 +361,27 @@ q("sale_age_terms", "select * from ages", _SALE)
 q("sale_gender_terms", "select * from genders", _SALE)
 
 q("sale_age_share", f"""
-select 'under 20' as name, {_pct('(select sum(ct) from ages where user_age < 20)')} as value
+select 'under 20' as name, {_pct('(select count(*) from m where user_age < 20)')} as value
 union all
-select '20 to 29', {_pct('(select sum(ct) from ages where user_age >= 20 and user_age < 30)')}
+select '20 to 29', {_pct('(select count(*) from m where user_age >= 20 and user_age < 30)')}
 union all
-select '30 and over', {_pct('(select sum(ct) from ages where user_age >= 30)')}""", _SALE)
+select '30 and over', {_pct('(select count(*) from m where user_age >= 30)')}""", _SALE)
 
 q("sale_gender_share", f"""
-select 'male' as name, {_pct("(select sum(ct) from genders where user_gender = 'M')")} as value
+select 'male' as name, {_pct("(select count(*) from m where user_gender = 'M')")} as value
+union all
+select 'female', {_pct("(select count(*) from m where user_gender = 'F')")}""", _SALE)
+
+q("sale_stat_json", f"""
+select 'total' as part, '' as name, cast(count(*) as double) as value from m
+union all select 'gender share', 'male', {_pct("(select count(*) from m where user_gender = 'M')")}
+union all select 'gender share', 'female', {_pct("(select count(*) from m where user_gender = 'F')")}
+union all select 'age share', 'under 20', {_pct('(select count(*) from m where user_age < 20)')}
+union all select 'age share', '20 to 29', {_pct('(select count(*) from m where user_age >= 20 and user_age < 30)')}
+union all select 'age share', '30 and over', {_pct('(select count(*) from m where user_age >= 30)')}
 union all
-select 'female', {_pct("(select sum(ct) from genders where user_gender = 'F')")}""", _SALE)
+select 'detail', cast(detail_id as varchar), cast(sku_num as double)
+from (select detail_id, sku_num from m order by detail_id limit 20 offset 20) p""", _SALE)
 
 q("province_sales", """
 select province_name, cast(sum(sku_num) as bigint) as sku_num,
@@ -342,12 +394,32 @@ q("src_topic_replay", """
 select case when has_page then event_type end as page_id, count(*) as n
 from app_log group by 1""")
 
-q("dau_dedup_stream", "select dt, mid from dau")
+q("dau_dedup_stream", "select dt, mid, hr, event_id from dau")
 
 q("order_wide_stream", """
-select d.id as detail_id, d.order_id
-from order_detail d join order_info o on o.id = d.order_id
-where d.arr > o.arr - interval 600 second and d.arr < o.arr + interval 600 second""")
+select * from order_wide where detail_id in (
+  select d.id from order_detail d join order_info o on o.id = d.order_id
+  where d.arr > o.arr - interval 600 second and d.arr < o.arr + interval 600 second)""")
+
+q("batch_progress", """
+select event_id // w as batch_id, count(*) as n_rows, min(event_id) as from_offset, max(event_id) + 1 as until_offset
+from events, (select max(event_id) // 4 + 1 as w from events) x group by 1""")
+
+# the last day of the log, and the day after it
+_DAYS = {"days": "select max(dt) as d, strftime(cast(max(dt) as date) + interval 1 day, '%Y-%m-%d') as e from app_log",
+         "firsts": "select mid, min(dt) as dt from dau group by mid"}
+q("realtime_total", """
+select 'last' as day, 'dau' as id, (select count(*) from dau, days where dt = d) as value
+union all select 'last', 'new_mid', (select count(*) from firsts, days where dt = d)
+union all select 'after', 'dau', 0
+union all select 'after', 'new_mid', 0""", _DAYS)
+
+q("realtime_hour", """
+select g.dt, g.hr, (select count(*) from dau where dau.dt = g.dt and dau.hr = g.hr) as today,
+       (select count(*) from dau where dau.dt = strftime(cast(g.dt as date) - interval 1 day, '%Y-%m-%d') and dau.hr = g.hr)
+         as yesterday
+from (select t.dt, lpad(cast(h as varchar), 2, '0') as hr
+      from (select d as dt from days union all select e from days) t, range(0, 24) r(h)) g""", _DAYS)
 
 q("cdc_split_stream", """
 select 'DIM:USER_INFO:' || id as key, id,

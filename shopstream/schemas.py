@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 # Application log message: {common:{mid,uid,ar,ch,vc}, page:{page_id,last_page_id}, ts}
 # ``event_id`` is the message id carried with every record (the topic offset
-# plays that role on a broker); ``ts`` is epoch milliseconds.
+# plays that role on a broker); ``ts`` is epoch milliseconds, as a number or as
+# text.
 APP_LOG = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("common", T.StructType([
@@ -20,13 +21,16 @@ APP_LOG = T.StructType([
         T.StructField("page_id", T.StringType()),
         T.StructField("last_page_id", T.StringType()),
     ])),
-    T.StructField("ts", T.LongType()),
+    T.StructField("ts", T.StringType()),
 ])
 
-# One record of a topic replay: the payload and the broker timestamp.
+# One record of a topic: the payload, the broker timestamp, and its place.  A
+# replay without places leaves them null.
 TOPIC_RECORD = T.StructType([
     T.StructField("value", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
 ])
 
 # Change-data envelope.  Row images are open maps of strings: change feeds
@@ -38,7 +42,8 @@ CDC_ENVELOPE = T.StructType([
     T.StructField("pkNames", T.ArrayType(T.StringType())),
 ])
 
-# Typed beans: (name, Spark SQL type, default when absent or unparsable).
+# Fields of the order messages, in their order and spelling.
+# (name, Spark SQL type, default when absent or unparsable).
 # A default of None means the column stays null.
 ORDER_INFO_FIELDS = [
     ("id", "bigint", 0),
@@ -72,7 +77,7 @@ ORDER_DETAIL_FIELDS = [
 
 DAU_INFO_COLUMNS = ["mid", "uid", "ar", "ch", "vc", "dt", "hr", "ts"]
 
-# Column order of the wide row: line columns, then order columns, then the
+# Column order of the wide row: line columns, then order columns, then the
 # dimension columns looked up for the order.
 ORDER_WIDE_COLUMNS = [
     "detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name",

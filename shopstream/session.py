@@ -7,7 +7,6 @@ it is unset (local tests), never to a machine-local folder on a cluster.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,13 +66,16 @@ def build_session(master: str | None = None, app: str = "shopstream",
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables, stream checkpoints and replays.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (tests,
-    local runs) creates a fresh folder and registers it as the checkpoint dir.
+    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise, on a
+    local master only (tests), creates a fresh folder and registers it as the
+    checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder all executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -81,8 +83,6 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the scratch root for one run of ``name``."""
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A new, unique folder under the scratch root for one run of ``name``;
+    Spark creates it with what is written first."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

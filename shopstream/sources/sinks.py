@@ -2,12 +2,16 @@
 
 Upserts (S9, D4) write each micro-batch into its own ``batch_id=N``
 partition with dynamic partition overwrite, so a replayed batch replaces its
-own earlier output and nothing else; readers take the row of the highest
-batch per id.  No MERGE-capable table format is needed.
+own earlier output and nothing else; readers take the row of the latest run
+and batch per id, from a compacted base and the batches after it.  No
+MERGE-capable table format is needed.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,35 +35,79 @@ def write_fact_topics(facts: DataFrame, path: str | None = None,
     facts.select(*cols).write.mode("append").partitionBy("topic").json(path)
 
 
-def upsert_batch(df: DataFrame, table_path: str, batch_id: int, id_col: str,
-                 order_col: str | None = None) -> None:
+def _keys(id_col: str | list[str]) -> list[str]:
+    return [id_col] if isinstance(id_col, str) else list(id_col)
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> int:
+    """The run a checkpoint belongs to: kept beside it, so a restart goes on
+    with it, while a new checkpoint gets a greater one.  Batch ids start at 0
+    under a new checkpoint; the run tells its batches from older ones."""
+    path = f"{checkpoint}.run"
+    spark.createDataFrame([], "run long").write.mode("append").parquet(path)
+    old = spark.read.schema("run long").parquet(path).agg(F.max("run")).first()[0]
+    if old is None:
+        old = time.time_ns() // 1000
+        spark.createDataFrame([(old,)], "run long").write.mode("append").parquet(path)
+    return old
+
+
+def upsert_batch(df: DataFrame, table_path: str, batch_id: int, id_col: str | list[str],
+                 order_col: str, run: int = 0, by: list[str] | None = None) -> None:
     """Write one batch of documents keyed by ``id_col``.
 
-    Within the batch the last row per id wins (by ``order_col`` when given);
-    the ``max_by`` is combined map-side.  Re-running the same ``batch_id``
-    overwrites only that batch's partition."""
-    cols = [c for c in df.columns if c != id_col]
-    if order_col:
-        d = df.groupBy(id_col).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("r"))
-    else:
-        d = df.groupBy(id_col).agg(F.max(F.struct(*cols)).alias("r"))
-    d = d.select(id_col, "r.*").withColumn("batch_id", F.lit(int(batch_id)))
+    Within the batch the row of the greatest ``order_col`` per id wins; the
+    ``max_by`` is combined map-side.  Re-running the same batch of a run
+    overwrites only that batch's partitions.  ``by`` are further partition
+    columns, such as the day (S14); they must be part of the key."""
+    keys = _keys(id_col)
+    cols = [c for c in df.columns if c not in keys]
+    d = (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(F.col(order_col), *cols)).alias("r"))
+         .select(*keys, "r.*").withColumns({"run": F.lit(int(run)).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")}))
     (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(table_path))
+     .partitionBy(*(by or []), "run", "batch_id").parquet(table_path))
 
 
-def read_latest(spark: SparkSession, table_path: str, id_col: str) -> DataFrame:
-    """Latest document per id across all written batches."""
-    t = spark.read.parquet(table_path)
-    cols = [c for c in t.columns if c not in (id_col, "batch_id")]
-    g = t.groupBy(id_col).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("r"))
-    return g.select(id_col, "r.*")
+_BASES = "run long, batch_id long, path string"
+
+
+def _bases(spark: SparkSession, table_path: str) -> DataFrame:
+    path = f"{table_path}.bases"
+    spark.createDataFrame([], _BASES).write.mode("append").parquet(path)
+    return spark.read.schema(_BASES).parquet(path)
 
 
-def compact(spark: SparkSession, table_path: str, out_path: str, id_col: str) -> None:
-    """Rewrite the latest image of every id as a single batch table."""
-    read_latest(spark, table_path, id_col).withColumn("batch_id", F.lit(0)) \
-        .write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
+def _rows_since_base(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest base of a table and the batches written after it."""
+    t = spark.read.parquet(table_path)
+    base = _bases(spark, table_path).orderBy(F.col("run").desc(), F.col("batch_id").desc()).first()
+    if base is None:
+        return t
+    after = (F.col("run") > base.run) | (F.col("run") == base.run) & (F.col("batch_id") > base.batch_id)
+    return spark.read.schema(t.schema).parquet(base.path).unionByName(t.where(after))
+
+
+def read_latest(spark: SparkSession, table_path: str, id_col: str | list[str]) -> DataFrame:
+    """Latest document per id: the newest base and all batches after it."""
+    t, keys = _rows_since_base(spark, table_path), _keys(id_col)
+    cols = [c for c in t.columns if c not in (*keys, "run", "batch_id")]
+    g = t.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct("run", "batch_id")).alias("r"))
+    return g.select(*keys, "r.*")
+
+
+def compact(spark: SparkSession, table_path: str, id_col: str | list[str]) -> None:
+    """Write the latest image of every id as a new base; readers take it once
+    it is complete and listed, and skip the batches it holds.  Old batches stay
+    for readers that began before."""
+    t, keys = _rows_since_base(spark, table_path), _keys(id_col)
+    upto = spark.read.parquet(table_path).agg(F.max(F.struct("run", "batch_id")).alias("m")).first().m
+    if upto is None:
+        return
+    path = f"{table_path}.base-{upto.run}-{upto.batch_id}-{uuid.uuid4().hex[:8]}"
+    cols = [c for c in t.columns if c not in keys]
+    latest = t.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct("run", "batch_id")).alias("r")).select(*keys, "r.*")
+    latest.select(*t.columns).write.parquet(path)
+    (spark.createDataFrame([(upto.run, upto.batch_id, path)], _BASES).write.mode("append").parquet(f"{table_path}.bases"))
 
 
 def append_docs(df: DataFrame, path: str, id_col: str = "doc_uuid") -> None:
@@ -67,17 +115,17 @@ def append_docs(df: DataFrame, path: str, id_col: str = "doc_uuid") -> None:
     df.withColumn(id_col, F.expr("uuid()")).write.mode("append").parquet(path)
 
 
-def write_daily(df: DataFrame, path: str, day_col: str = "dt",
-                load_date: str | None = None) -> None:
-    """Write rows into one partition per day.
+def write_daily(df: DataFrame, path: str, load_id: str | int, day_col: str = "dt") -> None:
+    """Write rows into one partition per day and load.
 
     The reference names the table after the processing date; the event day
-    ``day_col`` is the partition key here and the processing date is kept
-    as ``load_date``.  Rows are not repartitioned by day, so a day holding a
-    large share of the rows is still written by many tasks."""
-    ld = F.lit(load_date) if load_date else F.date_format(F.current_date(), "yyyy-MM-dd")
-    (df.withColumn("load_date", ld).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path))
+    ``day_col`` is the partition key here, and ``load_id`` names the load (a
+    processing date, a batch).  A load that is repeated replaces its own rows;
+    no load touches another one's, so late rows of a day are added to it.  The
+    rebalance hint gives each day few files; a large day is split."""
+    loaded = df.withColumn("load_id", F.lit(str(load_id))).hint("rebalance", F.col(day_col))
+    (loaded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(day_col, "load_id").parquet(path))
 
 
 def read_day(spark: SparkSession, path: str, day: str, day_col: str = "dt") -> DataFrame:

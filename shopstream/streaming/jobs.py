@@ -12,26 +12,31 @@ from __future__ import annotations
 
 import contextlib
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from shopstream.operators import cdc as C
 from shopstream.operators import dau as D
 from shopstream.operators import orders as O
-from shopstream.schemas import DIM_TABLES
-from shopstream.sources.sinks import upsert_batch
-from shopstream.streaming.ttl_state import ttl_join_stream
+from shopstream.operators.joins import broadcast_if_bounded
+from shopstream.schemas import DIM_TABLES, ORDER_WIDE_COLUMNS
+from shopstream.sources.sinks import compact, read_latest, run_id, upsert_batch
 
 REPLAY = {"availableNow": True}
 SERVICE = {"processingTime": "5 seconds"}
 
 
-def finish(q: StreamingQuery, timeout_s: int) -> StreamingQuery:
-    """Wait for an availableNow query; stop it and fail if it overruns."""
-    done = q.awaitTermination(timeout_s)
-    if not done:
+def finish(q: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an availableNow query, as long as it takes unless the caller
+    sets a limit; stop it and fail if it overruns that."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"streaming query {q.name} did not finish in {timeout_s}s")
     if q.exception():
@@ -39,11 +44,27 @@ def finish(q: StreamingQuery, timeout_s: int) -> StreamingQuery:
     return q
 
 
-def dropped_by_watermark(q: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as later than the watermark, over
-    the batches still in the query's progress history (T7)."""
-    return sum(int(op.get("numRowsDroppedByWatermark", 0))
-               for p in q.recentProgress for op in p.get("stateOperators", []))
+class LateRows(StreamingQueryListener):
+    """Rows that stateful operators dropped as later than the watermark (T7),
+    over every batch of every query, by query id; a query's own progress keeps
+    its last batches only."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        late = sum(int(op.numRowsDroppedByWatermark) for op in p.stateOperators)
+        self.dropped[str(p.id)] = self.dropped.get(str(p.id), 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
 
 
 @contextlib.contextmanager
@@ -103,125 +124,230 @@ def dau_stream(topic: DataFrame, tz: str = "UTC", delay: str = "24 hours") -> Da
 
 
 def run_dau(spark: SparkSession, topic: DataFrame, sink_path: str, checkpoint: str,
-            trigger: dict | None = None, timeout_s: int = 600,
-            state_partitions: int | None = None) -> StreamingQuery:
-    q = start(dau_stream(topic), sink_path, checkpoint, name="dau_dedup", trigger=trigger,
-              state_partitions=state_partitions)
+            trigger: dict | None = None, timeout_s: float | None = None,
+            state_partitions: int | None = None, tz: str = "UTC", delay: str = "24 hours") -> StreamingQuery:
+    """Daily actives into one partition per day, upserted by device.
+    Read with ``read_latest(spark, sink_path, ["dt", "mid"])``."""
+    run = run_id(spark, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_batch(batch, sink_path, batch_id, ["dt", "mid"], "ts", run, by=["dt"])
+
+    return _run(spark, dau_stream(topic, tz, delay), write, checkpoint, "dau_dedup", trigger, timeout_s, state_partitions)
+
+
+def _run(spark, df: DataFrame, write, checkpoint: str, name: str, trigger, timeout_s, state_partitions,
+         output_mode: str = "append") -> StreamingQuery:
+    """Start a checkpointed ``foreachBatch`` query; wait for it if it ends."""
+    w = (df.writeStream.outputMode(output_mode).queryName(unique_name(name))
+         .option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**(trigger or REPLAY)))
+    with query_conf(spark, _start_conf(state_partitions)):
+        q = w.start()
     return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
 
 
 # ------------------------------------------------------------- order-wide join
+Dims = Callable[[], tuple[DataFrame, DataFrame]]
+WIDE_KEY = ["create_date", "detail_id"]
+
+
+def _enriched(joined: DataFrame, dims: Dims) -> DataFrame:
+    """Wide rows with the dimensions as they are now.  ``dims`` is called for
+    every micro-batch, inside which AQE is at work; of the users only those of
+    the batch go on to the join."""
+    users, provinces = dims()
+    ids = broadcast_if_bounded(joined.select(F.col("o_user_id").alias("_uid")).distinct())
+    users = users.join(ids, users.id == F.col("_uid"), "left_semi")
+    o = joined.select(*[F.col(c).alias(c[2:]) for c in joined.columns if c.startswith("o_")]).distinct()
+    wide = O.enrich_orders(o.where("id is not null"), users, provinces).select(
+        F.col("id").alias("_oid"), F.col("arr").alias("_oarr"), *[F.col(c).alias(f"o_{c}") for c in O.DIM_COLUMNS])
+    # one order row per order id and arrival, so this joins the lines to it
+    return joined.join(wide, (F.col("o_id") == F.col("_oid")) & (F.col("o_arr") == F.col("_oarr"))).drop("_oid", "_oarr")
+
+
+def _write_wide(joined: DataFrame, dims: Dims, table_path: str, batch_id: int, run: int) -> None:
+    """Upsert wide rows by line into one partition per order day (S9, S14,
+    D4); of several arrivals of an order the last one counts."""
+    rows = _enriched(joined, dims)
+    wide = O.merge_wide(rows, "o_arr")
+    upsert_batch(wide, table_path, batch_id, WIDE_KEY, "o_arr", run, by=["create_date"])
+
+
+def read_wide(spark: SparkSession, table_path: str) -> DataFrame:
+    """The wide rows that a stream has written, one per line."""
+    return read_latest(spark, table_path, WIDE_KEY).select(*ORDER_WIDE_COLUMNS)
+
+
 def order_wide_stream(order_topic: DataFrame, detail_topic: DataFrame,
-                      users: DataFrame, provinces: DataFrame,
                       ttl_seconds: int = 600, delay: str = "10 minutes") -> DataFrame:
-    """Two topics in one query (T5): orders enriched with the current
-    dimension tables (stream-static joins, re-read every micro-batch),
-    joined with their lines when the arrivals are less than ``ttl`` apart
-    (J5).  State of either side is dropped once the watermark passes
-    ``arr + ttl`` (T3); unmatched rows expire without output (J7)."""
+    """Two topics in one query (T5): lines joined with their orders when the
+    arrivals are less than ``ttl`` apart (J5).  State of either side is dropped
+    once the watermark passes ``arr + ttl`` (T3); unmatched rows expire without
+    output (J7)."""
     orders = O.parse_order_info(order_topic).withWatermark("arr", delay)
     details = O.parse_order_detail(detail_topic).withWatermark("arr", delay)
-    enriched = O.enrich_orders(orders, users, provinces)
-    return O.merge_wide(O.interval_join(enriched, details, ttl_seconds))
+    return O.interval_join(orders, details, ttl_seconds)
 
 
 def run_order_wide(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame,
-                   users: DataFrame, provinces: DataFrame, sink_path: str, checkpoint: str,
-                   trigger: dict | None = None, timeout_s: int = 900,
-                   state_partitions: int | None = None) -> StreamingQuery:
-    wide = order_wide_stream(order_topic, detail_topic, users, provinces)
-    q = start(wide, sink_path, checkpoint, name="order_wide", trigger=trigger,
-              state_partitions=state_partitions)
-    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+                   dims: Dims, table_path: str, checkpoint: str, trigger: dict | None = None,
+                   timeout_s: float | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """The interval form (J5): a stream-stream join, which approximates the
+    cache semantics; ``run_order_wide_ttl`` has them exactly."""
+    run = run_id(spark, checkpoint)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_wide(batch, dims, table_path, batch_id, run)
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    return _run(spark, order_wide_stream(order_topic, detail_topic), write, checkpoint, "order_wide", trigger, timeout_s,
+                state_partitions)
 
 
-def run_ttl_join(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame,
-                 sink_path: str, checkpoint: str, ttl_seconds: int = 600,
-                 trigger: dict | None = None, timeout_s: int = 1800,
-                 state_partitions: int | None = None) -> StreamingQuery:
-    """The exact cache-semantics join (J6) over both order topics.
+ARRIVED = "slot long, run long, batch_id long"
+SLOT_SECONDS = 3600
 
-    Keyed state of ``transformWithState`` needs the RocksDB state store; the
-    provider is set for this query only (a query copies the session conf when
-    it starts) and the session's own setting is restored afterwards."""
-    joined = ttl_join_stream(O.parse_order_info(order_topic), O.parse_order_detail(detail_topic),
-                             ttl_seconds)
-    q = start(joined, sink_path, checkpoint, name="order_wide_ttl", trigger=trigger,
-              state_partitions=state_partitions,
-              conf={"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER})
-    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+
+def _arrive(rows: DataFrame, path: str, run: int, batch_id: int) -> None:
+    """Keep the rows of a batch by hour of arrival; a repeated batch replaces
+    its own."""
+    slot = F.floor(F.unix_micros("arr") / (SLOT_SECONDS * 1_000_000)).cast("long")
+    (rows.withColumns({"slot": slot, "run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "run", "batch_id").parquet(path))
+
+
+def run_order_wide_ttl(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame, dims: Dims,
+                       table_path: str, checkpoint: str, ttl_seconds: int = 600, horizon_seconds: int = 86_400,
+                       trigger: dict | None = None, timeout_s: float | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery:
+    """The wide stream under the exact cache semantics.
+
+    The topics need not be in step.  Every micro-batch adds its orders and
+    lines to tables by hour of arrival; for the orders it touches, all rows
+    kept are joined by the batch rule (``O.ttl_join``).  More rows only add
+    matches, so whatever is found holds, and each match is found in the batch
+    that brings the last row it needs; repeats are upserted by line.
+
+    ``horizon_seconds`` takes the place of a watermark: rows that arrived so
+    much earlier than a batch's first row are not looked at, and the hours
+    before it may be deleted.  The joins run with AQE, which splits a hot
+    order; no state is kept in task memory.  Bad messages go to
+    ``<table_path>.bad``."""
+    run = run_id(spark, checkpoint)
+    orders_path, lines_path, bad_path = (f"{table_path}.{x}" for x in ("orders", "lines", "bad"))
+    both = order_topic.select(F.lit("order").alias("kind"), "value", "timestamp").unionByName(
+        detail_topic.select(F.lit("line").alias("kind"), "value", "timestamp"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            orders, lines = batch.where("kind = 'order'"), batch.where("kind = 'line'")
+            bad = F.when(F.col("kind") == "order", O.is_bad_order()).otherwise(O.is_bad_detail())
+            (batch.where(bad).withColumns({"run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch_id").parquet(bad_path))
+            orders, lines = O.parse_order_info(orders), O.parse_order_detail(lines)
+            _arrive(orders, orders_path, run, batch_id)
+            _arrive(lines, lines_path, run, batch_id)
+            touched = orders.select("id").union(lines.select("order_id")).distinct()
+            first = batch.agg(F.min(F.unix_seconds("timestamp"))).first()[0]
+            if first is None:
+                return
+            kept = lambda path, like: (spark.read.schema(StructType(
+                like.schema.fields + StructType.fromDDL(ARRIVED).fields)).parquet(path)
+                .where(F.col("slot") >= (first - horizon_seconds) // SLOT_SECONDS).drop("slot", "run", "batch_id"))
+            ids = broadcast_if_bounded(touched)
+            o = kept(orders_path, orders).join(ids, "id", "left_semi").dropDuplicates(["id", "arr"])
+            d = kept(lines_path, lines).join(ids.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+            _write_wide(O.ttl_join(o, d, ttl_seconds), dims, table_path, batch_id, run)
+        finally:
+            batch.unpersist()
+
+    return _run(spark, both, write, checkpoint, "order_wide_ttl", trigger, timeout_s, state_partitions)
 
 
 # ------------------------------------------------------- topic bookkeeping
-def run_topic_counts(spark: SparkSession, topic: DataFrame, key: str, sink_path: str,
+def run_topic_counts(spark: SparkSession, topic: DataFrame, key: str, table_path: str,
                      checkpoint: str, trigger: dict | None = None,
-                     timeout_s: int = 600, state_partitions: int | None = None) -> StreamingQuery:
-    """Running count of parsed log records per ``key`` (S1).  Complete-mode
-    aggregate; every micro-batch rewrites the result table in place."""
+                     timeout_s: float | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Running count of parsed log records per ``key`` (S1), upserted by key:
+    a batch writes the counts it changed, so readers always see a whole table."""
     counts = D.parse_app_log(topic).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    run = run_id(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink_path)
+        upsert_batch(batch, table_path, batch_id, key, "n", run)
 
-    w = (counts.writeStream.outputMode("complete").queryName(unique_name("topic_counts"))
-         .option("checkpointLocation", checkpoint).foreachBatch(write)
-         .trigger(**(trigger or REPLAY)))
-    with query_conf(spark, _start_conf(state_partitions)):
-        q = w.start()
-    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return _run(spark, counts, write, checkpoint, "topic_counts", trigger, timeout_s, state_partitions, "update")
 
 
 def run_batch_progress(spark: SparkSession, topic: DataFrame, table_path: str,
                        checkpoint: str, trigger: dict | None = None,
-                       timeout_s: int = 600, state_partitions: int | None = None) -> StreamingQuery:
-    """Record ``(batch_id, n_rows)`` of every micro-batch.
+                       timeout_s: float | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Record ``(batch_id, n_rows)`` and the offset range of each topic
+    partition of every micro-batch (S4, T4).
 
-    ``foreachBatch`` hands the batch id to the sink; the count is written as
+    ``foreachBatch`` hands the batch id to the sink; the rows are written as
     that batch's partition, so a batch replayed after a failure rewrites its
-    own row instead of adding one."""
+    own rows instead of adding some."""
+    run = run_id(spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch.agg(F.count(F.lit(1)).alias("n_rows"))
-                     .withColumn("k", F.lit(0)), table_path, batch_id, "k")
+        ranges = batch.groupBy(F.coalesce("partition", F.lit(0)).alias("partition")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min("offset").alias("from_offset"), F.max("offset").alias("until_offset"))
+        upsert_batch(ranges.withColumn("until_offset", F.col("until_offset") + 1), table_path, batch_id, "partition", "n_rows", run)
 
-    w = (topic.writeStream.queryName(unique_name("batch_progress"))
-         .option("checkpointLocation", checkpoint).foreachBatch(write)
-         .trigger(**(trigger or REPLAY)))
-    with query_conf(spark, _start_conf(state_partitions)):
-        q = w.start()
-    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return _run(spark, topic, write, checkpoint, "batch_progress", trigger, timeout_s, state_partitions)
 
 
 # ----------------------------------------------------------- change-data split
+DIM_KEY = "key"
+
+
 def run_cdc_split(spark: SparkSession, cdc_topic: DataFrame, dim_table: str, fact_path: str,
                   checkpoint: str, dims=DIM_TABLES, trigger: dict | None = None,
-                  timeout_s: int = 900, state_partitions: int | None = None) -> StreamingQuery:
+                  timeout_s: float | None = None, state_partitions: int | None = None,
+                  compact_every: int = 100) -> StreamingQuery:
     """Split a change-data topic per micro-batch.
 
     Dimension rows are reduced to the latest image per key within the batch
-    and upserted into ``dim_table`` as that batch's partition; fact rows are
-    written to ``fact_path/topic=.../batch_id=...``.  Both outputs of a
-    replayed batch replace themselves, so the query is restart-safe.  A
-    snapshot bootstrap is simply the snapshot envelopes placed first on the
-    topic (S6).  Arrival order is the topic timestamp."""
+    and upserted into ``dim_table``; fact rows are written to
+    ``fact_path/run=.../batch_id=...``, all topics of a batch together.
+    Outputs of a replayed batch replace themselves, so the query is
+    restart-safe.  A snapshot bootstrap is the snapshot envelopes placed first
+    on the topic (S6).  Changes of a row are in one topic partition, in order
+    of offset; a replay without offsets goes by its timestamps.  Every
+    ``compact_every`` batches the dimension table gets a new base.  Bad
+    envelopes go to ``<fact_path>.bad``."""
+    run = run_id(spark, checkpoint)
+    stamp = {"run": F.lit(run).cast("long")}
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        env = C.parse_envelopes(batch.select("value", F.unix_micros("timestamp").alias("seq")))
-        env.persist()  # two outputs from one parse (T6)
+        here = stamp | {"batch_id": F.lit(int(batch_id)).cast("long")}
+        seq = F.coalesce("offset", F.unix_micros("timestamp"))
+        batch.persist()
         try:
-            facts = C.route_facts(env, dims).withColumn("batch_id", F.lit(int(batch_id)))
-            (facts.select("topic", "value", "seq", "batch_id").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("topic", "batch_id").parquet(fact_path))
-            latest = C.dim_latest(env, dims).select("key", "table", "pk", "type", "value")
-            upsert_batch(latest, dim_table, batch_id, "key")
-        finally:
+            env = C.parse_envelopes(batch.select("value", "timestamp", seq.alias("seq"))).persist()  # two outputs (T6)
+            out = lambda df, path: (df.withColumns(here).write.mode("overwrite")
+                                    .option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch_id").parquet(path))
+            out(batch.where(C.is_bad_envelope()), f"{fact_path}.bad")
+            out(C.route_facts(env, dims).select("topic", "value", "seq", "timestamp"), fact_path)
+            latest = C.dim_latest(env, dims).select("key", "table", "pk", "type", "value").withColumn("seq", F.lit(0))
+            upsert_batch(latest, dim_table, batch_id, DIM_KEY, "seq", run)
             env.unpersist()
+        finally:
+            batch.unpersist()
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact(spark, dim_table, DIM_KEY)
 
-    w = (cdc_topic.writeStream.queryName(unique_name("cdc_split"))
-         .option("checkpointLocation", checkpoint).foreachBatch(write)
-         .trigger(**(trigger or REPLAY)))
-    with query_conf(spark, _start_conf(state_partitions)):
-        q = w.start()
-    return finish(q, timeout_s) if (trigger or REPLAY) == REPLAY else q
+    return _run(spark, cdc_topic, write, checkpoint, "cdc_split", trigger, timeout_s, state_partitions)
+
+
+def read_dims(spark: SparkSession, dim_table: str) -> tuple[DataFrame, DataFrame]:
+    """The user and province lookups as the split has them now."""
+    return C.dim_tables(read_latest(spark, dim_table, DIM_KEY))
+
+
+def stream_facts(spark: SparkSession, fact_path: str, topic: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """One fact topic of the split as a stream of topic records."""
+    return (spark.readStream.schema("topic string, value string, seq long, timestamp timestamp, run long, batch_id long")
+            .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(fact_path).where(F.col("topic") == topic)
+            .select("value", "timestamp", F.col("seq").alias("offset")))

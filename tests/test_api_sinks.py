@@ -29,6 +29,23 @@ def test_realtime_total_and_hour_dispatch(spark):
     assert len(api.today()) == 10
 
 
+def test_requests_for_a_day_without_rows(spark):
+    for dau in (_dau(spark), _dau(spark).limit(0)):
+        t = {r.id: r.value for r in api.realtime_total(dau, "2030-01-01").collect()}
+        assert t == {"dau": 0, "new_mid": 0}
+        h = api.realtime_hour("dau", dau, "2030-01-01").collect()
+        assert [r.hr for r in h] == [f"{k:02d}" for k in range(24)] and not any(r.today + r.yesterday for r in h)
+
+
+def test_hour_request_reads_two_days_only(spark):
+    path = scratch_path(spark, "t-hour-days")
+    K.write_daily(_dau(spark), path, 0)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        api.realtime_hour("dau", spark.read.parquet(path), "2024-01-02").explain()
+    assert "PartitionFilters: [dt" in buf.getvalue().replace("cast(dt", "dt").replace("(dt", "dt") or "PartitionFilters: [cast(dt" in buf.getvalue()
+
+
 def test_sale_detail_json(spark):
     wide = spark.createDataFrame(
         [(i, 1, "red widget" if i % 2 else "blue gear", 1, 1.0, 15 + i, "M" if i % 3 else "F",
@@ -56,9 +73,9 @@ def test_fact_topics_and_day_tables(spark):
     assert sorted(r.key for r in spark.read.json(keyed).collect()) == ["1", "1", "2"]
 
     day_path = scratch_path(spark, "t-days")
-    K.write_daily(_dau(spark), day_path, "dt", load_date="2024-01-03")
+    K.write_daily(_dau(spark), day_path, "2024-01-03")
     one = K.read_day(spark, day_path, "2024-01-02")
-    assert one.count() == 2 and {r.load_date for r in one.collect()} == {"2024-01-03"}
+    assert one.count() == 2 and {str(r.load_id) for r in one.collect()} == {"2024-01-03"}
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         one.explain()

@@ -64,20 +64,41 @@ def test_upsert_replay_is_idempotent(spark):
     src = spark.range(0, 50).select(F.col("id"), (F.col("id") * 2).alias("v"))
     for b in range(3):
         K.upsert_batch(src.where(F.col("id") % 3 == b).withColumn("v", F.col("v") + b),
-                       table, b, "id")
+                       table, b, "id", "v")
     once = sorted(K.read_latest(spark, table, "id").collect())
-    K.upsert_batch(src.where(F.col("id") % 3 == 1).withColumn("v", F.col("v") + 1), table, 1, "id")
+    K.upsert_batch(src.where(F.col("id") % 3 == 1).withColumn("v", F.col("v") + 1), table, 1, "id", "v")
     twice = sorted(K.read_latest(spark, table, "id").collect())
     assert once == twice and len(once) == 50
 
 
+def test_upsert_takes_the_last_row_of_a_batch(spark):
+    table = scratch_path(spark, "test-upsert-order")
+    K.upsert_batch(spark.createDataFrame([(1, 1, "z-first"), (1, 2, "a-last")], "id long, at int, v string"), table, 0, "id", "at")
+    assert [r.v for r in K.read_latest(spark, table, "id").collect()] == ["a-last"]
+
+
 def test_compact_keeps_latest_per_id(spark):
-    table, out = scratch_path(spark, "test-compact"), scratch_path(spark, "test-compacted")
-    K.upsert_batch(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), table, 0, "id")
-    K.upsert_batch(spark.createDataFrame([(2, "c")], "id long, v string"), table, 1, "id")
-    K.compact(spark, table, out, "id")
-    assert sorted((r.id, r.v) for r in K.read_latest(spark, out, "id").collect()) == \
-        [(1, "a"), (2, "c")]
+    table = scratch_path(spark, "test-compact")
+    put = lambda rows, batch, run=0: K.upsert_batch(
+        spark.createDataFrame(rows, "id long, v string"), table, batch, "id", "v", run)
+    latest = lambda: sorted((r.id, r.v) for r in K.read_latest(spark, table, "id").collect())
+    put([(1, "a"), (2, "b")], 0)
+    put([(2, "c")], 1)
+    K.compact(spark, table, "id")
+    assert latest() == [(1, "a"), (2, "c")]
+    put([(1, "d")], 2)
+    K.compact(spark, table, "id")
+    put([(3, "e")], 0, run=1)       # a new run starts from batch 0 and is newer
+    assert latest() == [(1, "d"), (2, "c"), (3, "e")]
+
+
+def test_a_second_load_of_a_day_erases_nothing(spark):
+    path = scratch_path(spark, "test-daily")
+    rows = lambda *x: spark.createDataFrame([(i, "2024-01-01") for i in x], "id long, dt string")
+    K.write_daily(rows(1, 2), path, "2024-01-01")
+    K.write_daily(rows(3), path, "2024-01-02")
+    K.write_daily(rows(3, 4), path, "2024-01-02")       # the load repeated
+    assert sorted(r.id for r in K.read_day(spark, path, "2024-01-01").collect()) == [1, 2, 3, 4]
 
 
 def test_bm25_one_pass_equals_subquery_form(spark, sf_small):

@@ -54,7 +54,12 @@ def test_hot_order_is_split_and_exact(spark):
         with contextlib.redirect_stdout(buf):
             j2.explain()
         assert "SortMergeJoin(skew=true)" in buf.getvalue()   # the hot key is split
-        ttl = O.ttl_refresh_join(orders, lines, 600).count()
+        j3 = O.ttl_refresh_join(orders, lines, 600)
+        ttl = len(j3.collect())
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j3.explain()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue()   # and in the TTL form
     # every line arrives within 450 s of its order: all join, both forms
     assert n == 60_000 and ttl == 60_000
 

@@ -1,16 +1,20 @@
 """Stream = batch, restart from checkpoint, and late data under a watermark."""
 
 import json
-from datetime import datetime, timezone
+import random
+import time
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from shopstream.operators import dau as D
 from shopstream.session import scratch_path
+from shopstream.sources import sinks as K
 from shopstream.sources.tables import tables
 from shopstream.sources.topics import read_topic, write_replay
 from shopstream.streaming import jobs as J
+from tests.test_properties import TTL, simulate
 
 
 def _batch_dau(spark, sf):
@@ -63,10 +67,19 @@ def test_late_record_is_dropped_by_the_watermark(spark):
     late = [_msg(3, "c", "2024-01-01 00:00:00"), _msg(4, "d", "2024-01-10 02:00:00")]
     spark.createDataFrame(late, "value string, timestamp timestamp").coalesce(1) \
         .write.mode("append").json(src)
-    q = J.run_dau(spark, read_topic(spark, replay_path=src), out, ck, timeout_s=300)
-    mids = {r.mid for r in spark.read.parquet(out).collect()}
-    assert mids == {"a", "b", "d"}
-    assert J.dropped_by_watermark(q) == 1
+    listener = J.LateRows()
+    spark.streams.addListener(listener)
+    try:
+        q = J.run_dau(spark, read_topic(spark, replay_path=src), out, ck, timeout_s=300)
+        mids = {r.mid for r in spark.read.parquet(out).collect()}
+        assert mids == {"a", "b", "d"}
+        for _ in range(100):            # progress events come a little later
+            if listener.dropped.get(str(q.id)):
+                break
+            time.sleep(0.1)
+        assert listener.dropped[str(q.id)] == 1
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def test_dau_stream_with_several_files_per_slice(spark, sf_small):
@@ -80,3 +93,101 @@ def test_dau_stream_with_several_files_per_slice(spark, sf_small):
               out, ck, timeout_s=300)
     got = {(r.dt, r.mid) for r in spark.read.parquet(out).collect()}
     assert got == _batch_dau(spark, sf_small)
+
+
+# ------------------------------------------------------------ the wide stream
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+TOPIC = "value string, timestamp timestamp"
+
+
+def _order(oid, at, user=1, **more):
+    return json.dumps({"id": str(oid), "user_id": str(user), "province_id": "1",
+                       "create_time": "2024-01-01 00:00:00", **more}), START + timedelta(seconds=at)
+
+
+def _line(lid, oid, at):
+    return json.dumps({"id": str(lid), "order_id": str(oid), "sku_name": "x",
+                       "create_time": "2024-01-01 00:00:00"}), START + timedelta(seconds=at)
+
+
+def _users(spark, name="u", birthday="1990-01-01"):
+    return spark.createDataFrame([(1, name, birthday, "F")], "id long, name string, birthday string, gender string")
+
+
+def _provinces(spark):
+    return spark.createDataFrame([(1, "p", "1", "i", "c")],
+                                 "id long, name string, area_code string, iso_code string, iso_3166_2 string")
+
+
+def _append(spark, path, records):
+    spark.createDataFrame(records, TOPIC).coalesce(1).write.mode("append").json(path)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_wide_stream_is_exact_for_any_arrival_order(spark, seed):
+    """Random splits of the same events over micro-batches, repeats among them."""
+    rng = random.Random(seed)
+    orders = {o: rng.randint(0, 4000) for o in range(6)}
+    lines = [(i, rng.randrange(6), rng.randint(0, 5000)) for i in range(60)]
+    lines += [(i, o, rng.randint(0, 5000)) for i, o, _ in rng.sample(lines, 8)]     # delivered again
+    events = [("o", _order(o, t)) for o, t in orders.items()] + [("l", _line(*x)) for x in lines]
+    rng.shuffle(events)
+    o_src, l_src, out, ck = (scratch_path(spark, f"t-wide-{k}") for k in ("o", "l", "out", "ck"))
+    n = 3
+    for part in (events[k::n] for k in range(n)):
+        _append(spark, o_src, [e for k, e in part if k == "o"])
+        _append(spark, l_src, [e for k, e in part if k == "l"])
+        # the query is stopped and started again for every part
+        J.run_order_wide_ttl(spark, read_topic(spark, replay_path=o_src), read_topic(spark, replay_path=l_src),
+                             lambda: (_users(spark), _provinces(spark)), out, ck, TTL)
+    got = [r.detail_id for r in J.read_wide(spark, out).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == simulate(orders, lines)
+
+
+def test_wide_stream_sees_a_changed_user_and_keeps_bad_messages(spark):
+    o_src, l_src, out, ck = (scratch_path(spark, f"t-dim-{k}") for k in ("o", "l", "out", "ck"))
+    users = [_users(spark, birthday="1990-01-01")]
+    run = lambda: J.run_order_wide_ttl(
+        spark, read_topic(spark, replay_path=o_src), read_topic(spark, replay_path=l_src),
+        lambda: (users[0], _provinces(spark)), out, ck, TTL)
+    _append(spark, o_src, [_order(1, 0), ('{"id": "7", "user', START), ("", START)])
+    _append(spark, l_src, [_line(10, 1, 5), (json.dumps({"id": "x", "order_id": "1"}), START)])
+    run()
+    users[0] = _users(spark, birthday="1970-01-01")
+    _append(spark, o_src, [_order(2, 20)])
+    _append(spark, l_src, [_line(20, 2, 25)])
+    run()
+    rows = {r.detail_id: r for r in J.read_wide(spark, out).collect()}
+    assert {k: (r.user_age, r.user_gender, r.province_name) for k, r in rows.items()} == {
+        10: (34, "F", "p"), 20: (54, "F", "p")}
+    assert spark.read.parquet(f"{out}.bad").count() == 3
+    assert {r.create_date for r in spark.read.parquet(out).select("create_date").collect()} \
+        == {datetime(2024, 1, 1).date()}
+
+
+def _envelope(table, typ, rows, at):
+    return json.dumps({"table": table, "type": typ, "data": rows, "pkNames": ["id"]}), START, 0, at
+
+
+def test_cdc_split_orders_by_offset_restarts_and_starts_anew(spark):
+    src, dims, facts = (scratch_path(spark, f"t-cdc-{k}") for k in ("src", "dims", "facts"))
+    put = lambda rows, path=src: spark.createDataFrame(
+        rows, "value string, timestamp timestamp, partition int, offset long").coalesce(1).write.mode("append").json(path)
+    user = lambda name: [{"id": "1", "name": name}]
+    # two changes of one row in the same millisecond: the offset decides
+    put([_envelope("user_info", "UPDATE", user("b"), 2), _envelope("user_info", "INSERT", user("a"), 1),
+         ("{broken", START, 0, 3), _envelope("order_info", "INSERT", [{"id": "5"}], 4)])
+    ck = scratch_path(spark, "t-cdc-ck")
+    name = lambda: [json.loads(r.value)["name"] for r in K.read_latest(spark, dims, "key").collect()]
+    J.run_cdc_split(spark, read_topic(spark, replay_path=src), dims, facts, ck, compact_every=1)
+    assert name() == ["b"]
+    put([_envelope("user_info", "UPDATE", user("c"), 5)])
+    J.run_cdc_split(spark, read_topic(spark, replay_path=src), dims, facts, ck, compact_every=1)
+    assert name() == ["c"]
+    assert spark.read.parquet(facts).count() == 1 and spark.read.parquet(f"{facts}.bad").count() == 1
+    # a new checkpoint counts its batches from 0 again, and still wins
+    again = scratch_path(spark, "t-cdc-src2")
+    put([_envelope("user_info", "INSERT", user("d"), 1)], again)
+    J.run_cdc_split(spark, read_topic(spark, replay_path=again), dims, facts, scratch_path(spark, "t-cdc-ck2"))
+    assert name() == ["d"]
