@@ -33,7 +33,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 SMALL = 24
 TILE = 4096         # signatures of a large bucket that are compared in one task
-BEST, ANY = 4, 8    # partners of a text in a large bucket
+BEST, ANY = 8, 16   # partners of a text in all of its large buckets
 LEAST = 0.65        # agreement that may still be a similarity of 0.8 (4 deviations)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -155,13 +155,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             .mapInArrow(run, "a long, b long, similarity double").where(F.col("similarity") >= threshold))
 
 
-def partners(signatures: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places to compare in a large bucket: each text with the BEST
-    that agree most, and with the first ANY, by a hash of their ids, that agree
-    in a share LEAST of the registers."""
-    order = np.argsort(mix(nodes.astype(np.uint64)))
+def partners(signatures: np.ndarray, nodes: np.ndarray):
+    """Partners of each text of a large bucket: the BEST that agree most, and
+    the first ANY, by a hash of their ids, that agree in a share LEAST of the
+    registers.  Places of text and partner, agreement, hash of the partner."""
+    rank = mix(nodes.astype(np.uint64))
+    order = np.argsort(rank)
     sig = np.ascontiguousarray(signatures[order].T)
-    n, left, right = len(order), [], []
+    n, out = len(order), []
     for a in range(0, n, 256):
         e = min(n, a + 256)
         same = np.zeros((e - a, n), np.uint8)
@@ -175,25 +176,38 @@ def partners(signatures: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.
             rows = np.arange(e - a)[:, None]
             chosen[rows, best] |= close[rows, best]
         x, y = np.nonzero(chosen)
-        left.append(order[x + a])
-        right.append(order[y])
-    return np.concatenate(left), np.concatenate(right)
+        out.append((order[x + a], order[y], same[x, y]))
+    x, y, agree = (np.concatenate(c) for c in zip(*out, strict=True))
+    return x, y, agree, rank[y].view(np.int64)
+
+
+FOUND = "node long, found array<struct<agree: int, rank: long, other: long>>"
 
 
 def _close(large: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs of each text of large buckets with its partners: they are found
+    bucket by bucket, and chosen over all buckets of the text."""
     def run(t: pa.Table) -> pa.Table:
         nodes = np.asarray(t.column("node").combine_chunks(), np.int64)
         raw = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16)
-        x, y = partners(raw.reshape(len(nodes), -1), nodes)
-        a, b = np.minimum(nodes[x], nodes[y]), np.maximum(nodes[x], nodes[y])
-        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        x, y, agree, rank = partners(raw.reshape(len(nodes), -1), nodes)
+        order = np.argsort(x, kind="stable")
+        found = pa.StructArray.from_arrays([pa.array(agree[order], pa.int32()), pa.array(rank[order]), pa.array(nodes[y[order]])],
+                                           names=["agree", "rank", "other"])
+        ends = np.append(0, np.cumsum(np.bincount(x, minlength=len(nodes))))
+        return pa.table([pa.array(nodes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], names=["node", "found"])
 
     # tiles differ from band to band, so texts apart in one may meet in another
     tiles = F.ceil(F.col("n") / TILE)
     dealt = large.withColumn("tile", F.pmod(F.xxhash64("key", "node"), tiles))
-    return dealt.join(signatures, "node").select("key", "tile", "node", "signature").groupBy("key", "tile").applyInArrow(
-        run, "a long, b long")
+    each = (dealt.join(signatures, "node").select("key", "tile", "node", "signature").groupBy("key", "tile")
+            .applyInArrow(run, FOUND).where(F.size("found") > 0)
+            .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found")))     # a list per band
+    best = F.transform(F.slice(F.sort_array("found", asc=False), 1, BEST), lambda p: p.other)
+    first = F.transform(F.slice(F.array_sort(F.transform("found", lambda p: F.struct(p["rank"], p.other))), 1, ANY),
+                        lambda p: p.other)
+    pairs = each.select("node", F.explode(F.array_union(best, first)).alias("other"))
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
 def _pairs(rows: DataFrame, signatures: DataFrame) -> DataFrame:
