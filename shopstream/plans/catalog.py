@@ -462,7 +462,7 @@ def q_dau_dedup_stream(spark, sf_dir):
     out = scratch_path(spark, "dau-stream")
     J.run_dau(spark, src, out, scratch_path(spark, "ckpt-dau"),
               state_partitions=_state_partitions(spark))
-    return K.read_latest(spark, out, ["dt", "mid"]).select("dt", "mid", "hr", "event_id")
+    return K.read_latest(spark, out, ["dt", "mid"]).select(F.col("dt").cast("string").alias("dt"), "mid", "hr", "event_id")
 
 
 @query("order_wide_stream")
@@ -488,7 +488,8 @@ def q_batch_progress(spark, sf_dir):
     table = scratch_path(spark, "batch-progress")
     J.run_batch_progress(spark, src, table, scratch_path(spark, "ckpt-batch-progress"),
                          state_partitions=_state_partitions(spark))
-    return spark.read.parquet(table).select("batch_id", "n_rows", "from_offset", "until_offset")
+    return spark.read.parquet(table).select(F.col("batch_id").cast("bigint").alias("batch_id"), "n_rows", "from_offset",
+                                            "until_offset")
 
 
 @query("dau_daily_partition")

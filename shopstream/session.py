@@ -74,7 +74,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("name a folder all executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)

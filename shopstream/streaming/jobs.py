@@ -175,7 +175,8 @@ def _write_wide(joined: DataFrame, dims: Dims, table_path: str, batch_id: int, r
 
 def read_wide(spark: SparkSession, table_path: str) -> DataFrame:
     """The wide rows that a stream has written, one per line."""
-    return read_latest(spark, table_path, WIDE_KEY).select(*ORDER_WIDE_COLUMNS)
+    rows = read_latest(spark, table_path, WIDE_KEY).select(*ORDER_WIDE_COLUMNS)
+    return rows.withColumn("create_date", F.col("create_date").cast("string"))      # a partition column is read as a date
 
 
 def order_wide_stream(order_topic: DataFrame, detail_topic: DataFrame,
