@@ -410,6 +410,9 @@ def q_province_sales(spark, sf_dir):
 
 # --------------------------------------------------------- sinks, streaming
 
+REPLAY_SLOT = 30 * 86_400       # replayed batches span months: no partition per day
+
+
 def _state_partitions(spark) -> int:
     """State partitions of a new stream: two per core of the cluster, slack
     for stragglers (the batch default is sized for shuffles, and a stream
@@ -473,7 +476,7 @@ def q_order_wide_stream(spark, sf_dir):
     out = scratch_path(spark, "order-wide-stream")
     J.run_order_wide(spark, o_src, d_src, lambda: (v.user_info, v.base_province),
                      out, scratch_path(spark, "ckpt-order-wide"),
-                     state_partitions=_state_partitions(spark))
+                     state_partitions=_state_partitions(spark), by=())
     return J.read_wide(spark, out)
 
 
@@ -552,7 +555,8 @@ def q_order_wide_ttl_stream(spark, sf_dir):
     o_src, d_src = _replay_orders(spark, v)
     out = scratch_path(spark, "order-wide-ttl-stream")
     J.run_order_wide_ttl(spark, o_src, d_src, lambda: (v.user_info, v.base_province), out,
-                         scratch_path(spark, "ckpt-ttl-stream"), 600, state_partitions=_state_partitions(spark))
+                         scratch_path(spark, "ckpt-ttl-stream"), 600, state_partitions=_state_partitions(spark),
+                         slot_seconds=REPLAY_SLOT, by=())
     return J.read_wide(spark, out)
 
 
@@ -572,5 +576,5 @@ def q_cdc_to_wide(spark, sf_dir):
     out = scratch_path(spark, "chain-wide")
     J.run_order_wide_ttl(spark, J.stream_facts(spark, facts, "DWD_ORDER_INFO_I"), J.stream_facts(spark, facts, "DWD_ORDER_DETAIL_I"),
                          lambda: J.read_dims(spark, dims), out, scratch_path(spark, "ckpt-chain-wide"), 600,
-                         state_partitions=_state_partitions(spark))
+                         state_partitions=_state_partitions(spark), slot_seconds=REPLAY_SLOT, by=())
     return J.read_wide(spark, out)

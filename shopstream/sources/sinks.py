@@ -64,6 +64,8 @@ def upsert_batch(df: DataFrame, table_path: str, batch_id: int, id_col: str | li
     cols = [c for c in df.columns if c not in keys]
     d = (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(F.col(order_col), *cols)).alias("r"))
          .select(*keys, "r.*").withColumns({"run": F.lit(int(run)).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")}))
+    if by:      # few files for each partition; a large one is split
+        d = d.hint("rebalance", *[F.col(c) for c in by])
     (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*(by or []), "run", "batch_id").parquet(table_path))
 

@@ -165,12 +165,15 @@ def _enriched(joined: DataFrame, dims: Dims) -> DataFrame:
     return joined.join(wide, (F.col("o_id") == F.col("_oid")) & (F.col("o_arr") == F.col("_oarr"))).drop("_oid", "_oarr")
 
 
-def _write_wide(joined: DataFrame, dims: Dims, table_path: str, batch_id: int, run: int) -> None:
+BY_DAY = ("create_date",)
+
+
+def _write_wide(joined: DataFrame, dims: Dims, table_path: str, batch_id: int, run: int, by: tuple = BY_DAY) -> None:
     """Upsert wide rows by line into one partition per order day (S9, S14,
     D4); of several arrivals of an order the last one counts."""
     rows = _enriched(joined, dims)
     wide = O.merge_wide(rows, "o_arr")
-    upsert_batch(wide, table_path, batch_id, WIDE_KEY, "o_arr", run, by=["create_date"])
+    upsert_batch(wide, table_path, batch_id, WIDE_KEY, "o_arr", run, by=list(by))
 
 
 def read_wide(spark: SparkSession, table_path: str) -> DataFrame:
@@ -192,45 +195,47 @@ def order_wide_stream(order_topic: DataFrame, detail_topic: DataFrame,
 
 def run_order_wide(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame,
                    dims: Dims, table_path: str, checkpoint: str, trigger: dict | None = None,
-                   timeout_s: float | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                   timeout_s: float | None = None, state_partitions: int | None = None, by: tuple = BY_DAY) -> StreamingQuery:
     """The interval form (J5): a stream-stream join, which approximates the
     cache semantics; ``run_order_wide_ttl`` has them exactly."""
     run = run_id(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_wide(batch, dims, table_path, batch_id, run)
+        _write_wide(batch, dims, table_path, batch_id, run, by)
 
     return _run(spark, order_wide_stream(order_topic, detail_topic), write, checkpoint, "order_wide", trigger, timeout_s,
                 state_partitions)
 
 
 ARRIVED = "slot long, run long, batch_id long"
-SLOT_SECONDS = 3600
+SLOT_SECONDS = 86_400
 
 
-def _arrive(rows: DataFrame, path: str, run: int, batch_id: int) -> None:
-    """Keep the rows of a batch by hour of arrival; a repeated batch replaces
-    its own."""
-    slot = F.floor(F.unix_micros("arr") / (SLOT_SECONDS * 1_000_000)).cast("long")
+def _arrive(rows: DataFrame, path: str, run: int, batch_id: int, slot_seconds: int) -> None:
+    """Keep the rows of a batch by day of arrival; a repeated batch replaces
+    its own.  The hint gives each day few files and splits a large one."""
+    slot = F.floor(F.unix_micros("arr") / (slot_seconds * 1_000_000)).cast("long")
     (rows.withColumns({"slot": slot, "run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "run", "batch_id").parquet(path))
+     .hint("rebalance", F.col("slot")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "run", "batch_id").parquet(path))
 
 
 def run_order_wide_ttl(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame, dims: Dims,
                        table_path: str, checkpoint: str, ttl_seconds: int = 600, horizon_seconds: int = 86_400,
                        trigger: dict | None = None, timeout_s: float | None = None,
-                       state_partitions: int | None = None) -> StreamingQuery:
+                       state_partitions: int | None = None, slot_seconds: int = SLOT_SECONDS,
+                       by: tuple = BY_DAY) -> StreamingQuery:
     """The wide stream under the exact cache semantics.
 
     The topics need not be in step.  Every micro-batch adds its orders and
-    lines to tables by hour of arrival; for the orders it touches, all rows
+    lines to tables by day of arrival; for the orders it touches, all rows
     kept are joined by the batch rule (``O.ttl_join``).  More rows only add
     matches, so whatever is found holds, and each match is found in the batch
     that brings the last row it needs; repeats are upserted by line.
 
     ``horizon_seconds`` takes the place of a watermark: rows that arrived so
-    much earlier than a batch's first row are not looked at, and the hours
-    before it may be deleted.  The joins run with AQE, which splits a hot
+    much earlier than a batch's first row are not looked at, and the days
+    before it may be deleted; wider
+    ``slot_seconds`` and no ``by`` suit replayed batches that span years.  The joins run with AQE, which splits a hot
     order; no state is kept in task memory.  Bad messages go to
     ``<table_path>.bad``."""
     run = run_id(spark, checkpoint)
@@ -246,19 +251,19 @@ def run_order_wide_ttl(spark: SparkSession, order_topic: DataFrame, detail_topic
             (batch.where(bad).withColumns({"run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch_id").parquet(bad_path))
             orders, lines = O.parse_order_info(orders), O.parse_order_detail(lines)
-            _arrive(orders, orders_path, run, batch_id)
-            _arrive(lines, lines_path, run, batch_id)
+            _arrive(orders, orders_path, run, batch_id, slot_seconds)
+            _arrive(lines, lines_path, run, batch_id, slot_seconds)
             touched = orders.select("id").union(lines.select("order_id")).distinct()
             first = batch.agg(F.min(F.unix_seconds("timestamp"))).first()[0]
             if first is None:
                 return
             kept = lambda path, like: (spark.read.schema(StructType(
                 like.schema.fields + StructType.fromDDL(ARRIVED).fields)).parquet(path)
-                .where(F.col("slot") >= (first - horizon_seconds) // SLOT_SECONDS).drop("slot", "run", "batch_id"))
+                .where(F.col("slot") >= (first - horizon_seconds) // slot_seconds).drop("slot", "run", "batch_id"))
             ids = broadcast_if_bounded(touched)
             o = kept(orders_path, orders).join(ids, "id", "left_semi").dropDuplicates(["id", "arr"])
             d = kept(lines_path, lines).join(ids.select(F.col("id").alias("order_id")), "order_id", "left_semi")
-            _write_wide(O.ttl_join(o, d, ttl_seconds), dims, table_path, batch_id, run)
+            _write_wide(O.ttl_join(o, d, ttl_seconds), dims, table_path, batch_id, run, by)
         finally:
             batch.unpersist()
 
