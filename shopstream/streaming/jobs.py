@@ -171,9 +171,12 @@ BY_DAY = ("create_date",)
 def _write_wide(joined: DataFrame, dims: Dims, table_path: str, batch_id: int, run: int, by: tuple = BY_DAY) -> None:
     """Upsert wide rows by line into one partition per order day (S9, S14,
     D4); of several arrivals of an order the last one counts."""
-    rows = _enriched(joined, dims)
-    wide = O.merge_wide(rows, "o_arr")
-    upsert_batch(wide, table_path, batch_id, WIDE_KEY, "o_arr", run, by=list(by))
+    joined = joined.persist()       # several uses; a stream's join must not run for each
+    try:
+        wide = O.merge_wide(_enriched(joined, dims), "o_arr")
+        upsert_batch(wide, table_path, batch_id, WIDE_KEY, "o_arr", run, by=list(by))
+    finally:
+        joined.unpersist()
 
 
 def read_wide(spark: SparkSession, table_path: str) -> DataFrame:
