@@ -11,10 +11,11 @@ Registers are banded; documents of equal words are one text first, so copies
 are never compared.  Texts that share a band are candidates: in buckets of up to
 ``SMALL`` texts all pairs; in larger ones each text with the pivot (the text
 that meets most others), with those whose signatures agree best with its own,
-and with some whose agreement allows a link, the same ones in every band.  So
-pairs grow with the texts of a bucket, not with their square, and a class is
-joined over any of them.  Candidates are verified exactly: links of a
-similarity of 0.8 or more over the sets of shingles make the classes.
+and with some whose agreement allows a link, the same ones in every band.
+Candidates are verified exactly: links of a similarity of 0.8 or more over the
+sets of shingles make classes.  Then every other pair of a large bucket whose
+texts are in different classes is verified as well, tile against tile, so only
+buckets whose texts stay apart cost their square.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import (Words, as_lists, id_and_text, materialized, mix, new_path, shingle_hashes, sliced)
-from shopstream.llm.components import components
+from shopstream.llm.components import apart, components, spanning
 
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
@@ -35,6 +36,9 @@ SMALL = 24
 TILE = 4096         # signatures of a large bucket that are compared in one task
 BEST, ANY = 8, 16   # partners of a text in all of its large buckets
 LEAST = 0.65        # agreement that may still be a similarity of 0.8 (4 deviations)
+# a tile whose pairs are all verified: bytes of shingles, and what a text counts
+# besides them (1,024 texts at most)
+SET_TILE, TEXT = 16 << 20, 16 << 10
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -221,6 +225,55 @@ def _pairs(rows: DataFrame, signatures: DataFrame) -> DataFrame:
     return small.unionByName(star).unionByName(_close(large, signatures)).distinct()
 
 
+# ---------------------------------------------------- what is left apart
+def _flat(sets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(sets), np.uint64), np.array([len(s) // 8 for s in sets], np.int64)
+
+
+def similar(x: list[bytes], y: list[bytes], threshold: float, chunk: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all sets of ``x`` and ``y`` (bytes of distinct hashes) whose
+    Jaccard similarity is ``threshold`` or more."""
+    (hx, nx), (hy, ny) = _flat(x), _flat(y)
+    order = np.argsort(hy, kind="stable")
+    hy, of = hy[order], np.repeat(np.arange(len(y)), ny)[order]
+    begin, out = np.append(0, np.cumsum(nx)), []
+    for a in range(0, len(x), 256):
+        e = min(len(x), a + 256)
+        h, row = hx[begin[a]:begin[e]], np.repeat(np.arange(e - a), nx[a:e])
+        first = np.searchsorted(hy, h)
+        n = np.searchsorted(hy, h, side="right") - first
+        total, both, cut = np.cumsum(n), np.zeros((e - a) * len(y), np.int64), 0
+        while cut < len(h):
+            end = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + chunk, side="right")))
+            k = n[cut:end]
+            at = np.repeat(first[cut:end] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
+            both += np.bincount(np.repeat(row[cut:end], k) * len(y) + of[at], minlength=len(both))
+            cut = end
+        both = both.reshape(e - a, len(y))
+        i, j = np.nonzero(both / np.maximum(nx[a:e, None] + ny - both, 1) >= threshold)
+        out.append(np.stack([i + a, j]))
+    return tuple(np.concatenate(out, axis=1)) if out else (np.zeros(0, np.int64),) * 2
+
+
+def _across(large: DataFrame, sets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the components of ``classes``: of all pairs of
+    texts of a bucket (key, node) that are in different ones."""
+    def run(t: pa.Table) -> pa.Table:
+        tile, low, high, component = (np.asarray(t.column(c).combine_chunks(), np.int64)
+                                      for c in ("tile", "low", "high", "component"))
+        raw = t.column("shingles").to_pylist()
+        x, y = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
+        i, j = similar([raw[k] for k in x], [raw[k] for k in y], threshold)
+        a, b = component[x[i]], component[y[j]]
+        links = spanning(a[a != b], b[a != b])
+        return pa.table([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+
+    sized = large.join(sets.select("node", F.length("shingles").alias("bytes")), "node")
+    tiles = apart(sized, classes, F.col("bytes") + TEXT, SET_TILE).drop("bytes")
+    return (tiles.join(sets, "node").select("key", "low", "high", "tile", "component", "shingles").groupBy("key", "low", "high")
+            .applyInArrow(run, "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """doc_id and class_id of every document of ``docs`` (doc_id, text): the
     smallest doc_id of the texts it is linked with, directly or over others.
@@ -251,5 +304,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = materialized(_sets(rows, nodes), "shingles")
     classes = components(_verified(pairs, sets, threshold).select("a", "b"))
+    more = materialized(_across(shared.where(F.col("n") > SMALL).select("key", "node"), sets, classes, threshold), "across")
+    if not more.isEmpty():
+        classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = members.join(classes.withColumnRenamed("component", "class_id"), "node", "left")
     return named.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "node")).alias("class_id"))

@@ -261,6 +261,32 @@ def test_near_duplicates_large_group(spark):
     assert got == odd.near_classes(docs)
 
 
+def test_near_duplicates_beyond_chosen_partners(spark, monkeypatch):
+    """A link between texts of a large bucket that are not each other's chosen
+    partners, nor in one tile, is found."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(1000)]
+    docs = []
+    for i in range(60):       # two by two similar (0.82), all of one template (0.72)
+        own = [f"x{i // 2}y{k}" for k in range(76)]
+        docs.append((i, " ".join(base + own + [f"z{i}y{k}" for k in range(rng.randint(115, 121))])))
+    for name, value in (("SMALL", 2), ("BEST", 1), ("ANY", 1), ("TILE", 2)):
+        monkeypatch.setattr(near_dup, name, value)
+    for tile in (16 << 20, 8 * 16384):
+        monkeypatch.setattr(near_dup, "SET_TILE", tile)
+        got = dict(rows(near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))))
+        assert got == odd.near_classes(docs) == {i: i // 2 * 2 for i in range(60)}
+
+
+def test_similar_sets():
+    rng = np.random.default_rng(9)
+    sets = [np.sort(rng.choice(60, rng.integers(1, 50), replace=False).astype(np.uint64)).tobytes() for _ in range(300)]
+    x, y = sets[:280], sets[200:]
+    want = {(i, j) for i, a in enumerate(x) for j, b in enumerate(y) if near_dup.jaccard(a, b) >= 0.4}
+    for chunk in (1 << 22, 100):
+        assert set(zip(*(k.tolist() for k in near_dup.similar(x, y, 0.4, chunk)), strict=True)) == want
+
+
 def test_prob_minhash_estimates():
     """Registers agree with the probability Jaccard similarity of weighted sets."""
     rng = np.random.default_rng(4)
