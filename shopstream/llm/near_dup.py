@@ -1,9 +1,10 @@
 """Near-duplicate documents by ProbMinHash (operator 8).
 
-The weight of a shingle of five words is how often the document holds it.
-Every distinct shingle is a Poisson process of that rate whose points fall on
+Every distinct shingle of five words is a Poisson process whose points fall on
 random registers; a register keeps the shingle of its earliest point, so two
-documents agree in a register with their probability Jaccard similarity.  A
+documents agree in a register with their probability Jaccard similarity.  All
+shingles weigh the same, however often a document holds them: then that is the
+Jaccard similarity of the sets of shingles, by which links are defined.  A
 document stops drawing points when none can come earlier than what all of its
 registers hold.
 
@@ -97,8 +98,8 @@ def _signed(docs: DataFrame) -> DataFrame:
         for b in sliced(batches, limit=2 << 20):
             words = Words(b.column("text"))
             s, m = shingle_hashes(words)
-            h, r, n = weighted(s, m)
-            signatures = prob_minhash(h, r, n, b.num_rows)
+            h, r, _ = weighted(s, m)
+            signatures = prob_minhash(h, r, np.ones(len(h)), b.num_rows)
             keys = band_keys(signatures).view(np.int64)
             there = m > 0
             small = signatures.astype(np.uint16)

@@ -278,6 +278,16 @@ def test_near_duplicates_beyond_chosen_partners(spark, monkeypatch):
         assert got == odd.near_classes(docs) == {i: i // 2 * 2 for i in range(60)}
 
 
+def test_near_duplicates_repeated_phrase(spark):
+    """A phrase counts once, however often a text repeats it."""
+    docs = []
+    for i in range(20):
+        words, phrase = [f"a{i}w{k}" for k in range(100)], [f"p{i}w{k}" for k in range(10)]
+        docs += [(2 * i, " ".join(words + phrase)), (2 * i + 1, " ".join(words + phrase * (30, 100)[i % 2]))]
+    got = dict(rows(near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))))
+    assert got == odd.near_classes(docs) == {i: i // 2 * 2 for i in range(40)}
+
+
 def test_similar_sets():
     rng = np.random.default_rng(9)
     sets = [np.sort(rng.choice(60, rng.integers(1, 50), replace=False).astype(np.uint64)).tobytes() for _ in range(300)]
