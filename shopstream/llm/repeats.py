@@ -75,12 +75,19 @@ def anchored(raw: np.ndarray, off: np.ndarray, length: int, gram: int):
 
 
 def _pieces(off: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
-    """Stretches of bytes in which every window of a text lies, once."""
-    end, a = int(off[-1]), 0
-    while a < end:
-        e = min(end, a + PIECE)
-        yield a, min(end, e + length - 1)
-        a = e
+    """Stretches of bytes in which every window of a text lies, once.  A text
+    is cut every PIECE bytes from its own start, and a shorter one never, so
+    its segments don't depend on the texts beside it."""
+    i, n = 0, len(off) - 1
+    while i < n:
+        a, end = int(off[i]), int(off[i + 1])
+        if end - a > PIECE:
+            for cut in range(a, end, PIECE):
+                yield cut, min(end, cut + PIECE + length - 1)
+            i += 1
+        else:
+            i = int(np.searchsorted(off, a + PIECE, side="right")) - 1
+            yield a, int(off[i])
 
 
 # ------------------------------------------------------------ suffix order

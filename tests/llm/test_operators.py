@@ -227,6 +227,27 @@ def test_repeats_keep_first(spark, no_docs):
     assert not repeats.remove_repeats(no_docs).collect()
 
 
+def test_segments_do_not_depend_on_the_batch(monkeypatch):
+    """Both passes cut a long text at the same places, whatever stands before
+    it in its batch."""
+    monkeypatch.setattr(repeats, "PIECE", 1000)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcd") for _ in range(n)) for n in (3500, 0, 700, 300, 1000, 1001, 30, 2600)]
+
+    def segments(order):
+        raw, off = repeats.utf8(pa.array([texts[i] for i in order]))
+        out = {i: [] for i in order}
+        for text, start, windows, h in zip(*(x.tolist() for x in repeats.anchored(raw, off, 100, 20)), strict=True):
+            out[order[text]].append((start - int(off[text]), windows, h))
+        return out
+
+    want = {i: segments([i])[i] for i in range(len(texts))}
+    assert all(sum(w for _, w, _ in want[i]) == max(0, len(t) - 99) for i, t in enumerate(texts))
+    for _ in range(20):
+        order = rng.sample(range(len(texts)), len(texts))
+        assert segments(order) == want
+
+
 def test_longest_previous_factors():
     rng = random.Random(1)
     for depth in (1, 3, 6, 7, 20):
