@@ -6,6 +6,10 @@ nodes with 64-bit SimHashes of at most three different bits share one of four
 rest, so candidates are found by one shuffle of four small rows per node.
 Pairs are verified by edit similarity, linked nodes form groups, and the first
 occurrence of each group, by doc_id and line number, stays.
+
+In long runs of nodes that share a block and a part, and in blocks of very many
+nodes, only some pairs are compared at first.  Then all others whose nodes are
+in different groups are, tile against tile.
 """
 
 from __future__ import annotations
@@ -18,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import Words, as_struct, materialized, mix, sliced, utf8
-from shopstream.llm.components import components
+from shopstream.llm.components import apart, components
 
 MAX_BITS = 3
 SIMILARITY = 0.8
-ALL_PAIRS = 64          # runs of up to so many nodes are compared pair by pair
+ALL_PAIRS = 64          # runs of up to so many nodes are compared pair by pair at once
+BLOCK = 1 << 17         # nodes of a block that one task compares at once
+TILE = 4096             # nodes of a tile whose pairs are all compared
 #: Words of up to SHORT bytes count 1, longer ones WEIGHT: else the few short
 #: words of a language make all of its long lines alike.
 SHORT, WEIGHT = 3, 8
@@ -115,56 +121,116 @@ def _run_pairs(size: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
 
 
-def close_pairs(block: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of pairs of equal ``block`` whose SimHashes differ in at most
-    MAX_BITS bits, by the four 12-bit parts outside the block."""
+def _part_keys(block: np.ndarray, sim: np.ndarray) -> Iterator[np.ndarray]:
+    """Block and 12-bit part in one key, for each of the four parts of the
+    SimHash outside the block; its lowest two bits tell the part."""
     sim, which = sim.view(np.uint64), (block & 3).astype(np.uint64)
     low = which * np.uint64(16)
     one = np.uint64(1)
     below = sim & ((one << low) - one)
     above = np.where(low < 48, sim >> ((low + np.uint64(16)) & np.uint64(63)), np.uint64(0))
     rest = below | (above << low)
-    found = []
     for part in range(4):
         sub = (rest >> np.uint64(12 * part)) & np.uint64(4095)
-        key = (block.astype(np.uint64) << np.uint64(12)) | sub
+        yield (((block.astype(np.uint64) << np.uint64(12)) | sub) << np.uint64(2)) | np.uint64(part)
+
+
+def close_pairs(block: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs of equal ``block`` whose SimHashes differ in at most
+    MAX_BITS bits, by the four 12-bit parts outside the block; of long runs
+    those that ``_run_pairs`` compares."""
+    return _close(block, sim, np.zeros(len(block), bool))[:2]
+
+
+def _close(block: np.ndarray, sim: np.ndarray, split: np.ndarray):
+    """``close_pairs``, and positions and parts of the nodes of runs of which
+    not all pairs were compared: long ones, and those of ``split`` blocks."""
+    found, parts, members = [], [], []
+    sim = sim.view(np.uint64)
+    for part, key in enumerate(_part_keys(block, sim)):
         order = np.lexsort((sim, key))
-        a, b = (order[x] for x in _run_pairs(*reversed(_runs(order, key))))
+        begin, size = _runs(order, key)
+        a, b = (order[x] for x in _run_pairs(size, begin))
         near = np.bitwise_count(sim[a] ^ sim[b]) <= MAX_BITS
         found.append(np.stack([a[near], b[near]], axis=1))
+        left = order[np.repeat(size > ALL_PAIRS, size) | split[order]]
+        members.append(left)
+        parts.append(np.full(len(left), part))
     pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    return pairs[:, 0], pairs[:, 1], np.concatenate(members), np.concatenate(parts)
+
+
+#: Pairs (a, b); or the node b, its SimHash and its run's key, if not all pairs
+#: of the run were compared.
+COMPARED = "a long, b long, simhash long, key long"
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of node ids whose SimHashes are close."""
+def _compared(nodes: DataFrame) -> DataFrame:
+    """Pairs of node ids whose SimHashes are close, and nodes of long runs."""
     block = "transform(array(0, 1, 2, 3), b -> (shiftrightunsigned(simhash, b * 16) & 65535) * 4 + b)"
     rows = nodes.select("id", "simhash", F.explode(F.expr(block)).alias("block"))
+    # blocks that more than one task compares: 4 * 65536 counts at most
+    hot = (rows.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+           .select("block", F.ceil(F.col("n") / BLOCK).cast("long").alias("shares")))
+    dealt = (rows.join(F.broadcast(hot), "block", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+             .withColumn("share", F.pmod(F.xxhash64("id"), "shares")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
-        def out(block, sim, ids):
-            a, b = close_pairs(block, sim)
-            x, y = ids[a], ids[b]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        def out(block, share, shares, sim, ids):
+            # a share of a block is compared like a block; its lowest two bits
+            # still tell which one
+            new = np.cumsum(np.append(0, (np.diff(block) != 0) | (np.diff(share) != 0)))
+            a, b, left, part = _close((new << 2) | (block & 3), sim, shares > 1)
+            x, y, key = ids[a], ids[b], np.zeros(len(left), np.int64)
+            for k, own in enumerate(_part_keys(block[left], sim[left])):
+                key[part == k] = own.view(np.int64)[part == k]
+            n, m = len(x), len(left)
+            none = pa.nulls(n, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), none, none],
+                                             names=["a", "b", "simhash", "key"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.array(ids[left]), pa.array(sim[left]), pa.array(key)],
+                                             names=["a", "b", "simhash", "key"])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            held.append(tuple(np.asarray(b.column(c)) for c in ("block", "simhash", "id")))
+            held.append(tuple(np.asarray(b.column(c)) for c in ("block", "share", "shares", "simhash", "id")))
             if sum(len(x[0]) for x in held) < 1 << 17:
                 continue
-            block, sim, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-            done = int(np.searchsorted(block, block[-1]))       # the last block may go on
+            whole = [np.concatenate(x) for x in zip(*held, strict=True)]
+            last = (whole[0] == whole[0][-1]) & (whole[1] == whole[1][-1])
+            done = int(np.argmax(last))         # the last block may go on
             if done:
-                yield out(block[:done], sim[:done], ids[:done])
-            held = [(block[done:], sim[done:], ids[done:])]
+                yield from out(*(x[:done] for x in whole))
+            held = [tuple(x[done:] for x in whole)]
         if held:
-            yield out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield from out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    return (dealt.repartition("block", "share").sortWithinPartitions("block", "share")
+            .select("block", "share", "shares", "simhash", "id").mapInArrow(run, COMPARED))
+
+
+def _across(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs (a, b) of nodes of a run (key, node, simhash) that are in
+    different components and whose SimHashes are close."""
+    def run(t: pa.Table) -> pa.Table:
+        tile, low, high, component, ids, sim = (np.asarray(t.column(c).combine_chunks(), np.int64)
+                                                for c in ("tile", "low", "high", "component", "node", "simhash"))
+        x, y, sim = np.flatnonzero(tile == low), np.flatnonzero(tile == high), sim.view(np.uint64)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(x), 256):
+            part = x[at:at + 256]
+            near = np.bitwise_count(sim[part, None] ^ sim[None, y]) <= MAX_BITS
+            i, j = np.nonzero(near & (component[part, None] != component[None, y]))
+            a.append(ids[part[i]])
+            b.append(ids[y[j]])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return (rows.repartition("block").sortWithinPartitions("block").select("block", "simhash", "id")
-            .mapInArrow(run, "a long, b long").distinct())
+    return (apart(members, classes, F.lit(1), TILE).select("key", "low", "high", "tile", "component", "node", "simhash")
+            .groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct())
 
 
 # ------------------------------------------------------------ verification
@@ -262,11 +328,22 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"),
                                  F.min("simhash").alias("simhash"))
         .withColumn("id", F.monotonically_increasing_id()), "nodes")
-    pairs = materialized(_candidates(nodes), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = materialized(nodes.select("id", "key").join(ids, "id"), "wanted")
-    texts = materialized(_texts(rows, wanted), "normal")
-    classes = components(_links(pairs, texts, similarity)).withColumnRenamed("node", "id")
+    compared = materialized(_compared(nodes), "compared")
+    pairs = materialized(compared.where("a is not null").select("a", "b").distinct(), "pairs")
+    members = compared.where("a is null").select("key", F.col("b").alias("node"), "simhash")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        wanted = materialized(nodes.select("id", "key").join(ids, "id"), "wanted")
+        return _links(pairs, materialized(_texts(rows, wanted), "normal"), similarity)
+
+    classes = components(links(pairs))
+    # what the long runs' first comparisons left in different groups; pairs
+    # that they had and that are not similar aren't verified again
+    more = materialized(_across(members, classes).join(pairs, ["a", "b"], "left_anti"), "across")
+    if not more.isEmpty():
+        classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links(more)))
+    classes = classes.withColumnRenamed("node", "id")
     grouped = nodes.join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
     # only groups with several occurrences: fuzzy ones, and equal lines
     fuzzy = grouped.join(classes.select("id"), "id", "left_semi")

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from shopstream.llm import (decontaminate, exact_topk, licenses, line_dedup, near_dup, packing, quality, repeats,
                             token_counts, wavelet)
@@ -398,6 +399,30 @@ def test_simhash_pairs():
     assert found == {(i, j) for i, j in np.argwhere(bits <= 3).tolist() if i < j}
 
 
+@pytest.mark.parametrize("block, tile", [(1 << 17, 4096), (1 << 17, 16), (50, 16)])
+def test_lines_of_long_runs(spark, monkeypatch, block, tile):
+    """Every similar pair of a long run is found, in shares of a block and
+    pairs of tiles too; near SimHashes of different texts keep pairs apart."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    monkeypatch.setattr(line_dedup, "TILE", tile)
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(line_dedup, "_links", lambda pairs, texts, similarity: pairs.join(
+        texts.select(F.col("id").alias("a"), F.col("normal").alias("x")), "a").join(
+        texts.select(F.col("id").alias("b"), F.col("normal").alias("y")), "b")
+        .where(F.substring("x", 1, 12) == F.substring("y", 1, 12)).select("a", "b"))
+    long = [f"template{k} of forty words that are the same in every one of these lines" for k in range(40)]
+    docs = [(i, f"key{i % 100:08d}x " + " ".join(long) + f" n{rng.integers(10 ** 9)}") for i in range(200)]
+    sim = np.array([line_dedup.Lines(pa.array([t])).keys()[2].view(np.uint64)[0] for _, t in docs])
+    groups = odd.Groups({i: 0 for i, _ in docs})
+    for i in range(100):
+        if np.bitwise_count(sim[i] ^ sim[i + 100]) <= 3:
+            groups.link(i, i + 100)
+    want = {i: int(groups.of(i) != i) for i, _ in docs}
+    assert sum(want.values()) > 80
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r.doc.doc_id: r.n_removed for r in got.collect()} == want
+
+
 # ------------------------------------------------------------------ search
 def test_exact_topk(spark):
     rng = np.random.default_rng(6)
