@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shopstream.llm.pieces import mix, span_hashes
 from shopstream.session import scratch_root
 
 #: Texts are taken together inside a task up to so many characters.
@@ -132,24 +133,12 @@ class Words:
         return np.repeat(np.arange(len(self.count)), self.count)
 
     def hashes(self) -> np.ndarray:
-        from shopstream.llm.pieces import span_hashes
-
         return span_hashes(self.data, self.start, self.end)
 
     def text(self, i: int) -> bytes:
         return self.data[self.start[i]:self.end[i]].tobytes()
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    """A bijective mixer of 64-bit values."""
-    with np.errstate(over="ignore"):
-        h = h ^ (h >> np.uint64(30))
-        h = h * np.uint64(0xBF58476D1CE4E5B9)
-        h = h ^ (h >> np.uint64(27))
-        h = h * np.uint64(0x94D049BB133111EB)
-        return h ^ (h >> np.uint64(31))
-
-
 def shingle_hashes(words: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of ``size`` words of each value, in order, and
     how many each value has; a shorter value with words has one shingle."""

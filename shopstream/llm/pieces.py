@@ -22,7 +22,6 @@ import numpy as np
 
 WS, LETTER, NUMBER, OTHER, UNSURE = 0, 1, 2, 3, 9
 SPACE, QUOTE = 0x20, 0x27
-MASK64 = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
 MAX_PIECE = 64          # longer pieces are encoded each time, not kept
@@ -46,41 +45,76 @@ def _classes() -> np.ndarray:
     return out
 
 
-class _Powers:
-    """Powers of BASE and of its inverse, up to the longest batch so far."""
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG_SPAN = 256         # bytes; longer spans are hashed by the library, one by one
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def get(self, n: int):
-        if n > len(self.up):
-            n = max(n, CHUNK_CHARS + 1)
-            ones = np.ones(n, np.uint64)
-            up, down = ones.copy(), ones
-            up[1:], down[1:] = np.uint64(BASE), np.uint64(BASE_INV)
-            with np.errstate(over="ignore"):
-                self.up, self.down = np.cumprod(up), np.cumprod(down)
-        return self.up, self.down
+def mix(h: np.ndarray) -> np.ndarray:
+    """A bijective mixer of 64-bit values."""
+    with np.errstate(over="ignore"):
+        h = h ^ (h >> np.uint64(30))
+        h = h * np.uint64(0xBF58476D1CE4E5B9)
+        h = h ^ (h >> np.uint64(27))
+        h = h * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(31))
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each ``values[start:end]``, never 0: eight bytes at a
+    time, mixed in between, so no family of texts collides by its structure.
+    Memory goes with the number of spans, not with their bytes."""
+    raw = np.ascontiguousarray(values).view(np.uint8)
+    begin, size = starts * values.itemsize, (ends - starts) * values.itemsize
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[:len(raw)] = raw
+    eight = np.ndarray(len(raw) + 1, np.uint64, buffer=padded, strides=(1,))
+    out = size.astype(np.uint64) * np.uint64(BASE)
+    left = np.flatnonzero(size <= LONG_SPAN)
+    at, room, h = begin[left], size[left], out[left]
+    with np.errstate(over="ignore"):
+        while len(left):
+            part = eight[at] & _LOW_BYTES[np.minimum(room, 8)]
+            h = mix((h ^ part) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x2545F4914F6CDD1D))
+            last = room <= 8
+            out[left[last]] = h[last]
+            left, at, room, h = left[~last], at[~last] + 8, room[~last] - 8, h[~last]
+    far = np.flatnonzero(size > LONG_SPAN)
+    if len(far):
+        import xxhash
+
+        view = memoryview(raw)
+        out[far] = [xxhash.xxh3_64_intdigest(view[a:e])
+                    for a, e in zip(begin[far].tolist(), (begin + size)[far].tolist(), strict=True)]
+    out[out == 0] = 1
+    return out
 
 
-_POWERS = _Powers()
+WINDOW_BLOCK = 1 << 18
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each ``values[start:end]``, never 0."""
-    up, down = _POWERS.get(len(values) + 1)
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(n, BASE, np.uint64), np.full(n, BASE_INV, np.uint64)
+    up[0] = down[0] = 1
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:len(values)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * down[starts]
-        h += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-    h[h == 0] = 1
-    return h
+        return np.cumprod(up), np.cumprod(down)
+
+
+def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of all windows of ``size`` values, from each position;
+    rolled over blocks of bounded length."""
+    n = len(values) - size + 1
+    out = np.zeros(max(n, 0), np.uint64)
+    up, down = _powers(WINDOW_BLOCK + size)
+    with np.errstate(over="ignore"):
+        for a in range(0, n, WINDOW_BLOCK):
+            e = min(n, a + WINDOW_BLOCK)
+            part = values[a:e + size - 1].astype(np.uint64) + np.uint64(1)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part * up[:len(part)], out=sums[1:])
+            out[a:e] = mix((sums[size:] - sums[:e - a]) * down[:e - a])
+    out[out == 0] = 1
+    return out
 
 
 class _Table:
@@ -150,18 +184,20 @@ class PieceEncoder:
     """``encode`` and ``count`` of one ``.json`` vocabulary, without added ids.
 
     ``bits`` bounds the table: at most ``2**(bits-1)`` pieces are kept; a full
-    table is emptied, which costs time only.
+    table is emptied, which costs time only.  With ``special_as_text`` special
+    token strings in a text are encoded like any other text.
     """
 
-    def __init__(self, path: str, bits: int = 21):
+    def __init__(self, path: str, bits: int = 21, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        self.lib.encode_special_tokens = special_as_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.plain = _is_plain_byte_bpe(spec)
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.special = [] if special_as_text else [t["content"] for t in spec.get("added_tokens", [])]
         self.table = _Table(bits)
 
     # ------------------------------------------------------------- library
@@ -314,11 +350,55 @@ class PieceEncoder:
                 np.concatenate(counts) if counts else np.zeros(0, np.int64))
 
 
+class SentencePieceEncoder(PieceEncoder):
+    """The same for a sentencepiece ``.model`` that marks spaces in front of
+    words: texts are given with a space in front, which stands for the one that
+    the model adds.  Where no piece of the vocabulary holds a space mark behind
+    another character, and the text is not normalised, nothing is merged over
+    the beginning of a run of spaces, so such runs start the pieces here.
+    Texts that hold the mark itself, and other models, go to the library whole.
+    """
+
+    MARK = "\u2581"
+
+    def __init__(self, path: str, bits: int = 21):
+        self.lib = _sentencepiece(path)
+        pieces = [self.lib.id_to_piece(i) for i in range(self.lib.vocab_size())]
+        probe = "  a  \ufb01 e\u0301\t\u3000\uff21 "
+        kept = "".join(self.lib.encode(probe, out_type=str)).replace("<0x09>", "\t")
+        self.plain = (kept == self.MARK + probe.replace(" ", self.MARK)
+                      and not any(self.MARK in p.lstrip(self.MARK) for p in pieces))
+        self.mark_id = self.lib.piece_to_id(self.MARK)
+        self.table = _Table(bits)
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return self.lib.encode([t[1:] for t in texts], num_threads=1) if texts else []
+
+    def _new_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [x if p != " " else [self.mark_id] for p, x in zip(pieces, self._library(pieces), strict=True)]
+        return (np.fromiter(map(len, ids), np.int64, len(ids)),
+                np.fromiter((i for x in ids for i in x), np.uint32))
+
+    def _starts(self, cp: np.ndarray, cls: np.ndarray, first: np.ndarray) -> np.ndarray:
+        space = cp == SPACE
+        start = space.copy()
+        start[1:] &= ~space[:-1]
+        return np.flatnonzero(start | first)
+
+    def _plain_texts(self, texts: list[str]) -> np.ndarray:
+        return np.array([self.plain and self.MARK not in t and t != " " for t in texts], bool)
+
+
 @lru_cache(maxsize=4)
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, special_as_text: bool = False) -> PieceEncoder:
     """One encoder for each vocabulary and Python worker; its table is kept
     between tasks."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, special_as_text=special_as_text)
+
+
+@lru_cache(maxsize=2)
+def sentencepiece_encoder(path: str) -> SentencePieceEncoder:
+    return SentencePieceEncoder(path)
 
 
 @lru_cache(maxsize=4)

@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import as_struct, materialized, mix, sliced, utf8, with_doc
-from shopstream.llm.pieces import span_hashes
+from shopstream.llm.pieces import window_hashes
 
 LENGTH = 400
 GRAM = 32
-PIECE = 1 << 22             # longer texts are anchored piece by piece
+PIECE = 1 << 20             # longer texts are anchored piece by piece
 BUNDLE_BYTES = 1 << 20      # text sorted at a time
-TASK_BYTES = 64 << 20       # of one anchor's distinct segments
+TASK_BYTES = 8 << 20       # of one anchor's distinct segments
 _SHUFFLED = np.array([(b * 167 + 13) % 256 for b in range(256)], np.uint8)
 
 
@@ -55,7 +55,7 @@ def anchored(raw: np.ndarray, off: np.ndarray, length: int, gram: int):
         part = raw[a:e]
         if len(part) < length:
             continue
-        h = span_hashes(part, np.arange(len(part) - gram + 1), np.arange(gram, len(part) + 1))
+        h = window_hashes(part, gram)
         low = np.uint64((1 << 24) - 1)
         key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
         least = _sliding_min(key, length - gram + 1)
@@ -240,8 +240,7 @@ def _judge(segs: list[tuple[bytes, bytes]], length: int, by_order: bool) -> pa.R
     if by_order:
         rank = suffix_classes(raw, length)[starts]
     else:
-        rank = _dense(mix(span_hashes(raw, starts, starts + length))
-                      ^ span_hashes(_SHUFFLED[raw], starts, starts + length))
+        rank = _dense((mix(window_hashes(raw, length)) ^ window_hashes(_SHUFFLED[raw], length))[starts])
     earlier, later = repeated(rank, starts)
     return pa.RecordBatch.from_arrays([pa.array([d for d, _ in segs], pa.binary()), _run_lists(earlier, count),
                                        _run_lists(later, count)], names=["digest", "earlier", "later"])
@@ -295,8 +294,8 @@ def _spread(groups: DataFrame, length: int) -> DataFrame:
             row = pa.array(np.repeat(np.arange(len(blobs)), count))
             yield pa.RecordBatch.from_arrays(
                 [b.column("digest").take(row), b.column("first").take(row), pa.array(at.astype(np.int32)),
-                 pa.array(span_hashes(raw, starts, starts + length).view(np.int64)),
-                 pa.array(span_hashes(_SHUFFLED[raw], starts, starts + length).view(np.int64))],
+                 pa.array(window_hashes(raw, length)[starts].view(np.int64)),
+                 pa.array(window_hashes(_SHUFFLED[raw], length)[starts].view(np.int64))],
                 names=["digest", "first", "at", "h1", "h2"])
 
     order = groups.schema["first"].dataType.simpleString()
