@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, exact_topk, licenses, line_dedup, near_dup, packing, quality, repeats, token_counts, wavelet
+from shopstream.llm import (alignment, collocations, decontaminate, exact_topk, language, licenses, line_dedup, near_dup, packing, quality,
+                            repeats, token_counts, wavelet)
 from shopstream.llm.common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +90,59 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_prob_minhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_pointer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents")).withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op12_language_bayes")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_rollup_collocations", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
+), places AS (
+  SELECT lang, unnest(w) AS w1, unnest(w[2:] || ['']) AS w2, unnest(w[3:] || ['', '']) AS w3, unnest(w[4:] || ['', '', '']) AS w4
+  FROM split WHERE len(w) > 0
+), windows AS (
+  SELECT lang, w1, w2, w3, w4, count(*) AS f FROM places GROUP BY ALL
+), grams AS MATERIALIZED (
+  SELECT lang, 1 AS k, w1 AS phrase, sum(f) AS f FROM windows WHERE w1 <> '' GROUP BY ALL
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, sum(f) FROM windows WHERE w2 <> '' GROUP BY ALL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, sum(f) FROM windows WHERE w3 <> '' GROUP BY ALL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, sum(f) FROM windows WHERE w4 <> '' GROUP BY ALL
+), total AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang
+), c AS MATERIALIZED (
+  SELECT lang, phrase, k AS words, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 30
+), parts AS MATERIALIZED (
+  SELECT lang, phrase, a, w, unnest(range(1, words)) AS k FROM c
+), named AS MATERIALIZED (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM parts
+), cuts AS MATERIALIZED (
+  SELECT n.lang, n.phrase, CAST(n.a AS BIGINT) AS a, n.k, CAST(g.f AS BIGINT) AS l, CAST(h.f AS BIGINT) AS r,
+         CAST((2000000::HUGEINT * n.a) // (g.f::HUGEINT + h.f) AS BIGINT) AS score
+  FROM named n JOIN grams g ON g.lang = n.lang AND g.phrase = n.x JOIN grams h ON h.lang = n.lang AND h.phrase = n.y
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT c.lang, array_to_string(c.w[s.i:s.i + s.k - 1], ' ') AS phrase, max(c.a) AS most
+  FROM c JOIN (VALUES (1, 2), (2, 2), (3, 2), (1, 3), (2, 3)) AS s(i, k) ON s.k < c.words AND s.i + s.k - 1 <= c.words GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN inside i USING (lang, phrase) WHERE i.most IS NULL OR 100::HUGEINT * i.most < 80::HUGEINT * s.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS n_th FROM kept
+)
+SELECT r.lang, n_th AS "rank", phrase, a, l, r.r, t.n, score, CAST(k AS BIGINT) AS k FROM ranked r JOIN total t USING (lang) WHERE n_th <= 2000
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), top=2000, least=30)

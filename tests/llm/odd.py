@@ -157,3 +157,123 @@ def distance(a, b):
             new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
         row = new
     return row[-1]
+
+
+# ------------------------------------------------------------- operator 11
+def _token_bytes():
+    import json
+
+    import public_tokenizers
+    import sentencepiece
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
+    a = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items() if all(c in letters for c in t)}
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    b = lambda i: bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("\u2581", " ").encode()
+    return a, b, sp
+
+
+def alignment_groups(text):
+    """[(ids of A, ids of B), ...] of one text, by walking both cuttings."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    if not text:
+        return []
+    a_bytes, b_bytes, sp = _token_bytes()
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    lib.encode_special_tokens = True
+    a, b, raw = lib.encode(" " + text, add_special_tokens=False).ids, sp.encode(text), (" " + text).encode()
+    if b"".join(a_bytes[i] for i in a) != raw or b"".join(map(b_bytes, b)) != raw:
+        return []
+    out, at, end_a, end_b = [([], [])], [0, 0], 0, 0
+    while at[0] < len(a) or at[1] < len(b):
+        if end_a <= end_b and at[0] < len(a) and (end_a < end_b or not out[-1][0]):
+            end_a += len(a_bytes[a[at[0]]])
+            out[-1][0].append(a[at[0]])
+            at[0] += 1
+        else:
+            end_b += len(b_bytes(b[at[1]]))
+            out[-1][1].append(b[at[1]])
+            at[1] += 1
+        if end_a == end_b:
+            out.append(([], []))
+    return out[:-1]
+
+
+def aligned(values):
+    """Rows of operator 11 without doc_id; every value is a document."""
+    each = [alignment_groups(t) for t in values]
+    count = Counter()
+    for g in each:
+        count.update({(x, y) for a, b in g for x in a for y in b})
+    most = defaultdict(int)
+    for (x, _), n in count.items():
+        most[x] = max(most[x], n)
+    out = []
+    for g in each:
+        links = [(x, y) for a, b in g for x in a for y in b]
+        named = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in g)
+        out.append((sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), len(links),
+                    sum(count[p] == most[p[0]] for p in links), sum(count[p] for p in links),
+                    hashlib.sha256(named.encode()).hexdigest() if g else ""))
+    return out
+
+
+# ------------------------------------------------------------- operator 12
+def languages(rows):
+    """doc_id -> held_out, lang_pred, score of (doc_id, text, lang), by a plain
+    naive Bayes over the same features."""
+    import math
+
+    from shopstream.llm.language import BUCKETS, SMOOTHING, features
+
+    rest = lambda i: None if i is None else zlib.crc32(str(i).encode()) % 4
+    of = lambda t: features([t or ""])[0].tolist()
+    n, docs = defaultdict(Counter), Counter()
+    for i, t, lang in rows:
+        if i is not None and lang is not None and rest(i) != 2:
+            n[lang].update(of(t))
+            docs[lang] += 1
+    out = {}
+    size = {x: math.log(sum(n[x].values()) + SMOOTHING * BUCKETS) for x in docs}
+    for i, t, _ in rows:
+        f = Counter(of(t))
+        if not f or not docs:
+            out[i] = (rest(i) == 2, "und", 0.0)
+            continue
+        each = {x: math.log(docs[x] / sum(docs.values())) + sum(c * (math.log(n[x][k] + SMOOTHING) - size[x]) for k, c in f.items())
+                for x in docs}
+        best = min(docs, key=lambda x: (-each[x], x))
+        out[i] = (rest(i) == 2, best, 1 / sum(math.exp(v - each[best]) for v in each.values()))
+    return out
+
+
+# ------------------------------------------------------------- operator 13
+def collocations(rows, top, least):
+    """Rows of operator 13 of (text, lang) pairs."""
+    f, n = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = lang if lang is not None else "und"
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            w = re.findall("[^ \t]+", piece)
+            n[lang] += len(w)
+            for k in range(1, 5):
+                f[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang in n:
+        if not n[lang]:
+            continue
+        c = {p: x for p, x in f[lang].items() if len(p) > 1 and x >= least}
+        kept = []
+        for p, a in c.items():
+            score, k = min((2000000 * a // (f[lang][p[:k]] + f[lang][p[k:]]), k) for k in range(1, len(p)))
+            if not any(len(q) > len(p) and 100 * b >= 80 * a and any(q[i:i + len(p)] == p for i in range(len(q))) for q, b in c.items()):
+                kept.append((-score, -a, " ".join(p).encode(), k, p))
+        for rank, (score, a, text, k, p) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, text.decode(), -a, f[lang][p[:k]], f[lang][p[k:]], n[lang], -score, k))
+    return sorted(out)

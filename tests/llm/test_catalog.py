@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = sorted(catalog.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(E.queries()) and set(catalog.ORACLE) <= set(E.oracle_sql())
 
 
@@ -53,3 +53,17 @@ def test_license_places(spark, documents):
         at = [p for p, _ in places]
         assert got[i][:5] == (n, len(places), min(at, default=None), max(at, default=None),
                               ",".join(sorted({label for _, label in places})))
+
+
+def test_alignment(spark, documents):
+    want = odd.aligned([t for _, t in documents])
+    assert _rows(spark, "op11_pointer_alignment") == {i: x for (i, _), x in zip(documents, want)}
+
+
+def test_language_of_held_out_documents(spark):
+    rows = duckdb.sql(f"select doc_id, text, lang from '{SF}/documents.parquet'").fetchall()
+    got, want = _rows(spark, "op12_language_bayes"), odd.languages(rows)
+    assert {i: x[:2] for i, x in got.items()} == {i: x[:2] for i, x in want.items()}
+    assert all(abs(got[i][2] - x[2]) < 1e-6 for i, x in want.items())
+    held = [got[i][1] == lang for i, _, lang in rows if got[i][0]]
+    assert len(held) > 20 and sum(held) >= 0.9 * len(held)
