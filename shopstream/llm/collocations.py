@@ -8,11 +8,11 @@ its own.
 
 The leads are taken inside the task that holds the text, and equal windows of
 a batch are one row, so no word is shuffled by itself.  A window is also padded
-from the first pair of words on that is surely too rare for a candidate: pairs
-are counted in ``2**SKETCH_BITS`` hashed counters first, and a counter below
-``least`` bounds every pair in it.  Phrases of ``least`` occurrences or more
-have no such pair, so their counts, and those of their parts, stay exact; a
-full sketch only pads fewer windows.
+from where its first words are surely too rare for a candidate: beginnings of
+two, three and four words are counted in ``2**SKETCH_BITS`` hashed counters each
+first, and a counter below ``least`` bounds every phrase in it.  Phrases of
+``least`` occurrences or more have no such beginning, so their counts, and
+those of their parts, stay exact; a full sketch only pads fewer windows.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from shopstream.llm.pieces import span_hashes
 
 ORDER = 4                       # words of the longest window
 COLUMNS = [f"w{k}" for k in range(1, ORDER + 1)]
-SKETCH_BITS = 24                # a task counts pairs in so many bytes
+SKETCH_BITS = 24                # a task counts each order's phrases in so many bytes
 BLOCK_BITS = 14                 # counters of a sketch that move together
 BATCH_BYTES = 4 << 20
 NO_LANGUAGE = "und"
@@ -70,13 +70,18 @@ class Tokens:
         self.hash = span_hashes(own, at[:-1], at[1:])
 
 
-def _pair_buckets(t: Tokens, language: np.ndarray, bits: int) -> np.ndarray:
-    """The counter of each word and its next one; ``language`` is a hash of
-    the language of each row."""
-    a, b = t.hash[t.word[:-1]], t.hash[t.word[1:]]
+def _beginnings(t: Tokens, language: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For two words and more: the counter of each word and those after it,
+    and whether they stand in one piece.  ``language`` is a hash of the
+    language of each row."""
+    each, n = t.hash[t.word], len(t.word)
+    h, on = mix(each + language[t.row]), np.ones(n, bool)
     with np.errstate(over="ignore"):
-        h = mix(a * np.uint64(0x9E3779B97F4A7C15) + b + language[t.row[:-1]])
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+        for k in range(1, ORDER):
+            m = max(n - k, 0)
+            h = mix(h[:m] * np.uint64(0x9E3779B97F4A7C15) + each[k:])
+            on = on[:m] & t.joined[k - 1:k - 1 + m]
+            yield (h >> np.uint64(64 - bits)).astype(np.int64) + ((k - 1) << bits), on
 
 
 def _language(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -88,8 +93,8 @@ def _language(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 # ------------------------------------------------------------------ sketch
-def _frequent_pairs(rows: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Whether each counter of the sketch may hold a pair of ``least``
+def _frequent(rows: DataFrame, least: int, bits: int) -> np.ndarray:
+    """Whether each counter of the sketches may hold a phrase of ``least``
     occurrences, as packed bits.  Counts stop at ``least``, which the sum then
     reaches as well."""
     block = min(BLOCK_BITS, bits)
@@ -97,11 +102,11 @@ def _frequent_pairs(rows: DataFrame, least: int, bits: int) -> np.ndarray:
     most = min(least, 255)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(1 << bits, np.uint8)
+        held = np.zeros((ORDER - 1) << bits, np.uint8)
         for b in sliced(batches, limit=BATCH_BYTES):
-            t = Tokens(b.column("text"))
-            at, n = np.unique(_pair_buckets(t, _language(b.column("lang"))[2], bits)[t.joined[:-1]], return_counts=True)
-            held[at] = np.minimum(held[at].astype(np.int64) + n, most)
+            for bucket, on in _beginnings(Tokens(b.column("text")), _language(b.column("lang"))[2], bits):
+                at, n = np.unique(bucket[on], return_counts=True)
+                held[at] = np.minimum(held[at].astype(np.int64) + n, most)
         parts = held.reshape(-1, size)
         there = np.flatnonzero(parts.any(axis=1))
         for a in range(0, len(there), 256):
@@ -129,25 +134,24 @@ def _frequent_pairs(rows: DataFrame, least: int, bits: int) -> np.ndarray:
 
     sums = (rows.mapInArrow(count, "block int, counts binary").repartition("block").sortWithinPartitions("block")
             .mapInArrow(total, "block int, bits binary"))
-    out = np.zeros(((1 << bits) // size, size // 8 or 1), np.uint8)
-    for b in sums.toArrow().to_batches():       # 2**bits / 8 bytes in all
+    out = np.zeros((((ORDER - 1) << bits) // size, size // 8), np.uint8)
+    for b in sums.toArrow().to_batches():       # 3 * 2**bits / 8 bytes in all
         for at, value in zip(b.column("block").to_pylist(), b.column("bits").to_pylist(), strict=True):
             out[at] = np.frombuffer(value, np.uint8)
     return out.ravel()
 
 
 # ----------------------------------------------------------------- windows
-def windows(t: Tokens, language: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(t: Tokens, language: np.ndarray, goes_on: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct windows as rows of word numbers (-1: padded), the language of
-    each, and how often it occurs.  ``linked`` tells whether a word's window
-    goes on to the next one."""
+    each, and how often it occurs.  ``goes_on[k]`` tells whether a word's window
+    has another word after its first k + 1, if it has those."""
     n = len(t.word)
     cols = np.full((ORDER, n), -1, np.int64)
-    on = np.ones(n, bool)
-    cols[0] = t.word
-    for k in range(1, min(ORDER, n)):
-        on = on[:n - k] & linked[k - 1:n - 1]
-        cols[k, :n - k] = np.where(on, t.word[k:], -1)
+    cols[0], on = t.word, np.ones(n, bool)
+    for k, more in enumerate(goes_on, 1):
+        on = on[:len(more)] & more
+        cols[k, :len(on)] = np.where(on, t.word[k:], -1)
     of = language[t.row]
     order = np.lexsort((*cols[::-1], of))
     cols, of = cols[:, order], of[order]
@@ -167,8 +171,7 @@ def _windows(rows: DataFrame, likely: np.ndarray, bits: int) -> DataFrame:
             if not len(t.word):
                 continue
             number, names, hashes = _language(b.column("lang"))
-            linked = np.append(t.joined[:-1] & likely[_pair_buckets(t, hashes, bits)], False)
-            cols, of, n = windows(t, number, linked)
+            cols, of, n = windows(t, number, [on & likely[bucket] for bucket, on in _beginnings(t, hashes, bits)])
             words = pa.concat_arrays([t.words, pa.array([""], t.words.type)])
             last = len(t.words)
             yield pa.RecordBatch.from_arrays(
@@ -184,12 +187,12 @@ def phrase_counts(docs: DataFrame, least: int = 30, sketch_bits: int = SKETCH_BI
     """lang, phrase (space-joined), words (1 to 4) and f of every phrase of
     ``least`` occurrences or more, and per lang the row of words 0, which
     counts all word occurrences."""
-    if not 1 <= least <= 255:
-        raise ValueError("least must be 1 to 255: a byte counts pairs")
+    if not 1 <= least <= 255 or sketch_bits < 3:
+        raise ValueError("least must be 1 to 255, as a byte counts, and sketch_bits 3 or more")
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # read from a written table: the rollup takes its input six times
-    counted = materialized(_windows(rows, _frequent_pairs(rows, least, sketch_bits), sketch_bits), "windows")
+    counted = materialized(_windows(rows, _frequent(rows, least, sketch_bits), sketch_bits), "windows")
     rolled = counted.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # levels 31, 15, 7, 3, 1, 0: nothing, lang, w1, ... w4; a padded last
     # column is a shorter phrase, counted at its own level

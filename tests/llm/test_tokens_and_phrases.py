@@ -164,5 +164,5 @@ def test_collocations_of_odd_rows(odd_docs, no_docs):
 
 def test_windows_of_one_word_and_of_none():
     t = collocations.Tokens(pa.array(["one", None, "", " . "]))
-    cols, of, n = collocations.windows(t, np.zeros(4, np.int64), np.zeros(1, bool))
+    cols, of, n = collocations.windows(t, np.zeros(4, np.int64), [np.zeros(0, bool)] * 3)
     assert cols.tolist() == [[0], [-1], [-1], [-1]] and n.tolist() == [1]
