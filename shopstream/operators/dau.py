@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstream.functions.jsonfn import is_malformed, parse_permissive
@@ -20,10 +20,12 @@ PARSED_COLUMNS = ["event_id", "mid", "uid", "ar", "ch", "vc", "has_page", "page_
                   "last_page_id", "ts", "event_time", "dt", "hr"]
 
 
-def parse_app_log(topic: DataFrame, tz: str = "UTC", value_col: str = "value") -> DataFrame:
+def parse_app_log(topic: DataFrame, tz: str = "UTC", value_col: str = "value", arr_col: str | None = None) -> DataFrame:
     """JSON log messages -> flat rows with ``dt``/``hr`` in zone ``tz``
-    (P1, P3, P4).  Malformed messages are left out; see :func:`split_malformed`."""
-    p = topic.select(parse_permissive(value_col, APP_LOG).alias("m"))
+    (P1, P3, P4).  Malformed messages are left out; see :func:`split_malformed`.
+    ``arr_col`` names the record's arrival, which goes along as ``arr``."""
+    arrived = [F.col(arr_col).alias("arr")] if arr_col else []
+    p = topic.select(parse_permissive(value_col, APP_LOG).alias("m"), *arrived)
     p = p.where(~is_malformed_log("m")).withColumn("ts", F.col("m.ts").try_cast("bigint"))
     local = epoch_ms_to_local(F.col("ts"), tz)
     dt, hr = day_and_hour(local)
@@ -36,7 +38,7 @@ def parse_app_log(topic: DataFrame, tz: str = "UTC", value_col: str = "value") -
         F.col("m.page.page_id").alias("page_id"),
         F.col("m.page.last_page_id").alias("last_page_id"),
         "ts", epoch_ms_to_instant(F.col("ts")).alias("event_time"),
-        dt.alias("dt"), hr.alias("hr"))
+        dt.alias("dt"), hr.alias("hr"), *(["arr"] if arr_col else []))
 
 
 def is_malformed_log(parsed) -> Column:
@@ -83,6 +85,42 @@ def dedup_first_visits_stream(first: DataFrame, delay: str = "24 hours") -> Data
             .dropDuplicatesWithinWatermark(["dt", "mid"]))
 
 
+# ------------------------------------------- de-duplication with refreshed expiry
+DAY_US = 86_400 * 1_000_000
+
+
+def touch_buckets(first: DataFrame, ttl_us: int = DAY_US) -> DataFrame:
+    """First visits (dt, mid, arr, ...) reduced to what the expiring set needs:
+    per ``dt``, ``ttl``-wide bucket of arrival and ``mid`` the first and last
+    arrival and the first row.  Buckets of parts of the rows merge by
+    :func:`merge_buckets`, in any order and however often they are repeated."""
+    us = F.unix_micros("arr")
+    row = F.struct(us.alias("arr_us"), "event_id", "hr", "uid", "ar", "ch", "vc", "ts")
+    return (first.groupBy("dt", F.floor(us / ttl_us).cast("long").alias("bucket"), "mid")
+            .agg(F.min(us).alias("lo"), F.max(us).alias("hi"), F.min(row).alias("first")))
+
+
+def merge_buckets(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("dt", "bucket", "mid").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
+
+
+def expiring_first_visits(buckets: DataFrame, ttl_us: int = DAY_US) -> DataFrame:
+    """First visits as the daily set counts them (D1, T2, T7): a day's set of
+    devices expires ``ttl`` after it was last touched, by whichever device, and
+    every touch refreshes it.  A late record counts; one that comes after the
+    set has expired counts its device again.
+
+    Touches of a day less than ``ttl`` apart are one life of its set.  Those of
+    one bucket always are, so the lives are found among a day's few buckets,
+    never among its rows; the window is over (dt, bucket) aggregates."""
+    days = buckets.groupBy("dt", "bucket").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    order = Window.partitionBy("dt").orderBy("bucket")
+    born = F.coalesce(F.col("lo") - F.lag("hi").over(order) >= ttl_us, F.lit(True))
+    lives = days.withColumn("life", F.sum(born.cast("long")).over(order)).select("dt", "bucket", "life")
+    return (buckets.join(lives, ["dt", "bucket"]).groupBy("dt", "life", "mid").agg(F.min("first").alias("f"))
+            .select("dt", "life", "mid", "f.*"))
+
+
 def dau_info(dau: DataFrame, processing_time: bool = False) -> DataFrame:
     """DauInfo rows (P6).  The reference stamps processing time; batch runs
     keep the event time so results are repeatable."""

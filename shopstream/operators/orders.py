@@ -17,7 +17,7 @@ map-side aggregates, never gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstream.functions.jsonfn import parse_string_map, typed_from_map
@@ -210,6 +210,64 @@ def ttl_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600) -> D
     return j.where(after | before).drop("d_us", "o_us", "brk")
 
 
+# -------------------------------------------------- the cache rule by run intervals
+RUN = "order_id long, start long, last long"
+
+
+def line_runs(known: DataFrame, lines: DataFrame, ttl_seconds: int = 600) -> DataFrame:
+    """Unbroken runs of an order's waiting lines (order_id, start, last; times
+    in microseconds): ``known`` runs and new ``lines`` (order_id, arr) merged
+    where less than ``ttl`` lies between them (T3).
+
+    New lines are reduced to their ``ttl``-wide buckets first, combined
+    map-side: lines of one bucket are one run.  The window is over an order's
+    runs and buckets, not its lines."""
+    W = int(ttl_seconds) * 1_000_000
+    t = F.unix_micros("arr")
+    new = lines.groupBy("order_id", F.floor(t / W).alias("b")).agg(F.min(t).alias("start"), F.max(t).alias("last"))
+    parts = known.select("order_id", "start", "last").unionByName(new.select("order_id", "start", "last"))
+    before = Window.partitionBy("order_id").orderBy("start", "last").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("order_id").orderBy("start", "last").rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("start") - F.max("last").over(before) >= W, F.lit(True))
+    named = parts.withColumn("apart", apart.cast("long")).withColumn("run", F.sum("apart").over(so_far))
+    return named.groupBy("order_id", "run").agg(F.min("start").alias("start"), F.max("last").alias("last")).drop("run")
+
+
+def waiting_from(arrivals: DataFrame, runs: DataFrame, ttl_seconds: int = 600, name: str = "lo") -> DataFrame:
+    """``arrivals`` of orders (id, o_us, ...) with ``name``: from when on lines
+    belong to the set that the order finds, or its own arrival.  At most one
+    run is alive when an order arrives: one that began before and whose last
+    line came less than ``ttl`` before, or comes later."""
+    W = int(ttl_seconds) * 1_000_000
+    r = runs.select(F.col("order_id").alias("_rid"), F.col("start").alias("_start"), F.col("last").alias("_last"))
+    alive = (F.col("id") == F.col("_rid")) & (F.col("_start") < F.col("o_us")) & (F.col("_last") > F.col("o_us") - W)
+    return (arrivals.join(r, alive, "left").withColumn(name, F.coalesce("_start", "o_us")).drop("_rid", "_start", "_last"))
+
+
+def lines_of(arrivals: DataFrame, lines: DataFrame, ttl_seconds: int = 600) -> DataFrame:
+    """Lines with the columns of their order (prefixed ``o_``): all that arrive
+    from the order's ``lo`` until ``ttl`` after it (J6)."""
+    W = int(ttl_seconds) * 1_000_000
+    o = arrivals.select(*[F.col(c).alias(f"o_{c}") for c in arrivals.columns if c not in ("o_us", "lo")],
+                        F.col("o_us").alias("_to"), F.col("lo").alias("_lo"))
+    t = F.unix_micros("arr")
+    return (lines.join(o, (F.col("order_id") == F.col("o_id")) & (t >= F.col("_lo")) & (t < F.col("_to") + W))
+            .drop("_to", "_lo"))
+
+
+def interval_audit(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600) -> DataFrame:
+    """Orders and lines without a partner less than ``ttl`` before or after
+    them (J7), one row each: kind, id."""
+    o = orders.select(F.col("id").alias("o_id"), F.col("arr").alias("o_arr"))
+    d = details.select("order_id", F.col("arr").alias("d_arr"))
+    ttl = F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
+    lines = details.join(o, (F.col("order_id") == F.col("o_id")) & (F.col("arr") > F.col("o_arr") - ttl)
+                         & (F.col("arr") < F.col("o_arr") + ttl), "left_anti")
+    alone = orders.join(d, (F.col("id") == F.col("order_id")) & (F.col("d_arr") > F.col("arr") - ttl)
+                        & (F.col("d_arr") < F.col("arr") + ttl), "left_anti")
+    return alone.select(F.lit("order").alias("kind"), "id").unionByName(lines.select(F.lit("line").alias("kind"), "id"))
+
+
 def ttl_refresh_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 600) -> DataFrame:
     """``(detail_id, order_id)`` of :func:`ttl_join`.  A line delivered twice
     is one member of the cached set (D3) and one document after the id upsert

@@ -468,6 +468,69 @@ def q_dau_dedup_stream(spark, sf_dir):
     return K.read_latest(spark, out, ["dt", "mid"]).select(F.col("dt").cast("string").alias("dt"), "mid", "hr", "event_id")
 
 
+def _late_log(spark, sf_dir) -> DataFrame:
+    """The log with arrivals of its own: one record in seven comes up to four
+    days late, so days are touched again before and after their set expired."""
+    log = _views(spark, sf_dir).app_log_topic
+    late = F.when(F.col("event_id") % 7 == 0, F.col("event_id") % 5 * 86_400_000_000).otherwise(0)
+    return log.withColumn("timestamp", F.timestamp_micros(F.unix_micros("timestamp") + late))
+
+
+@query("dau_expiring")
+def q_dau_expiring(spark, sf_dir):
+    """Daily actives under the set's refreshed expiry."""
+    first = D.first_visits(D.parse_app_log(_late_log(spark, sf_dir), arr_col="timestamp"))
+    return D.expiring_first_visits(D.touch_buckets(first)).select("dt", "life", "mid", "hr", "event_id")
+
+
+@query("dau_expiring_stream")
+def q_dau_expiring_stream(spark, sf_dir):
+    """The same from the replayed topic."""
+    out = scratch_path(spark, "dau-expiring")
+    J.run_dau_expiring(spark, _replay(spark, _late_log(spark, sf_dir), "app_log_late"), out, scratch_path(spark, "ckpt-dau-expiring"),
+                       state_partitions=_state_partitions(spark))
+    return J.read_dau_expiring(spark, out).select("dt", "life", "mid", "hr", "event_id")
+
+
+def _withheld_orders(v) -> DataFrame:
+    """The order topic without every 50th order."""
+    keep = v.order_info_topic.withColumn("_id", F.get_json_object("value", "$.id").cast("bigint"))
+    return keep.where(F.col("_id") % 50 != 0).drop("_id")
+
+
+@query("orphans_interval")
+def q_orphans_interval(spark, sf_dir):
+    """Orders and lines without a partner in reach (J7), where every 50th
+    order never arrives."""
+    v = _views(spark, sf_dir)
+    return O.interval_audit(O.parse_order_info(_withheld_orders(v)), O.parse_order_detail(v.order_detail_topic))
+
+
+@query("orphans_stream")
+def q_orphans_stream(spark, sf_dir):
+    """The same from the running stream.  A mark at the end of both topics
+    moves the watermark past all other rows."""
+    v = _views(spark, sf_dir)
+    o = _materialize(spark, _withheld_orders(v).select("value", "timestamp"), "orders-left")
+    d = _materialize(spark, v.order_detail_topic.select("value", "timestamp"), "order_detail")
+    o_src, d_src = scratch_path(spark, "replay-orders-left"), scratch_path(spark, "replay-detail")
+    ld = write_replay(d, d_src)
+    lo = write_replay(o, o_src, bounds=ld.bounds)
+    out, ck = scratch_path(spark, "orphans"), scratch_path(spark, "ckpt-orphans")
+    run = lambda: J.run_orphans(
+        spark, read_topic(spark, replay_path=o_src, max_files_per_trigger=lo.files_per_slice),
+        read_topic(spark, replay_path=d_src, max_files_per_trigger=ld.files_per_slice), out, ck,
+        state_partitions=_state_partitions(spark))
+    run()
+    end = (o.select("timestamp").unionByName(d.select("timestamp"))
+           .agg(F.timestamp_micros(F.unix_micros(F.max("timestamp")) + 86_400_000_000).alias("timestamp")))
+    mark = lambda key: end.select(F.to_json(F.struct(F.lit("-1").alias("id"), *key)).alias("value"), "timestamp")
+    mark([]).write.mode("append").json(o_src)
+    mark([F.lit("-2").alias("order_id")]).write.mode("append").json(d_src)
+    run()
+    return spark.read.parquet(out).select("kind", "id")
+
+
 @query("order_wide_stream")
 def q_order_wide_stream(spark, sf_dir):
     """The wide rows of the interval form."""

@@ -121,6 +121,19 @@ q("first_visits", "select event_id, mid, dt, hr from first_visit")
 
 q("dau_dedup", "select dt, mid, hr, event_id from dau")
 
+# one record in seven arrives up to four days late; a silence of a day ends the set
+_LIVES = {
+    "touched": "select *, ts + to_days(cast(case when event_id % 7 = 0 then event_id % 5 else 0 end as int)) as arr from first_visit",
+    "gaps": "select *, arr - lag(arr) over (partition by dt order by arr, event_id) as gap from touched",
+    "lives": "select *, sum(case when gap < interval 1 day then 0 else 1 end) over "
+             "(partition by dt order by arr, event_id rows unbounded preceding) as life from gaps",
+}
+_EXPIRING = """
+select dt, cast(life as bigint) as life, mid, hr, event_id from lives
+qualify row_number() over (partition by dt, life, mid order by arr, event_id) = 1"""
+q("dau_expiring", _EXPIRING, _LIVES)
+q("dau_expiring_stream", _EXPIRING, _LIVES)
+
 q("dau_info", "select mid, uid, ar, ch, vc, dt, hr, ts_ms as ts from dau")
 
 q("dau_total", "select dt, count(*) as dau from dau group by dt")
@@ -266,6 +279,18 @@ q("cdc_to_wide", f"select * from order_wide where detail_id in ({_TTL_IDS})",
   _TTL_EXTRA | {"j": "select d.id, d.order_id, min(d.arr) over (partition by d.id // 100) as arr, o.arr as to_ "
                      "from order_detail d join order_info o on o.id = d.order_id"})
 
+_INTERVAL_AUDIT = """
+select 'order' as kind, o.id from arrived_orders o where not exists (
+  select 1 from order_detail d where d.order_id = o.id
+  and d.arr > o.arr - interval 600 second and d.arr < o.arr + interval 600 second)
+union all
+select 'line', d.id from order_detail d where not exists (
+  select 1 from arrived_orders o where d.order_id = o.id
+  and d.arr > o.arr - interval 600 second and d.arr < o.arr + interval 600 second)"""
+
+q("orphans_interval", _INTERVAL_AUDIT)
+q("orphans_stream", _INTERVAL_AUDIT)
+
 q("orphan_details", """
 select d.id from order_detail d where not exists (select 1 from arrived_orders o where o.id = d.order_id)""")
 

@@ -39,13 +39,18 @@ def _keys(id_col: str | list[str]) -> list[str]:
     return [id_col] if isinstance(id_col, str) else list(id_col)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def run_id(spark: SparkSession, checkpoint: str) -> int:
     """The run a checkpoint belongs to: kept beside it, so a restart goes on
     with it, while a new checkpoint gets a greater one.  Batch ids start at 0
     under a new checkpoint; the run tells its batches from older ones."""
     path = f"{checkpoint}.run"
-    spark.createDataFrame([], "run long").write.mode("append").parquet(path)
-    old = spark.read.schema("run long").parquet(path).agg(F.max("run")).first()[0]
+    old = spark.read.schema("run long").parquet(path).agg(F.max("run")).first()[0] if path_exists(spark, path) else None
     if old is None:
         old = time.time_ns() // 1000
         spark.createDataFrame([(old,)], "run long").write.mode("append").parquet(path)
@@ -59,7 +64,9 @@ def upsert_batch(df: DataFrame, table_path: str, batch_id: int, id_col: str | li
     Within the batch the row of the greatest ``order_col`` per id wins; the
     ``max_by`` is combined map-side.  Re-running the same batch of a run
     overwrites only that batch's partitions.  ``by`` are further partition
-    columns, such as the day (S14); they must be part of the key."""
+    columns, such as the day (S14); the key must decide them.  Readers take a
+    partition column's type from its values, so a key that must keep its type
+    is copied to a partition column of another name."""
     keys = _keys(id_col)
     cols = [c for c in df.columns if c not in keys]
     d = (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(F.col(order_col), *cols)).alias("r"))
@@ -73,16 +80,17 @@ def upsert_batch(df: DataFrame, table_path: str, batch_id: int, id_col: str | li
 _BASES = "run long, batch_id long, path string"
 
 
-def _bases(spark: SparkSession, table_path: str) -> DataFrame:
+def _newest_base(spark: SparkSession, table_path: str):
     path = f"{table_path}.bases"
-    spark.createDataFrame([], _BASES).write.mode("append").parquet(path)
-    return spark.read.schema(_BASES).parquet(path)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(_BASES).parquet(path).orderBy(F.col("run").desc(), F.col("batch_id").desc()).first()
 
 
 def _rows_since_base(spark: SparkSession, table_path: str) -> DataFrame:
     """The newest base of a table and the batches written after it."""
     t = spark.read.parquet(table_path)
-    base = _bases(spark, table_path).orderBy(F.col("run").desc(), F.col("batch_id").desc()).first()
+    base = _newest_base(spark, table_path)
     if base is None:
         return t
     after = (F.col("run") > base.run) | (F.col("run") == base.run) & (F.col("batch_id") > base.batch_id)

@@ -25,7 +25,7 @@ from shopstream.operators import dau as D
 from shopstream.operators import orders as O
 from shopstream.operators.joins import broadcast_if_bounded
 from shopstream.schemas import DIM_TABLES, ORDER_WIDE_COLUMNS
-from shopstream.sources.sinks import compact, read_latest, run_id, upsert_batch
+from shopstream.sources.sinks import compact, path_exists, read_latest, run_id, upsert_batch
 
 REPLAY = {"availableNow": True}
 SERVICE = {"processingTime": "5 seconds"}
@@ -131,7 +131,7 @@ def run_dau(spark: SparkSession, topic: DataFrame, sink_path: str, checkpoint: s
     run = run_id(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, sink_path, batch_id, ["dt", "mid"], "ts", run, by=["dt"])
+        upsert_batch(batch.withColumn("day", F.col("dt")), sink_path, batch_id, ["dt", "mid"], "ts", run, by=["day"])
 
     return _run(spark, dau_stream(topic, tz, delay), write, checkpoint, "dau_dedup", trigger, timeout_s, state_partitions)
 
@@ -211,68 +211,217 @@ def run_order_wide(spark: SparkSession, order_topic: DataFrame, detail_topic: Da
 
 
 ARRIVED = "slot long, run long, batch_id long"
-SLOT_SECONDS = 86_400
+SLOT_SECONDS = 3_600
 
 
-def _arrive(rows: DataFrame, path: str, run: int, batch_id: int, slot_seconds: int) -> None:
-    """Keep the rows of a batch by day of arrival; a repeated batch replaces
-    its own.  The hint gives each day few files and splits a large one."""
-    slot = F.floor(F.unix_micros("arr") / (slot_seconds * 1_000_000)).cast("long")
-    (rows.withColumns({"slot": slot, "run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
-     .hint("rebalance", F.col("slot")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "run", "batch_id").parquet(path))
+def _slot(us, slot_seconds: int):
+    return F.floor(us / (slot_seconds * 1_000_000)).cast("long")
+
+
+def _own(df: DataFrame, path: str, run: int, batch_id: int, *by: str) -> None:
+    """Write a batch's rows to partitions of its own, few files each; a
+    repeated batch replaces them.  The hint splits a large partition."""
+    df = df.withColumns({"run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
+    if by:
+        df = df.hint("rebalance", *[F.col(c) for c in by])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, "run", "batch_id").parquet(path)
+
+
+def _slots(spark: SparkSession, path: str, like: DataFrame, slots: list[int]) -> DataFrame | None:
+    """Rows that arrived in the given slots; only their folders are listed."""
+    there = [f"{path}/slot={s}" for s in slots if path_exists(spark, f"{path}/slot={s}")]
+    if not there:
+        return None
+    schema = StructType(like.schema.fields + StructType.fromDDL(ARRIVED).fields)
+    return spark.read.schema(schema).option("basePath", path).parquet(*there)
+
+
+def _slots_between(spark: SparkSession, path: str, low: int, high: int) -> list[int]:
+    """Slots of a range; of a wide one those that are there, by their folders'
+    names."""
+    if high - low < 64 or not path_exists(spark, path):
+        return list(range(low, high + 1)) if high - low < 64 else []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    slots = [int(n.removeprefix("slot=")) for n in names if n.startswith("slot=")]
+    return sorted(s for s in slots if low <= s <= high)
+
+
+_KEPT = f"{O.RUN}, seen long, run long, batch_id long"
+
+
+def _kept_runs(spark: SparkSession, path: str, run: int, batch_id: int) -> DataFrame:
+    """The runs as the batch before left them.  Two versions are kept, in turn;
+    the first batch of a new checkpoint goes on from the newest one."""
+    there = [p for p in ([f"{path}/turn={(batch_id - 1) % 2}"] if batch_id else [f"{path}/turn={k}" for k in (0, 1)])
+             if path_exists(spark, p)]
+    if not there:
+        return spark.createDataFrame([], _KEPT)
+    rows = spark.read.schema(_KEPT).parquet(*there)
+    if batch_id:
+        return rows.where((F.col("run") == run) & (F.col("batch_id") == batch_id - 1))
+    newest = rows.where(F.col("run") < run).agg(F.max(F.struct("run", "batch_id")).alias("m")).first().m
+    return rows.where(F.lit(False)) if newest is None else rows.where(
+        (F.col("run") == newest.run) & (F.col("batch_id") == newest.batch_id))
 
 
 def run_order_wide_ttl(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame, dims: Dims,
-                       table_path: str, checkpoint: str, ttl_seconds: int = 600, horizon_seconds: int = 86_400,
+                       table_path: str, checkpoint: str, ttl_seconds: int = 600, delay_seconds: int = 86_400,
                        trigger: dict | None = None, timeout_s: float | None = None,
                        state_partitions: int | None = None, slot_seconds: int = SLOT_SECONDS,
                        by: tuple = BY_DAY) -> StreamingQuery:
     """The wide stream under the exact cache semantics.
 
-    The topics need not be in step.  Every micro-batch adds its orders and
-    lines to tables by day of arrival; for the orders it touches, all rows
-    kept are joined by the batch rule (``O.ttl_join``).  More rows only add
-    matches, so whatever is found holds, and each match is found in the batch
-    that brings the last row it needs; repeats are upserted by line.
-
-    ``horizon_seconds`` takes the place of a watermark: rows that arrived so
-    much earlier than a batch's first row are not looked at, and the days
-    before it may be deleted; wider
-    ``slot_seconds`` and no ``by`` suit replayed batches that span years.  The joins run with AQE, which splits a hot
-    order; no state is kept in task memory.  Bad messages go to
-    ``<table_path>.bad``."""
+    The topics need not be in step.  What a later row needs of an order's
+    waiting lines is where their unbroken run began and when its last line
+    came; ``<table_path>.runs`` holds that, a row per run, and is merged with
+    every micro-batch (``O.line_runs``).  A run lives as long as lines keep
+    coming, be it for days.  The rows themselves are kept by slot of arrival.
+    A batch joins its new lines to the orders of the last ``ttl``, and reads
+    earlier lines only for orders that are new or whose run has grown
+    backwards, from just the slots of those runs.  More rows only add matches,
+    and repeats are upserted by line.
+
+    ``delay_seconds`` is how far behind the newest row one may come and still
+    meet all it should: a run is forgotten once nothing so late can prolong
+    it.  Rows later than that are joined to what is still known and listed in
+    ``<table_path>.late``.  Joins run with AQE, which splits a hot order.  Bad
+    messages go to ``<table_path>.bad``."""
     run = run_id(spark, checkpoint)
-    orders_path, lines_path, bad_path = (f"{table_path}.{x}" for x in ("orders", "lines", "bad"))
+    orders_path, lines_path, bad_path, late_path, runs_path = (f"{table_path}.{x}" for x in ("orders", "lines", "bad", "late", "runs"))
     both = order_topic.select(F.lit("order").alias("kind"), "value", "timestamp").unionByName(
         detail_topic.select(F.lit("line").alias("kind"), "value", "timestamp"))
+    W, delay = ttl_seconds * 1_000_000, delay_seconds * 1_000_000
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        held = [batch]
         try:
-            orders, lines = batch.where("kind = 'order'"), batch.where("kind = 'line'")
-            bad = F.when(F.col("kind") == "order", O.is_bad_order()).otherwise(O.is_bad_detail())
-            (batch.where(bad).withColumns({"run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long")})
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch_id").parquet(bad_path))
-            orders, lines = O.parse_order_info(orders), O.parse_order_detail(lines)
-            _arrive(orders, orders_path, run, batch_id, slot_seconds)
-            _arrive(lines, lines_path, run, batch_id, slot_seconds)
-            touched = orders.select("id").union(lines.select("order_id")).distinct()
-            first = batch.agg(F.min(F.unix_seconds("timestamp"))).first()[0]
+            kind = F.col("kind")
+            bad = F.when(kind == "order", O.is_bad_order()).otherwise(O.is_bad_detail())
+            us = F.unix_micros("timestamp")
+            known = _kept_runs(spark, runs_path, run, batch_id).persist()
+            held.append(known)
+            seen = known.agg(F.max("seen")).first()[0]
+            first, newest, oldest_line, n_bad, n_late = batch.agg(
+                F.min(us), F.max(us), F.min(F.when(kind == "line", us)), F.count_if(bad),
+                F.count_if(us < (seen or 0) - delay)).first()
             if first is None:
-                return
-            kept = lambda path, like: (spark.read.schema(StructType(
-                like.schema.fields + StructType.fromDDL(ARRIVED).fields)).parquet(path)
-                .where(F.col("slot") >= (first - horizon_seconds) // slot_seconds).drop("slot", "run", "batch_id"))
-            ids = broadcast_if_bounded(touched)
-            o = kept(orders_path, orders).join(ids, "id", "left_semi").dropDuplicates(["id", "arr"])
-            d = kept(lines_path, lines).join(ids.select(F.col("id").alias("order_id")), "order_id", "left_semi")
-            _write_wide(O.ttl_join(o, d, ttl_seconds), dims, table_path, batch_id, run, by)
+                if known.isEmpty():
+                    return
+                newest = seen       # the state goes on to the next turn
+            if n_bad:
+                _own(batch.where(bad), bad_path, run, batch_id)
+            if n_late:
+                _own(batch.where(us < seen - delay), late_path, run, batch_id)
+            orders = O.parse_order_info(batch.where("kind = 'order'")).withColumn("slot", _slot(F.unix_micros("arr"), slot_seconds))
+            lines = O.parse_order_detail(batch.where("kind = 'line'")).withColumn("slot", _slot(F.unix_micros("arr"), slot_seconds))
+            _own(orders, orders_path, run, batch_id, "slot")
+            _own(lines, lines_path, run, batch_id, "slot")
+            orders, lines = orders.drop("slot").persist(), lines.drop("slot").persist()
+            held += [orders, lines]
+            before = known.where("order_id is not null")
+            seen = max(seen or newest, newest)
+            runs = O.line_runs(before, lines, ttl_seconds).persist()
+            held.append(runs)
+            clock = spark.createDataFrame([(None, None, None)], O.RUN)
+            alive = runs.where(F.col("last") + W > seen - delay).unionByName(clock)
+            # the version of two batches ago goes; a repeated batch finds the one before it
+            (alive.withColumns({"seen": F.lit(seen).cast("long"), "run": F.lit(run).cast("long"), "batch_id": F.lit(int(batch_id)).cast("long"),
+                                "turn": F.lit(batch_id % 2)})
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("turn").parquet(runs_path))
+            # orders whose lines may be among the new ones, and new orders
+            arrivals = orders.dropDuplicates(["id", "arr"]).withColumn("new", F.lit(True))
+            if oldest_line is not None:
+                width = slot_seconds * 1_000_000
+                stored = _slots(spark, orders_path, orders,
+                                _slots_between(spark, orders_path, (oldest_line - W) // width, seen // width))
+                if stored is not None:
+                    ids = broadcast_if_bounded(lines.select(F.col("order_id").alias("id")).distinct())
+                    old = (stored.where((F.col("run") != run) | (F.col("batch_id") != int(batch_id))).drop("slot", "run", "batch_id")
+                           .where(F.unix_micros("arr") > oldest_line - W).join(ids, "id", "left_semi")
+                           .dropDuplicates(["id", "arr"]).withColumn("new", F.lit(False)))
+                    arrivals = arrivals.unionByName(old)
+            arrivals = arrivals.withColumn("o_us", F.unix_micros("arr"))
+            arrivals = O.waiting_from(O.waiting_from(arrivals, before, ttl_seconds, "lo_before"), runs, ttl_seconds)
+            users, provinces = dims()       # as they are now
+            buyers = broadcast_if_bounded(arrivals.select(F.col("user_id").alias("_uid")).distinct())
+            users = users.join(buyers, users.id == F.col("_uid"), "left_semi")
+            arrivals = O.enrich_orders(arrivals, users, provinces).persist()
+            held.append(arrivals)
+            joined = O.lines_of(arrivals.drop("new", "lo_before"), lines, ttl_seconds)
+            # earlier lines: of orders that are new, or see more of them now
+            again = arrivals.where(F.col("new") | (F.col("lo") < F.col("lo_before")))
+            met = again.join(before.select(F.col("order_id").alias("_id"), F.col("start").alias("_s"), F.col("last").alias("_l")),
+                             (F.col("id") == F.col("_id")) & (F.col("_l") >= F.col("lo")) & (F.col("_s") < F.col("o_us") + W))
+            slots = met.select(F.explode(F.sequence(_slot(F.greatest("lo", "_s"), slot_seconds),
+                                                    _slot(F.least("_l", F.col("o_us") + W), slot_seconds))).alias("s")).distinct()
+            stored = _slots(spark, lines_path, lines, sorted(r.s for r in slots.collect()))     # slots, not rows
+            if stored is not None:
+                earlier = stored.where((F.col("run") != run) | (F.col("batch_id") != int(batch_id))).drop("slot", "run", "batch_id")
+                joined = joined.unionByName(O.lines_of(again.drop("new", "lo_before"), earlier, ttl_seconds))
+            upsert_batch(O.merge_wide(joined, "o_arr"), table_path, batch_id, WIDE_KEY, "o_arr", run, by=list(by))
         finally:
-            batch.unpersist()
+            for df in held:
+                df.unpersist()
 
     return _run(spark, both, write, checkpoint, "order_wide_ttl", trigger, timeout_s, state_partitions)
 
 
+# ------------------------------------------------------------------- orphans
+def orphan_stream(order_topic: DataFrame, detail_topic: DataFrame, ttl_seconds: int = 600,
+                  delay: str = "10 minutes") -> DataFrame:
+    """Orders and lines that no partner can reach any more (J7): kind, id, arr.
+
+    A full outer stream-stream join of the interval form: a row's state is
+    dropped once the watermark passes ``arr + ttl``, and a row that met no
+    partner until then comes out, once."""
+    orders = O.parse_order_info(order_topic).select("id", "arr").withWatermark("arr", delay)
+    details = O.parse_order_detail(detail_topic).select("id", "order_id", "arr").withWatermark("arr", delay)
+    o = orders.select(F.col("id").alias("o_id"), F.col("arr").alias("o_arr"))
+    ttl = F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
+    met = (F.col("order_id") == F.col("o_id")) & (F.col("arr") > F.col("o_arr") - ttl) & (F.col("arr") < F.col("o_arr") + ttl)
+    alone = F.col("o_id").isNull() | F.col("id").isNull()
+    return (details.join(o, met, "full_outer").where(alone)
+            .select(F.when(F.col("id").isNull(), "order").otherwise("line").alias("kind"), F.coalesce("id", "o_id").alias("id"),
+                    F.coalesce("arr", "o_arr").alias("arr")))
+
+
+def run_orphans(spark: SparkSession, order_topic: DataFrame, detail_topic: DataFrame, table_path: str, checkpoint: str,
+                ttl_seconds: int = 600, delay: str = "10 minutes", trigger: dict | None = None, timeout_s: float | None = None,
+                state_partitions: int | None = None) -> StreamingQuery:
+    """Orphans into one partition per batch, which a repeated batch replaces."""
+    run = run_id(spark, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _own(batch, table_path, run, batch_id)
+
+    return _run(spark, orphan_stream(order_topic, detail_topic, ttl_seconds, delay), write, checkpoint, "orphans", trigger, timeout_s,
+                state_partitions)
+
+
+# ------------------------------------------------- daily actives that expire
+def run_dau_expiring(spark: SparkSession, topic: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None,
+                     timeout_s: float | None = None, state_partitions: int | None = None, tz: str = "UTC") -> StreamingQuery:
+    """Daily actives with the set's refreshed expiry (D1, T2, T7).  Every batch
+    keeps its own buckets; ``read_dau_expiring`` merges them, so any split or
+    repetition of the records gives the batch answer.  No record is dropped as
+    late, and no state is held between batches."""
+    run = run_id(spark, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = D.first_visits(D.parse_app_log(batch, tz, arr_col="timestamp"))
+        _own(D.touch_buckets(first), table_path, run, batch_id)
+
+    return _run(spark, topic, write, checkpoint, "dau_expiring", trigger, timeout_s, state_partitions)
+
+
+def read_dau_expiring(spark: SparkSession, table_path: str) -> DataFrame:
+    """First visits as the expiring sets have counted them so far."""
+    parts = spark.read.parquet(table_path).select("dt", "bucket", "mid", "lo", "hi", "first")
+    return D.expiring_first_visits(D.merge_buckets(parts))
+
+
 # ------------------------------------------------------- topic bookkeeping
 def run_topic_counts(spark: SparkSession, topic: DataFrame, key: str, table_path: str,
                      checkpoint: str, trigger: dict | None = None,

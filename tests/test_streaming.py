@@ -145,6 +145,109 @@ def test_wide_stream_is_exact_for_any_arrival_order(spark, seed):
     assert set(got) == simulate(orders, lines)
 
 
+def _runs_long(spark, parts, slot_seconds, delay_seconds):
+    o_src, l_src, out, ck = (scratch_path(spark, f"t-long-{k}") for k in ("o", "l", "out", "ck"))
+    for part in parts:
+        _append(spark, o_src, [e for k, e in part if k == "o"])
+        _append(spark, l_src, [e for k, e in part if k == "l"])
+        J.run_order_wide_ttl(spark, read_topic(spark, replay_path=o_src), read_topic(spark, replay_path=l_src),
+                             lambda: (_users(spark), _provinces(spark)), out, ck, TTL,
+                             slot_seconds=slot_seconds, delay_seconds=delay_seconds)
+    return out
+
+
+@pytest.mark.parametrize("delay", [0, 3600])
+def test_lines_kept_alive_for_three_days(spark, delay):
+    """A line every nine minutes for three days, then the order; another
+    order's lines fall silent once, and those before are lost."""
+    day = 86_400
+    kept = [(i, 1, t) for i, t in enumerate(range(0, 3 * day, 540))]
+    lost = [(10_000 + i, 2, t) for i, t in enumerate(range(0, 3 * day, 540)) if t not in (540 * 200, 540 * 201)]
+    orders = {1: 3 * day + 10, 2: 3 * day + 10, 3: 50}
+    lines = kept + lost + [(20_000, 3, 649), (20_001, 3, 651)]
+    events = [(t, "o", _order(o, t)) for o, t in orders.items()] + [(x[2], "l", _line(*x)) for x in lines]
+    events = [(k, e) for _, k, e in sorted(events, key=lambda e: (e[0], e[1], e[2][0]))]
+    cut = [0, len(events) // 3, len(events) - 5, len(events) - 1, len(events)]
+    out = _runs_long(spark, [events[a:b] for a, b in zip(cut, cut[1:])], 3600, delay)
+    got = {r.detail_id for r in J.read_wide(spark, out).collect()}
+    assert got == simulate(orders, lines) and {i for i, *_ in kept} <= got and 10_000 not in got
+    # what is kept between batches is a row per run, in two versions
+    assert spark.read.parquet(f"{out}.runs").where("order_id is not null").count() <= 6
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_wide_stream_in_slots_of_any_width(spark, seed):
+    rng = random.Random(100 + seed)
+    orders = {o: rng.randint(0, 9000) for o in range(4)}
+    lines = [(i, rng.randrange(4), rng.randint(0, 9000)) for i in range(70)]
+    events = [("o", _order(o, t)) for o, t in orders.items()] + [("l", _line(*x)) for x in lines]
+    rng.shuffle(events)
+    out = _runs_long(spark, [events[k::3] for k in range(3)], 100, 86_400)
+    assert {r.detail_id for r in J.read_wide(spark, out).collect()} == simulate(orders, lines)
+
+
+def test_late_rows_are_listed(spark):
+    parts = [[("l", _line(1, 1, 5000))], [("o", _order(1, 100)), ("l", _line(2, 1, 4500))]]
+    out = _runs_long(spark, parts, 3600, 600)
+    assert spark.read.parquet(f"{out}.late").count() == 1
+
+
+# ------------------------------------------------- daily actives that expire
+def _expiring(records):
+    """dt -> device sets that expire a day after their last touch."""
+    last, sets, out = {}, {}, []
+    for at, eid, dt, mid in sorted(records):
+        if dt not in last or at - last[dt] >= 86_400:
+            sets[dt] = set()
+        last[dt] = at
+        if mid not in sets[dt]:
+            sets[dt].add(mid)
+            out.append((dt, mid, eid))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_expiring_actives_for_any_split(spark, seed):
+    rng = random.Random(seed)
+    base = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [(rng.randint(0, 12 * 86_400), i, rng.randint(0, 3), f"m{rng.randint(0, 5)}") for i in range(70)]
+    rows += [(86_400, 900, 1, "edge"), (2 * 86_400, 901, 1, "edge"), (2 * 86_400 + 5, 901, 1, "edge")]
+    text = lambda eid, day, mid: json.dumps({"event_id": eid, "common": {"mid": mid}, "page": {"page_id": "p"},
+                                             "ts": int((base + timedelta(days=day)).timestamp() * 1000)})
+    records = [(text(eid, day, mid), base + timedelta(seconds=at)) for at, eid, day, mid in rows]
+    want = _expiring([(at, eid, f"2024-01-0{day + 1}", mid) for at, eid, day, mid in rows])
+    rng.shuffle(records)
+    src, out, ck = (scratch_path(spark, f"t-expiring-{k}") for k in ("src", "out", "ck"))
+    for part in (records[:20], records[20:], records[:5]):      # some are delivered again
+        _append(spark, src, part)
+        J.run_dau_expiring(spark, read_topic(spark, replay_path=src), out, ck)
+    got = sorted((r.dt, r.mid, r.event_id) for r in J.read_dau_expiring(spark, out).collect())
+    assert got == want
+    batch = D.parse_app_log(spark.createDataFrame(records, TOPIC), arr_col="timestamp")
+    rows = D.expiring_first_visits(D.touch_buckets(D.first_visits(batch))).collect()
+    assert sorted((r.dt, r.mid, r.event_id) for r in rows) == want
+
+
+# ------------------------------------------------------------------- orphans
+def test_orphans_come_out_once_and_over_a_restart(spark):
+    o_src, l_src, out, ck = (scratch_path(spark, f"t-orphan-{k}") for k in ("o", "l", "out", "ck"))
+    run = lambda: J.run_orphans(spark, read_topic(spark, replay_path=o_src), read_topic(spark, replay_path=l_src), out, ck, TTL)
+    got = lambda: sorted((r.kind, r.id) for r in spark.read.parquet(out).collect())
+    _append(spark, o_src, [_order(1, 0), _order(2, 0), _order(3, 1500)])
+    _append(spark, l_src, [_line(10, 1, 599), _line(11, 1, 600), _line(12, 9, 3), _line(13, 3, 1500)])
+    run()
+    assert ("line", 10) not in got()
+    _append(spark, o_src, [_order(4, 5000)])
+    _append(spark, l_src, [_line(14, 4, 5001)])
+    run()
+    want = [("line", 11), ("line", 12), ("order", 2)]
+    assert got() == want
+    _append(spark, o_src, [_order(5, 90_000)])
+    _append(spark, l_src, [_line(15, 6, 90_000)])
+    run()
+    assert got() == want        # each once; the last ones may still be met
+
+
 def test_wide_stream_sees_a_changed_user_and_keeps_bad_messages(spark):
     o_src, l_src, out, ck = (scratch_path(spark, f"t-dim-{k}") for k in ("o", "l", "out", "ck"))
     users = [_users(spark, birthday="1990-01-01")]
