@@ -337,7 +337,7 @@ def run_order_wide_ttl(spark: SparkSession, order_topic: DataFrame, detail_topic
                 stored = _slots(spark, orders_path, orders,
                                 _slots_between(spark, orders_path, (oldest_line - W) // width, seen // width))
                 if stored is not None:
-                    ids = broadcast_if_bounded(lines.select(F.col("order_id").alias("id")).distinct())
+                    ids = lines.select(F.col("order_id").alias("id")).distinct()
                     old = (stored.where((F.col("run") != run) | (F.col("batch_id") != int(batch_id))).drop("slot", "run", "batch_id")
                            .where(F.unix_micros("arr") > oldest_line - W).join(ids, "id", "left_semi")
                            .dropDuplicates(["id", "arr"]).withColumn("new", F.lit(False)))
@@ -345,8 +345,7 @@ def run_order_wide_ttl(spark: SparkSession, order_topic: DataFrame, detail_topic
             arrivals = arrivals.withColumn("o_us", F.unix_micros("arr"))
             arrivals = O.waiting_from(O.waiting_from(arrivals, before, ttl_seconds, "lo_before"), runs, ttl_seconds)
             users, provinces = dims()       # as they are now
-            buyers = broadcast_if_bounded(arrivals.select(F.col("user_id").alias("_uid")).distinct())
-            users = users.join(buyers, users.id == F.col("_uid"), "left_semi")
+            users = users.join(arrivals.select(F.col("user_id").alias("_uid")).distinct(), users.id == F.col("_uid"), "left_semi")
             arrivals = O.enrich_orders(arrivals, users, provinces).persist()
             held.append(arrivals)
             joined = O.lines_of(arrivals.drop("new", "lo_before"), lines, ttl_seconds)
