@@ -309,7 +309,7 @@ def _stripped(pairs: DataFrame) -> DataFrame:
 def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     x = texts.select(F.col("id").alias("a"), F.col("normal").alias("x"))
     y = texts.select(F.col("id").alias("b"), F.col("normal").alias("y"))
-    room = (1 - similarity) * F.greatest(F.length("x"), F.length("y"))
+    room = (1 - similarity) * F.greatest(F.length("x"), F.length("y")) + 1e-9
     both = pairs.join(x, "a").join(y, "b").where(F.abs(F.length("x") - F.length("y")) <= room)
     most = (1 - similarity) * F.col("size") + 1e-9
     # what is left bounds the distance, which is only computed where that is

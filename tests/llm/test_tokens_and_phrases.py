@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shopstream.llm import alignment, collocations, language
+from shopstream.llm import alignment, collocations, language, line_dedup
 from tests.llm import odd
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -39,6 +39,15 @@ def test_words_of_one_structure_have_hashes_of_their_own():
         assert h[0] != h[1]
 
 
+def test_lines_a_fifth_longer_are_linked(spark):
+    texts = ["abcd", "abcde", "abcdf", "abc", "abcdefghij", "abcdefgh"]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))]
+    got = line_dedup._links(spark.createDataFrame(pairs, "a long, b long"),
+                            spark.createDataFrame(list(enumerate(texts)), "id long, normal string"), 0.8).collect()
+    want = {(a, b) for a, b in pairs if 5 * odd.distance(texts[a], texts[b]) <= max(len(texts[a]), len(texts[b]))}
+    assert {(r.a, r.b) for r in got} == want and (0, 1) in want and (4, 5) in want
+
+
 # --------------------------------------------------------------- alignment
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 60), st.randoms(use_true_random=False))
