@@ -1,38 +1,60 @@
 """Fuzzy line de-duplication (operator 1).
 
-Lines are normalised to their words.  Equal normalised lines are one node;
-nodes with 64-bit SimHashes of at most three different bits share one of four
-16-bit blocks (pigeonhole), and among those one of four 12-bit parts of the
-rest, so candidates are found by one shuffle of four small rows per node.
+Lines are normalised to their words.  Equal normalised lines are one node.  A
+SimHash of a line is a vote of its features, and nodes are compared if theirs
+differ in at most MAX_BITS of 64 bits.  Blocks of the SimHash's bits find few
+such nodes: one word of eight changes a dozen bits.  So the blocks are taken
+before the vote: features have their places on a ring, by hash, and the
+features of an arc of it are a block.  A change touches few of a line's WINDOWS
+arcs (pigeonhole), and lines that agree in the features of one meet there.
+Features are words; characters two by two in words of over LONG bytes, and in
+lines of up to FEW words.
+
 Pairs are verified by edit similarity, linked nodes form groups, and the first
-occurrence of each group, by doc_id and line number, stays.
+occurrence of each group, by doc_id, text and line number, stays.
 
-In long runs of nodes that share a block and a part, and in blocks of very many
-nodes, only some pairs are compared at first.  Then all others whose nodes are
-in different groups are, tile against tile.
+In long runs of nodes that share a block, and in blocks of very many nodes, only
+some pairs are compared at first.  Then all others whose nodes are in different
+groups are, tile against tile.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import Words, as_struct, materialized, mix, sliced, utf8
+from shopstream.llm.common import Words, as_lists, as_struct, materialized, mix, sliced, utf8
 from shopstream.llm.components import apart, components
+from shopstream.llm.pieces import span_hashes
 
-MAX_BITS = 3
+MAX_BITS = 20
 SIMILARITY = 0.8
-ALL_PAIRS = 64          # runs of up to so many nodes are compared pair by pair at once
+ALL_PAIRS = 32          # runs of up to so many nodes are compared pair by pair at once
 BLOCK = 1 << 17         # nodes of a block that one task compares at once
 TILE = 4096             # nodes of a tile whose pairs are all compared
 #: Words of up to SHORT bytes count 1, longer ones WEIGHT: else the few short
 #: words of a language make all of its long lines alike.
 SHORT, WEIGHT = 3, 8
-LINES = "doc_id long, line int, key binary, simhash long"
+#: Lines of MANY words or more have blocks of words, of FEW or less of characters;
+#: words of over LONG bytes count by their characters.
+MANY, FEW, LONG = 5, 7, 32
+#: Arcs of a line, features of an arc in long lines, and the ring's share of an
+#: arc in short ones.
+WINDOWS, WIDTH, SHARE = 14, 5, 0.4
+TURN = 1 << 32
+#: The most features of lines of each level; an arc is SHARE / 1.5 ** level long.
+LEVELS = WIDTH / SHARE * 1.5 ** np.arange(60)
+#: An arc of fewer points is no block: short words count 1 point, all else 3.
+#: Lines of few points need a share of them.
+WORD_POINTS, CHARACTER_POINTS, POINT_SHARE = 6, 9, 0.3
+LINES = ("doc_id long, digest long, line int, key binary, id long, simhash long, blocks array<long>, "
+         "character_simhash long, character_blocks array<long>")
+BATCH = 2 << 20         # bytes of text a task takes together
 
 
 class Lines:
@@ -52,18 +74,47 @@ class Lines:
         w = self.words.start
         self.first = np.searchsorted(w, np.append(start, len(raw)))
 
-    def keys(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """Lines that have words, a 128-bit key of the words of each, and its
-        SimHash over the words."""
+    def keys(self) -> tuple[np.ndarray, list[bytes]]:
+        """Lines that have words, and a 128-bit key of the words of each."""
         import xxhash
 
-        h = np.ascontiguousarray(self.words.hashes())
+        h = np.ascontiguousarray(self.hashes)
         at = np.flatnonzero(np.diff(self.first) > 0)
         raw = memoryview(h.view(np.uint8)) if len(h) else memoryview(b"")
         a, e = self.first[:-1][at], self.first[1:][at]
-        keys = [xxhash.xxh3_128_digest(raw[x * 8:y * 8]) for x, y in zip(a.tolist(), e.tolist(), strict=True)]
-        long = np.where(self.words.end - self.words.start > SHORT, WEIGHT, 1).astype(np.uint8)
-        return at, keys, simhash(h, long, a, e - a)
+        return at, [xxhash.xxh3_128_digest(raw[x * 8:y * 8]) for x, y in zip(a.tolist(), e.tolist(), strict=True)]
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return self.words.hashes()
+
+    def features(self, of: np.ndarray, characters: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, weight and line (its place in ``of``) of the features of some
+        lines, line by line; all words by their characters if ``characters``."""
+        w, n = self.words, np.diff(self.first)[of]
+        at = np.repeat(self.first[:-1][of] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        line, size = np.repeat(np.arange(len(of)), n), (w.end - w.start)[at]
+        by = (size > LONG) | characters
+        whole, parted = at[~by], at[by]
+        begins = np.append(np.flatnonzero((w.data & 0xC0) != 0x80), len(w.data))
+        a, e = np.searchsorted(begins, w.start[parted]), np.searchsorted(begins, w.end[parted])
+        n = e - a
+        k = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        end = np.minimum(begins[np.minimum(k + 2, len(begins) - 1)], np.repeat(w.end[parted], n))
+        h = np.concatenate([self.hashes[whole], span_hashes(w.data, begins[k], end)])
+        line = np.concatenate([line[~by], np.repeat(line[by], n)])
+        weight = np.append(np.where(size[~by] > SHORT, WEIGHT, 1), np.full(len(k), WEIGHT)).astype(np.uint8)
+        order = np.argsort(line, kind="stable")
+        return h[order], weight[order], line[order]
+
+    def marks(self, of: np.ndarray, characters: bool):
+        """SimHash and blocks (of all lines, one after another, and how many
+        each has) of some lines."""
+        h, weight, line = self.features(of, characters)
+        n = np.bincount(line, minlength=len(of))
+        sim = simhash(h, weight, np.cumsum(n) - n, n)
+        return sim, *blocks(h, np.where(weight > 1, 3, 1), line, n, CHARACTER_POINTS if characters else WORD_POINTS,
+                            1 << 16 if characters else 1)
 
     def normal(self, i: int) -> str:
         return b" ".join(self.words.text(k) for k in range(self.first[i], self.first[i + 1])).decode("utf-8", "replace")
@@ -86,16 +137,66 @@ def simhash(h: np.ndarray, weight: np.ndarray, begin: np.ndarray, count: np.ndar
     return out
 
 
+def blocks(h: np.ndarray, points: np.ndarray, line: np.ndarray, n: np.ndarray, least: int,
+           salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks of lines of ``n`` features each: a hash of the features on each
+    arc that holds enough of them.  The arcs' length follows the number of
+    features in steps; near a step a line has those of both sides."""
+    place = (line.astype(np.int64) << 32) | (mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    total = np.append(np.uint64(0), np.cumsum(mix(h)[order], dtype=np.uint64))
+    worth = np.append(0, np.cumsum(points[order]))
+    first = np.append(0, np.cumsum(n))
+    least = np.minimum(least, POINT_SHARE * (worth[first[1:]] - worth[first[:-1]]))
+    low, high = np.searchsorted(LEVELS, n), np.searchsorted(LEVELS, np.floor(n * 1.12) + 1)
+    found, keys = [], []
+    for level, own in ((low, np.flatnonzero(n > 0)), (high, np.flatnonzero((n > 0) & (high > low)))):
+        size = (SHARE / 1.5 ** level[own] * TURN).astype(np.int64)
+        base = own.astype(np.int64) << 32
+        for t in range(WINDOWS):
+            begin = t * (TURN // WINDOWS)
+            end = begin + size
+            i, j = np.searchsorted(place, base + begin), np.searchsorted(place, base + np.minimum(end, TURN))
+            with np.errstate(over="ignore"):
+                s, c = total[j] - total[i], worth[j] - worth[i]
+                over = np.flatnonzero(end > TURN)       # the arc goes on from the ring's start
+                k, f = np.searchsorted(place, base[over] + end[over] - TURN), first[own[over]]
+                s[over] += total[k] - total[f]
+                c[over] += worth[k] - worth[f]
+                there = c >= least[own]
+                named = mix((level[own[there]] * WINDOWS + t + salt).astype(np.uint64))
+                keys.append(mix(s[there] + named))
+            found.append(own[there])
+    found, keys = np.concatenate(found), np.concatenate(keys).view(np.int64)
+    return keys[np.argsort(found, kind="stable")], np.bincount(found, minlength=len(n))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
+    """The lines that have words.  Their SimHashes and blocks are given once
+    for each batch of texts."""
+    def lists(n: int, of: np.ndarray, sim: np.ndarray, keys: np.ndarray, count: np.ndarray):
+        sims, sizes = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        sims[of], sizes[of] = sim, count
+        return pa.array(sims), as_lists(keys, sizes)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
+        for b in sliced(batches, limit=BATCH):
             lines = Lines(b.column("text"))
-            at, keys, sim = lines.keys()
+            at, keys = lines.keys()
+            ids = np.frombuffer(b"".join(keys), np.int64)[::2]
+            _, new = np.unique(ids, return_index=True)
+            new.sort()
+            words = np.diff(lines.first)[at[new]]
+            long, short = new[words >= MANY], new[words <= FEW]
+            of = pa.array(lines.row[at])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(pa.array(lines.row[at])), pa.array(lines.line[at].astype(np.int32)),
-                 pa.array(keys, pa.binary()), pa.array(sim)], names=["doc_id", "line", "key", "simhash"])
+                [b.column("doc_id").take(of), b.column("digest").take(of), pa.array(lines.line[at].astype(np.int32)),
+                 pa.array(keys, pa.binary()), pa.array(ids), *lists(len(at), long, *lines.marks(at[long], False)),
+                 *lists(len(at), short, *lines.marks(at[short], True))],
+                names=["doc_id", "digest", "line", "key", "id", "simhash", "blocks", "character_simhash", "character_blocks"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, LINES)
+    return docs.select("doc_id", "digest", "text").mapInArrow(run, LINES)
 
 
 # ------------------------------------------------------------- candidates
@@ -121,94 +222,79 @@ def _run_pairs(size: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
 
 
-def _part_keys(block: np.ndarray, sim: np.ndarray) -> Iterator[np.ndarray]:
-    """Block and 12-bit part in one key, for each of the four parts of the
-    SimHash outside the block; its lowest two bits tell the part."""
-    sim, which = sim.view(np.uint64), (block & 3).astype(np.uint64)
-    low = which * np.uint64(16)
-    one = np.uint64(1)
-    below = sim & ((one << low) - one)
-    above = np.where(low < 48, sim >> ((low + np.uint64(16)) & np.uint64(63)), np.uint64(0))
-    rest = below | (above << low)
-    for part in range(4):
-        sub = (rest >> np.uint64(12 * part)) & np.uint64(4095)
-        yield (((block.astype(np.uint64) << np.uint64(12)) | sub) << np.uint64(2)) | np.uint64(part)
+def close_pairs(run: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of pairs of equal ``run`` whose SimHashes differ in at most
+    MAX_BITS bits, of long runs those that ``_run_pairs`` compares; and the
+    positions of the nodes of long runs."""
+    sim = sim.view(np.uint64)
+    order = np.lexsort((sim, run))
+    begin, size = _runs(order, run)
+    a, b = (order[x] for x in _run_pairs(size, begin))
+    near = np.bitwise_count(sim[a] ^ sim[b]) <= MAX_BITS
+    return a[near], b[near], order[np.repeat(size > ALL_PAIRS, size)]
 
 
-def close_pairs(block: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of pairs of equal ``block`` whose SimHashes differ in at most
-    MAX_BITS bits, by the four 12-bit parts outside the block; of long runs
-    those that ``_run_pairs`` compares."""
-    return _close(block, sim, np.zeros(len(block), bool))[:2]
+#: Pairs (a, b); or the node b, its SimHash and its block, if not all pairs of
+#: the block were compared.
+COMPARED = "a long, b long, simhash long, key long"
 
 
-def _close(block: np.ndarray, sim: np.ndarray, split: np.ndarray):
-    """``close_pairs``, and positions and parts of the nodes of runs of which
-    not all pairs were compared: long ones, and those of ``split`` blocks."""
-    found, parts, members = [], [], []
-    sim = sim.view(np.uint64)
-    for part, key in enumerate(_part_keys(block, sim)):
-        order = np.lexsort((sim, key))
-        begin, size = _runs(order, key)
-        a, b = (order[x] for x in _run_pairs(size, begin))
-        near = np.bitwise_count(sim[a] ^ sim[b]) <= MAX_BITS
-        found.append(np.stack([a[near], b[near]], axis=1))
-        left = order[np.repeat(size > ALL_PAIRS, size) | split[order]]
-        members.append(left)
-        parts.append(np.full(len(left), part))
-    pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1], np.concatenate(members), np.concatenate(parts)
-
-
-#: Pairs (a, b); or the node b, its SimHash and its run's key, if not all pairs
-#: of the run were compared.
-COMPARED = "a long, b long, simhash long, key long"
+def _hot(rows: DataFrame, total: int) -> DataFrame:
+    """block and shares of the blocks that more than one task compares: 65,536
+    at most.  Only rows of cells of blocks that hold as many are counted by
+    block."""
+    most = max(BLOCK, total >> 16)
+    cell = F.pmod("block", F.lit(1 << 18))
+    cells = rows.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).where(F.col("n") > most).select("cell")
+    return (rows.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left_semi").groupBy("block")
+            .agg(F.count("*").alias("n")).where(F.col("n") > most)
+            .select("block", F.ceil(F.col("n") / BLOCK).cast("long").alias("shares")))
 
 
-def _compared(nodes: DataFrame) -> DataFrame:
+def _compared(lines: DataFrame) -> DataFrame:
     """Pairs of node ids whose SimHashes are close, and nodes of long runs."""
-    block = "transform(array(0, 1, 2, 3), b -> (shiftrightunsigned(simhash, b * 16) & 65535) * 4 + b)"
-    rows = nodes.select("id", "simhash", F.explode(F.expr(block)).alias("block"))
-    # blocks that more than one task compares: 4 * 65536 counts at most
-    hot = (rows.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-           .select("block", F.ceil(F.col("n") / BLOCK).cast("long").alias("shares")))
-    dealt = (rows.join(F.broadcast(hot), "block", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
-             .withColumn("share", F.pmod(F.xxhash64("id"), "shares")))
+    total = lines.agg(F.sum(F.size("blocks") + F.size("character_blocks"))).first()[0] or 0
+    rows = lines.select("id", "simhash", F.explode("blocks").alias("block")).unionByName(
+        lines.select("id", F.col("character_simhash").alias("simhash"), F.explode("character_blocks").alias("block")))
+    dealt = (rows.join(F.broadcast(_hot(rows, total)), "block", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+             .withColumn("share", F.pmod(F.xxhash64("id"), "shares").cast("int")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[np.ndarray] = []     # rows of block, share, shares, simhash and id
 
-        def out(block, share, shares, sim, ids):
-            # a share of a block is compared like a block; its lowest two bits
-            # still tell which one
+        def out(rows):
+            block, share, shares, sim, ids = rows
             new = np.cumsum(np.append(0, (np.diff(block) != 0) | (np.diff(share) != 0)))
-            a, b, left, part = _close((new << 2) | (block & 3), sim, shares > 1)
-            x, y, key = ids[a], ids[b], np.zeros(len(left), np.int64)
-            for k, own in enumerate(_part_keys(block[left], sim[left])):
-                key[part == k] = own.view(np.int64)[part == k]
+            a, b, left = close_pairs(new, sim)
+            left = np.union1d(left, np.flatnonzero(shares > 1))
+            x, y = ids[a], ids[b]
             n, m = len(x), len(left)
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), none, none],
                                              names=["a", "b", "simhash", "key"])
-            yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.array(ids[left]), pa.array(sim[left]), pa.array(key)],
+            yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.array(ids[left]), pa.array(sim[left]), pa.array(block[left])],
                                              names=["a", "b", "simhash", "key"])
 
+        def once(rows):     # a line of several batches of texts stands side by side
+            same = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1]) & (rows[4][1:] == rows[4][:-1])
+            return rows[:, np.append(True, ~same)]
+
         for b in batches:
             if not b.num_rows:
                 continue
-            held.append(tuple(np.asarray(b.column(c)) for c in ("block", "share", "shares", "simhash", "id")))
-            if sum(len(x[0]) for x in held) < 1 << 17:
+            held.append(np.stack([np.asarray(b.column(c), np.int64) for c in ("block", "share", "shares", "simhash", "id")]))
+            if sum(x.shape[1] for x in held) < 1 << 16:
                 continue
-            whole = [np.concatenate(x) for x in zip(*held, strict=True)]
-            last = (whole[0] == whole[0][-1]) & (whole[1] == whole[1][-1])
+            whole = once(np.concatenate(held, axis=1))
+            last = (whole[0] == whole[0, -1]) & (whole[1] == whole[1, -1])
             done = int(np.argmax(last))         # the last block may go on
             if done:
-                yield from out(*(x[:done] for x in whole))
-            held = [tuple(x[done:] for x in whole)]
+                yield from out(whole[:, :done])
+            held = [whole[:, done:]]
         if held:
-            yield from out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield from out(once(np.concatenate(held, axis=1)))
 
-    return (dealt.repartition("block", "share").sortWithinPartitions("block", "share")
+    return (dealt.repartition("block", "share").sortWithinPartitions("block", "share", "id")
             .select("block", "share", "shares", "simhash", "id").mapInArrow(run, COMPARED))
 
 
@@ -271,9 +357,9 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there = np.unpackbits(sent.value).view(bool)
-        for b in sliced(batches):
+        for b in sliced(batches, limit=BATCH):
             lines = Lines(b.column("text"))
-            at, keys, _ = lines.keys()
+            at, keys = lines.keys()
             if not len(at):
                 continue
             hit = there[_filter_bits(np.frombuffer(b"".join(keys), np.uint8))].all(axis=1)
@@ -311,24 +397,23 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     y = texts.select(F.col("id").alias("b"), F.col("normal").alias("y"))
     room = (1 - similarity) * F.greatest(F.length("x"), F.length("y")) + 1e-9
     both = pairs.join(x, "a").join(y, "b").where(F.abs(F.length("x") - F.length("y")) <= room)
-    most = (1 - similarity) * F.col("size") + 1e-9
+    most = F.floor((1 - similarity) * F.col("size") + 1e-9).cast("int")
     # what is left bounds the distance, which is only computed where that is
-    # not enough
-    near = (F.greatest(F.length("x"), F.length("y")) <= most) | (F.levenshtein("x", "y") <= most)
-    return _stripped(both.select("a", "b", "x", "y")).where(near).select("a", "b")
+    # not enough, and no further than it may go
+    near = (F.greatest(F.length("x"), F.length("y")) <= F.col("most")) | (F.expr("levenshtein(x, y, most)") >= 0)
+    return _stripped(both.select("a", "b", "x", "y")).withColumn("most", most).where(near).select("a", "b")
 
 
 # ------------------------------------------------------------------ result
 def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id and the numbers of its lines to remove (from 0), for documents
-    that have such lines."""
+    """doc_id, digest (xxhash64 of the text) and the numbers of the lines to
+    remove (from 0), for documents that have such lines."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("digest"), "text")
     lines = materialized(_lines(rows), "lines")
     nodes = materialized(
-        lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"),
-                                 F.min("simhash").alias("simhash"))
-        .withColumn("id", F.monotonically_increasing_id()), "nodes")
-    compared = materialized(_compared(nodes), "compared")
+        lines.groupBy("key", "id").agg(F.min(F.struct("doc_id", "digest", "line")).alias("first"), F.count("*").alias("n")), "nodes")
+    compared = materialized(_compared(lines), "compared")
     pairs = materialized(compared.where("a is not null").select("a", "b").distinct(), "pairs")
     members = compared.where("a is null").select("key", F.col("b").alias("node"), "simhash")
 
@@ -350,9 +435,9 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     first = fuzzy.groupBy("component").agg(F.min("first").alias("keep"))
     keep = (fuzzy.join(first, "component").select("key", "keep")
             .unionByName(nodes.join(classes, "id", "left_anti").where("n > 1").select("key", F.col("first").alias("keep"))))
-    gone = (lines.select("doc_id", "line", "key").join(keep, "key")
-            .where(~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("line") == F.col("keep.line")))))
-    return gone.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))     # a document's lines at most
+    at = F.struct("doc_id", "digest", "line")
+    gone = lines.select("doc_id", "digest", "line", "key").join(keep, "key").where(at != F.col("keep"))
+    return gone.groupBy("doc_id", "digest").agg(F.collect_set("line").alias("lines"))     # a document's lines at most
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -362,14 +447,17 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Lines end at a line feed and are compared by their words (runs of digits,
     a-z after lower-casing A-Z, and non-ASCII characters); lines without words
     always stay.  Of each group of linked lines the one of the smallest
-    (doc_id, line number) stays.  A null text stays null.  Rows without a
-    doc_id come first; rows of one doc_id lose the same lines.  A document may
+    (doc_id, xxhash64 of the text, line number) stays.  A null text stays null.
+    Rows without a doc_id come first; rows of one doc_id and text lose the same
+    lines.  A document may
     become empty; no row is dropped.  An empty table gives no rows.
     """
     gone = duplicate_lines(docs, similarity)
     rows = as_struct(docs).withColumn("doc_id", F.col("doc.doc_id").cast("long"))
     parts = F.split("text", "\n", -1)
-    joined = rows.alias("r").join(gone.alias("g").hint("shuffle_hash"), F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")), "left")
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    same = F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("r.digest") == F.col("g.digest"))
+    joined = rows.alias("r").join(gone.alias("g").hint("shuffle_hash"), same, "left")
     out = joined.select("doc", "text", F.coalesce("lines", F.expr("cast(array() as array<int>)")).alias("lines"))
     return (out.withColumn("n_lines", F.size(parts).cast("long")).withColumn("n_removed", F.size("lines").cast("long"))
             .withColumn("kept", F.when(F.col("doc.text").isNotNull(), F.when(F.size("lines") == 0, F.col("text")).otherwise(

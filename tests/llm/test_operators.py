@@ -346,6 +346,21 @@ def test_components(spark):
     assert not components(spark.createDataFrame([], "a long, b long")).collect()
 
 
+def line_marks(text):
+    """SimHash and blocks of a line, by its words and by its characters."""
+    lines = line_dedup.Lines(pa.array([text]))
+    n, out = len(text.split(" ")), {}
+    for characters in (False, True):
+        if n <= line_dedup.FEW if characters else n >= line_dedup.MANY:
+            sim, keys, _ = lines.marks(np.array([0]), characters)
+            out[characters] = int(sim.view(np.uint64)[0]), set(keys.tolist())
+    return out
+
+
+def line_candidates(a, b):
+    return any((a[k][0] ^ b[k][0]).bit_count() <= line_dedup.MAX_BITS and a[k][1] & b[k][1] for k in a if k in b)
+
+
 def test_lines(odd_docs, no_docs):
     found = line_dedup.dedup_lines(odd_docs)
     assert found.select("doc.*").columns == odd_docs.columns
@@ -359,13 +374,14 @@ def test_lines(odd_docs, no_docs):
     for at, x in lines:
         if x:
             first[x] = min(first.get(x, at), at)
-    # lines are linked by the method if their SimHashes are close, and similar
+    # lines are linked by the method if they meet in a block, their SimHashes
+    # are close, and they are similar (test_line_recall judges the blocks)
     distinct = list(first)
-    sim = {x: line_dedup.Lines(pa.array([x])).keys()[2].view(np.uint64)[0] for x in distinct}
+    marks = {x: line_marks(x) for x in distinct}
     groups, links = odd.Groups(first), 0
     for n, a in enumerate(distinct):
         for b in distinct[n + 1:]:
-            if np.bitwise_count(sim[a] ^ sim[b]) <= 3 and 5 * odd.distance(a, b) <= max(len(a), len(b)):
+            if line_candidates(marks[a], marks[b]) and 5 * odd.distance(a, b) <= max(len(a), len(b)):
                 groups.link(a, b)
                 links += 1
     assert links
@@ -380,23 +396,69 @@ def test_lines(odd_docs, no_docs):
     assert not line_dedup.dedup_lines(no_docs).collect()
 
 
+def test_line_recall(spark):
+    """Pairs whose edit similarity is 0.8 or more, by that alone, are found."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.choice((2, 3, 4, 5, 6, 7, 8, 9))))
+    vocabulary = [word() for _ in range(4000)]
+    pairs = []
+    for n in (6, 8, 12, 25, 40, 60):
+        for kind in ("one word", "words", "letter", "word more"):
+            found = 0
+            while found < 60:
+                a = [rng.choice(vocabulary) for _ in range(n)]
+                b = list(a)
+                if kind == "letter":
+                    k = rng.randrange(n)
+                    at = rng.randrange(len(b[k]))
+                    b[k] = b[k][:at] + rng.choice("abcdefghijklmnopqrstuvwxyz") + b[k][at + 1:]
+                elif kind == "word more":
+                    b.insert(rng.randrange(n + 1), rng.choice(vocabulary))
+                else:
+                    for k in rng.sample(range(n), 1 if kind == "one word" else max(1, round(n / 10))):
+                        b[k] = rng.choice(vocabulary)
+                x, y = " ".join(a), " ".join(b)
+                if x != y and (n >= 25 or 5 * odd.distance(x, y) <= max(len(x), len(y))):
+                    pairs.append((n, kind, x, y))
+                    found += 1
+    han = [chr(0x4E00 + rng.randrange(3000)) for _ in range(1200)]
+    for i in range(60):     # a script without spaces
+        x = "".join(rng.choice(han) for _ in range(30))
+        at = rng.randrange(30)
+        pairs.append((1, "character", x, x[:at] + rng.choice(han) + x[at + 1:] + "。"))
+    docs = [(k * len(pairs) + i, p[2 + k]) for i, p in enumerate(pairs) for k in (0, 1)]
+    gone = {r.doc.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+            if r.n_removed}
+    assert min(gone) >= len(pairs)      # first ones stay
+    share = {}
+    for i, (n, kind, _, _) in enumerate(pairs):
+        share.setdefault((n, kind), []).append(len(pairs) + i in gone)
+    share = {k: sum(v) / len(v) for k, v in share.items()}
+    assert min(share.values()) >= 0.9 and sum(share.values()) / len(share) >= 0.95, share
+
+
+def test_lines_of_one_doc_id(spark):
+    """A row loses only its own lines, though another has its doc_id."""
+    docs = [(0, "same line here"), (1, "same line here\nunique words in this one"),
+            (1, "private words of its own\nanother line entirely"), (1, "private words of its own\nanother line entirely")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(r.kept for r in got) == sorted(["same line here", "unique words in this one", docs[2][1], docs[2][1]])
+
+
 def test_simhash_pairs():
-    """The blocks find every pair of at most three different bits."""
+    """Every pair of a short run of at most MAX_BITS different bits is found."""
     rng = np.random.default_rng(1)
     sim = rng.integers(0, 1 << 62, 300)
     near = sim.copy()
     for i in range(300):
-        for bit in rng.choice(64, rng.integers(0, 6), replace=False):
+        for bit in rng.choice(64, rng.integers(0, 40), replace=False):
             near[i] ^= np.int64(np.uint64(1) << np.uint64(bit)) if bit < 63 else np.int64(-(1 << 63))
-    both = np.concatenate([sim, near])
-    found = set()
-    for b in range(4):
-        block = ((both.view(np.uint64) >> np.uint64(16 * b)) & np.uint64(65535)).astype(np.int64) * 4 + b
-        order = np.argsort(block, kind="stable")
-        x, y = line_dedup.close_pairs(block[order], both[order])
-        found |= {tuple(sorted(p)) for p in zip(order[x].tolist(), order[y].tolist())}
-    bits = np.bitwise_count(both.view(np.uint64)[:, None] ^ both.view(np.uint64))
-    assert found == {(i, j) for i, j in np.argwhere(bits <= 3).tolist() if i < j}
+    both, run = np.concatenate([sim, near]), np.tile(np.arange(300) % 60, 2)
+    x, y, left = line_dedup.close_pairs(run, both)
+    bits = np.bitwise_count(both.view(np.uint64)[:, None] ^ both.view(np.uint64)) + 99 * (run[:, None] != run)
+    assert {tuple(sorted(p)) for p in zip(x.tolist(), y.tolist())} == {
+        (i, j) for i, j in np.argwhere(bits <= line_dedup.MAX_BITS).tolist() if i < j}
+    assert not len(left) and len(line_dedup.close_pairs(run % 3, both)[2]) == 600
 
 
 @pytest.mark.parametrize("block, tile", [(1 << 17, 4096), (1 << 17, 16), (50, 16)])
@@ -412,10 +474,10 @@ def test_lines_of_long_runs(spark, monkeypatch, block, tile):
         .where(F.substring("x", 1, 12) == F.substring("y", 1, 12)).select("a", "b"))
     long = [f"template{k} of forty words that are the same in every one of these lines" for k in range(40)]
     docs = [(i, f"key{i % 100:08d}x " + " ".join(long) + f" n{rng.integers(10 ** 9)}") for i in range(200)]
-    sim = np.array([line_dedup.Lines(pa.array([t])).keys()[2].view(np.uint64)[0] for _, t in docs])
+    marks = [line_marks(t) for _, t in docs]
     groups = odd.Groups({i: 0 for i, _ in docs})
     for i in range(100):
-        if np.bitwise_count(sim[i] ^ sim[i + 100]) <= 3:
+        if line_candidates(marks[i], marks[i + 100]):
             groups.link(i, i + 100)
     want = {i: int(groups.of(i) != i) for i, _ in docs}
     assert sum(want.values()) > 80
