@@ -24,6 +24,7 @@ FAN = 8             # lists merged at a time
 SIDE = "id long, vector binary"
 LIST = "block long, shard long, query binary, ids binary, scores binary"
 SMALL = 1 << 52     # below it float64 products are exact
+LAST = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
@@ -56,14 +57,31 @@ def _matrix(blobs: list[bytes], dim: int) -> np.ndarray:
 
 
 def scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of all rows."""
+    """Integer inner products of all rows: exact, or the nearest of +-(2^63 - 1)
+    where they do not fit in 64 bits."""
     most = lambda m: max(abs(int(m.max(initial=0))), abs(int(m.min(initial=0))))
     bound = most(q) * most(c) * max(1, q.shape[1])
     if bound < SMALL:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
     if bound < 1 << 62:
         return q @ c.T
-    raise ValueError("an inner product may not fit in 64 bits")
+    return _saturated(q, c)
+
+
+def _saturated(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Products modulo 2^64 are exact wherever the float product and its error
+    bound lie within 64 bits; the few too near the end are Python integers."""
+    out, ends = q @ c.T, float(1 << 63)
+    qf, cf = q.astype(np.float64), c.astype(np.float64)
+    near = qf @ cf.T
+    error = (np.abs(qf) @ np.abs(cf).T) * ((q.shape[1] + 4) * 2.0 ** -52)
+    out[near - error >= ends] = LAST
+    out[near + error <= -ends] = -LAST
+    unsure = (near + error >= ends) & (near - error < ends) | (near - error <= -ends) & (near + error > -ends)
+    for i, j in zip(*(x.tolist() for x in np.nonzero(unsure)), strict=True):
+        exact = sum(a * b for a, b in zip(q[i].tolist(), c[j].tolist(), strict=True))
+        out[i, j] = max(-LAST, min(LAST, exact))
+    return out
 
 
 def best(score: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +122,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     rows but the query's own.  See ``quantised`` for rows that take no part;
     vectors of different lengths are compared as if the shorter one went on
     with zeros; a query with fewer candidates gets fewer rows; an empty table
-    gives none.
+    gives none.  Components beyond 64 bits count as the last 64-bit integer,
+    and so do scores (see ``scores``).
     """
     rows = materialized(quantised(vectors, id_col, vector_col, scale).withColumn("is_query", F.col("id") % every == 0), "vectors")
     n = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()

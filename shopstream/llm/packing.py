@@ -1,11 +1,13 @@
 """Packing of token sequences by harmonic classes (operator 7).
 
-Lengths are dealt into reciprocal-capacity classes: class k holds pieces of
-``capacity // k`` ids, and each of its sequences is filled with exactly k of
-them.  As documents may be cut freely, every document is cut into pieces of
-just these lengths (k a power of two), so a full sequence has no padding when
-the capacity is a power of two.  Each task fills the sequences of its own
-partition; nothing is shuffled, and a task holds one open sequence per class.
+Lengths are dealt into reciprocal-capacity classes: class k holds lengths from
+``capacity / (k + 1)`` (not itself) to ``capacity / k``, and each of its
+sequences is filled with exactly k of them.  Documents longer than the
+capacity give whole sequences first; what remains is classed.  As documents
+may be cut, the room that the k documents leave is filled from the front of
+the next document, whose rest is classed anew.  So there is one cut a sequence
+at most, and no padding.  Each task fills the sequences of its own partition;
+nothing is shuffled, and a task holds one open sequence per class.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import binary_rows, id_and_text, sliced
+from shopstream.llm.common import id_and_text, sliced
 from shopstream.llm.pieces import default_vocabulary, encoder
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, "
@@ -26,82 +28,80 @@ SCHEMA = ("doc_id long, start long, length long, doc_tokens long, "
 SEQUENCE_BITS = 44      # sequences of a task; the rest of the id tells the task
 
 
-def class_sizes(capacity: int) -> list[int]:
-    """Piece lengths, longest first: the capacity over 1, 2, 4, ..."""
-    sizes, k = [], 1
-    while capacity // k:
-        sizes.append(capacity // k)
-        k *= 2
-    return list(dict.fromkeys(sizes))
-
-
-def cut(lengths: np.ndarray, sizes: list[int]):
-    """Pieces of documents of these lengths, in order: document, class."""
-    counts = np.zeros((len(lengths), len(sizes)), np.int64)
-    left = lengths.astype(np.int64).copy()
-    for j, size in enumerate(sizes):
-        counts[:, j] = left // size
-        left %= size
-    flat = counts.ravel()
-    classes = np.repeat(np.tile(np.arange(len(sizes)), len(lengths)), flat)
-    doc = np.repeat(np.arange(len(lengths)), counts.sum(axis=1))
-    return doc, classes
+def length_class(length: int, capacity: int) -> int:
+    """How many pieces of this length a sequence holds."""
+    return capacity // length
 
 
 class _Packer:
-    """Places pieces of one task; ``held`` are those of its open sequences."""
+    """Places documents of one task.  ``open`` has the pieces of each class
+    that are fewer than its number; ``short`` those of the one sequence that
+    has its number and waits for ``room`` more ids."""
 
     def __init__(self, capacity: int, task: int):
-        self.capacity, self.sizes = capacity, class_sizes(capacity)
-        self.base, self.next = task << SEQUENCE_BITS, 0
-        self.held: list[list[tuple]] = [[] for _ in self.sizes]
-
-    def add(self, doc_id: np.ndarray, known: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> list[pa.RecordBatch]:
-        doc, classes = cut(lengths, self.sizes)
-        length = np.asarray(self.sizes, np.int64)[classes]
-        at = np.cumsum(length) - length
-        start = at - (np.cumsum(lengths) - lengths)[doc]
-        sequence, offset = np.full(len(doc), -1, np.int64), np.zeros(len(doc), np.int64)
-        old: list[tuple] = []
-        for j, size in enumerate(self.sizes):
-            own, fit = np.flatnonzero(classes == j), self.capacity // size
-            before = len(self.held[j])
-            whole = (before + len(own)) // fit
-            t = np.arange(before, before + len(own))
-            closed = t < whole * fit
-            sequence[own[closed]] = self.base + self.next + t[closed] // fit
-            offset[own[closed]] = t[closed] % fit * size
-            if whole:
-                old += [(*x, self.base + self.next, i * size) for i, x in enumerate(self.held[j])]
-                self.held[j] = []
-            self.next += whole
-            for i in own[~closed].tolist():
-                d = doc[i]
-                self.held[j].append((int(doc_id[d]) if known[d] else None, int(start[i]), size, int(lengths[d]),
-                                     ids[at[i]:at[i] + size].tobytes()))
-        keep = sequence >= 0
-        values = ids[np.repeat(keep, length)]
-        new = pa.RecordBatch.from_arrays(
-            [pa.array(doc_id[doc[keep]], mask=~known[doc[keep]]), pa.array(start[keep]), pa.array(length[keep]),
-             pa.array(lengths[doc[keep]].astype(np.int64)), pa.array(sequence[keep]), pa.array(offset[keep]),
-             binary_rows(values, length[keep])], names=NAMES)
-        return [new, _rows(old)]
-
-    def close(self) -> pa.RecordBatch:
+        self.capacity, self.next = capacity, task << SEQUENCE_BITS
+        self.open: dict[int, list[tuple]] = {}
+        self.short: list[tuple] = []
+        self.room = 0
+        self.out: list[tuple] = []
+
+    def _full(self, pieces: list[tuple]):
+        offset = 0
+        for doc_id, start, tokens, ids in pieces:
+            n = len(ids) // 4
+            self.out.append((doc_id, start, n, tokens, self.next, offset, ids))
+            offset += n
+        self.next += 1
+
+    def add(self, doc_id: int | None, ids: np.ndarray):
+        tokens, start = len(ids), 0
+        while tokens - start >= self.capacity:
+            self._full([(doc_id, start, tokens, ids[start:start + self.capacity].tobytes())])
+            start += self.capacity
+        if self.room and start < tokens:
+            end = min(tokens, start + self.room)
+            self.short.append((doc_id, start, tokens, ids[start:end].tobytes()))
+            self.room -= end - start
+            start = end
+            if not self.room:
+                self._full(self.short)
+                self.short = []
+        if start == tokens:
+            return
+        k = length_class(tokens - start, self.capacity)
+        pieces = self.open.setdefault(k, [])
+        pieces.append((doc_id, start, tokens, ids[start:].tobytes()))
+        if len(pieces) == k:
+            del self.open[k]
+            self.room = self.capacity - sum(len(x[3]) // 4 for x in pieces)
+            if self.room:
+                self.short = pieces
+            else:
+                self._full(pieces)
+
+    def close(self):
         """What is left goes, longest first, into full sequences and then into
         one for each power of two of the rest, which need no padding."""
-        rest = [x for held in self.held for x in held]
-        total = sum(x[2] for x in rest)
-        out, room, fill = [], 0, 0
-        for x in rest:
-            if x[2] > room:
-                self.next += 1
-                room = min(self.capacity, 1 << (total.bit_length() - 1)) if _power(self.capacity) else self.capacity
-                fill = 0
-            out.append((*x, self.base + self.next, fill))
-            fill, room, total = fill + x[2], room - x[2], total - x[2]
-        self.held = [[] for _ in self.sizes]
-        return _rows(out)
+        rest = self.short + [x for k in sorted(self.open) for x in self.open[k]]
+        total = sum(len(x[3]) // 4 for x in rest)
+        tail = total % self.capacity
+        sizes = [self.capacity] * (total // self.capacity)
+        sizes += [1 << b for b in reversed(range(tail.bit_length())) if tail >> b & 1] if _power(self.capacity) else [tail] * (tail > 0)
+        room, pieces, sizes = 0, [], iter(sizes)
+        for doc_id, start, tokens, ids in rest:
+            while ids:
+                room = room or next(sizes)
+                head, ids = ids[:4 * room], ids[4 * room:]
+                pieces.append((doc_id, start, tokens, head))
+                start, room = start + len(head) // 4, room - len(head) // 4
+                if not room:
+                    self._full(pieces)
+                    pieces = []
+        self.open, self.short, self.room = {}, [], 0
+
+    def take(self) -> pa.RecordBatch:
+        out, self.out = self.out, []
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(_TYPES)], names=NAMES)
 
 
 NAMES = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
@@ -112,12 +112,6 @@ def _power(n: int) -> bool:
     return n & (n - 1) == 0
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    order = (0, 1, 2, 3, 5, 6, 4)
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in zip(order, _TYPES, strict=True)],
-                                      names=NAMES)
-
-
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids with ``end_id`` after those of each document."""
     total = counts + 1
@@ -148,10 +142,12 @@ def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 0, vocabulary: str
         for b in sliced(batches):
             ids, counts = enc.encode(b.column("text").to_pylist())
             ids, lengths = with_end(ids, counts, end_id)
-            known = np.asarray(b.column("doc_id").is_valid())
-            doc_id = np.asarray(b.column("doc_id").fill_null(0), np.int64)
-            yield from packer.add(doc_id, known, lengths, ids)
-        yield packer.close()
+            ends = np.cumsum(lengths)
+            for doc_id, end, n in zip(b.column("doc_id").to_pylist(), ends.tolist(), lengths.tolist(), strict=True):
+                packer.add(doc_id, ids[end - n:end])
+            yield packer.take()
+        packer.close()
+        yield packer.take()
 
     return id_and_text(docs).mapInArrow(run, SCHEMA)
 

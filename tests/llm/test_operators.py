@@ -54,6 +54,52 @@ def test_packing_capacity(spark, capacity):
     assert max(length.values()) <= capacity
 
 
+def packed_by(lengths, capacity):
+    """Sequences of documents of these lengths as lists of (document, start, length)."""
+    p = packing._Packer(capacity, 0)
+    for i, n in enumerate(lengths):
+        p.add(i, np.arange(n, dtype=np.uint32))
+    filled = p.next
+    p.close()
+    out = {}
+    for doc, start, n, tokens, seq, offset, ids in p.out:
+        assert offset == sum(x[2] for x in out.get(seq, [])) and tokens == lengths[doc] and n > 0
+        assert np.frombuffer(ids, np.uint32).tolist() == list(range(start, start + n))
+        out.setdefault(seq, []).append((doc, start, n))
+    for s in (out[i] for i in range(filled)):       # k of class k, then cuts that fill its room
+        k = packing.length_class(s[0][2], capacity)
+        assert [packing.length_class(x[2], capacity) for x in s[:k]] == [k] * k
+        assert sum(x[2] for x in s) == capacity
+    return out
+
+
+@pytest.mark.parametrize("capacity", [1, 2, 10, 64, 1024])
+@pytest.mark.parametrize("top", [3, 700, 5000])
+def test_packing_classes(capacity, top):
+    rng = np.random.default_rng(capacity + top)
+    lengths = np.exp(rng.uniform(0, np.log(top), 400)).astype(int).clip(1).tolist()
+    out = packed_by(lengths, capacity)
+    spans = sorted(x for s in out.values() for x in s)
+    at = {}
+    for doc, start, n in spans:
+        assert start == at.get(doc, 0)
+        at[doc] = start + n
+    assert [at[i] for i in range(len(lengths))] == lengths
+    size = [sum(x[2] for x in s) for s in out.values()]
+    short = [n for n in size if n < capacity]
+    assert max(size) <= capacity and len(short) == len(set(short)) <= capacity.bit_length()
+    if capacity & (capacity - 1) == 0:
+        assert all(n & (n - 1) == 0 for n in short)
+    assert len(spans) <= len(lengths) + 2 * (sum(lengths) // capacity) + 64
+
+
+def test_packing_by_class_numbers():
+    out = packed_by([400, 300, 500, 300, 1000, 300, 24, 2048 + 100], 1024)
+    assert out[0] == [(0, 0, 400), (2, 0, 500), (3, 0, 124)]          # two of class 2, then the front of the next
+    assert (4, 0, 1000) in out[1] and out[1][1] == (5, 0, 24)         # one of class 1
+    assert (7, 0, 1024) in [x for s in out.values() for x in s if len(s) == 1]
+
+
 def test_token_counts(spark, odd_docs, no_docs):
     values = [t for _, t in odd.texts()]
     want = [(i, len((t or "").encode()), len(x), len(x) > 512)
@@ -463,9 +509,20 @@ def test_exact_topk_large_values(spark):
     got = rows(exact_topk.top_k(spark.createDataFrame(docs, "vec_id long, embedding array<double>")))
     s = 64 * 64 * (2 ** 42 + 3)
     assert got == [(0, 1, 1, s), (0, 2, 2, s), (0, 3, 3, -64 * 64 * 2 ** 42)]
-    huge = spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<double>")
-    with pytest.raises(Exception, match="64 bits"):
-        exact_topk.top_k(huge).collect()
+    huge = spark.createDataFrame([(0, [1e30]), (1, [1e30]), (2, [-1e30]), (3, [1.0])], "vec_id long, embedding array<double>")
+    assert rows(exact_topk.top_k(huge)) == [(0, 1, 1, exact_topk.LAST), (0, 2, 3, exact_topk.LAST), (0, 3, 2, -exact_topk.LAST)]
+
+
+@pytest.mark.parametrize("bits", [10, 29, 31, 33, 50, 62])
+def test_scores_are_exact_or_the_nearest(bits):
+    rng = np.random.default_rng(bits)
+    q, c = (rng.integers(-(1 << bits), 1 << bits, (n, 5)) for n in (40, 50))
+    q[0], c[0] = [1 << bits, 1, -(1 << bits), 0, 3], [1 << bits, 2, 1 << bits, 0, 5]      # large terms that cancel
+    got = exact_topk.scores(q, c)
+    for i in range(len(q)):
+        for j in range(len(c)):
+            exact = sum(a * b for a, b in zip(q[i].tolist(), c[j].tolist()))
+            assert got[i, j] == max(-exact_topk.LAST, min(exact_topk.LAST, exact))
 
 
 def test_key_filter_is_no_cut(spark):
