@@ -21,6 +21,7 @@ from shopstream.plans import api as API
 from shopstream.schemas import CDC_ENVELOPE
 from shopstream.session import scratch_path
 from shopstream.sources import sinks as K
+from shopstream.sources.search_index import SearchIndex
 from shopstream.sources.snapshot import read_snapshot
 from shopstream.sources.tables import tables
 from shopstream.sources.topics import read_topic, write_replay
@@ -265,6 +266,7 @@ CATALOG_TERM = ("credits", "name", "Brand#17")
 HIGHLIGHT_KEYWORD = "red widget"
 RANK_QUERY = "the of and"
 DOCUMENT_KEYWORD = "NICHT_Été red_идти"
+INDEX_KEYWORD, INDEX_PHRASE = "the of", "of the"
 SALE_KEYWORD = "red"
 SALE_PAGE_NO, SALE_PAGE_SIZE = 2, 20
 PROVINCE_BIN_WIDTH = 20_000
@@ -327,6 +329,50 @@ def q_search_ranked(spark, sf_dir):
     return r.select("doc_id", F.round("score", 4).alias("bm25"))
 
 
+_INDEXES: dict[tuple[str, str], SearchIndex] = {}
+
+
+def _document_index(spark, sf_dir) -> SearchIndex:
+    """The index of all documents, written once a session in two batches with
+    a merge between them.  The second batch replaces a third of the documents,
+    which the first one holds with more words."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        docs = tables(spark, sf_dir).documents.select("doc_id", "text")
+        part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+        older = F.when(part == 1, F.concat("text", F.lit(" the red of the widget and"))).otherwise(F.col("text"))
+        index = SearchIndex(spark, scratch_path(spark, "document-index"))
+        index.write_batch(docs.where(part < 2).withColumn("text", older), 0, "doc_id")
+        index.merge()
+        index.write_batch(docs.where(part > 0), 1, "doc_id")
+        _INDEXES[key] = index
+    return _INDEXES[key]
+
+
+@query("search_indexed_all")
+def q_search_indexed_all(spark, sf_dir):
+    hits = _document_index(spark, sf_dir).match_all(INDEX_KEYWORD)
+    return hits.select(F.col("id").alias("doc_id"), "n_hits")
+
+
+@query("search_indexed_any")
+def q_search_indexed_any(spark, sf_dir):
+    hits = _document_index(spark, sf_dir).match_any(DOCUMENT_KEYWORD)
+    return hits.select(F.col("id").alias("doc_id"), "n_terms", "n_hits")
+
+
+@query("search_indexed_phrase")
+def q_search_indexed_phrase(spark, sf_dir):
+    hits = _document_index(spark, sf_dir).match_phrase(INDEX_PHRASE)
+    return hits.select(F.col("id").alias("doc_id"), "n_hits")
+
+
+@query("search_indexed_ranked")
+def q_search_indexed_ranked(spark, sf_dir):
+    top = _document_index(spark, sf_dir).ranked(RANK_QUERY, 20)
+    return top.select(F.col("id").alias("doc_id"), F.round("score", 4).alias("bm25"))
+
+
 @query("select_scalar_columns")
 def q_select_scalar_columns(spark, sf_dir):
     return B.select_scalar_columns(_views(spark, sf_dir).catalog)

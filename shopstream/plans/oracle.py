@@ -342,7 +342,7 @@ select doc_id, cast(len(hits) as bigint) as n_hits
 from (select doc_id, list_filter({tok('text')}, lambda t: t in ('nicht', 'été', 'red', 'идти')) as hits from documents) d
 where len(hits) > 0""")
 
-q("search_ranked", """
+_RANKED = """
 select doc_id, round(score, 4) as bm25 from (
   select doc_id,
          ln(1 + (n - df0 + 0.5) / (df0 + 0.5)) * tf0 / (tf0 + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))
@@ -350,13 +350,33 @@ select doc_id, round(score, 4) as bm25 from (
        + ln(1 + (n - df2 + 0.5) / (df2 + 0.5)) * tf2 / (tf2 + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))
          as score
   from p, s where tf0 + tf1 + tf2 > 0) x
-order by score desc, doc_id limit 20""",
-  {"d": f"select doc_id, {tok('text')} as tok from documents",
-   "p": "select doc_id, len(tok) as dl, len(list_filter(tok, lambda t: t = 'the')) as tf0, "
-        "len(list_filter(tok, lambda t: t = 'of')) as tf1, len(list_filter(tok, lambda t: t = 'and')) as tf2 "
-        "from d",
-   "s": "select count(*) as n, avg(dl) as avgdl, count(*) filter (where tf0 > 0) as df0, "
-        "count(*) filter (where tf1 > 0) as df1, count(*) filter (where tf2 > 0) as df2 from p"})
+order by score desc, doc_id limit 20"""
+_RANKED_VIEWS = {
+    "d": f"select doc_id, {tok('text')} as tok from documents",
+    "p": "select doc_id, len(tok) as dl, len(list_filter(tok, lambda t: t = 'the')) as tf0, "
+         "len(list_filter(tok, lambda t: t = 'of')) as tf1, len(list_filter(tok, lambda t: t = 'and')) as tf2 "
+         "from d",
+    "s": "select count(*) as n, avg(dl) as avgdl, count(*) filter (where tf0 > 0) as df0, "
+         "count(*) filter (where tf1 > 0) as df1, count(*) filter (where tf2 > 0) as df2 from p"}
+
+q("search_ranked", _RANKED, _RANKED_VIEWS)
+q("search_indexed_ranked", _RANKED, _RANKED_VIEWS)
+
+_DOCS = {"d": f"select doc_id, {tok('text')} as tok from documents"}
+
+q("search_indexed_all", """
+select doc_id, cast(len(list_filter(tok, lambda t: t in ('the', 'of'))) as bigint) as n_hits
+from d where list_contains(tok, 'the') and list_contains(tok, 'of')""", _DOCS)
+
+q("search_indexed_any", """
+select doc_id, cast(len(list_distinct(hits)) as bigint) as n_terms, cast(len(hits) as bigint) as n_hits
+from (select doc_id, list_filter(tok, lambda t: t in ('nicht', 'été', 'red', 'идти')) as hits from d) h
+where len(hits) > 0""", _DOCS)
+
+q("search_indexed_phrase", """
+select doc_id, cast(n as bigint) as n_hits
+from (select doc_id, len(list_filter(range(1, len(tok)), lambda i: tok[i] = 'of' and tok[i + 1] = 'the')) as n from d) h
+where n > 0""", _DOCS)
 
 q("select_scalar_columns", """
 select id, name, score, date_diff('day', date '1970-01-01', released) * 86400000 as released

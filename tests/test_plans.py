@@ -12,7 +12,7 @@ from shopstream.plans import catalog
 # covered by the streaming tests and PLANS.md).
 EAGER = {"src_topic_replay", "dau_dedup_stream", "order_wide_stream", "batch_progress",
          "dau_daily_partition", "upsert_latest", "append_docs", "cdc_split_stream",
-         "order_wide_ttl_stream", "search_ranked", "cdc_to_wide", "dim_snapshot"}
+         "order_wide_ttl_stream", "search_ranked", "search_indexed_ranked", "cdc_to_wide", "dim_snapshot"}
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
              "BroadcastNestedLoopJoin"]
 
