@@ -14,7 +14,9 @@ in different groups are, tile against tile.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -52,45 +54,65 @@ class Lines:
         w = self.words.start
         self.first = np.searchsorted(w, np.append(start, len(raw)))
 
-    def keys(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """Lines that have words, a 128-bit key of the words of each, and its
-        SimHash over the words."""
+    def keys(self) -> tuple[np.ndarray, list[bytes]]:
+        """Lines that have words, and a 128-bit key of the words of each."""
         import xxhash
 
-        h = np.ascontiguousarray(self.words.hashes())
+        h = self.hashes
         at = np.flatnonzero(np.diff(self.first) > 0)
         raw = memoryview(h.view(np.uint8)) if len(h) else memoryview(b"")
         a, e = self.first[:-1][at], self.first[1:][at]
         keys = [xxhash.xxh3_128_digest(raw[x * 8:y * 8]) for x, y in zip(a.tolist(), e.tolist(), strict=True)]
-        long = np.where(self.words.end - self.words.start > SHORT, WEIGHT, 1).astype(np.uint8)
-        return at, keys, simhash(h, long, a, e - a)
+        return at, keys
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return np.ascontiguousarray(self.words.hashes())
+
+    def simhashes(self, at: np.ndarray) -> np.ndarray:
+        """The SimHash over the words of the lines ``at``."""
+        weight = np.where(self.words.end - self.words.start > SHORT, WEIGHT, 1)
+        begin = self.first[:-1][at]
+        return simhash(self.hashes, weight, begin, self.first[1:][at] - begin)
 
     def normal(self, i: int) -> str:
         return b" ".join(self.words.text(k) for k in range(self.first[i], self.first[i + 1])).decode("utf-8", "replace")
 
 
+RUN = 4096      # words whose weights (up to 15) a 16-bit counter holds
+_LANES = np.uint64(0x0001_0001_0001_0001)
+
+
 def simhash(h: np.ndarray, weight: np.ndarray, begin: np.ndarray, count: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
-    """64-bit SimHash of runs of weighted hashes that follow one another."""
-    out = np.zeros(len(begin), np.int64)
+    """64-bit SimHash of runs of weighted hashes that follow one another.
+    Bits j, j + 16, j + 32 and j + 48 are counted in one addition, over RUN
+    words at most; the counts of a longer run are added up."""
+    out = np.zeros(len(begin), np.uint64)
     cut = 0
     while cut < len(begin):
         end = max(cut + 1, int(np.searchsorted(begin, begin[cut] + chunk)))
-        a, n = begin[cut], begin[end - 1] + count[end - 1] - begin[cut]
-        w = weight[a:a + n]
-        bits = np.unpackbits(mix(h[a:a + n]).view(np.uint8)).reshape(n, 64) * w[:, None]
-        ones = np.add.reduceat(bits, begin[cut:end] - a, axis=0, dtype=np.int32)
-        total = np.add.reduceat(w, begin[cut:end] - a, dtype=np.int32)
-        major = 2 * ones > total[:, None]
-        out[cut:end] = np.packbits(major, axis=1).view(np.int64).ravel()
+        a, n = begin[cut], count[cut:end]
+        parts = -(-n // RUN)
+        first = np.cumsum(parts) - parts
+        at = np.repeat(begin[cut:end] - a, parts) + RUN * (np.arange(int(parts.sum())) - np.repeat(first, parts))
+        bits, w = mix(h[a:a + int(n.sum())]), weight[a:a + int(n.sum())].astype(np.uint64)
+        ones = np.empty((end - cut, 4, 16), np.int64)
+        for j in range(16):
+            lanes = np.add.reduceat(((bits >> np.uint64(j)) & _LANES) * w, at)
+            lanes = lanes.view(np.uint16).reshape(-1, 4)
+            ones[:, :, j] = lanes if len(at) == len(n) else np.add.reduceat(lanes, first, axis=0, dtype=np.int64)
+        major = 2 * ones.reshape(-1, 64) > np.add.reduceat(w, begin[cut:end] - a).astype(np.int64)[:, None]
+        out[cut:end] = np.packbits(major, axis=1, bitorder="little").view(np.uint64).ravel()
         cut = end
-    return out
+    return out.view(np.int64)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             lines = Lines(b.column("text"))
-            at, keys, sim = lines.keys()
+            at, keys = lines.keys()
+            sim = lines.simhashes(at)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(lines.row[at])), b.column("digest").take(pa.array(lines.row[at])), pa.array(lines.line[at].astype(np.int32)),
                  pa.array(keys, pa.binary()), pa.array(sim)], names=["doc_id", "digest", "line", "key", "simhash"])
@@ -273,7 +295,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         there = np.unpackbits(sent.value).view(bool)
         for b in sliced(batches):
             lines = Lines(b.column("text"))
-            at, keys, _ = lines.keys()
+            at, keys = lines.keys()
             if not len(at):
                 continue
             hit = there[_filter_bits(np.frombuffer(b"".join(keys), np.uint8))].all(axis=1)
@@ -285,25 +307,62 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return lines.join(wanted, "key").dropDuplicates(["id"]).select("id", "normal")
 
 
-def _stripped(pairs: DataFrame) -> DataFrame:
-    """Pairs without their common beginning and end, with the longer length."""
+def at_most(s: str, t: str) -> int:
+    """An edit distance that ``s`` and ``t`` do not exceed: words that stand
+    once in either and follow one another in the same order stay, and what is
+    between two of them is exchanged as a whole, but for equal words at its
+    end.  Near copies are settled by it, however long they are."""
+    a, b = s.split(" "), t.split(" ")
+    once = ({}, {})
+    for words, at in zip((a, b), once, strict=True):
+        for i, w in enumerate(words):
+            at[w] = -1 if w in at else i
+    both = sorted((i, once[1].get(w, -1)) for w, i in once[0].items() if i >= 0)
+    both = [x for x in both if x[1] >= 0]
+    ends, last, before = [], [], []         # the longest ascending chain
+    for k, (_, j) in enumerate(both):
+        at = bisect_left(ends, j)
+        before.append(last[at - 1] if at else -1)
+        ends[at:at + 1], last[at:at + 1] = [j], [k]
+    chain, k = [(len(a), len(b))], last[-1] if last else -1
+    while k >= 0:
+        chain.append(both[k])
+        k = before[k]
+    total = x = y = 0
+    for i, j in reversed(chain):
+        m, n = a[x:i], b[y:j]
+        while m and n and m[-1] == n[-1]:
+            m.pop()
+            n.pop()
+        total += max(sum(map(len, m)) + len(m), sum(map(len, n)) + len(n))      # a space after each word
+        x, y = i + 1, j + 1
+    return total
+
+
+def _stripped(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Pairs without their common beginning and end; ``most`` is the distance
+    they may have, and those are ``near`` that surely have no greater one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y, size = [], [], []
+            x, y, most, near = [], [], [], []
             for s, t in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
                 n = min(len(s), len(t))
-                size.append(max(len(s), len(t)))
                 u, v = (np.frombuffer(z.encode("utf-32-le"), np.uint32) for z in (s, t))
                 differ = np.flatnonzero(u[:n] != v[:n])
                 a = int(differ[0]) if len(differ) else n
                 tail = np.flatnonzero(u[len(s) - (n - a):][::-1] != v[len(t) - (n - a):][::-1])
                 e = int(tail[0]) if len(tail) else n - a
-                x.append(s[a:len(s) - e])
-                y.append(t[a:len(t) - e])
+                room = int((1 - similarity) * max(len(s), len(t)) + 1e-9)
+                s, t = s[a:len(s) - e], t[a:len(t) - e]
+                near.append(max(len(s), len(t)) <= room or at_most(s, t) <= room)
+                most.append(room)
+                x.append("" if near[-1] else s)
+                y.append("" if near[-1] else t)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(x, pa.string()), pa.array(y, pa.string()),
-                                              pa.array(size, pa.int32())], names=["a", "b", "x", "y", "size"])
+                                              pa.array(most, pa.int32()), pa.array(near, pa.bool_())],
+                                             names=["a", "b", "x", "y", "most", "near"])
 
-    return pairs.mapInArrow(run, "a long, b long, x string, y string, size int")
+    return pairs.mapInArrow(run, "a long, b long, x string, y string, most int, near boolean")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -311,11 +370,10 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     y = texts.select(F.col("id").alias("b"), F.col("normal").alias("y"))
     room = (1 - similarity) * F.greatest(F.length("x"), F.length("y")) + 1e-9
     both = pairs.join(x, "a").join(y, "b").where(F.abs(F.length("x") - F.length("y")) <= room)
-    most = F.floor((1 - similarity) * F.col("size") + 1e-9).cast("int")
-    # what is left bounds the distance, which is only computed where that is
-    # not enough, and no further than it may go
-    near = (F.greatest(F.length("x"), F.length("y")) <= F.col("most")) | (F.expr("levenshtein(x, y, most)") >= 0)
-    return _stripped(both.select("a", "b", "x", "y")).withColumn("most", most).where(near).select("a", "b")
+    # the distance is only computed where its bounds are not enough, and no
+    # further than it may go
+    near = F.col("near") | (F.expr("levenshtein(x, y, most)") >= 0)
+    return _stripped(both.select("a", "b", "x", "y"), similarity).where(near).select("a", "b")
 
 
 # ------------------------------------------------------------------ result

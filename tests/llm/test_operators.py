@@ -407,7 +407,7 @@ def test_lines(odd_docs, no_docs):
             first[x] = min(first.get(x, at), at)
     # lines are linked by the method if their SimHashes are close, and similar
     distinct = list(first)
-    sim = {x: line_dedup.Lines(pa.array([x])).keys()[2].view(np.uint64)[0] for x in distinct}
+    sim = {x: line_dedup.Lines(pa.array([x])).simhashes(np.array([0])).view(np.uint64)[0] for x in distinct}
     groups, links = odd.Groups(first), 0
     for n, a in enumerate(distinct):
         for b in distinct[n + 1:]:
@@ -466,7 +466,7 @@ def test_lines_of_long_runs(spark, monkeypatch, block, tile):
         .where(F.substring("x", 1, 12) == F.substring("y", 1, 12)).select("a", "b"))
     long = [f"template{k} of forty words that are the same in every one of these lines" for k in range(40)]
     docs = [(i, f"key{i % 100:08d}x " + " ".join(long) + f" n{rng.integers(10 ** 9)}") for i in range(200)]
-    sim = np.array([line_dedup.Lines(pa.array([t])).keys()[2].view(np.uint64)[0] for _, t in docs])
+    sim = np.array([line_dedup.Lines(pa.array([t])).simhashes(np.array([0])).view(np.uint64)[0] for _, t in docs])
     groups = odd.Groups({i: 0 for i, _ in docs})
     for i in range(100):
         if np.bitwise_count(sim[i] ^ sim[i + 100]) <= 3:
@@ -525,6 +525,42 @@ def test_scores_are_exact_or_the_nearest(bits):
             assert got[i, j] == max(-exact_topk.LAST, min(exact_topk.LAST, exact))
 
 
+def levenshtein(s, t):
+    row = list(range(len(t) + 1))
+    for i, x in enumerate(s, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(t, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_bound_of_edit_distance():
+    rng = random.Random(3)
+    for _ in range(3000):
+        a = [rng.choice("a b cd ee f gh i jkl m n".split()) for _ in range(rng.randrange(1, 12))]
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = rng.choice([[], ["x"], ["cd", "b"], ["", "m"]])
+        rng.random() < .3 and rng.shuffle(b)
+        s, t = " ".join(a)[rng.randrange(2):], " ".join(b)
+        assert line_dedup.at_most(s, t) >= levenshtein(s, t)
+    assert line_dedup.at_most("one two three four", "one 2 three four") == 4
+    assert line_dedup.at_most("", "") == 0 and line_dedup.at_most("ab", "") == 3
+
+
+def test_simhash_counts_bits():
+    rng = np.random.default_rng(4)
+    size = np.array([1, 3, line_dedup.RUN, line_dedup.RUN + 1, 3 * line_dedup.RUN + 5, 2])
+    h, w = rng.integers(0, 1 << 63, int(size.sum())).astype(np.uint64), rng.integers(1, 9, int(size.sum()))
+    begin = np.cumsum(size) - size
+    got = line_dedup.simhash(h, w, begin, size, chunk=100).view(np.uint64)
+    bits = np.unpackbits(line_dedup.mix(h)[:, None].view(np.uint8), axis=1, bitorder="little").astype(np.int64)
+    for i, (a, n) in enumerate(zip(begin, size)):
+        major = 2 * (bits[a:a + n] * w[a:a + n, None]).sum(axis=0) > w[a:a + n].sum()
+        assert got[i] == sum(1 << b for b in range(64) if major[b])
+
+
 def test_key_filter_is_no_cut(spark):
     keys = [bytes([i]) * 16 for i in range(100)]
     bits = np.unpackbits(line_dedup._key_filter(spark.createDataFrame([(bytearray(k),) for k in keys], "key binary"))).view(bool)
