@@ -38,3 +38,19 @@ def test_scans_read_only_needed_columns(spark, sf_small):
     plan = _plan(E.queries()["search_match_all"](spark, sf_small))
     part = [ln for ln in plan.splitlines() if "ReadSchema" in ln and "p_name" in ln]
     assert part and all("p_type" not in ln and "p_brand" not in ln for ln in part)
+
+
+def test_a_message_is_parsed_once(spark):
+    from shopstream.operators import cdc as C
+    from shopstream.operators import orders as O
+
+    topic = spark.range(1).selectExpr("cast(id as string) as value", "current_timestamp() as timestamp")
+    for df in (O.parse_order_info(topic), O.parse_order_detail(topic), C.parse_envelopes(topic),
+               topic.where(O.is_bad_order()), topic.where(O.is_bad_detail()), topic.where(C.is_bad_envelope())):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1, plan
+
+
+def test_the_audit_parses_both_topics_once(spark, sf_small):
+    plan = _plan(E.queries()["orphans_interval"](spark, sf_small))
+    assert "from_json" not in plan and "lineitem" not in plan
