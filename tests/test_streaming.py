@@ -294,3 +294,36 @@ def test_cdc_split_orders_by_offset_restarts_and_starts_anew(spark):
     put([_envelope("user_info", "INSERT", user("d"), 1)], again)
     J.run_cdc_split(spark, read_topic(spark, replay_path=again), dims, facts, scratch_path(spark, "t-cdc-ck2"))
     assert name() == ["d"]
+
+
+def test_a_batch_joins_its_rows_once(spark):
+    o_src, l_src, out, ck = (scratch_path(spark, f"t-once-{k}") for k in ("o", "l", "out", "ck"))
+    _append(spark, o_src, [_order(k, k) for k in range(1, 9)])
+    _append(spark, l_src, [_line(10 * k, k, k + 5) for k in range(1, 9)])
+    q = J.run_order_wide(spark, read_topic(spark, replay_path=o_src), read_topic(spark, replay_path=l_src),
+                         lambda: (_users(spark), _provinces(spark)), out, ck, state_partitions=2)
+    assert {r.detail_id for r in J.read_wide(spark, out).collect()} == {10 * k for k in range(1, 9)}
+    # state takes each of the 16 rows once, however often the batch is used
+    assert sum(op.numRowsUpdated for p in q.recentProgress for op in p.stateOperators) == 16
+
+
+def test_replay_slices_grow_with_the_cluster_and_are_compressed(spark):
+    from shopstream.sources import topics as TP
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("repeat('x', 50) as value", "timestamp_seconds(id) as timestamp")
+    path = scratch_path(spark, "t-replay")
+    layout = write_replay(rows, path, 3, rows_per_file=2_000)
+    files = [r.f for r in spark.read.json(path).selectExpr("input_file_name() as f").distinct().collect()]
+    assert len(files) == 3 * layout.files_per_slice and all(f.endswith(".json.gz") for f in files)
+    assert spark.read.json(path).count() == 20_000
+    # 0.1 GB of order lines on 12 cores
+    assert TP.slice_count(3_600_000, TP.ROWS_PER_CORE * 12) == 4
+
+
+def test_bases_come_at_doubling_sizes(spark):
+    table = scratch_path(spark, "t-bases")
+    for b in range(8):
+        K.upsert_batch(spark.range(b * 10, b * 10 + 10).selectExpr("id", "id as at", "id as value"), table, b, "id", "at")
+        K.compact_if_grown(spark, table, "id")
+    bases = spark.read.parquet(f"{table}.bases").orderBy("batch_id").collect()
+    assert [spark.read.parquet(r.path).count() for r in bases] == [10, 20, 40, 80]
+    assert K.read_latest(spark, table, "id").count() == 80
