@@ -22,16 +22,43 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.functions import text as X
+from shopstream.operators.joins import broadcast_if_bounded
 from shopstream.operators.search import BM25_B, BM25_K1
 from shopstream.sources.sinks import path_exists
 
 _GENERATIONS = "upto long, path string"
 SEEDS = 16      # blocks scored first, for a threshold
+DOCS_AT_ONCE = 500      # documents whose words are sorted together in a task
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (id, dl, tok) -> a row for each of a document's terms with
+    its frequency and positions."""
+    for b in (whole.slice(i, DOCS_AT_ONCE) for whole in batches for i in range(0, whole.num_rows, DOCS_AT_ONCE)):
+        tok = b.column("tok")
+        sizes = np.asarray(pc.list_value_length(tok))
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        pos = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        words = pc.list_flatten(tok).dictionary_encode()
+        code = np.asarray(words.indices)
+        order = np.lexsort((code, doc))     # stable: positions stay in order
+        d, c = doc[order], code[order]
+        first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (c[1:] != c[:-1])][:len(d)])
+        ends = np.r_[first, len(d)]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("id").take(pa.array(d[first])), b.column("dl").take(pa.array(d[first])),
+             words.dictionary.take(pa.array(c[first])), pa.array(np.diff(ends), pa.int64()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pos[order], pa.int32()))],
+            ["id", "dl", "term", "tf", "positions"])
 
 
 class SearchIndex:
@@ -103,9 +130,14 @@ class SearchIndex:
             F.col(id_col).alias("id"), X.tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("tok"))
         d = d.withColumn("dl", F.size("tok").cast("long"))
         self._store(d.select("id", "dl", b.alias("batch_id")), self.path, "docs", "batch_id")
-        words = d.select("id", "dl", F.posexplode("tok").alias("pos", "term"))
-        postings = (words.groupBy("id", "dl", "term")
-                    .agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
+        # a document's terms are counted where it is read; only of ids that stand
+        # twice all the same are words dealt out and gathered by id and term
+        twice = broadcast_if_bounded(d.groupBy("id").count().where("count > 1").select("id"))
+        words = d.join(twice, "id", "left_semi").select("id", "dl", F.posexplode("tok").alias("pos", "term"))
+        again = (words.groupBy("id", "dl", "term")
+                 .agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions")))
+        once = d.join(twice, "id", "left_anti").select("id", "dl", "tok").mapInArrow(_postings, again.schema)
+        postings = (once.unionByName(again)
                     .withColumns({"block": F.pmod(F.xxhash64("id"), F.lit(self.n_blocks)).cast("int"),
                                   "bucket": self._bucket("term"), "seg": b, "batch_id": b}))
         self._store(postings, self.path, "postings", "bucket", "batch_id")

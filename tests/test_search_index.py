@@ -114,3 +114,21 @@ def test_stream_of_batches_restarts(spark):
          .foreachBatch(lambda df, b: index.write_batch(df, b)).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start().awaitTermination())
     check(index, live)
+
+
+def test_terms_are_counted_where_a_document_is_read():
+    import pyarrow as pa
+
+    from shopstream.sources.search_index import _postings
+    tok = [[], ["b", "a", "b"], [], ["a", "a"]]
+    docs = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([0, 3, 0, 2]), pa.array(tok, pa.list_(pa.string()))],
+                                      ["id", "dl", "tok"])
+    rows = [tuple(r.values()) for b in _postings(iter([docs.slice(0, 1), docs, docs.slice(1, 3)])) for r in b.to_pylist()]
+    want = [(2, 3, "a", 1, [1]), (2, 3, "b", 2, [0, 2]), (4, 2, "a", 2, [0, 1])]
+    assert sorted(rows) == sorted(want * 2)
+
+
+def test_an_id_that_stands_twice_has_one_posting_for_a_term(spark):
+    index = SearchIndex(spark, scratch_path(spark, "t-index-twice"), buckets=2, blocks=2)
+    index.write_batch(frame(spark, [(1, "red of"), (1, "of red"), (2, "red")]), 0)
+    assert {r.id: (r.n_terms, r.n_hits) for r in index.match_any("red").collect()} == {1: (1, 2), 2: (1, 1)}
