@@ -9,14 +9,16 @@ its own.
 The leads are taken inside the task that holds the text, and equal windows of
 a batch are one row, so no word is shuffled by itself.  A window is also padded
 from where its first words are surely too rare for a candidate: beginnings of
-two, three and four words are counted in ``2**SKETCH_BITS`` hashed counters each
-first, and a counter below ``least`` bounds every phrase in it.  Phrases of
-``least`` occurrences or more have no such beginning, so their counts, and
-those of their parts, stay exact; a full sketch only pads fewer windows.
+two, three and four words are counted in hashed counters first, whose number
+grows with the text, and a counter below ``least`` bounds every phrase in it.
+Phrases of ``least`` occurrences or more have no such beginning, so their
+counts, and those of their parts, stay exact; a full sketch only pads fewer
+windows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import _LOWER, materialized, mix, sliced, utf8
+from shopstream.llm.common import _LOWER, binary_rows, materialized, mix, sliced, utf8
 from shopstream.llm.pieces import span_hashes
 
 ORDER = 4                       # words of the longest window
 COLUMNS = [f"w{k}" for k in range(1, ORDER + 1)]
-SKETCH_BITS = 24                # a task counts each order's phrases in so many bytes
+SKETCH_BITS = 24                # counters of each order's sketch, as a power of two: at least
+MOST_BITS = 28                  # and at most; the bits of full counters are sent to the tasks
+COUNTER_BYTES = 64              # bytes of text for each counter
 BLOCK_BITS = 14                 # counters of a sketch that move together
+BLOCKS_TOGETHER = 4096
+HELD = 1 << 22                  # phrases that a task counts before it hands them on
 BATCH_BYTES = 4 << 20
 NO_LANGUAGE = "und"
 SCALE = 2_000_000
@@ -93,26 +99,47 @@ def _language(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 # ------------------------------------------------------------------ sketch
+def sketch_size(text_bytes: int) -> int:
+    """Bits of a sketch for so many bytes of text: a counter for every
+    ``COUNTER_BYTES`` of them, so that few counters reach ``least`` by phrases
+    that only share them."""
+    return min(max(SKETCH_BITS, math.ceil(math.log2(max(text_bytes / COUNTER_BYTES, 1)))), MOST_BITS)
+
+
 def _frequent(rows: DataFrame, least: int, bits: int) -> np.ndarray:
     """Whether each counter of the sketches may hold a phrase of ``least``
     occurrences, as packed bits.  Counts stop at ``least``, which the sum then
-    reaches as well."""
+    reaches as well.
+
+    A task holds the counters it has met, not the sketch, and hands them on as
+    places and counts by block: what it needs and what moves follow the text,
+    whatever size the sketch has."""
     block = min(BLOCK_BITS, bits)
     size = 1 << block
     most = min(least, 255)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((ORDER - 1) << bits, np.uint8)
+        held: list[np.ndarray] = []
+
+        def shut():
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            first = np.flatnonzero(np.diff(at >> block, prepend=-1))
+            ends = np.append(first, len(at))
+            places, counts = (at & (size - 1)).astype(np.uint16), np.minimum(n, most).astype(np.uint8)
+            for a in range(0, len(first), BLOCKS_TOGETHER):
+                of = ends[a:a + BLOCKS_TOGETHER + 1]
+                each = np.diff(of)
+                yield pa.RecordBatch.from_arrays([pa.array((at[of[:-1]] >> block).astype(np.int32)),
+                                                  binary_rows(places[of[0]:of[-1]], each), binary_rows(counts[of[0]:of[-1]], each)],
+                                                 names=["block", "places", "counts"])
+
         for b in sliced(batches, limit=BATCH_BYTES):
-            for bucket, on in _beginnings(Tokens(b.column("text")), _language(b.column("lang"))[2], bits):
-                at, n = np.unique(bucket[on], return_counts=True)
-                held[at] = np.minimum(held[at].astype(np.int64) + n, most)
-        parts = held.reshape(-1, size)
-        there = np.flatnonzero(parts.any(axis=1))
-        for a in range(0, len(there), 256):
-            yield pa.RecordBatch.from_arrays([pa.array(there[a:a + 256].astype(np.int32)),
-                                              pa.array([x.tobytes() for x in parts[there[a:a + 256]]], pa.binary())],
-                                             names=["block", "counts"])
+            held += [bucket[on] for bucket, on in _beginnings(Tokens(b.column("text")), _language(b.column("lang"))[2], bits)]
+            if sum(map(len, held)) >= HELD:
+                yield from shut()
+                held = []
+        if held:
+            yield from shut()
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, np.zeros(size, np.int64)
@@ -123,16 +150,17 @@ def _frequent(rows: DataFrame, least: int, bits: int) -> np.ndarray:
                                               names=["block", "bits"])
 
         for b in batches:
-            for at, counts in zip(b.column("block").to_pylist(), b.column("counts"), strict=True):
+            for at, places, counts in zip(b.column("block").to_pylist(), b.column("places"), b.column("counts"), strict=True):
                 if at != block:
-                    if block is not None:
+                    if block is not None and (held >= most).any():
                         yield shut()
                     block, held = at, np.zeros(size, np.int64)
-                held += np.frombuffer(counts.as_buffer(), np.uint8)
-        if block is not None:
+                # a row names each place once
+                held[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(counts.as_buffer(), np.uint8)
+        if block is not None and (held >= most).any():
             yield shut()
 
-    sums = (rows.mapInArrow(count, "block int, counts binary").repartition("block").sortWithinPartitions("block")
+    sums = (rows.mapInArrow(count, "block int, places binary, counts binary").repartition("block").sortWithinPartitions("block")
             .mapInArrow(total, "block int, bits binary"))
     out = np.zeros((((ORDER - 1) << bits) // size, size // 8), np.uint8)
     for b in sums.toArrow().to_batches():       # 3 * 2**bits / 8 bytes in all
@@ -165,13 +193,14 @@ def _windows(rows: DataFrame, likely: np.ndarray, bits: int) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(likely)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        likely = np.unpackbits(sent.value).view(bool)
+        packed = sent.value
+        likely = lambda at: (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
         for b in sliced(batches, limit=BATCH_BYTES):
             t = Tokens(b.column("text"))
             if not len(t.word):
                 continue
             number, names, hashes = _language(b.column("lang"))
-            cols, of, n = windows(t, number, [on & likely[bucket] for bucket, on in _beginnings(t, hashes, bits)])
+            cols, of, n = windows(t, number, [on & likely(bucket) for bucket, on in _beginnings(t, hashes, bits)])
             words = pa.concat_arrays([t.words, pa.array([""], t.words.type)])
             last = len(t.words)
             yield pa.RecordBatch.from_arrays(
@@ -183,14 +212,17 @@ def _windows(rows: DataFrame, likely: np.ndarray, bits: int) -> DataFrame:
     return rows.mapInArrow(run, f"{ddl}, n long").groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(docs: DataFrame, least: int = 30, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = 30, sketch_bits: int | None = None) -> DataFrame:
     """lang, phrase (space-joined), words (1 to 4) and f of every phrase of
     ``least`` occurrences or more, and per lang the row of words 0, which
-    counts all word occurrences."""
-    if not 1 <= least <= 255 or sketch_bits < 3:
+    counts all word occurrences.  The sketch is sized by the text unless
+    ``sketch_bits`` is given."""
+    if not 1 <= least <= 255 or sketch_bits is not None and sketch_bits < 3:
         raise ValueError("least must be 1 to 255, as a byte counts, and sketch_bits 3 or more")
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    if sketch_bits is None:
+        sketch_bits = sketch_size(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     # read from a written table: the rollup takes its input six times
     counted = materialized(_windows(rows, _frequent(rows, least, sketch_bits), sketch_bits), "windows")
     rolled = counted.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
@@ -215,7 +247,7 @@ def _cuts(candidates: DataFrame) -> DataFrame:
             .withColumn("rest", F.concat_ws(" ", F.slice(w, F.col("k") + 1, F.col("words") - F.col("k")))))
 
 
-def collocations(docs: DataFrame, top: int = 2000, least: int = 30, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def collocations(docs: DataFrame, top: int = 2000, least: int = 30, sketch_bits: int | None = None) -> DataFrame:
     """Each language's ``top`` phrases of 2 to 4 words: lang, rank, phrase, a,
     l, r, n, score, k (where the phrase is cut).
 

@@ -175,3 +175,21 @@ def test_windows_of_one_word_and_of_none():
     t = collocations.Tokens(pa.array(["one", None, "", " . "]))
     cols, of, n = collocations.windows(t, np.zeros(4, np.int64), [np.zeros(0, bool)] * 3)
     assert cols.tolist() == [[0], [-1], [-1], [-1]] and n.tolist() == [1]
+
+
+def test_the_phrase_sketch_grows_with_the_text(spark, monkeypatch):
+    """A sketch of one size fills up: every rare phrase then goes on as a
+    window of four words.  Tasks hand counters on as often as they must."""
+    monkeypatch.setattr(collocations, "SKETCH_BITS", 8)
+    monkeypatch.setattr(collocations, "HELD", 500)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(3_000)}" for _ in range(40)) + " so it is" for _ in range(400)]
+    df = spark.createDataFrame([(t, "x") for t in texts], "text string, lang string").repartition(3)
+    bits = collocations.sketch_size(sum(map(len, texts)))
+    small, fit = (collocations._frequent(df, 30, k) for k in (8, bits))
+    assert np.unpackbits(small).mean() == 1 and 0 < np.unpackbits(fit).mean() < 0.05
+    long = lambda bits, likely: collocations._windows(df, likely, bits).where("w4 != ''").count()
+    assert long(8, small) > 15_000 and long(bits, fit) < 800
+    rows = [(t, "x") for t in texts]
+    assert _mined(df) == odd.collocations(rows, 2000, 30) != []
+    assert collocations.sketch_size(6 * 10**9) == 27 and collocations.sketch_size(0) == 8
