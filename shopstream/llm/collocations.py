@@ -33,7 +33,7 @@ ORDER = 4                       # words of the longest window
 COLUMNS = [f"w{k}" for k in range(1, ORDER + 1)]
 SKETCH_BITS = 24                # counters of each order's sketch, as a power of two: at least
 MOST_BITS = 28                  # and at most; the bits of full counters are sent to the tasks
-COUNTER_BYTES = 64              # bytes of text for each counter
+COUNTER_BYTES = 96              # bytes of text for each counter
 BLOCK_BITS = 14                 # counters of a sketch that move together
 BLOCKS_TOGETHER = 4096
 HELD = 1 << 22                  # phrases that a task counts before it hands them on

@@ -192,4 +192,4 @@ def test_the_phrase_sketch_grows_with_the_text(spark, monkeypatch):
     assert long(8, small) > 15_000 and long(bits, fit) < 800
     rows = [(t, "x") for t in texts]
     assert _mined(df) == odd.collocations(rows, 2000, 30) != []
-    assert collocations.sketch_size(6 * 10**9) == 27 and collocations.sketch_size(0) == 8
+    assert collocations.sketch_size(6 * 10**9) == 26 and collocations.sketch_size(0) == 8
